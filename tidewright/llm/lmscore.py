@@ -125,6 +125,10 @@ def _shard(shard: int, docs: list, texts: list[str], order: int, bits: int) -> p
         bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
         edges = np.searchsorted(bucket, np.arange(2**bits + 1))
         rows += [("count", shard, level, b, None, None, _pack(hashes[s:e]), _pack(n[s:e].astype(np.uint64))) for b, (s, e) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)) if e > s]
+        if level == 1 and order > 1:  # all words end a bigram, so a bigram's word is kept once for each distinct one
+            upper = levels[1][2]
+            place = np.zeros(len(levels[1][0]), np.int32)
+            place[upper] = levels[0][2]
         rows.append(("place", shard, level, level, docs if level == 1 else None, lengths if level == 1 else None, _pack(place), b""))
     return pa.RecordBatch.from_pylist([dict(zip(_FIELDS, r, strict=True)) for r in rows], _TYPES)
 
@@ -154,6 +158,8 @@ def _sum(table: pa.Table, order: int, least: int) -> pa.Table:
         parts = [_unpack(r["b"], np.uint64) for r in sorted((r for r in rows if r["part"] == "total" and r["level"] == level), key=lambda r: r["bucket"])]
         totals[level] = np.concatenate(parts).astype(float) if parts else np.zeros(0)
     place = {r["level"]: _unpack(r["a"], np.int32) for r in rows if r["part"] == "place"}
+    if order > 1:
+        place[1] = place[1][place[2]]
     head = next(r for r in rows if r["part"] == "place" and r["level"] == 1)
     lengths = np.array(head["lengths"], np.int64)
     tokens, begins = totals[0]
