@@ -26,7 +26,7 @@ def round_half_away(num: Column, den: Column) -> Column:
     """num / den (den > 0) to the nearest integer, ties away from zero; wide enough for sample counts times rates."""
     n, d = num.cast("decimal(30,0)"), den.cast("decimal(18,0)")
     twice = F.abs(n) * 2 + d
-    whole = ((twice - F.mod(twice, d * 2)) / (d * 2)).cast("long")
+    whole = ((twice - twice % (d * 2)) / (d * 2)).cast("long")
     return F.when(num < 0, -whole).otherwise(whole)
 
 
