@@ -119,11 +119,11 @@ def source_coordinate(spark, d):
 
 DROPPED = "WITH " + REGIONS_SQL + ", " + POINTS + """, lost AS (SELECT * FROM points w WHERE NOT EXISTS (SELECT 1 FROM regions r WHERE r.track = w.track AND w.at >= r.start AND w.at < r."end")),
 edges AS (SELECT track, start AS edge, 'before' AS side, start AS region FROM regions UNION ALL SELECT track, "end", 'after', start FROM regions),
-near AS (SELECT l.event_id, l.track, abs(l.at - e.edge) AS distance, e.region, e.side, row_number() OVER (PARTITION BY l.event_id ORDER BY abs(l.at - e.edge), e.region, e.side) AS place FROM lost l JOIN edges e ON e.track = l.track)"""
+near AS (SELECT l.event_id, l.track, abs(l.at - e.edge) AS distance, e.region, e.side, row_number() OVER (PARTITION BY l.event_id ORDER BY abs(l.at - e.edge), e.region, e.side) AS place FROM lost l LEFT JOIN edges e ON e.track = l.track)"""
 
 
 def dropped(spark, d):
-    """Points in no region, with the nearest edge: the last region that ends before, or the first that starts after."""
+    """Points in no region, with the nearest edge: the last region that ends before, or the first that starts after; null on a track without one."""
     r, w = regions(spark, d), points(spark, d)
     lost = I.point_join(w, r, "at", 16, ["track"], "left_anti")
     marks = r.select("track", F.col("start").alias("at"), F.lit(None).cast("long").alias("event_id"), F.col("start").alias("next_start"), F.lit(None).cast("long").alias("prev_end"), F.lit(None).cast("long").alias("prev_start"))
