@@ -86,6 +86,8 @@ def test_layout_matches_a_sequential_placement(spark):
 def test_quantizers(spark):
     df = spark.createDataFrame([(5, 2), (-5, 2), (7, 3), (-7, 3), (0, 9)], "a long, b long")
     assert rows(df.select(Q.round_half_away(F.col("a"), F.col("b")), Q.floor_div(F.col("a"), F.col("b")), Q.ceil_div(F.col("a"), F.col("b")))) == [(3, 2, 3), (-3, -3, -2), (2, 2, 3), (-2, -3, -2), (0, 0, 0)]
+    big = spark.createDataFrame([(2**61 + 1, 3)], "a long, b long")
+    assert rows(big.select(Q.floor_div(F.col("a"), F.col("b")), Q.round_half_away(F.col("a"), F.col("b"), wide=True))) == [((2**61 + 1) // 3, (2**61 + 1) // 3)]
     p = spark.createDataFrame([(0.0005,), (-0.0005,), (float("nan"),), (2.0,)], "x double")
     assert [r[0] for r in rows(p.select(Q.signed_permille(F.col("x"))))] == [1, -1, 0, 2000]
 

@@ -12,22 +12,28 @@ from pyspark.sql import functions as F
 WIDE = "decimal(38,0)"
 
 
+def _div(a: Column, b: Column) -> Column:
+    """The integer quotient towards zero, without a detour over floating point."""
+    return F.call_function("div", a, b)
+
+
 def floor_div(a: Column, b: Column | int) -> Column:
     """Integer quotient towards minus infinity; exact for long integers."""
     b = F.lit(b) if isinstance(b, int) else b
-    return ((a - F.pmod(a, b)) / b).cast("long")
+    return _div(a - F.pmod(a, b), b)
 
 
 def ceil_div(a: Column, b: Column | int) -> Column:
     return -floor_div(-a, b)
 
 
-def round_half_away(num: Column, den: Column) -> Column:
-    """num / den (den > 0) to the nearest integer, ties away from zero; wide enough for sample counts times rates."""
-    n, d = num.cast("decimal(30,0)"), den.cast("decimal(18,0)")
-    twice = F.abs(n) * 2 + d
-    whole = ((twice - twice % (d * 2)) / (d * 2)).cast("long")
-    return F.when(num < 0, -whole).otherwise(whole)
+def round_half_away(num: Column, den: Column, wide: bool = False) -> Column:
+    """num / den (den > 0) to the nearest integer, ties away from zero.
+
+    2 * |num| + den must fit a long; wide takes decimals of 38 digits instead, which are many times slower.
+    """
+    n, d = (num.cast("decimal(30,0)"), den.cast("decimal(18,0)")) if wide else (num, den)
+    return _div(n * 2 + F.when(n < 0, -d).otherwise(d), d * 2).cast("long")
 
 
 def to_permille(scaled: Column) -> Column:

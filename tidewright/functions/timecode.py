@@ -14,25 +14,28 @@ PATTERN = r"^([0-9]{2}):([0-9]{2}):([0-9]{2})([:;.,])([0-9]{2})$"
 
 
 def frame_rate(label: Column) -> Column:
-    """(num, den, nominal, drop) of a label; null for an unknown one."""
-    out = F.lit(None).cast("struct<num:bigint,den:bigint,nominal:int,drop:boolean>")
+    """(num, den, nominal, drop) of a label, looked up in a folded map; null for an unknown one."""
+    entries = []
     for k, (n, d, nominal, drop) in FRAME_RATES.items():
-        out = F.when(label == k, F.struct(F.lit(n).cast("long").alias("num"), F.lit(d).cast("long").alias("den"), F.lit(nominal).alias("nominal"), F.lit(drop).alias("drop"))).otherwise(out)
-    return out
+        entries += [F.lit(k), F.struct(F.lit(n).cast("long").alias("num"), F.lit(d).cast("long").alias("den"), F.lit(nominal).alias("nominal"), F.lit(drop).alias("drop"))]
+    return F.try_element_at(F.create_map(*entries), label)
 
 
 def parse(text: Column, rate: Column) -> Column:
-    """(hours, minutes, seconds, frames, error). error: malformed, drop_notation, out_of_range, dropped_frame or null."""
-    part = lambda i: F.regexp_extract(text, PATTERN, i)
+    """(hours, minutes, seconds, frames, error). error: malformed, drop_notation, out_of_range, dropped_frame or null.
+
+    The pattern fixes every field's place, so that fields are substrings and the text is matched once.
+    """
     good = F.coalesce(text.rlike(PATTERN), F.lit(False))
-    h, m, s, f = (F.when(good, part(i)).cast("int") for i in (1, 2, 3, 5))
+    h, m, s, f = (F.substring(text, at, 2).try_cast("int") for at in (1, 4, 7, 10))
     error = (
         F.when(~good, "malformed")
-        .when((part(4) != ":") & ~rate["drop"], "drop_notation")
+        .when((F.substring(text, 9, 1) != ":") & ~rate["drop"], "drop_notation")
         .when((h >= 24) | (m >= 60) | (s >= 60) | (f >= rate["nominal"]), "out_of_range")
         .when(rate["drop"] & (s == 0) & (f < 2) & (m % 10 != 0), "dropped_frame")
     )
-    return F.struct(h.alias("hours"), m.alias("minutes"), s.alias("seconds"), f.alias("frames"), error.alias("error"))
+    known = lambda x: F.when(good, x)
+    return F.struct(known(h).alias("hours"), known(m).alias("minutes"), known(s).alias("seconds"), known(f).alias("frames"), error.alias("error"))
 
 
 def frame_index(code: Column, rate: Column) -> Column:

@@ -290,8 +290,10 @@ indexed AS (SELECT *, CASE WHEN error IS NULL THEN (h * 3600 + m * 60 + s) * nom
 
 
 def codes(spark, d):
-    e = read(spark, d, "events").select("event_id", F.date_format(F.col("ts").cast("timestamp"), "HH:mm:ss").alias("t"), F.explode(F.array(*map(F.lit, T.FRAME_RATES))).alias("label"))
-    e = e.withColumn("rate", T.frame_rate(F.col("label")))
+    """Timecodes of all rates. Text and rate are columns below the explode, so nothing above it repeats their making."""
+    e = read(spark, d, "events").select("event_id", F.date_format(F.col("ts").cast("timestamp"), "HH:mm:ss").alias("t"))
+    rates = F.array(*[F.struct(F.lit(k).alias("label"), T.frame_rate(F.lit(k)).alias("rate")) for k in T.FRAME_RATES])
+    e = e.select("event_id", "t", F.explode(rates).alias("x")).select("event_id", "t", "x.label", "x.rate")
     e = e.withColumn("code", F.concat("t", F.when(F.col("rate.drop"), ";").otherwise(":"), F.lpad((F.col("event_id") % 32).cast("string"), 2, "0")))
     return e.withColumn("tc", T.parse(F.col("code"), F.col("rate")))
 
@@ -314,8 +316,8 @@ def frame_rate_lookup(spark, d):
 
 @query("session_position", "WITH " + CODES_SQL + " SELECT event_id, label, ((2 * idx::HUGEINT * den * 48000 + num) // (2 * num))::BIGINT AS position FROM indexed WHERE idx IS NOT NULL")
 def session_position(spark, d):
-    c = codes(spark, d).withColumn("idx", T.frame_index(F.col("tc"), F.col("rate"))).filter("idx is not null")
-    return c.select("event_id", "label", Q.round_half_away(F.col("idx").cast("decimal(20,0)") * F.col("rate.den") * 48000, F.col("rate.num")).alias("position"))
+    c = codes(spark, d).filter("tc.error is null").withColumn("idx", T.frame_index(F.col("tc"), F.col("rate")))
+    return c.select("event_id", "label", Q.round_half_away(F.col("idx") * F.col("rate.den") * 48000, F.col("rate.num")).alias("position"))
 
 
 @query("evidence_seconds", "WITH " + CODES_SQL + " SELECT event_id, label, (idx * den)::BIGINT AS num, num::BIGINT AS den FROM indexed WHERE idx IS NOT NULL")
