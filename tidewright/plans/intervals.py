@@ -375,6 +375,6 @@ def centred_window(spark, d):
     return spans(spark, d).select("event_id", (F.col("start") + Q.floor_div(F.col("end") - F.col("start") - n, 2)).alias("start"), n.alias("n"))
 
 
-@query("bounded_windows", "WITH " + SPANS_SQL + " SELECT track, start // 3600000 AS window_idx, count(*) AS n, sum(p) AS p FROM spans GROUP BY 1, 2")
+@query("bounded_windows", "WITH " + SPANS_SQL + " SELECT track, start // 3600000 AS window_idx, count(*) AS n, sum(p)::BIGINT AS p FROM spans GROUP BY 1, 2")
 def bounded_windows(spark, d):
     return spans(spark, d).groupBy("track", Q.floor_div(F.col("start"), 3_600_000).alias("window_idx")).agg(F.count("*").alias("n"), F.sum("p").alias("p"))

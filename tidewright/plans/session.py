@@ -144,7 +144,7 @@ def split_point(spark, d):
 
 TURNS = "WITH " + SPANS_SQL + """, o AS (SELECT *, lag(event_type) OVER w AS before, lag("end") OVER w AS behind FROM spans WINDOW w AS (PARTITION BY user_id ORDER BY start, event_id)),
 m AS (SELECT *, sum(CASE WHEN before = event_type AND start - behind BETWEEN 0 AND 36000000 THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY start, event_id ROWS UNBOUNDED PRECEDING) AS turn FROM o)
-SELECT user_id, turn, min(start) AS start, max("end") AS "end", string_agg(event_id::VARCHAR, ' ' ORDER BY start, event_id) AS text FROM m GROUP BY 1, 2"""
+SELECT user_id, turn::BIGINT AS turn, min(start) AS start, max("end") AS "end", string_agg(event_id::VARCHAR, ' ' ORDER BY start, event_id) AS text FROM m GROUP BY 1, 2"""
 
 
 @query("presentation_turns", TURNS)
@@ -246,7 +246,7 @@ def expand_ramp(spark, d):
     return s.select("track", (F.col("frame") * 4 + F.col("step") - 1).alias("sample"), (F.col("before") + (F.col("p") - F.col("before")) * F.col("step") / 4.0).alias("value"))
 
 
-@query("mix_sum", "WITH " + FRAMES_SQL + " SELECT frame, sum(p * (track + 1)) AS mixed, max(p) AS peak FROM frames GROUP BY frame")
+@query("mix_sum", "WITH " + FRAMES_SQL + " SELECT frame, sum(p * (track + 1))::BIGINT AS mixed, max(p) AS peak FROM frames GROUP BY frame")
 def mix_sum(spark, d):
     from tidewright.plans.registry import frames
 
@@ -396,7 +396,7 @@ def exact_sample_count(spark, d):
     return read(spark, d, "orders").select("o_orderkey", F.when(size % 4 == 0, Q.floor_div(size, 4)).when(F.col("o_orderkey") % 2 == 0, F.col("o_custkey")).alias("n"))
 
 
-@query("archive_totals", "SELECT source, sum(octet_length(encode(text))) AS original, count(*) AS n FROM documents GROUP BY source")
+@query("archive_totals", "SELECT source, sum(octet_length(encode(text)))::BIGINT AS original, count(*) AS n FROM documents GROUP BY source")
 def archive_totals(spark, d):
     return read(spark, d, "documents").groupBy("source").agg(F.sum(F.octet_length("text")).alias("original"), F.count("*").alias("n"))
 
@@ -433,3 +433,56 @@ def peak_pick(spark, d):
 @query("sanitize", r"""SELECT page_id, regexp_replace('read ' || substr(url, 7) || ' failed', '(^|[\s''"(=])/[^\s''")]+', '\1<path>', 'g') AS message FROM pages""")
 def sanitize(spark, d):
     return read(spark, d, "pages").select("page_id", X.without_paths(F.concat(F.lit("read "), F.substr("url", F.lit(7)), F.lit(" failed"))).alias("message"))
+
+
+@query("alignment_notes", "SELECT source, count(*) AS n FROM documents WHERE n_chars < 500 GROUP BY source")
+def alignment_notes(spark, d):
+    return read(spark, d, "documents").filter("n_chars < 500").groupBy("source").agg(F.count("*").alias("n"))
+
+
+@query("selected_sources", "SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' AND c_acctbal > 0")
+def selected_sources(spark, d):
+    active = read(spark, d, "customer").filter("c_acctbal > 0").select("c_custkey", "c_name")
+    return read(spark, d, "orders").filter("o_orderstatus = 'F'").join(active, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name")
+
+
+@query("archive_select", "SELECT o_orderkey, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '2-HIGH'")
+def archive_select(spark, d):
+    c = read(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    return read(spark, d, "orders").filter("o_orderpriority = '2-HIGH'").join(c, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", "c_mktsegment")
+
+
+@query("archive_preflight", "SELECT max(n + (n >> 8)) AS largest, sum(n)::BIGINT AS restored FROM (SELECT octet_length(encode(text)) AS n FROM documents)")
+def archive_preflight(spark, d):
+    n = F.octet_length("text").cast("long")
+    return read(spark, d, "documents").agg(F.max(n + F.shiftright(n, 8)).alias("largest"), F.sum(n).alias("restored"))
+
+
+@query("archive_list", r"SELECT DISTINCT regexp_extract(url, '^https?://([^/]+)/', 1) AS session FROM pages WHERE regexp_matches(url, '^https?://[^/]+/[a-z]{2}/[0-9]+/?$')")
+def archive_list(spark, d):
+    canonical = read(spark, d, "pages").filter(F.col("url").rlike("^https?://[^/]+/[a-z]{2}/[0-9]+/?$"))
+    return canonical.select(F.regexp_extract("url", "^https?://([^/]+)/", 1).alias("session")).distinct()
+
+
+@query("workspace_estimate", "WITH " + SPANS_SQL + ', t AS (SELECT track, max("end") - min(start) AS ms FROM spans GROUP BY track) SELECT (sum(ms) * 48 * 4)::BIGINT AS working, (sum(ms) * 16 * 4)::BIGINT AS derived, sum(ms) * 256 > 1000000000000 AS short FROM t')
+def workspace_estimate(spark, d):
+    t = spans(spark, d).groupBy("track").agg((F.max("end") - F.min("start")).alias("ms"))
+    ms = F.sum("ms")
+    return t.agg((ms * 48 * 4).alias("working"), (ms * 16 * 4).alias("derived"), (ms * 256 > 1_000_000_000_000).alias("short"))
+
+
+@query("rollover_dates", "SELECT user_id, event_id, date_diff('day', min(ts::DATE) OVER (PARTITION BY user_id), ts::DATE) AS turns FROM events")
+def rollover_dates(spark, d):
+    day = F.to_date("ts")
+    return read(spark, d, "events").select("user_id", "event_id", F.datediff(day, F.min(day).over(Window.partitionBy("user_id"))).alias("turns"))
+
+
+@query("usable", "SELECT event_id FROM events WHERE NOT (value > 400 OR value < 1 OR event_type = 'error')")
+def usable(spark, d):
+    return read(spark, d, "events").filter(~((F.col("value") > 400) | (F.col("value") < 1) | (F.col("event_type") == "error"))).select("event_id")
+
+
+@query("doctor_status", "SELECT o_custkey, max(CASE o_orderstatus WHEN 'F' THEN 2 WHEN 'P' THEN 1 ELSE 0 END) AS worst FROM orders GROUP BY o_custkey")
+def doctor_status(spark, d):
+    level = F.when(F.col("o_orderstatus") == "F", 2).when(F.col("o_orderstatus") == "P", 1).otherwise(0)
+    return read(spark, d, "orders").groupBy("o_custkey").agg(F.max(level).alias("worst"))
