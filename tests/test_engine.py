@@ -93,7 +93,7 @@ def test_quantizers(spark):
 
 
 def test_timecode_errors(spark):
-    cases = [("01:02:03:04", "25", None), ("01:02:03;04", "25", "drop_notation"), ("1:2:3:4", "25", "malformed"), ("24:00:00:00", "30", "out_of_range"), ("00:01:00;01", "29.97DF", "dropped_frame"), ("00:10:00;01", "29.97DF", None), (None, "30", "malformed")]
+    cases = [("01:02:03:04", "25F", None), ("01:02:03;04", "25F", "drop_notation"), ("1:2:3:4", "25F", "malformed"), ("24:00:00:00", "30F", "out_of_range"), ("00:01:00;01", "29.97DF", "dropped_frame"), ("00:10:00;01", "29.97DF", None), (None, "30F", "malformed"), ("01:02:03,04", "30F", "malformed"), ("01:02:03:04", "29.97DF", None)]
     df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i long, t string, r string, e string").withColumn("rate", T.frame_rate(F.col("r"))).withColumn("tc", T.parse(F.col("t"), F.col("rate")))
     got = df.orderBy("i").select("tc.error", "e", T.frame_index(F.col("tc"), F.col("rate"))).collect()
     assert all(r[0] == r[1] for r in got) and got[0][2] == 3723 * 25 + 4 and got[5][2] == 600 * 30 + 1 - 2 * 9

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import difflib
 import os
+import re
 import unicodedata
 from urllib.parse import quote_from_bytes
 
@@ -80,3 +81,8 @@ def percent_encode(parts: pd.Series) -> pd.Series:
 def without_paths(text: Column) -> Column:
     """Absolute paths in a message become <path>."""
     return F.regexp_replace(text, r"(^|[\s'\"(=])/[^\s'\")]+", "$1<path>")
+
+
+def redact(message: str) -> str:
+    """without_paths() for a driver's message."""
+    return re.sub(r"(^|[\s'\"(=])/[^\s'\")]+", r"\1<path>", message)

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 #: label: (rate numerator, rate denominator, frames in a timecode second, drop-frame). Fixed values.
 FRAME_RATES = {
-    "23.976": (24000, 1001, 24, False), "24": (24, 1, 24, False), "25": (25, 1, 25, False), "29.97": (30000, 1001, 30, False),
-    "29.97DF": (30000, 1001, 30, True), "30": (30, 1, 30, False), "59.94DF": (60000, 1001, 60, True), "60": (60, 1, 60, False),
+    "23.98F": (24000, 1001, 24, False), "24F": (24, 1, 24, False), "25F": (25, 1, 25, False), "29.97F": (30000, 1001, 30, False),
+    "29.97DF": (30000, 1001, 30, True), "30F": (30, 1, 30, False), "50F": (50, 1, 50, False), "60F": (60, 1, 60, False),
 }
-PATTERN = r"^([0-9]{2}):([0-9]{2}):([0-9]{2})([:;.,])([0-9]{2})$"
+PATTERN = r"^([0-9]{2}):([0-9]{2}):([0-9]{2})([:;.])([0-9]{2})$"
 
 
 def frame_rate(label: Column) -> Column:
