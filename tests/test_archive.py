@@ -6,7 +6,7 @@ import os
 import pytest
 
 from tidewright.archive import codec, runner
-from tidewright.archive.storage import ArchiveError, FolderStorage, decode, encode, key, manifest_key, object_key, part_size, retry, single_writer
+from tidewright.archive.storage import ArchiveError, FolderStorage, decode, encode, key, manifest_key, objects_prefix, part_size, retry, single_writer
 
 TRACKS = {"tx-a": "raw/tx-a", "tx-b": "raw/tx-b"}
 
@@ -48,7 +48,7 @@ def test_round_trip(spark, session, tmp_path):
 def test_corruption_is_found_and_nothing_is_published(spark, session, tmp_path):
     store = FolderStorage(str(tmp_path / "store"))
     runner.upload(spark, session, "s", TRACKS, store)
-    at = os.path.join(store.root, object_key("s", "raw/tx-a/one.wav"))
+    at = os.path.join(store.root, next(store.list(objects_prefix("s") + "raw%2Ftx-a%2Fone.wav")))
     data = bytearray(open(at, "rb").read())
     data[len(data) // 2] ^= 1
     open(at, "wb").write(data)

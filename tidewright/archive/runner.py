@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewright.archive import codec
-from tidewright.archive.storage import ArchiveError, Storage, decode, encode, manifest_key, object_key, retry, single_writer
+from tidewright.archive.storage import MANIFEST, PREFIX, ArchiveError, Storage, decode, encode, manifest_key, object_key, objects_prefix, retry, single_writer
 from tidewright.sources.files import canonical_json
 
 ENTRY = "path string, track_id string, size_bytes long, sha256 string"
@@ -118,7 +118,7 @@ def read_manifest(storage: Storage, session: str) -> tuple[dict, str] | None:
         raise ArchiveError("archive_manifest_unreadable", f"the manifest of {session!r} can't be read: {x}") from None
     if manifest.get("session_id") != session:
         raise ArchiveError("archive_manifest_foreign", f"the manifest at {session!r} is that of {manifest.get('session_id')!r}")
-    if any(not k.startswith(object_key(session, "")[: -len(".zst")]) for k in keys):
+    if any(not k.startswith(objects_prefix(session)) for k in keys):
         raise ArchiveError("archive_manifest_foreign", f"the manifest of {session!r} points outside its objects")
     if not known:
         raise ArchiveError("archive_manifest_unreadable", f"the manifest of {session!r} is empty")
@@ -181,7 +181,7 @@ def _existing(known: tuple[dict, str], sources: list[dict], session: str) -> dic
 def _store(folder: str, session: str, storage: Storage) -> Callable[[dict], tuple]:
     def act(e: dict) -> tuple:
         path = decode(e["path"])
-        name = object_key(session, path)
+        name = object_key(session, path, e["sha256"])
         with tempfile.NamedTemporaryFile() as staged:  # scratch of this task alone; nobody else reads it
             with open(os.path.join(folder, path), "rb") as f:
                 plain, packed = codec.compress(f, staged, e["size_bytes"])
@@ -215,7 +215,7 @@ def _commit(folder: str, session: str, sources: list[dict], results: list[dict],
             own["path_text"] = text.decode()
         except UnicodeDecodeError:
             own["path_text"] = None
-        entries.append(own | {"track_id": track[r["path"]], "object_key": object_key(session, decode(r["path"]))})
+        entries.append(own | {"track_id": track[r["path"]], "object_key": object_key(session, decode(r["path"]), r["sha256"])})
     data = canonical_json({"archive_version": 1, "session_id": session, "codec": codec.RECIPE, "entries": entries}).encode()
     with tempfile.NamedTemporaryFile() as f:
         f.write(data)
@@ -302,7 +302,7 @@ def status(storage: Storage, session: str) -> dict:
     try:
         known = read_manifest(storage, session)
         if known is None:
-            some = next(iter(storage.list(object_key(session, "")[: -len(".zst")])), None)
+            some = next(iter(storage.list(objects_prefix(session))), None)
             return _report("status", session, [], set(), ("pending" if some else "absent",) * 2)
         results = []
         for e in known[0]["entries"]:
@@ -316,10 +316,10 @@ def status(storage: Storage, session: str) -> dict:
 def sessions(storage: Storage) -> list[str]:
     """Sessions with a committed manifest."""
     out = set()
-    for name in storage.list("sessions/"):
-        parts = name.split("/")
-        if len(parts) == 3 and parts[2] == "manifest.json":
-            out.add(decode(parts[1]))
+    for name in storage.list(PREFIX + "/"):
+        parts = name.removeprefix(PREFIX + "/").split("/")
+        if parts[1:] == [MANIFEST]:
+            out.add(decode(parts[0]))
     return sorted(out)
 
 

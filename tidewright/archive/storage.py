@@ -16,6 +16,8 @@ from typing import BinaryIO, Protocol
 from urllib.parse import quote_from_bytes, unquote_to_bytes
 from uuid import uuid4
 
+# Where a session is stored, and the name of its manifest.
+PREFIX, MANIFEST = "sessions/archive-v1", "archive-manifest.v1.json"
 KEY_LIMIT = 1024
 
 
@@ -42,18 +44,23 @@ def decode(component: str) -> str:
 
 
 def key(session: str, *parts: str) -> str:
-    out = "/".join(("sessions", encode(session), *parts))
+    out = "/".join((PREFIX, encode(session), *parts))
     if len(out.encode()) > KEY_LIMIT:
         raise ArchiveError("archive_key_too_long", f"a key of {len(out.encode())} bytes; {KEY_LIMIT} are allowed")
     return out
 
 
-def object_key(session: str, path: str) -> str:
-    return key(session, "objects", encode(path) + ".zst")
+def object_key(session: str, path: str, sha256: str) -> str:
+    """By path and content: the same file has the same key, a changed one another."""
+    return key(session, "objects", f"{encode(path)}.{sha256}.zst")
+
+
+def objects_prefix(session: str) -> str:
+    return key(session, "objects", "")
 
 
 def manifest_key(session: str) -> str:
-    return key(session, "manifest.json")
+    return key(session, MANIFEST)
 
 
 class Storage(Protocol):

@@ -7,6 +7,7 @@ What is found at two windows' border is one peak, by the greater score.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -112,24 +113,29 @@ def sequences(peaks: DataFrame, by: Sequence[str], marker: W.Marker, tolerance:
 def sequence_nms(found: DataFrame, by: Sequence[str], radius: int = SEQUENCE_RADIUS, at: str = "anchor", score: str = "score") -> DataFrame:
     """The best of the sequences within each radius, greedily; ties go to the lower place.
 
-    The fold runs over clusters: sequences further apart than the radius from all others can't touch them, so a
-    group is a run of near ones, not a track.
+    Sequences further apart than the radius from all others can't touch them, so the fold runs over clusters of near ones, not
+    over tracks. Clusters are dealt to tasks by hash and come in greedy order; a task holds what it kept of one.
     """
     order = Window.partitionBy(*by).orderBy(at)
     fresh = F.when(F.col(at) - F.lag(at).over(order) <= radius, 0).otherwise(1)
     runs = found.withColumn("_fresh", fresh).withColumn("_run", F.sum("_fresh").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_fresh")
+    keys = [*by, "_run"]
 
-    def keep(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([score, at], ascending=[False, True])
-        kept: list[int] = []
-        chosen = []
-        for p in rows[at]:
-            chosen.append(all(abs(p - k) > radius for k in kept))
-            if chosen[-1]:
-                kept.append(p)
-        return rows[np.array(chosen, bool)]
-
-    return runs.groupBy(*by, "_run").applyInPandas(keep, runs.schema).drop("_run")
+    def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, kept = None, []
+        for frame in frames:
+            chosen = np.zeros(len(frame), bool)
+            for i, (*key, place) in enumerate(zip(*(frame[c].tolist() for c in (*keys, at)), strict=True)):
+                if key != current:
+                    current, kept = key, []
+                j = bisect_left(kept, place)
+                if (j == 0 or place - kept[j - 1] > radius) and (j == len(kept) or kept[j] - place > radius):
+                    kept.insert(j, place)
+                    chosen[i] = True
+            yield frame[chosen]
+
+    ordered = runs.repartition(*keys).sortWithinPartitions(*keys, F.col(score).desc(), at)
+    return ordered.mapInPandas(keep, runs.schema).drop("_run")
 
 
 def runner_up(kept: DataFrame, peaks: DataFrame, by: Sequence[str], radius: int = RADIUS, around: int = SEQUENCE_RADIUS, separation: int = SEPARATION) -> DataFrame:
