@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Iterator
 from uuid import uuid4
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,60 @@ def hysteresis(stream: DataFrame, by: str, frame: str, p: str, opens: int, close
     return stream.groupBy(by).applyInPandasWithState(run, f"{by} long, {frame} long, active boolean", "last long, active boolean", "append", GroupStateTimeout.NoTimeout)
 
 
+def slew(stream: DataFrame, by: str, frame: str, target: str, rise: float, fall: float) -> DataFrame:
+    """(by, frame, applied): the target held within fall below and rise above the frame before; the last one is carried.
+
+    Frames must come in order, as for hysteresis().
+    """
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        seen, last = state.get if state.exists else (-(2**62), 0.0)
+        rows = pd.concat(list(frames)).sort_values(frame)
+        if len(rows) and rows[frame].iloc[0] <= seen:
+            raise ValueError("a frame came out of order")
+        out = []
+        for t in rows[target].tolist():
+            last = min(max(t, last - fall), last + rise)
+            out.append(last)
+        if len(rows):
+            state.update((int(rows[frame].iloc[-1]), float(last)))
+            yield pd.DataFrame({by: key[0], frame: rows[frame].to_numpy(), "applied": out})
+
+    return stream.groupBy(by).applyInPandasWithState(run, f"{by} long, {frame} long, applied double", "seen long, last double", "append", GroupStateTimeout.NoTimeout)
+
+
+def filtered(stream: DataFrame, by: str, taps: np.ndarray, factor: int = 3) -> DataFrame:
+    """(by, start, samples): every factor-th sample of the filtered track, from rows (by, window, samples, last).
+
+    The last samples that the filter still needs are carried. Output lags behind by half a filter until the window marked
+    last, with which the rest comes. Over all batches it is what operators.signal.decimate makes of the whole track.
+    """
+    half = len(taps) // 2
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        seen, start, done, held = state.get if state.exists else (-1, -half, 0, [0.0] * half)
+        held = np.asarray(held, float)
+        out = []
+        for row in pd.concat(list(frames)).sort_values("window").itertuples(index=False):
+            if row.window != seen + 1:
+                raise ValueError("a window is missing or came out of order")
+            seen = row.window
+            held = np.concatenate([held, np.asarray(row.samples, float), np.zeros(half if row.last else 0)])
+            ready = start + len(held) - half  # outputs before this place have all their samples
+            places = np.arange(done * factor, ready, factor)
+            if len(places):
+                first = int(places[0]) - half - start
+                made = np.convolve(held[first:], taps, "valid")[::factor][: len(places)]
+                out.append((done, made.tolist()))
+                done += len(places)
+            keep = max(0, min(done * factor - half - start, len(held)))
+            held, start = held[keep:], start + keep
+        state.update((int(seen), int(start), int(done), held.tolist()))
+        yield pd.DataFrame({by: [key[0]] * len(out), "start": [o[0] for o in out], "samples": [o[1] for o in out]})
+
+    return stream.groupBy(by).applyInPandasWithState(run, f"{by} long, start long, samples array<double>", "seen long, start long, done long, held array<double>", "append", GroupStateTimeout.NoTimeout)
+
+
 def drain(stream: DataFrame) -> DataFrame:
     """Runs the stream over what is there, writes to the shared folder, and reads the result."""
     spark = stream.sparkSession
