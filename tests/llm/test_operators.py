@@ -419,6 +419,39 @@ def test_simhash_odd(odd, empty, clashing):
     assert sorted(a["doc_id"] for a in kept if a["doc_id"]) == [1, 4, 5, 6, 7, 8] and list(kept[0]) == clashing.columns
 
 
+def brute_kept(r, least=800):
+    """The least doc_id of each group of texts with similar word 5-grams, every pair compared."""
+    sets = {}
+    for a in r:
+        w = bytes(b + 32 if 65 <= b <= 90 else b for b in (a["text"] or "").encode()).split()
+        sets[a["doc_id"]] = frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4)))
+    ids, root = sorted(sets), {}
+    for i in ids:
+        root[i] = i
+        for j in {root[j] for j in ids if j < i and (n := len(sets[i] & sets[j])) * 1000 >= least * (len(sets[i]) + len(sets[j]) - n)}:
+            low, high = sorted((root[i], j))
+            root = {k: low if v == high else v for k, v in root.items()}
+    return sorted(set(root.values()))
+
+
+def test_keep_one_drops_edited_copies(spark, documents):
+    """Copies of 0.8 and more that lie beyond three bits go too; in pairs, in a large group, and in a chain."""
+    rng = np.random.default_rng(3)
+    r = [a for a in rows(documents.select("doc_id", "text")) if a["doc_id"] in (1, 255, 2, 56, 643, 770, 582, 875, 709, 944) or a["doc_id"] % 9 == 0]
+    base = [f"w{i}" for i in rng.integers(0, 5000, 400)]
+    for k in range(40):  # each near the base, most not near one another
+        words = list(base)
+        for at in rng.choice(400, 9, replace=False).tolist():
+            words[at] = f"x{k}"
+        r.append({"doc_id": 10_000 + k, "text": " ".join(words)})
+    r.append({"doc_id": 20_000, "text": " ".join(base)})
+    r += [{"doc_id": 30_000 + k, "text": " ".join([f"c{i}" for i in range(20 * k, 20 * k + 400)])} for k in range(8)]
+    r += [{"doc_id": 40_000, "text": None}, {"doc_id": 40_001, "text": "  "}, {"doc_id": 40_002, "text": "A  b"}, {"doc_id": 40_003, "text": "a b\n"}]
+    want = brute_kept(r)
+    got = sorted(a["doc_id"] for a in rows(simhash.keep_one(spark.createDataFrame([(a["doc_id"], a["text"]) for a in r], "doc_id long, text string"))))
+    assert got == want and 10_000 in got and 20_000 not in got and 30_001 not in got and not {255, 56, 770, 875, 944} & set(got)
+
+
 # ---- 10 url rules (also held against SQL by the driver)
 
 

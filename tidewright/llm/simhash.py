@@ -15,6 +15,7 @@ equi-join on (block, anchor) with a filter: it spills, and adaptive execution sp
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -150,14 +151,119 @@ def near_duplicates(documents: DataFrame, size: int = 3, seed: int = 42, thresho
     )
 
 
-def keep_one(documents: DataFrame, size: int = 3, seed: int = 42, threshold: int = 3) -> DataFrame:
-    """The documents, one of each near-duplicate class: that with the least doc_id.
+BANDS, DEPTH = 40, 5  # a pair with similarity 0.8 shares no band with probability (1 - 0.8**5)**40, about 1.2e-7
 
-    All columns stay. Of rows that repeat the kept doc_id one stays. Rows without a doc_id all stay,
-    as none of them can be named.
+
+def _shingles(words: list[bytes], size: int, seed: int) -> np.ndarray:
+    """The distinct hashes of the word shingles; fewer words than size are one shingle, no word is the empty one."""
+    grams = {b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
+    return np.unique(np.array([xxhash.xxh64_intdigest(g, seed) for g in grams], np.uint64))
+
+
+def _class_of(words: list[bytes]) -> int:
+    """What texts of the same words share."""
+    return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(words), 7)).astype(np.int64))
+
+
+def _words(text: str) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").lower().split()
+
+
+def _bands(shingles: np.ndarray, seed: int) -> list[int]:
+    """A hash for each band of DEPTH least permuted hashes."""
+    a, b = np.random.default_rng(seed).integers(0, 2**64, (2, BANDS * DEPTH, 1), np.uint64)
+    a |= np.uint64(1)
+    least = np.full(BANDS * DEPTH, 2**64 - 1, np.uint64)
+    for at in range(0, len(shingles), 1 << 10):  # bounded, however long the text
+        np.minimum(least, (shingles[at : at + (1 << 10)] * a + b).min(1), out=least)
+    out = [xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(least.reshape(BANDS, DEPTH))]
+    return np.array(out, np.uint64).view(np.int64).tolist()
+
+
+def _classes(documents: DataFrame, size: int, seed: int) -> DataFrame:
+    """(doc_id, cls, n, bands) of every row: what its words are known by, the number of its shingles, its bands."""
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        known: dict[int, tuple[int, list[int]]] = {}
+        cls = []
+        for words in map(_words, common.texts_of(batch.column(1))):
+            cls.append(_class_of(words))
+            if cls[-1] not in known:
+                s = _shingles(words, size, seed)
+                known[cls[-1]] = len(s), _bands(s, seed)
+        found = [known[c] for c in cls]
+        return pa.record_batch([batch.column(0), pa.array(cls, pa.int64()), pa.array([n for n, _ in found], pa.int64()), pa.array([b for _, b in found], pa.list_(pa.int64()))], ["doc_id", "cls", "n", "bands"])
+
+    source = common.pick(documents, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text")
+    return common.map_arrow(source, each, "doc_id long, cls long, n long, bands array<long>")
+
+
+def _class_column(text: Column) -> Column:
+    @F.pandas_udf("long")
+    def cls(texts: pd.Series) -> pd.Series:
+        return pd.Series([_class_of(_words(t or "")) for t in texts], dtype="int64")
+
+    return cls(text)
+
+
+def _shingle_sets(documents: DataFrame, firsts: DataFrame, size: int, seed: int) -> DataFrame:
+    """(cls, shingles) of the classes in firsts, each from a row with its least doc_id."""
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [_shingles(_words(t), size, seed).view(np.int64) for t in common.texts_of(batch.column(1))]
+        return pa.record_batch([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["cls", "shingles"])
+
+    text = common.pick(documents, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text")
+    own = text.withColumn("cls", _class_column(F.col("text"))).join(firsts.select("doc_id", "cls"), ["doc_id", "cls"])
+    return common.map_arrow(own.select("cls", "text").dropDuplicates(["cls"]), each, "cls long, shingles array<long>")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """The pairs (u, v) whose shingle sets have a Jaccard similarity of least permille or more."""
+    both = pairs.join(sets.select(F.col("cls").alias("u"), F.col("shingles").alias("x")), "u").join(sets.select(F.col("cls").alias("v"), F.col("shingles").alias("y")), "v")
+    shared = F.size(F.array_intersect("x", "y"))
+    return both.filter(shared * 1000 >= least * (F.size("x") + F.size("y") - shared)).select("u", "v")
+
+
+def similar_classes(documents: DataFrame, size: int = 5, seed: int = 42, least: int = 800) -> DataFrame:
+    """(cls, doc_id, root): for every distinct text its least doc_id (LAST: none) and the root of its near-duplicate group.
+
+    Texts are linked where their sets of word shingles have a Jaccard similarity of least permille or
+    more. Candidates share a band of MinHash; each is compared by its whole sets. First a bucket's
+    members are compared with its least one; then all pairs that no link joins yet, so that a large
+    group of copies doesn't cost the square of its size, and no candidate is left out.
+    """
+    one = common.durable(_classes(documents, size, seed)).groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
+    classes = common.durable(one)
+    members = classes.select("cls", "n", F.explode("bands").alias("key"))
+    groups = members.groupBy("key").agg(F.min("cls").alias("pivot"), F.count("*").alias("size")).filter("size > 1").drop("size")
+    crowded = common.durable(members.join(groups, "key"))
+    sets = common.durable(_shingle_sets(documents, classes.join(crowded.select("cls").distinct(), "cls", "left_semi"), size, seed))
+    sizes = classes.select(F.col("cls").alias("pivot"), F.col("n").alias("pivot_n"))
+    fit = lambda a, b: F.least(a, b) * 1000 >= F.greatest(a, b) * least  # noqa: E731  else their similarity is less
+    star = crowded.filter("cls != pivot").select("cls", "n", "pivot").distinct().join(sizes, "pivot").filter(fit(F.col("n"), F.col("pivot_n")))
+    edges = common.durable(_confirmed(star.select(F.col("cls").alias("u"), F.col("pivot").alias("v")), sets, least))
+    found = common.durable(components(edges))
+    placed = crowded.join(found, crowded["cls"] == found["u"], "left").select("key", "cls", "n", "pivot", F.coalesce("root", "cls").alias("part"))
+    apart = placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p != q").select("key")
+    rest = common.durable(placed.join(apart, "key", "left_semi"))
+    a, b = rest.alias("a"), rest.alias("b")
+    near = (F.col("a.key") == F.col("b.key")) & (F.col("a.cls") > F.col("b.cls")) & (F.col("a.part") != F.col("b.part")) & (F.col("b.cls") != F.col("b.pivot")) & fit(F.col("a.n"), F.col("b.n"))
+    others = a.join(b, near).select(F.col("a.cls").alias("u"), F.col("b.cls").alias("v")).distinct()
+    roots = components(edges.unionByName(_confirmed(others, sets, least)))
+    return classes.join(roots, classes["cls"] == roots["u"], "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
+
+
+def keep_one(documents: DataFrame, size: int = 5, seed: int = 42, least: int = 800) -> DataFrame:
+    """The documents, one of each near-duplicate group of similar_classes(): that with the least doc_id.
+
+    All columns stay. Of rows that repeat the kept doc_id and text one stays. A null doc_id counts as
+    larger than any other.
     """
-    found = near_duplicates(documents, size, seed, threshold)
-    key = common.fresh(documents, "kept_id")
-    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
-    joined = documents.join(kept, F.col("doc_id") == F.col(key))
-    return joined.dropDuplicates([key]).drop(key).unionByName(documents.filter("doc_id is null"))
+    found = similar_classes(documents, size, seed, least)
+    cls, key, kept_cls = common.fresh(documents, "own_class"), common.fresh(documents, "kept_id"), common.fresh(documents, "kept_class")
+    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "cls")).alias("k"))
+    kept = first.select(F.col("k.doc_id").alias(key), F.col("k.cls").alias(kept_cls))
+    own = documents.withColumn(cls, _class_column(F.col("text")))
+    joined = own.join(kept, (F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)) == F.col(key)) & (F.col(cls) == F.col(kept_cls)))
+    return joined.dropDuplicates([kept_cls]).drop(cls, key, kept_cls)
