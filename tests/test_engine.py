@@ -188,3 +188,13 @@ def test_streaming_hysteresis_equals_batch(spark, tmp_path):
 
 def test_every_sql_has_a_query():
     assert registry.SQL.keys() <= queries().keys() and len(queries()) > 100
+
+
+def test_rollover_gap_all_judges_every_event(spark, tmp_path):
+    """No event is left out, and a series over midnight turns where its widest gap is."""
+    at = [(1, 1, "2024-01-01 23:00:00"), (2, 1, "2024-01-01 23:30:00"), (3, 1, "2024-01-01 01:00:00"), (4, 2, "2024-01-01 08:00:00"), (5, 2, "2024-01-01 09:00:00"), (6, 3, "2024-01-01 00:00:00"), (7, 3, "2024-01-01 12:00:00")]
+    spark.createDataFrame(at, "event_id long, user_id long, ts string").withColumn("ts", F.to_timestamp("ts")).write.parquet(str(tmp_path / "events.parquet"))
+    got = rows(queries()["rollover_gap_all"](spark, str(tmp_path)).select("event_id", "verdict", "turns"))
+    assert sorted(map(tuple, got)) == [(1, "wrapped", 0), (2, "wrapped", 0), (3, "wrapped", 1), (4, "none", 0), (5, "none", 0), (6, "ambiguous", 0), (7, "ambiguous", 0)]
+    sf = "/root/testdata/sf0.001"
+    assert queries()["rollover_gap_all"](spark, sf).count() == spark.read.parquet(f"{sf}/events.parquet").count()

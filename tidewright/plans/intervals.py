@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewright.functions import quantize as Q
 from tidewright.functions import timecode as T
 from tidewright.operators import intervals as I
-from tidewright.plans.registry import FRAMES_SQL, GRID_SQL, SPANS_SQL, frames, grid, islands_sql, query, read, spans
+from tidewright.plans.registry import FRAMES_SQL, GRID_SQL, SPANS_SQL, SQL, frames, grid, islands_sql, query, read, spans
 
 # ---- frames to regions
 
@@ -228,6 +228,13 @@ def rollover_gap(spark, d):
     return I.widest_gap(t, ["user_id"], "at", 86400)
 
 
+@query("rollover_gap_all", SQL["rollover_gap"].replace(" WHERE event_id % 40 = user_id % 40", ""))
+def rollover_gap_all(spark, d):
+    """Every event of each user; rollover_gap has a fortieth of them, as its SQL states."""
+    t = read(spark, d, "events").select("user_id", "event_id", F.expr("unix_micros(cast(ts as timestamp)) div 1000000 % 86400").alias("at"))
+    return I.widest_gap(t, ["user_id"], "at", 86400)
+
+
 @query("session_zero", "SELECT user_id, min(epoch_us(ts)) AS zero, greatest(0, 1704070000000000 - min(epoch_us(ts))) AS shift FROM events GROUP BY user_id")
 def session_zero(spark, d):
     us = F.expr("unix_micros(cast(ts as timestamp))")
