@@ -452,6 +452,16 @@ def test_keep_one_drops_edited_copies(spark, documents):
     assert got == want and 10_000 in got and 20_000 not in got and 30_001 not in got and not {255, 56, 770, 875, 944} & set(got)
 
 
+def test_null_and_shared_ids(spark):
+    """A doc_id on two texts joins their classes; rows without one belong to their own class, and go as copies."""
+    one, two, three, four = (" ".join(f"{c}{i}" for i in range(60)) for c in "pqrs")
+    r = [(1, one), (10, one), (2, two), (10, two), (None, one), (None, three), (None, three), (None, three + " "), (None, four)]
+    df = spark.createDataFrame(r, "doc_id long, text string")
+    got = rows(simhash.near_duplicates(df))
+    assert sorted((a["doc_id"] or 0, a["component_id"] or 0) for a in got) == [(0, 0)] * 4 + [(0, 1), (1, 1), (2, 1), (10, 1), (10, 1)]
+    assert sorted((a["doc_id"] or 0, a["text"].strip()) for a in rows(simhash.keep_one(df))) == [(0, three), (0, four), (1, one), (2, two)]
+
+
 # ---- 10 url rules (also held against SQL by the driver)
 
 

@@ -139,14 +139,16 @@ def near_duplicates(documents: DataFrame, size: int = 3, seed: int = 42, thresho
     doc_id counts as larger than any other; a component of such rows alone has a null component_id.
     """
     rows = common.durable(fingerprints(documents, size, seed))
-    classes = rows.groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(LAST))).alias("rep"))
-    # a doc_id on rows with different texts joins their classes, as both have it as a document
-    shared = rows.filter("doc_id is not null").join(classes, "fp").filter("rep < doc_id").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    taken = classes.select(F.col("rep").alias("u"))
-    edges = links(classes, threshold).unionByName(shared.join(taken, "u", "left_semi"))
+    # a fingerprint is the vertex of its class, as doc_ids may be null or shared
+    classes = rows.groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(LAST))).alias("first"))
+    # a doc_id on rows with different texts joins their classes, as each has it as a document
+    split = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("v"), F.max("fp").alias("most")).filter("v != most").select("doc_id", "v")
+    shared = rows.join(split, "doc_id").filter("fp != v").select(F.col("fp").alias("u"), "v")
+    edges = links(classes.select("fp", F.col("fp").alias("rep")), threshold).unionByName(shared)
     roots = components(edges.distinct())
-    labelled = classes.join(roots, classes["rep"] == roots["u"], "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
-    return rows.join(labelled, "fp").select(
+    labelled = classes.join(roots, classes["fp"] == roots["u"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    least = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rows.join(labelled.join(least, "root").select("fp", "component_id"), "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.nullif(F.col("component_id"), F.lit(LAST)).alias("component_id")
     )
 
