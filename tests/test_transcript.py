@@ -7,6 +7,7 @@ import random
 import numpy as np
 
 from tidewright.operators import transcript as T
+from tidewright.plans import queries
 
 SECOND = T.RATE
 
@@ -116,3 +117,10 @@ def test_drafts_and_document(spark):
     turns = T.drafts(df, ["g"]).withColumns({"segment_id": F.col("g"), "speaker_id": F.lit("s"), "overlap": F.lit(False)})
     doc = {r["segment_id"]: json.loads(r["document"]) for r in T.transcript_json(turns, 1000).collect()}
     assert doc["g"]["start_s"] == 0.005 and doc["g"]["words"][1] == {"start_s": 0.03, "end_s": 0.045, "text": "there"}
+
+
+def test_draft_segment_takes_every_turn(spark, tmp_path):
+    turns = [(1, i, "user", f"w{i}") for i in range(50)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    (got,) = queries()["draft_segment"](spark, str(tmp_path)).collect()
+    assert tuple(got) == (1, 5, 4985, " ".join(f"w{i}" for i in range(50)), "aligned")

@@ -298,7 +298,7 @@ PARTS_SQL = """parts AS (SELECT conv_id, turn, CASE WHEN role = 'system' THEN 's
 SELECT conv_id, CASE WHEN aligned THEN a + 5 ELSE a END AS start, CASE WHEN aligned THEN b - 5 ELSE b END AS "end", trim(regexp_replace(t, '[ \t\n\x0B\f\r]+', ' ', 'g')) AS text, CASE WHEN aligned THEN 'aligned' WHEN failed THEN 'segment_only' ELSE 'not_attempted' END AS alignment FROM g WHERE trim(regexp_replace(t, '[ \t\n\x0B\f\r]+', ' ', 'g')) != ''""")
 def draft_segment(spark, d):
     """A word is a whole turn here, five samples within its ownership."""
-    c = read(spark, d, "conversations").filter("turn < 40 and text is not null")
+    c = read(spark, d, "conversations").filter("text is not null")
     a = F.col("turn") * 100
     word = F.array(F.struct((a + 5).alias("start"), (a + 85).alias("end"), F.col("text").alias("text")))
     parts = c.select("conv_id", F.col("turn").alias("ordinal"), F.when(F.col("role") == "system", "segment_only").otherwise("aligned").alias("alignment"), "text", a.alias("ownership_start"), (a + 90).alias("ownership_end"), word.alias("words"))
