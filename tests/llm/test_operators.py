@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -240,6 +241,37 @@ def test_lm_matches_brute_force(spark, documents, order):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-6) for k in want)
 
 
+def test_lm_query_matches_brute_force_at_its_default(spark, documents):
+    """The registered query over its whole table, at the default order of three."""
+    texts = {r["doc_id"]: r["text"] or "" for r in rows(documents)}
+    want = dict(zip(texts, brute_lm(list(texts.values()), 3, 2), strict=True))
+    got = {r["doc_id"]: r["score"] for r in rows(queries.op4_lm_scoring(spark, SF))}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-6) for k in want)
+
+
+@pytest.mark.parametrize("order", [1, 3, 4])
+def test_lm_long_texts_go_on_in_the_next_shard(spark, documents, order, monkeypatch):
+    """Texts cut over several shards score as whole ones do: at every cut the words before it are context."""
+    monkeypatch.setattr(lmscore, "SHARD", 900)
+    monkeypatch.setattr(lmscore, "BLOCK", 300)
+    texts = {r["doc_id"]: r["text"] or "" for r in rows(documents.filter("doc_id < 40"))} | {900: "  " * 700, 901: " \n" * 400 + "one two one two three", 902: "", 903: "x" * 2000}
+    want = dict(zip(texts, brute_lm(list(texts.values()), order, 2), strict=True))
+    batch = pa.record_batch([pa.array(list(texts)), pa.array(list(texts.values()))], ["doc_id", "text"])
+    monkeypatch.setattr(lmscore.TaskContext, "get", staticmethod(lambda: type("Task", (), {"partitionId": lambda self: 3})()))
+    table = pa.Table.from_batches(lmscore._explode(iter([batch]), order, 60, 3))
+    parts, answers = {}, []
+    for r in table.to_pylist():
+        parts.setdefault(r["bucket"] if r["part"] == "count" else ("words", r["shard"]), []).append(r)
+    assert sum(isinstance(k, tuple) for k in parts) > 10
+    for group in parts.values():
+        answers += lmscore._total(pa.Table.from_pylist(group, table.schema)).to_pylist()
+    got = Counter()
+    for shard in {r["shard"] for r in answers}:
+        for r in lmscore._sum(pa.Table.from_pylist([a for a in answers if a["shard"] == shard], table.schema), order, 2, 60).to_pylist():
+            got[r["doc_id"]] += r["score"]
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-6) for k in want)
+
+
 def test_lm_odd(odd, empty, clashing):
     got = rows(lmscore.score_documents(odd))
     assert len(got) == len(ODD) and all(r["score"] == 0 and r["mean"] is None for r in got if r["n_tokens"] == 0)

@@ -4,12 +4,16 @@ The count of an n-gram is over the whole corpus. S(w | context) is count(context
 count(context w) reaches `least`; else ALPHA times S(w | shorter context); at last count(w) / tokens. A
 document's score is the sum of the natural logarithms.
 
-Rows for single n-grams would make the shuffle many times the text. So documents are taken in
-shards of bounded bytes; a shard explodes its texts into distinct n-grams, which go to the partition of their
-hash as packed arrays with the shard's counts. A partition adds up its table of counts, joins it to
-each shard's n-grams, and answers with their totals. The shard's answers meet its documents (arrays of
-n-gram places), where the scores are summed. An n-gram that a third of all words belong to is one
-entry from each shard. N-grams are known by 64-bit hashes.
+Rows for single n-grams would make the shuffle many times the text. So documents are taken in shards of bounded
+bytes (a longer text goes on in the next shard). A shard explodes its words into the distinct n-grams of
+all orders, known by their hashes; each bucket of the hash space gets those of its range from the shard as one
+packed row, with the shard's counts. A bucket adds up its table of counts, joins it to the n-grams of each shard, and
+answers with their totals. The answers meet the shard's words, where the scores are summed for each text. An n-gram
+that a third of all words belong to is one entry from each shard.
+
+Buckets are as many as the text has portions of BUCKET bytes, so that a bucket's table stays of one size; rows are at most
+the n-grams that are distinct within shards. Hashes have as many bits as keep the chance that an n-gram shares
+its hash with another under about one in a million, 64 at most, whatever the corpus' size.
 """
 
 from __future__ import annotations
@@ -27,16 +31,26 @@ from pyspark.sql import functions as F
 from tidewright.llm import common
 
 ALPHA = 0.4
-#: Bytes of text in a shard, at most, unless one document has more; and of input for each hash partition.
-SHARD, PARTITION = 8 << 20, 8 << 20
+#: Characters of text in a shard, and bytes of the corpus for each bucket of hashes.
+SHARD, BUCKET = 16 << 20, 4 << 20
+#: Characters split into words at once, about.
+BLOCK = 1 << 20
 TOTAL, BEGIN = np.uint64(0), np.uint64(1)  # stand-ins for the empty n-gram and for what precedes a text
-_SCHEMA = "part string, shard long, level int, bucket int, docs array<long>, lengths array<int>, a binary, b binary"
+_SCHEMA = "part string, shard long, bucket long, rows array<long>, docs array<long>, lengths array<int>, context array<int>, a binary, b binary"
 _FIELDS = [f.split()[0] for f in _SCHEMA.split(", ")]
-_TYPES = pa.schema(list(zip(_FIELDS, [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary()], strict=True)))
+_KINDS = {"string": pa.string(), "long": pa.int64(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "binary": pa.binary()}
+_TYPES = pa.schema([(f.split()[0], _KINDS[f.split()[1]]) for f in _SCHEMA.split(", ")])
 
 
-def words_of(text: str) -> list[str]:
-    return text.lower().split()
+def blocks(text: str) -> Iterator[str]:
+    """The text in parts of about BLOCK characters, cut at white space."""
+    at = 0
+    while at < len(text):
+        end = at + BLOCK
+        while end < len(text) and not text[end].isspace():
+            end += 1
+        yield text[at:end]
+        at = end
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -63,130 +77,183 @@ class _Ids(dict):
         return n
 
 
-def _grams(texts: list[str], order: int) -> tuple[list[int], list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
-    """Words of each text; for each level hashes (ascending), counts, and the place of the n-gram that ends at each word.
+class Shard:
+    """Words of whole texts and of parts of texts.
 
-    A word with less than level - 1 words before it has the place of a shorter n-gram's padding: texts begin
-    with BEGIN once, and n-grams don't reach further back; those places are -1.
+    A part that goes on with a text begins with the order - 1 words before it: as context, they are neither counted nor scored.
     """
-    ids, words = _Ids(), []
-    lengths = []
-    for t in texts:
-        own = words_of(t)
-        lengths.append(len(own))
-        words += [ids[w] for w in own]
-    w = np.array(words, np.int64)
-    del words
-    h = np.fromiter((xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x in ids), np.uint64, len(ids))
-    at = np.concatenate([np.arange(n) for n in lengths]) if lengths else np.zeros(0, np.int64)  # words before it in its text
-    levels, hashes, code = [], h[w], w
-    for level in range(1, order + 1):
-        fits = at >= level - 2 if level > 1 else np.ones(len(w), bool)  # one BEGIN may be part
-        if level == 2:
-            before = np.where(at > 0, np.roll(w, 1), -1)
-            code = (before + 1) * (len(ids) + 1) + w
-            hashes = _mix(np.where(at > 0, np.roll(h[w], 1), BEGIN), h[w])
-        elif level > 2:
-            code = (np.roll(code, 1) + 1) * (len(ids) + 1) + w
-            hashes = _mix(np.roll(hashes, 1), h[w])
-        _, first, inverse, n = np.unique(code[fits], return_index=True, return_inverse=True, return_counts=True)
-        own = hashes[fits][first]
-        sort = np.argsort(own)
-        rank = np.empty(len(sort), np.int64)
-        rank[sort] = np.arange(len(sort))
-        place = np.full(len(w), -1, np.int32)
-        place[fits] = rank[inverse]
-        levels.append((own[sort], n[sort].astype(np.uint32), place))
-        code = place.astype(np.int64)
-    return lengths, levels
-
-
-def _explode(batches: Iterator[pa.RecordBatch], order: int, bits: int) -> Iterator[pa.RecordBatch]:
-    task, count = TaskContext.get().partitionId(), 0
+
+    def __init__(self, order: int):
+        self.order, self.ids, self.size = order, _Ids(), 0
+        self.words: list[np.ndarray] = []  # word numbers, by part of a text
+        self.rows, self.docs, self.lengths = [], [], []  # of the parts; lengths without context
+        self.context: list[int] = []  # words of context in front; -1 where a text begins
+
+    def put(self, row: int, doc: int | None, words: list[str], context: list[str] | None) -> None:
+        own = [*(context or ()), *words]
+        ids = self.ids
+        self.words.append(np.fromiter((ids[w] for w in own), np.uint32, len(own)))
+        self.rows.append(row)
+        self.docs.append(doc)
+        self.lengths.append(len(words))
+        self.context.append(-1 if context is None else len(context))
+
+    def exploded(self, number: int, width: int, bits: int) -> Iterator[pa.RecordBatch]:
+        """A row of n-grams for each bucket that has some, and the shard's words as one row."""
+        words = np.concatenate(self.words)
+        hashes = np.fromiter((xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x in self.ids), np.uint64, len(self.ids))
+        self.ids.clear()
+        self.words.clear()
+        lengths, context = np.array(self.lengths, np.int64), np.array(self.context, np.int64)
+        levels, fits, own = gram_hashes(words, hashes, lengths, context, self.order)
+        asked = _narrow(levels, fits, width)
+        asked.sort()
+        first = _first(asked)
+        keys = np.concatenate([np.array([TOTAL, BEGIN], np.uint64), asked[first]])
+        if own.all():
+            n = np.diff(np.append(first, len(asked)))
+        else:
+            counted = np.sort(_narrow(levels, [f & own for f in fits], width))
+            n = np.searchsorted(counted, keys[2:], "right") - np.searchsorted(counted, keys[2:], "left")
+        n = np.concatenate([[own.sum(), (context < 0).sum()], n]).astype(np.uint64)
+        bucket = keys >> np.uint64(width - bits)
+        starts = _first(bucket)
+        own_buckets, a, b = bucket[starts].astype(np.int64).tolist(), [], []
+        for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True):
+            steps = np.diff(keys[s:e], prepend=bucket[s] << np.uint64(width - bits))
+            a.append(_pack(steps))
+            b.append(_pack(n[s:e]))
+        m = len(a)
+        yield _batch([["count"] * m, [number] * m, own_buckets, *[[None] * m] * 4, a, b])
+        yield _batch([["words"], [number], [None], [self.rows], [self.docs], [self.lengths], [self.context], [_pack(words)], [_pack(hashes)]])
+
+
+def _batch(columns: list[list]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _TYPES, strict=True)], schema=_TYPES)
+
+
+def gram_hashes(words: np.ndarray, hashes: np.ndarray, lengths: np.ndarray, context: np.ndarray, order: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """For each level the hashes of the n-grams that end at each word, and which of them are whole; which words are the parts' own.
+
+    A text begins with BEGIN once, and n-grams don't reach further back.
+    """
+    given = np.maximum(context, 0)
+    sizes = lengths + given
+    at = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    room = at + np.repeat(context < 0, sizes)  # words before it that are known, a text's beginning included
+    own = at >= np.repeat(given, sizes)
+    h = hashes[words] if len(words) else np.zeros(0, np.uint64)
+    levels, fits = [h], [np.ones(len(words), bool)]
+    for level in range(2, order + 1):
+        before = np.roll(levels[-1], 1)
+        levels.append(_mix(np.where(at > 0, before, BEGIN) if level == 2 else before, h))
+        fits.append(room >= level - 1)
+    return levels, fits, own
+
+
+def _narrow(levels: list[np.ndarray], fits: list[np.ndarray], width: int) -> np.ndarray:
+    """Hashes of the whole n-grams of all levels in one array, of so many bits; TOTAL and BEGIN stay free."""
+    every = np.concatenate([h[f] for h, f in zip(levels, fits, strict=True)])
+    every >>= np.uint64(64 - width)
+    return np.maximum(every, np.uint64(2), out=every)
+
+
+def _first(ascending: np.ndarray) -> np.ndarray:
+    """Where another value begins."""
+    return np.flatnonzero(np.concatenate([[True], ascending[1:] != ascending[:-1]])) if len(ascending) else np.zeros(0, np.int64)
+
+
+def _explode(batches: Iterator[pa.RecordBatch], order: int, width: int, bits: int) -> Iterator[pa.RecordBatch]:
+    first, row, count = TaskContext.get().partitionId() << 32, 0, 0
+    shard = Shard(order)
     for batch in batches:
-        texts, docs = common.texts_of(batch.column(1)), batch.column(0).to_pylist()
-        start = size = 0
-        for i, t in enumerate([*texts, None]):
-            if t is None or size + len(t) > SHARD:
-                if i > start:
-                    yield _shard(task << 32 | count, docs[start:i], texts[start:i], order, bits)
-                    count += 1
-                start, size = i, 0
-            size += len(t or "")
-
-
-def _shard(shard: int, docs: list, texts: list[str], order: int, bits: int) -> pa.RecordBatch:
-    lengths, levels = _grams(texts, order)
-    rows = []
-    extra = ([TOTAL, BEGIN], [sum(lengths), len(texts)])
-    for level, (hashes, n, place) in enumerate(levels, 1):
-        if level == 1:  # kept first: they stand for themselves, not in hash order
-            rows += [("count", shard, 0, 0, None, None, _pack(np.array(extra[0], np.uint64)), _pack(np.array(extra[1], np.uint64)))]
-        bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
-        edges = np.searchsorted(bucket, np.arange(2**bits + 1))
-        rows += [("count", shard, level, b, None, None, _pack(hashes[s:e]), _pack(n[s:e].astype(np.uint64))) for b, (s, e) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)) if e > s]
-        if level == 1 and order > 1:  # all words end a bigram, so a bigram's word is kept once for each distinct one
-            upper = levels[1][2]
-            place = np.zeros(len(levels[1][0]), np.int32)
-            place[upper] = levels[0][2]
-        rows.append(("place", shard, level, level, docs if level == 1 else None, lengths if level == 1 else None, _pack(place), b""))
-    return pa.RecordBatch.from_pylist([dict(zip(_FIELDS, r, strict=True)) for r in rows], _TYPES)
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            last = None  # the words before, once there are some
+            for part in blocks(text.as_py() or ""):
+                words = part.lower().split()
+                if not words:
+                    continue
+                if shard.size and shard.size + len(part) > SHARD:
+                    yield from shard.exploded(first | count, width, bits)
+                    shard, count = Shard(order), count + 1
+                shard.put(first | row, doc, words, last)
+                shard.size += len(part)
+                last = [*(last or ()), *words][1 - order :] if order > 1 else []
+            if last is None:
+                shard.put(first | row, doc, [], None)
+            row += 1
+    if shard.rows:
+        yield from shard.exploded(first | count, width, bits)
 
 
 def _total(table: pa.Table) -> pa.Table:
-    """Adds up a partition's counts and answers each shard; place rows pass."""
-    kind = table.column("part")[0].as_py()
-    if kind != "count":
+    """Adds up a bucket's counts and answers each shard; rows of words pass."""
+    if table.column("part")[0].as_py() != "count":
         return table
-    hashes = [_unpack(x, np.uint64) for x in table.column("a").to_pylist()]
+    keys = [np.cumsum(_unpack(x, np.uint64), dtype=np.uint64) for x in table.column("a").to_pylist()]
     counts = [_unpack(x, np.uint64) for x in table.column("b").to_pylist()]
-    every, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
-    sums = np.zeros(len(every), np.uint64)
-    np.add.at(sums, inverse, np.concatenate(counts))
-    edges = np.cumsum([0, *map(len, hashes)])
-    answers = [_pack(sums[inverse[s:e]]) for s, e in zip(edges[:-1], edges[1:], strict=True)]
+    edges = np.cumsum([0, *map(len, keys)])
+    _, place = np.unique(np.concatenate(keys), return_inverse=True)
+    del keys
+    sums = np.zeros(int(place.max()) + 1, np.uint64)
+    np.add.at(sums, place, np.concatenate(counts))
+    answers = [_pack(sums[place[s:e]]) for s, e in zip(edges[:-1], edges[1:], strict=True)]
     table = table.set_column(_FIELDS.index("part"), "part", pa.array(["total"] * len(answers)))
     table = table.set_column(_FIELDS.index("a"), "a", pa.array([b""] * len(answers), pa.binary()))
     return table.set_column(_FIELDS.index("b"), "b", pa.array(answers, pa.binary()))
 
 
-def _sum(table: pa.Table, order: int, least: int) -> pa.Table:
-    """The scores of a shard's documents from its answers."""
+def _sum(table: pa.Table, order: int, least: int, width: int) -> pa.Table:
+    """The scores of a shard's texts, or parts of texts, from its answers."""
     rows = table.to_pylist()
-    totals = {0: None}
-    for level in range(order + 1):
-        parts = [_unpack(r["b"], np.uint64) for r in sorted((r for r in rows if r["part"] == "total" and r["level"] == level), key=lambda r: r["bucket"])]
-        totals[level] = np.concatenate(parts).astype(float) if parts else np.zeros(0)
-    place = {r["level"]: _unpack(r["a"], np.int32) for r in rows if r["part"] == "place"}
-    if order > 1:
-        place[1] = place[1][place[2]]
-    head = next(r for r in rows if r["part"] == "place" and r["level"] == 1)
-    lengths = np.array(head["lengths"], np.int64)
-    tokens, begins = totals[0]
-    at = np.concatenate([np.arange(n) for n in lengths]) if len(lengths) else np.zeros(0, np.int64)
-    score = np.log(totals[1][place[1]] / tokens) if len(at) else np.zeros(0)
-    for level in range(2, order + 1):
-        with np.errstate(divide="ignore"):
-            fits = place[level] >= 0
-            n = np.where(fits, totals[level][np.maximum(place[level], 0)], 0)
-            before = np.roll(place[level - 1], 1)
-            context = np.where(at > 0, totals[level - 1][np.maximum(before, 0)], begins) if level == 2 else totals[level - 1][np.maximum(before, 0)]
-            score = np.where(fits & (n >= least), np.log(n) - np.log(context), np.where(fits, np.log(ALPHA) + score, score))
-    sums = np.bincount(np.repeat(np.arange(len(lengths)), lengths), score, len(lengths)).astype(float)
-    return pa.table({"doc_id": pa.array(head["docs"], pa.int64()), "n_tokens": pa.array(lengths), "score": pa.array(sums)})
+    head = next(r for r in rows if r["part"] == "words")
+    answers = [_unpack(r["b"], np.uint64) for r in sorted((r for r in rows if r["part"] == "total"), key=lambda r: r["bucket"])]
+    totals = np.concatenate(answers).astype(float)
+    tokens, begins = totals[:2]
+    lengths, context = np.array(head["lengths"], np.int64), np.array(head["context"], np.int64)
+    levels, fits, own = gram_hashes(_unpack(head["a"], np.uint32), _unpack(head["b"], np.uint64), lengths, context, order)
+    every = _narrow(levels, fits, width)
+    by = np.argsort(every)
+    place = np.zeros(len(every), np.int64)
+    new = np.zeros(len(every), np.int64)
+    new[_first(every[by])] = 1
+    place[by] = np.cumsum(new) + 1  # TOTAL and BEGIN stand in front
+    found = np.log(totals[place])
+    ends = np.cumsum([0, *(int(f.sum()) for f in fits)])
+    starts = np.zeros(len(own), bool)  # words that begin a text
+    starts[(np.cumsum(lengths + np.maximum(context, 0)) - lengths - np.maximum(context, 0))[(context < 0) & (lengths > 0)]] = True
+    below, score = np.zeros(0), np.zeros(0)
+    for level in range(1, order + 1):
+        whole = fits[level - 1]
+        n = np.full(len(own), -np.inf)
+        n[whole] = found[ends[level - 1] : ends[level]]
+        if level == 1:
+            score = n - np.log(tokens) if len(n) else n
+        else:
+            before = np.roll(below, 1)
+            before = np.where(starts, np.log(begins), before) if level == 2 else before
+            with np.errstate(invalid="ignore"):
+                score = np.where(n >= np.log(least), n - before, np.where(whole, np.log(ALPHA) + score, score))
+        below = n
+    sums = np.bincount(np.repeat(np.arange(len(lengths)), lengths), score[own], len(lengths)).astype(float)
+    return pa.table({"row": pa.array(head["rows"], pa.int64()), "doc_id": pa.array(head["docs"], pa.int64()), "n_tokens": pa.array(lengths), "score": pa.array(sums)})
 
 
-def score_documents(documents: DataFrame, order: int = 2, least: int = 2) -> DataFrame:
+def score_documents(documents: DataFrame, order: int = 3, least: int = 2) -> DataFrame:
     """doc_id, n_tokens, score (sum of natural logarithms), mean (score for each word; null without one).
 
     Words are what white space separates in the lower-cased text. A text begins with one mark that is
-    context for its first word; n-grams don't reach further back. Null and empty texts have no word and score 0. A
-    text longer than a shard is a shard of its own. Repeated rows count and stay repeated.
+    context for its first word; n-grams don't reach further back. The counts hold the scored documents
+    themselves, so an n-gram seen less than `least` times backs off: one that occurs nowhere else has nothing to say of its document.
+    Null and empty texts have no word and score 0. Very long texts are split at white space and summed
+    up again. Repeated rows count and stay repeated. An empty table gives no rows.
     """
     own = common.pick(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    bits = min(16, max(4, (common.plan_bytes(documents) // PARTITION).bit_length()))
-    exploded = own.mapInArrow(lambda batches: _explode(batches, order, bits), _SCHEMA)
-    salted = exploded.withColumn("key", F.when(F.col("part") == "place", F.xxhash64("shard", "level")).otherwise(F.xxhash64("level", "bucket")))
-    answered = salted.groupBy("part", "key").applyInArrow(lambda t: _total(t.select(_FIELDS)), _SCHEMA)
-    scored = answered.groupBy("shard").applyInArrow(lambda t: _sum(t, order, least), "doc_id long, n_tokens long, score double")
-    return scored.select("doc_id", "n_tokens", "score", F.when(F.col("n_tokens") > 0, F.col("score") / F.col("n_tokens")).alias("mean"))
+    size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits, width = max(2, (size // BUCKET).bit_length()), min(64, size.bit_length() + 24)
+    exploded = own.mapInArrow(lambda batches: _explode(batches, order, width, bits), _SCHEMA)
+    keyed = exploded.withColumn("key", F.when(F.col("part") == "words", F.xxhash64(F.lit("words"), "shard")).otherwise(F.xxhash64("bucket")))
+    answered = keyed.groupBy("part", "key").applyInArrow(lambda t: _total(t.select(_FIELDS)), _SCHEMA)
+    scored = answered.groupBy("shard").applyInArrow(lambda t: _sum(t, order, least, width), "row long, doc_id long, n_tokens long, score double")
+    whole = scored.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("score").alias("score"))
+    return whole.select("doc_id", "n_tokens", "score", F.when(F.col("n_tokens") > 0, F.col("score") / F.col("n_tokens")).alias("mean"))
