@@ -291,7 +291,7 @@ def test_factor_one_is_exact_and_the_default_recalls(spark):
     r = rows(df)
     ids, x = np.array([a["vec_id"] for a in r]), np.array([a["embedding"] for a in r], float)
     want = brute_nearest(ids, x, 20)
-    for factor, least in ((1.0, 1.0), (vptree.FACTOR, 0.9)):
+    for factor, least in ((1.0, 1.0), (None, 0.9)):
         got = {}
         for a in sorted(rows(vptree.nearest(df, factor=factor, shard=200)), key=lambda a: a["rank"]):
             got.setdefault(a["query_id"], []).append(a["vec_id"])
@@ -301,10 +301,37 @@ def test_factor_one_is_exact_and_the_default_recalls(spark):
             assert got == want
 
 
+def test_trees_prune_at_their_recall(spark):
+    """On the table of sf0.1: what a fitted factor finds and how many inner products it takes; ties and lengths of integers at factor one."""
+    r = rows(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet"))
+    ids, x = np.array([a["vec_id"] for a in r]), np.array([a["embedding"] for a in r], float)
+    want = brute_nearest(ids, x, 20)
+    shard = vptree.Shard(ids, x, float(np.sqrt((x**2).sum(1).max())))
+    factor = vptree.fitted(x, shard.longest, 20)
+    asked = ids % 20 == 0
+    got = {}
+    for q, v, _ in zip(*shard.search(ids[asked], x[asked], 20, factor), strict=True):
+        got.setdefault(int(q), []).append(int(v))
+    recall = sum(len(set(got[q]) & set(w)) for q, w in want.items()) / sum(map(len, want.values()))
+    share = (shard.compared + shard.taken) / (len(ids) * asked.sum())
+    assert recall >= 0.9 and share <= 0.5, (recall, share)
+    z = np.random.default_rng(2).integers(-3, 4, (900, 5)).astype(float)
+    z = z[(z != 0).any(1)]
+    ids = np.arange(len(z)) * 4
+    shard = vptree.Shard(ids, z, float(np.sqrt((z**2).sum(1).max())))
+    found = {}
+    for q, v, s in zip(*shard.search(ids[::5], z[::5], 7, 1.0), strict=True):
+        found.setdefault(int(q), []).append(int(v))
+    assert found == brute_nearest(ids, z, 7) and shard.compared < len(z) * len(ids[::5])
+
+
 def test_nearest_odd(spark):
     schema = "vec_id long, embedding array<float>"
+    more = spark.createDataFrame([(i, [float(i % 7), 1.0], "x", "y", 0) for i in range(50)], "vec_id long, embedding array<float>, VEC_ID string, score string, shard int")
+    assert vptree.nearest(more, k=3).count() == 9
     bad = [(100, None), (120, []), (140, [0.0, 0.0]), (160, [1.0, None]), (180, [float("nan"), 1.0]), (200, [float("inf"), 0.0]), (None, [1.0, 1.0]), (220, [1.0, 2.0, 3.0])]
     same = [(i, [1.0, 0.5]) for i in range(60)] + [(20, [1.0, 0.5])]
+    assert {r["reason"]: r["n"] for r in rows(vptree.left_out(spark.createDataFrame(bad + same, schema)))} == {"no vec_id": 1, "vector": 6, "dimension": 1}
     got = rows(vptree.nearest(spark.createDataFrame(bad + same, schema), k=5, shard=16))
     assert {r["query_id"] for r in got} == {0, 20, 40}
     assert [r["vec_id"] for r in sorted((r for r in got if r["query_id"] == 20), key=lambda r: r["rank"])] == [0, 1, 2, 3, 4]
