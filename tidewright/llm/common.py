@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -27,23 +28,48 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return plain.select(*[F.col(f"c{i}").alias(n) for i, n in zip(at, names, strict=True)])
 
 
-def fresh(df: DataFrame, stem: str) -> str:
-    """A column name that the table doesn't have in any case."""
-    taken = {c.lower() for c in df.columns}
-    name = stem
-    while name.lower() in taken:
-        name += "_"
-    return name
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The table with its columns named by their places, and what each name is called there (of repeated names the first).
+
+    However its names clash, the columns can be addressed; toDF(*df.columns) gives the names back.
+    """
+    places = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*places), dict(reversed(list(zip(df.columns, places, strict=True))))
+
+
+#: Rows of keys that are broadcast to filter a larger table; beyond, the join shuffles.
+FEW = 200_000
+
+
+def members(df: DataFrame, keys: DataFrame, on: list[str], how: str) -> DataFrame:
+    """df's rows with (how: left_semi) or without (left_anti) a row in keys, which is broadcast if it has been counted to be small."""
+    few = keys.limit(FEW + 1).count() <= FEW
+    return df.join(F.broadcast(keys) if few else keys, on, how)
+
+
+def blocks(text: str, size: int = 1 << 20, reach: int | None = None) -> Iterator[str]:
+    """The text in parts of about size characters, cut at the next white space, or after reach more characters without any."""
+    at = 0
+    while at < len(text):
+        end = at + size
+        last = len(text) if reach is None else min(len(text), end + reach)
+        while end < last and not text[end].isspace():
+            end += 1
+        yield text[at:end]
+        at = end
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share: the one that the cluster names in spark.checkpoint.dir.
 
-    Where that is unset, as in tests on one machine, it is set to a temporary folder.
+    Where that is unset, as in tests on one machine, it is set to a temporary folder; a cluster has to name one.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if named is None and not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
     return sc.getCheckpointDir()
 
 
@@ -80,6 +106,7 @@ def bounded_sample(rows: DataFrame, key: str, limit: int, salt: str) -> DataFram
     return rows.orderBy(F.xxhash64(F.lit(salt), F.col(key)), F.col(key)).limit(limit)
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of the input files, known without a job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a folder through Spark's file system, wherever it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

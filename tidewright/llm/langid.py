@@ -33,20 +33,36 @@ def _letters() -> np.ndarray:
 
 
 def counts(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """The text's n-grams, ascending, and how often each occurs; none without a letter."""
-    parts = []
-    for at in range(0, len(text), BLOCK):
-        code = np.frombuffer(text[at : at + BLOCK].lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        parts.append(np.where(_letters()[code], code, 32))
-    if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    x = np.concatenate([[32], *parts, [32]])
-    x = x[np.concatenate([[True], (x[1:] != 32) | (x[:-1] != 32)])]  # one border between words
-    if len(x) < 2:
+    """The text's n-grams, ascending, and how often each occurs; none without a letter.
+
+    Counted by blocks, each with the two letters before it, so that memory grows with the distinct n-grams only.
+    """
+    grams, n, before, left = [], [], np.array([32]), len(text)
+    for part in common.blocks(text, BLOCK, 4096):
+        left -= len(part)
+        code = np.frombuffer(part.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        x = np.concatenate([before, np.where(_letters()[code], code, 32), [] if left else [32]]).astype(np.int64)
+        x = x[np.concatenate([[True], (x[1:] != 32) | (x[:-1] != 32)])]  # one border between words
+        new = len(before)
+        if len(x) == new:
+            continue
+        two = x[:-1] << 21 | x[1:]
+        three = two[:-1] << 21 | x[2:]
+        own = [x[new:][x[new:] != 32], two[new - 1 :], three[max(0, new - 2) :][x[1:-1][max(0, new - 2) :] != 32]]
+        found = np.unique(np.concatenate(own), return_counts=True)
+        grams.append(found[0])
+        n.append(found[1])
+        before = x[-2:]
+        if len(grams) > 8:
+            grams, n = ([a] for a in _merged(grams, n))
+    if not grams:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    two = x[:-1] << 21 | x[1:]
-    three = two[:-1] << 21 | x[2:]
-    return np.unique(np.concatenate([x[x != 32], two, three[x[1:-1] != 32]]), return_counts=True)
+    return (grams[0], n[0]) if len(grams) == 1 else _merged(grams, n)
+
+
+def _merged(grams: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    every, at = np.unique(np.concatenate(grams), return_inverse=True)
+    return every, np.bincount(at, np.concatenate(n), len(every)).astype(np.int64)
 
 
 def ranked(grams: np.ndarray, n: np.ndarray, top: int) -> np.ndarray:

@@ -42,17 +42,6 @@ _KINDS = {"string": pa.string(), "long": pa.int64(), "array<long>": pa.list_(pa.
 _TYPES = pa.schema([(f.split()[0], _KINDS[f.split()[1]]) for f in _SCHEMA.split(", ")])
 
 
-def blocks(text: str) -> Iterator[str]:
-    """The text in parts of about BLOCK characters, cut at white space."""
-    at = 0
-    while at < len(text):
-        end = at + BLOCK
-        while end < len(text) and not text[end].isspace():
-            end += 1
-        yield text[at:end]
-        at = end
-
-
 def _pack(x: np.ndarray) -> bytes:
     """Byte planes, compressed."""
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes())
@@ -107,14 +96,17 @@ class Shard:
         lengths, context = np.array(self.lengths, np.int64), np.array(self.context, np.int64)
         levels, fits, own = gram_hashes(words, hashes, lengths, context, self.order)
         asked = _narrow(levels, fits, width)
+        counted = None if own.all() else _narrow(levels, [f & own for f in fits], width)
+        del levels, fits
         asked.sort()
         first = _first(asked)
         keys = np.concatenate([np.array([TOTAL, BEGIN], np.uint64), asked[first]])
-        if own.all():
+        if counted is None:
             n = np.diff(np.append(first, len(asked)))
         else:
-            counted = np.sort(_narrow(levels, [f & own for f in fits], width))
+            counted.sort()
             n = np.searchsorted(counted, keys[2:], "right") - np.searchsorted(counted, keys[2:], "left")
+        del asked, counted, first
         n = np.concatenate([[own.sum(), (context < 0).sum()], n]).astype(np.uint64)
         bucket = keys >> np.uint64(width - bits)
         starts = _first(bucket)
@@ -169,7 +161,7 @@ def _explode(batches: Iterator[pa.RecordBatch], order: int, width: int, bits: in
     for batch in batches:
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             last = None  # the words before, once there are some
-            for part in blocks(text.as_py() or ""):
+            for part in common.blocks(text.as_py() or "", BLOCK):
                 words = part.lower().split()
                 if not words:
                     continue
@@ -207,31 +199,34 @@ def _sum(table: pa.Table, order: int, least: int, width: int) -> pa.Table:
     """The scores of a shard's texts, or parts of texts, from its answers."""
     rows = table.to_pylist()
     head = next(r for r in rows if r["part"] == "words")
-    answers = [_unpack(r["b"], np.uint64) for r in sorted((r for r in rows if r["part"] == "total"), key=lambda r: r["bucket"])]
-    totals = np.concatenate(answers).astype(float)
-    tokens, begins = totals[:2]
+    logs = np.concatenate([np.log(np.maximum(np.uint64(1), _unpack(r["b"], np.uint64))) for r in sorted((r for r in rows if r["part"] == "total"), key=lambda r: r["bucket"])])
+    tokens, begins = logs[:2]
     lengths, context = np.array(head["lengths"], np.int64), np.array(head["context"], np.int64)
     levels, fits, own = gram_hashes(_unpack(head["a"], np.uint32), _unpack(head["b"], np.uint64), lengths, context, order)
     every = _narrow(levels, fits, width)
+    del levels
     by = np.argsort(every)
-    place = np.zeros(len(every), np.int64)
-    new = np.zeros(len(every), np.int64)
+    new = np.zeros(len(every), np.int8)
     new[_first(every[by])] = 1
-    place[by] = np.cumsum(new) + 1  # TOTAL and BEGIN stand in front
-    found = np.log(totals[place])
+    del every
+    place = np.empty(len(by), np.int32)
+    place[by] = np.cumsum(new, dtype=np.int32) + 1  # TOTAL and BEGIN stand in front
+    del by, new
     ends = np.cumsum([0, *(int(f.sum()) for f in fits)])
     starts = np.zeros(len(own), bool)  # words that begin a text
-    starts[(np.cumsum(lengths + np.maximum(context, 0)) - lengths - np.maximum(context, 0))[(context < 0) & (lengths > 0)]] = True
+    sizes = lengths + np.maximum(context, 0)
+    starts[(np.cumsum(sizes) - sizes)[(context < 0) & (lengths > 0)]] = True
     below, score = np.zeros(0), np.zeros(0)
     for level in range(1, order + 1):
         whole = fits[level - 1]
         n = np.full(len(own), -np.inf)
-        n[whole] = found[ends[level - 1] : ends[level]]
+        n[whole] = logs[place[ends[level - 1] : ends[level]]]
         if level == 1:
-            score = n - np.log(tokens) if len(n) else n
+            score = n - tokens
         else:
             before = np.roll(below, 1)
-            before = np.where(starts, np.log(begins), before) if level == 2 else before
+            if level == 2:
+                before[starts] = begins
             with np.errstate(invalid="ignore"):
                 score = np.where(n >= np.log(least), n - before, np.where(whole, np.log(ALPHA) + score, score))
         below = n
@@ -253,7 +248,8 @@ def score_documents(documents: DataFrame, order: int = 3, least: int = 2) -> Dat
     bits, width = max(2, (size // BUCKET).bit_length()), min(64, size.bit_length() + 24)
     exploded = own.mapInArrow(lambda batches: _explode(batches, order, width, bits), _SCHEMA)
     keyed = exploded.withColumn("key", F.when(F.col("part") == "words", F.xxhash64(F.lit("words"), "shard")).otherwise(F.xxhash64("bucket")))
-    answered = keyed.groupBy("part", "key").applyInArrow(lambda t: _total(t.select(_FIELDS)), _SCHEMA)
-    scored = answered.groupBy("shard").applyInArrow(lambda t: _sum(t, order, least, width), "row long, doc_id long, n_tokens long, score double")
+    parts = min(2**bits, 1 << 16)  # tasks alone: a task takes its buckets, or shards, one after another
+    answered = keyed.repartition(parts, "key").groupBy("part", "key").applyInArrow(lambda t: _total(t.select(_FIELDS)), _SCHEMA)
+    scored = answered.repartition(parts, "shard").groupBy("shard").applyInArrow(lambda t: _sum(t, order, least, width), "row long, doc_id long, n_tokens long, score double")
     whole = scored.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("score").alias("score"))
     return whole.select("doc_id", "n_tokens", "score", F.when(F.col("n_tokens") > 0, F.col("score") / F.col("n_tokens")).alias("mean"))

@@ -106,9 +106,9 @@ def plan(slim: DataFrame, targets: Targets, budget_percent: int, max_epochs: int
 
     slim has the tree's columns, doc_id and n_tokens.
     """
-    leaves = slim.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("leaf_tokens"))
-    total = F.expr(f"sum(leaf_tokens) over (partition by 0) * {int(budget_percent)} div 100")
-    dealt = budgets(leaves, targets, total, max_epochs)
+    leaves = common.durable(slim.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("leaf_tokens")))
+    total = (leaves.agg(F.sum("leaf_tokens")).first()[0] or 0) * int(budget_percent) // 100
+    dealt = budgets(leaves, targets, F.lit(total).cast("long"), max_epochs)
     dealt = dealt.withColumn("epochs", F.when(F.col("leaf_tokens") > 0, F.expr("share div leaf_tokens")).otherwise(0).cast("int"))
     part = common.durable(dealt.withColumn("need", F.col("share") - F.col("epochs") * F.col("leaf_tokens")))
     rows = _with(slim, part.filter("need > 0").select(*LEVELS, "epochs", "need")).filter("n_tokens > 0")
@@ -154,19 +154,17 @@ def take(documents: DataFrame, targets: Targets, budget_percent: int, max_epochs
     own = common.pick(documents, "doc_id", "text", "lang", "source")
     slim = common.durable(_names(own, domain).select("doc_id", *LEVELS, tokens(F.col("text")).alias("n_tokens")))
     leaves = plan(slim, targets, budget_percent, max_epochs, seed)
-    names = {c: common.fresh(documents, f"mix_{c}") for c in (*LEVELS, "epochs", "cut")}
-    expr = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("lang", "source")}
-    expr["domain"] = F.coalesce((default_domain(F.col("source")) if domain is None else domain).cast("string"), F.lit(""))
+    plain, at = common.numbered(documents)
+    names = {c: f"mix_{c}" for c in (*LEVELS, "epochs", "cut")}
+    named = _names(plain.withColumns({c: F.col(at[c]) for c in ("doc_id", "text", "lang", "source")}), domain)
     side = leaves.select(*[F.col(c).alias(n) for c, n in names.items()])
-    small = leaves.count() <= BROADCAST_LEAVES
-    on = None
+    on = F.lit(True)
     for c in LEVELS:
-        on = (expr[c] == F.col(names[c])) if on is None else on & (expr[c] == F.col(names[c]))
-    joined = documents.join(F.broadcast(side) if small else side, on)
-    k = order_key(seed, F.col(names["epochs"]), F.col("doc_id"))
-    extra = F.when((F.length(F.coalesce("text", F.lit(""))) > 0) & (tokens(F.col("text")) > 0) & (k <= F.col(names["cut"])), 1).otherwise(0)
-    n = common.fresh(documents, "mix_copies")
-    out = joined.withColumn(n, (F.col(names["epochs"]) + extra).cast("int")).filter(F.col(n) > 0)
+        on = on & (named[c] == F.col(names[c]))
+    joined = named.join(F.broadcast(side) if leaves.count() <= BROADCAST_LEAVES else side, on)
+    k = order_key(seed, F.col("mix_epochs"), F.col("doc_id"))
+    extra = F.when((tokens(F.col("text")) > 0) & (k <= F.col("mix_cut")), 1).otherwise(0)
+    out = joined.withColumn("mix_copies", (F.col("mix_epochs") + extra).cast("int")).filter("mix_copies > 0")
     if max_epochs > 1:
-        out = out.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n))))
-    return out.select(*documents.columns)
+        out = out.withColumn("mix_copies", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
+    return out.select(*plain.columns).toDF(*documents.columns)

@@ -132,19 +132,17 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: flo
     return Forest(base, np.array(features), np.array(thresholds), np.array(values))
 
 
-def labelled(documents: DataFrame, labels: DataFrame, label: str, limit: int, modulus: int, held: int, longest: int | None = None) -> DataFrame:
-    """text, y: a bounded sample of labelled documents outside the held-out fold.
+def labelled(documents: DataFrame, labels: DataFrame, label: str, limit: int, modulus: int, held: int) -> DataFrame:
+    """doc_id, text, y: a bounded sample of labelled documents outside the held-out fold.
 
-    A doc_id with several labels counts once, with the larger. The ids alone are sampled, so at most
-    limit of them are joined to the texts.
+    A doc_id with several labels counts once, with the larger; of several texts with its least. The ids alone are
+    sampled, so at most limit of them are joined to the texts.
     """
     ids = common.pick(labels, "doc_id", label).filter(f"{label} in (0, 1) and doc_id is not null").filter(common.remainder(F.col("doc_id"), modulus) != held)
     ids = ids.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label).alias("y"))
     ids = common.bounded_sample(ids, "doc_id", limit, label)
     own = common.pick(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    if longest is not None:
-        own = own.filter(F.length("text") <= longest)
-    return own.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "y")
+    return own.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
 
 
 def train(documents: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1, sample: int = SAMPLE) -> Forest:
@@ -185,7 +183,7 @@ def score_documents(documents: DataFrame, labels: DataFrame, modulus: int = 3, h
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1, sample: int = SAMPLE) -> DataFrame:
-    """The documents with a score of 0.5 or more, all their columns."""
+    """The documents with a score of 0.5 or more, all their columns, also those whose names differ in case only."""
     forest = train(documents, labels, modulus, held, sample)
-    name = common.fresh(documents, "quality_score")
-    return documents.withColumn(name, scored(F.col("text"), forest)).filter(F.col(name) >= 0.5).drop(name)
+    plain, at = common.numbered(documents)
+    return plain.withColumn("score", scored(F.col(at["text"]), forest)).filter("score >= 0.5").drop("score").toDF(*documents.columns)

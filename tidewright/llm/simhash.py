@@ -14,8 +14,10 @@ equi-join on (block, anchor) with a filter: it spills, and adaptive execution sp
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -23,32 +25,45 @@ from pyspark.sql import functions as F
 
 from tidewright.llm import common
 
+BLOCK, SPACE = 1 << 20, re.compile(rb"[\t-\r ]")  # bytes split into words at once, about
 BITS = 31  # of a block: 2**5 - 1, the length of the Hamming code with five check bits
 LAST = 2**63 - 1
 
 
-def fingerprint(text: str, size: int = 3, seed: int = 42) -> int:
-    """The majority bits of the hashes of all word shingles, repeats included; no word: zero.
+def hashes(text: str, size: int, seed: int) -> Iterator[np.ndarray]:
+    """The hashes of all word shingles, repeats included, in parts; a text of fewer words is one shingle, one of none has none.
 
-    Words are what ASCII white space separates, after A-Z are lower-cased.
+    Words are what ASCII white space separates, after A-Z are lower-cased. A long text is split by blocks,
+    each with the words before it that its first shingles need.
     """
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    h64 = xxhash.xxh64_intdigest
-    if len(words) <= size:
-        hashes = np.array([h64(joined, seed)], np.uint64)
-    else:
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(lengths + 1) - 1
-        starts = (ends - lengths)[: len(words) - size + 1].tolist()
-        hashes = np.array([h64(joined[a:b], seed) for a, b in zip(starts, ends[size - 1 :].tolist(), strict=True)], np.uint64)
-    octets = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(octets), 1 << 16):  # bounded, however long the text
-        ones += np.unpackbits(octets[at : at + (1 << 16)], axis=1).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+    raw = text.encode("utf-8", "surrogatepass").lower()
+    h64, before, short, at = xxhash.xxh64_intdigest, [], True, 0
+    while at < len(raw):
+        end = SPACE.search(raw, at + BLOCK) if len(raw) - at > BLOCK else None
+        end = end.start() if end else len(raw)
+        words = before + raw[at:end].split()
+        at = end
+        if len(words) >= size:
+            joined = b" ".join(words)
+            lengths = np.fromiter(map(len, words), np.int64, len(words))
+            ends = np.cumsum(lengths + 1) - 1
+            starts = (ends - lengths)[: len(words) - size + 1].tolist()
+            yield np.array([h64(joined[a:b], seed) for a, b in zip(starts, ends[size - 1 :].tolist(), strict=True)], np.uint64)
+            short = False
+        before = words[len(words) - size + 1 :] if size > 1 and len(words) >= size else [] if size == 1 else words
+    if short and before:
+        yield np.array([h64(b" ".join(before), seed)], np.uint64)
+
+
+def fingerprint(text: str, size: int = 3, seed: int = 42) -> int:
+    """The majority bits of the hashes of all word shingles, repeats included; no word: zero."""
+    ones, n = np.zeros(64, np.int64), 0
+    for own in hashes(text, size, seed):
+        octets = own.astype(">u8").view(np.uint8).reshape(-1, 8)
+        n += len(own)
+        for at in range(0, len(octets), 1 << 16):
+            ones += np.unpackbits(octets[at : at + (1 << 16)], axis=1).sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
 def fingerprints(documents: DataFrame, size: int = 3, seed: int = 42) -> DataFrame:
@@ -156,19 +171,18 @@ def near_duplicates(documents: DataFrame, size: int = 3, seed: int = 42, thresho
 BANDS, DEPTH = 40, 5  # a pair with similarity 0.8 shares no band with probability (1 - 0.8**5)**40, about 1.2e-7
 
 
-def _shingles(words: list[bytes], size: int, seed: int) -> np.ndarray:
-    """The distinct hashes of the word shingles; fewer words than size are one shingle, no word is the empty one."""
-    grams = {b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
-    return np.unique(np.array([xxhash.xxh64_intdigest(g, seed) for g in grams], np.uint64))
+def _shingles(text: str, size: int, seed: int) -> np.ndarray:
+    """The distinct hashes of the word shingles; no word is the empty shingle."""
+    out = np.zeros(0, np.uint64)
+    for own in hashes(text, size, seed):
+        out = np.unique(np.concatenate([out, own]))
+    return out if len(out) else np.array([xxhash.xxh64_intdigest(b"", seed)], np.uint64)
 
 
-def _class_of(words: list[bytes]) -> int:
+def _class_of(text: str) -> int:
     """What texts of the same words share."""
-    return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(words), 7)).astype(np.int64))
-
-
-def _words(text: str) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").lower().split()
+    words = b" ".join(text.encode("utf-8", "surrogatepass").lower().split())
+    return int(np.uint64(xxhash.xxh64_intdigest(words, 7)).astype(np.int64))
 
 
 def _bands(shingles: np.ndarray, seed: int) -> list[int]:
@@ -182,42 +196,40 @@ def _bands(shingles: np.ndarray, seed: int) -> list[int]:
     return np.array(out, np.uint64).view(np.int64).tolist()
 
 
+def _keyed(documents: DataFrame) -> DataFrame:
+    """(id, h, text) of every row: its doc_id (LAST: none) and a hash of its text, which name it in the smaller tables."""
+    text = F.coalesce("text", F.lit(""))
+    return common.pick(documents, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
+
+
 def _classes(documents: DataFrame, size: int, seed: int) -> DataFrame:
-    """(doc_id, cls, n, bands) of every row: what its words are known by, the number of its shingles, its bands."""
+    """(id, h, cls, n, bands) of every row: what its words are known by, the number of its shingles, its bands."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         known: dict[int, tuple[int, list[int]]] = {}
         cls = []
-        for words in map(_words, common.texts_of(batch.column(1))):
-            cls.append(_class_of(words))
+        for text in common.texts_of(batch.column(2)):
+            cls.append(_class_of(text))
             if cls[-1] not in known:
-                s = _shingles(words, size, seed)
+                s = _shingles(text, size, seed)
                 known[cls[-1]] = len(s), _bands(s, seed)
         found = [known[c] for c in cls]
-        return pa.record_batch([batch.column(0), pa.array(cls, pa.int64()), pa.array([n for n, _ in found], pa.int64()), pa.array([b for _, b in found], pa.list_(pa.int64()))], ["doc_id", "cls", "n", "bands"])
-
-    source = common.pick(documents, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text")
-    return common.map_arrow(source, each, "doc_id long, cls long, n long, bands array<long>")
-
-
-def _class_column(text: Column) -> Column:
-    @F.pandas_udf("long")
-    def cls(texts: pd.Series) -> pd.Series:
-        return pd.Series([_class_of(_words(t or "")) for t in texts], dtype="int64")
+        own = [batch.column(0), batch.column(1), pa.array(cls, pa.int64()), pa.array([n for n, _ in found], pa.int64()), pa.array([b for _, b in found], pa.list_(pa.int64()))]
+        return pa.record_batch(own, ["id", "h", "cls", "n", "bands"])
 
-    return cls(text)
+    return common.map_arrow(_keyed(documents), each, "id long, h long, cls long, n long, bands array<long>")
 
 
 def _shingle_sets(documents: DataFrame, firsts: DataFrame, size: int, seed: int) -> DataFrame:
-    """(cls, shingles) of the classes in firsts, each from a row with its least doc_id."""
+    """(cls, shingles) of the classes in firsts (id, h, cls), each from its first row."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [_shingles(_words(t), size, seed).view(np.int64) for t in common.texts_of(batch.column(1))]
-        return pa.record_batch([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["cls", "shingles"])
+        texts = common.texts_of(batch.column(0))
+        sets = [_shingles(t, size, seed).view(np.int64) for t in texts]
+        return pa.record_batch([pa.array([_class_of(t) for t in texts], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["cls", "shingles"])
 
-    text = common.pick(documents, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text")
-    own = text.withColumn("cls", _class_column(F.col("text"))).join(firsts.select("doc_id", "cls"), ["doc_id", "cls"])
-    return common.map_arrow(own.select("cls", "text").dropDuplicates(["cls"]), each, "cls long, shingles array<long>")
+    own = common.members(_keyed(documents), firsts.select("id", "h"), ["id", "h"], "left_semi")
+    return common.map_arrow(own.select("text"), each, "cls long, shingles array<long>").groupBy("cls").agg(F.first("shingles").alias("shingles"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
@@ -227,20 +239,21 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     return both.filter(shared * 1000 >= least * (F.size("x") + F.size("y") - shared)).select("u", "v")
 
 
-def similar_classes(documents: DataFrame, size: int = 5, seed: int = 42, least: int = 800) -> DataFrame:
-    """(cls, doc_id, root): for every distinct text its least doc_id (LAST: none) and the root of its near-duplicate group.
+def similar_classes(rows: DataFrame, documents: DataFrame, size: int = 5, seed: int = 42, least: int = 800) -> DataFrame:
+    """(cls, first, root): for every distinct text of rows, the _classes() of documents, its first row and the root of its near-duplicate group.
 
     Texts are linked where their sets of word shingles have a Jaccard similarity of least permille or
     more. Candidates share a band of MinHash; each is compared by its whole sets. First a bucket's
     members are compared with its least one; then all pairs that no link joins yet, so that a large
     group of copies doesn't cost the square of its size, and no candidate is left out.
     """
-    one = common.durable(_classes(documents, size, seed)).groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
-    classes = common.durable(one)
+    first = F.min(F.struct("id", "h")).alias("first")
+    classes = common.durable(rows.groupBy("cls").agg(first, F.any_value("n").alias("n"), F.any_value("bands").alias("bands")))
     members = classes.select("cls", "n", F.explode("bands").alias("key"))
     groups = members.groupBy("key").agg(F.min("cls").alias("pivot"), F.count("*").alias("size")).filter("size > 1").drop("size")
     crowded = common.durable(members.join(groups, "key"))
-    sets = common.durable(_shingle_sets(documents, classes.join(crowded.select("cls").distinct(), "cls", "left_semi"), size, seed))
+    firsts = classes.join(crowded.select("cls").distinct(), "cls", "left_semi").select("first.id", "first.h")
+    sets = common.durable(_shingle_sets(documents, firsts, size, seed))
     sizes = classes.select(F.col("cls").alias("pivot"), F.col("n").alias("pivot_n"))
     fit = lambda a, b: F.least(a, b) * 1000 >= F.greatest(a, b) * least  # noqa: E731  else their similarity is less
     star = crowded.filter("cls != pivot").select("cls", "n", "pivot").distinct().join(sizes, "pivot").filter(fit(F.col("n"), F.col("pivot_n")))
@@ -253,19 +266,25 @@ def similar_classes(documents: DataFrame, size: int = 5, seed: int = 42, least:
     near = (F.col("a.key") == F.col("b.key")) & (F.col("a.cls") > F.col("b.cls")) & (F.col("a.part") != F.col("b.part")) & (F.col("b.cls") != F.col("b.pivot")) & fit(F.col("a.n"), F.col("b.n"))
     others = a.join(b, near).select(F.col("a.cls").alias("u"), F.col("b.cls").alias("v")).distinct()
     roots = components(edges.unionByName(_confirmed(others, sets, least)))
-    return classes.join(roots, classes["cls"] == roots["u"], "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
+    return classes.join(roots, classes["cls"] == roots["u"], "left").select("cls", "first", F.coalesce("root", "cls").alias("root"))
 
 
 def keep_one(documents: DataFrame, size: int = 5, seed: int = 42, least: int = 800) -> DataFrame:
     """The documents, one of each near-duplicate group of similar_classes(): that with the least doc_id.
 
     All columns stay. Of rows that repeat the kept doc_id and text one stays. A null doc_id counts as
-    larger than any other.
+    larger than any other; null and empty texts are one group. The decisions are made on ids and hashes; texts aren't shuffled
+    while the rows that go, or that repeat, are few (common.FEW).
     """
-    found = similar_classes(documents, size, seed, least)
-    cls, key, kept_cls = common.fresh(documents, "own_class"), common.fresh(documents, "kept_id"), common.fresh(documents, "kept_class")
-    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "cls")).alias("k"))
-    kept = first.select(F.col("k.doc_id").alias(key), F.col("k.cls").alias(kept_cls))
-    own = documents.withColumn(cls, _class_column(F.col("text")))
-    joined = own.join(kept, (F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)) == F.col(key)) & (F.col(cls) == F.col(kept_cls)))
-    return joined.dropDuplicates([kept_cls]).drop(cls, key, kept_cls)
+    rows = common.durable(_classes(documents, size, seed))
+    kept = similar_classes(rows, documents, size, seed, least).groupBy("root").agg(F.min(F.struct("first.id", "cls", "first.h")).alias("k")).select("k.id", "k.h")
+    kept = common.durable(kept)
+    named = rows.groupBy("id", "h").agg(F.count("*").alias("times"))
+    gone = common.durable(named.join(kept, ["id", "h"], "left_anti").select("id", "h"))
+    again = common.durable(named.filter("times > 1").join(kept, ["id", "h"], "left_semi").select("id", "h"))
+    plain, at = common.numbered(documents)
+    own = plain.withColumn("id", F.coalesce(F.col(at["doc_id"]).cast("long"), F.lit(LAST))).withColumn("h", F.xxhash64(F.coalesce(at["text"], F.lit(""))))
+    left = common.members(own, gone, ["id", "h"], "left_anti")
+    if not again.isEmpty():
+        left = common.members(left, again, ["id", "h"], "left_anti").unionByName(common.members(left, again, ["id", "h"], "left_semi").dropDuplicates(["id", "h"]))
+    return left.select(*plain.columns).toDF(*documents.columns)

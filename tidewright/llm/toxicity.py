@@ -10,18 +10,20 @@ document doesn't add up to a toxic one. Sentences of probability 0.5 or more are
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm import common
 from tidewright.llm.quality import labelled
 
-#: Labelled documents to fit on, at most, and the characters of one of them, at most.
-SAMPLE, LONGEST = 4000, 20_000
+#: Labelled documents to fit on, at most, and sentences of one of them, at most: those with the least hashes of its whole text.
+SAMPLE, SENTENCES_EACH = 4000, 2000
 WORDS = re.compile(r"[^\W_]+")
 SENTENCES = re.compile(r"[^.!?\n]+[.!?\n]*|[.!?\n]+")
 
@@ -39,9 +41,20 @@ class Evidence:
     weights: dict[str, float]
     bias: float
 
+    def __post_init__(self):
+        self.beginnings = {w[:-1] for w in self.weights if w.endswith("-")}
+
+    def concerns(self, text: str) -> bool:
+        """Whether some word of the text has a weight, or a beginning with one."""
+        for part in common.blocks(text, reach=4096):
+            words = set(WORDS.findall(part.lower()))
+            if not self.weights.keys().isdisjoint(words) or any(w[:4] in self.beginnings or w[:5] in self.beginnings for w in words if len(w) > 4):
+                return True
+        return False
+
     def sentences(self, text: str) -> list[tuple[int, int, float]]:
         """(start, end, probability) of the sentences that hold a word with a weight."""
-        if self.weights.keys().isdisjoint(features(text)):
+        if not self.concerns(text):
             return []
         found = []
         for m in SENTENCES.finditer(text):
@@ -59,17 +72,25 @@ class Evidence:
         return 1 - none
 
 
-def fit(texts: list[str], y: np.ndarray, rounds: int = 120, rate: float = 0.1, l1: float = 4e-4, bias: float = -6.0, rarest: int = 5, smallest: float = 2.0) -> Evidence:
-    """Words in fewer than `rarest` documents, and weights under `smallest`, are left out."""
+def bag(text: str, most: int = SENTENCES_EACH) -> list[str]:
+    """The features of each sentence that has some, as one text with spaces between; at most so many sentences, by hash."""
+    out = [" ".join(sorted(own)) for m in SENTENCES.finditer(text) if (own := features(m[0]))]
+    if len(out) > most:
+        chosen = sorted(range(len(out)), key=lambda i: (zlib.crc32(out[i].encode("utf-8", "surrogatepass")), i))[:most]
+        out = [out[i] for i in sorted(chosen)]
+    return out
+
+
+def fit(bags: list[list[str]], y: np.ndarray, rounds: int = 120, rate: float = 0.1, l1: float = 4e-4, bias: float = -6.0, rarest: int = 5, smallest: float = 2.0) -> Evidence:
+    """Weights from each document's bag() and its label. Words in fewer than `rarest` documents, and weights under `smallest`, are left out."""
     ids: dict[str, int] = {}
     word, sentence, document = [], [], []
-    for d, text in enumerate(texts):
-        for m in SENTENCES.finditer(text):
-            own = sorted(features(m[0]))
-            if own:
-                word += [ids.setdefault(w, len(ids)) for w in own]
-                sentence += [len(document)] * len(own)
-                document.append(d)
+    for d, own in enumerate(bags):
+        for features_ in own:
+            names = features_.split(" ")
+            word += [ids.setdefault(w, len(ids)) for w in names]
+            sentence += [len(document)] * len(names)
+            document.append(d)
     if not word or y.min() == y.max():
         return Evidence({}, bias)
     w, s, d = np.array(word), np.array(sentence), np.array(document)
@@ -78,7 +99,7 @@ def fit(texts: list[str], y: np.ndarray, rounds: int = 120, rate: float = 0.1, l
     new = np.cumsum(kept) - 1
     s, w = s[kept[w]], new[w[kept[w]]]
     names = np.array(list(ids), object)[kept]
-    v, n, docs = len(names), len(document), len(texts)
+    v, n, docs = len(names), len(document), len(bags)
     theta, m1, m2 = np.zeros(v), np.zeros(v), np.zeros(v)
     weight = np.where(y == 1, 1.0, 2.0) / docs  # a clean document taken for toxic counts twice
     for t in range(1, rounds + 1):
@@ -97,10 +118,15 @@ def fit(texts: list[str], y: np.ndarray, rounds: int = 120, rate: float = 0.1, l
     return Evidence(dict(zip(names[big].tolist(), theta[big].tolist(), strict=True)), bias)
 
 
-def train(documents: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0, sample: int = SAMPLE, longest: int = LONGEST) -> Evidence:
-    """Weights from at most `sample` labelled documents of at most `longest` characters; these are collected."""
-    rows = labelled(documents, labels, "toxic", sample, modulus, held, longest).toPandas().sort_values("doc_id")
-    return fit(rows["text"].tolist(), rows["y"].to_numpy(int)) if len(rows) else Evidence({}, -6.0)
+def train(documents: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0, sample: int = SAMPLE) -> Evidence:
+    """Weights from at most `sample` labelled documents; the features of their sentences are collected, SENTENCES_EACH of a document at most."""
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        bags = [bag(t) for t in common.texts_of(batch.column(1))]
+        return pa.record_batch([batch.column(0), batch.column(2).cast(pa.int32()), pa.array(bags, pa.list_(pa.string()))], ["doc_id", "y", "bag"])
+
+    rows = common.map_arrow(labelled(documents, labels, "toxic", sample, modulus, held), each, "doc_id long, y int, bag array<string>").toPandas().sort_values("doc_id")
+    return fit([list(x) for x in rows["bag"]], rows["y"].to_numpy(int)) if len(rows) else Evidence({}, -6.0)
 
 
 def scored(text: Column, evidence: Evidence) -> Column:
@@ -141,7 +167,7 @@ def score_documents(documents: DataFrame, labels: DataFrame, modulus: int = 5, h
 
 
 def keep_clean(documents: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0, sample: int = SAMPLE) -> DataFrame:
-    """The documents with a score under 0.5, all their columns."""
+    """The documents with a score under 0.5, all their columns, also those whose names differ in case only."""
     evidence = train(documents, labels, modulus, held, sample)
-    name = common.fresh(documents, "toxic_score")
-    return documents.withColumn(name, scored(F.col("text"), evidence)).filter(F.col(name) < 0.5).drop(name)
+    plain, at = common.numbered(documents)
+    return plain.withColumn("score", scored(F.col(at["text"]), evidence)).filter("score < 0.5").drop("score").toDF(*documents.columns)
