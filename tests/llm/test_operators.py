@@ -48,8 +48,8 @@ def clashing(odd):
     """Extra columns with the names of results and of other columns."""
     out = odd
     for name in ("score", "fp", "rep", "predicted", "domain", "copies", "k", "epochs", "component_id", "quality_score", "kept_id", "mix_cut", "TEXT", "media"):
-        out = out.withColumn(name, F.lit("x")) if name != "TEXT" else out
-    return out
+        out = out.select("*", F.lit("x").alias(name))
+    return out.select("*", F.lit(7).alias("Doc_Id"))
 
 
 def rows(df):
@@ -69,7 +69,8 @@ def test_media_round_trip(odd):
         r = got[doc_id]
         assert (r["n_bytes"], r["payload_bytes"]) == (len(raw), len(payload))
         assert r["payload_sha256"] == hashlib.sha256(payload).hexdigest() and r["tail_crc32"] == zlib.crc32(payload[-16:])
-        assert " crc0 skip0 " in r["feature"]
+        assert " crc0 skip0 " in r["feature"] and r["seek"][0] > 240 and r["tags"]["TXXX:n_bytes"] == str(len(raw))
+        assert r["frames"] == len(r["seek"]) and r["samples"] == 1152 * r["frames"] and r["duration_num"] * 48000 == r["samples"] * r["duration_den"]
 
 
 def test_media_resynchronises_and_counts_damage():
@@ -107,6 +108,77 @@ def test_vbri_and_other_layers():
     assert media.read(b"").offsets == [] and media.read(b"\xff" * 50).offsets == []
 
 
+def bits_of(*fields):
+    """Fields (value, bits) one after another, as bytes."""
+    text = "".join(f"{v:0{n}b}" for v, n in fields if n)
+    return int(text.ljust(-(-len(text) // 8) * 8, "0"), 2).to_bytes(-(-len(text) // 8), "big")
+
+
+def brute_crc(bits):
+    crc = 0xFFFF
+    for b in bits:
+        crc = (crc << 1) & 0xFFFF ^ (0x8005 if int(b) ^ crc >> 15 else 0)
+    return crc
+
+
+@pytest.mark.parametrize(("four", "covered"), [
+    (b"\xff\xfe\x40\x00", 256), (b"\xff\xfe\x40\x50", 4 * (8 * 2 + 24)), (b"\xff\xfe\x40\xc0", 128),
+    # Layer II at 192 kbit/s of 44.1 kHz stereo (27 subbands); mono 32 kbit/s of 48 kHz (8); 22.05 kHz (30)
+    (b"\xff\xfc\xa0\x00", 2 * (11 * 4 + 12 * 3 + 7 * 2)), (b"\xff\xfc\x14\xc0", 2 * 4 + 6 * 3), (b"\xff\xf4\x80\xc0", 4 * 4 + 7 * 3 + 19 * 2),
+])
+def test_checksums_of_layers_one_and_two(four, covered):
+    h = media.header(four)
+    body = bytearray(h.size)
+    body[:4] = four
+    if h.layer == 2:  # two subbands with an allocation: each channel of them also tells how its scale factors are shared
+        body[6] = 0x11 if h.mono else 0x10
+        covered += 2 * (2 if h.mono else 1)
+    assert media.protected_bits(bytes(body), 0, h) == covered
+    seen = "".join(f"{x:08b}" for x in (*body[2:4], *body[6:]))[: 16 + covered]
+    body[4:6] = brute_crc(seen).to_bytes(2, "big")
+    assert media.read(bytes(body) * 3).bad_checksums == 0 and len(media.read(bytes(body) * 3).offsets) == 3
+    body[6 + (covered - 1) // 8] ^= 1 << (7 - (covered - 1) % 8)
+    assert media.read(bytes(body) * 2).bad_checksums == 2
+
+
+def test_free_format_and_encoder_delay():
+    frame = b"\xff\xfb\x00\x00" + bytes(496)
+    padded = b"\xff\xfb\x02\x00" + bytes(497)
+    s = media.read(frame + padded + frame)
+    assert s.offsets == [0, 500, 1001] and s.skipped == 0
+    clean = media.write(bytes(192 * 6), 100)
+    own = bytearray(clean)
+    at = clean.index(b"Xing")
+    own[at + 7] |= 8  # a quality field, then the encoder's name, 12 bits of delay and 12 of padding
+    own[at + 120 : at + 129] = b"LAME3.100"
+    own[at + 141 : at + 144] = (576 << 12 | 1000).to_bytes(3, "big")
+    s = media.read(bytes(own))
+    assert s.table["encoder"] == "LAME3.100" and (s.table["delay"], s.table["padding"]) == (576, 1000)
+    assert s.duration()[0] * 48000 == (3 * 1152 - 1576) * s.duration()[1]
+
+
+@pytest.mark.parametrize("units", [1, 2, 7, 200, 3001])
+def test_seek_table_against_true_offsets(units):
+    """The table's byte for each hundredth of the duration, worked out anew from the frames' offsets."""
+    payload = bytes(192 * units)
+    clean = media.write(payload, len(payload))
+    s = media.read(clean)
+    start = clean.index(b"Xing") - 23
+    want = [min(255, (s.offsets[min(len(s.offsets) - 1, len(s.offsets) * i // 100)] - start) * 256 // s.table["bytes"]) for i in range(100)]
+    assert s.table["toc"] == want and s.seek_error() == 0
+    assert s.table["bytes"] == s.offsets[-1] + s.headers[-1].size - start
+    broken = bytearray(clean)
+    broken[clean.index(b"Xing") + 16 + 50] ^= 64
+    assert media.read(bytes(broken)).seek_error() == 64
+
+
+def test_media_odd(spark, empty, clashing):
+    assert media.digest(media.decode(media.encode(empty))).count() == 0
+    assert len(rows(media.digest(media.decode(media.encode(clashing))))) == len(ODD)
+    none = rows(media.digest(media.decode(spark.createDataFrame([(1, None, "x"), (2, b"junk", "y")], "doc_id long, media binary, MEDIA string"))))
+    assert [(r["payload_bytes"], r["frames"], r["seek"]) for r in none] == [(0, 0, []), (0, 0, [])]
+
+
 # ---- 2 language
 
 
@@ -131,6 +203,19 @@ def test_grams_match_brute_force():
     assert len(langid.counts("12 !?")[0]) == 0
 
 
+@pytest.mark.parametrize("size", [3, 7, 64])
+def test_blocks_of_long_texts_change_nothing(monkeypatch, size):
+    """N-grams and shingles of texts cut into blocks of a few characters."""
+    texts = ["the cat  and\nthe dog 12 !! and the   bird", "", "  ", "a", "a b", "one two three four", "été " * 30, "x" * 40, "no end" + " " * 50]
+    want = [(langid.counts(t), simhash.fingerprint(t), simhash._shingles(t, 5, 1).tolist()) for t in texts]
+    monkeypatch.setattr(langid, "BLOCK", size)
+    monkeypatch.setattr(simhash, "BLOCK", size)
+    for t, ((grams, n), fp, shingles) in zip(texts, want, strict=True):
+        own = langid.counts(t)
+        assert own[0].tolist() == grams.tolist() and own[1].tolist() == n.tolist()
+        assert simhash.fingerprint(t) == fp == brute_fingerprint(t) and simhash._shingles(t, 5, 1).tolist() == shingles
+
+
 def test_out_of_place_matches_brute_force():
     texts = {"xx": "the cat and the dog and the bird", "yy": "der hund und die katze und der vogel"}
     orders = {k: langid.ranked(*langid.counts(t), 20) for k, t in texts.items()}
@@ -193,6 +278,121 @@ def test_trees_match_a_walk():
     assert ((forest.score(x) >= 0.5) == y).mean() > 0.95
 
 
+def brute_statistics(text):
+    """The features of one text, byte by byte."""
+    raw = (text or "").encode()
+    if not raw:
+        return dict.fromkeys(quality.FEATURES, 0.0)
+    kinds = Counter()
+    for b in raw:
+        c = chr(b)
+        kinds[
+            "high" if b > 127 else "upper" if "A" <= c <= "Z" else "lower" if "a" <= c <= "z" else "digit" if c in "0123456789" else "newline" if c == "\n"
+            else "space" if c in " \t\r\x0b\x0c\x1c\x1d\x1e\x1f" else "stop" if c in ".,;:'\"-()" else "loud" if c in "!?" else "pipe" if c == "|" else "symbol"
+        ] += 1
+    words, lines = raw.split(), [x for x in raw.split(b"\n") if x.strip()]
+    out = {k: kinds[k] / len(raw) for k in ("upper", "lower", "digit", "space", "newline", "stop", "loud", "pipe", "symbol", "high")}
+    n = max(1, len(words))
+    return out | {
+        "log_bytes": math.log(1 + len(raw)), "word_bytes": sum(len(w) for w in words) / n, "log_words": math.log(1 + len(words)), "distinct_words": len(set(words)) / n,
+        "function_words": sum(w.decode(errors="replace") in quality.FUNCTION_WORDS for w in words) / n, "lines_repeated": 1 - len(set(lines)) / max(1, len(lines)),
+        "words_a_line": math.log(1 + len(words) / max(1, len(lines))), "longest_word": math.log(1 + max((len(w) for w in words), default=0)),
+    }
+
+
+def test_quality_query_matches_brute_force(spark, documents, labels):
+    """The registered query over its whole table: statistics by byte, and a walk down every tree."""
+    forest = quality.train(documents, labels)
+    texts = {r["doc_id"]: r["text"] for r in rows(documents)}
+    got = {r["doc_id"]: r for r in rows(queries.op7_quality(spark, SF))}
+    assert got.keys() == texts.keys()
+    for doc_id, text in texts.items():
+        own = brute_statistics(text)
+        x = quality.statistics([text or ""])[0]
+        assert np.allclose(x, [own[k] for k in quality.FEATURES], rtol=1e-9, atol=1e-12)
+        z = forest.base
+        for f, t, v in zip(forest.feature, forest.threshold, forest.value, strict=True):
+            at = 0
+            while at < len(f):
+                at = 2 * at + (2 if x[f[at]] > t[at] else 1)
+            z += v[at - len(f)]
+        assert got[doc_id]["score"] == pytest.approx(1 / (1 + math.exp(-z)))
+        assert got[doc_id]["held_out"] == (zlib.crc32(str(doc_id).encode()) % 3 == 1) and got[doc_id]["predicted"] == (got[doc_id]["score"] >= 0.5)
+
+
+def brute_fit(bags, y, rounds, rate, l1, bias, rarest, smallest):
+    """The proximal steps on the noisy-or likelihood, one word, sentence and document at a time."""
+    df = Counter(w for own in bags for w in {w for s in own for w in s.split()})
+    words = [w for w in df if df[w] >= rarest]
+    theta, m1, m2 = (dict.fromkeys(words, 0.0) for _ in range(3))
+    for t in range(1, rounds + 1):
+        grad = dict.fromkeys(words, 0.0)
+        for own, label in zip(bags, y, strict=True):
+            ps = [1 / (1 + math.exp(-min(30, max(-30, bias + sum(theta.get(w, 0.0) for w in s.split()))))) for s in own]
+            none = math.prod(1 - min(p, 1 - 1e-12) for p in ps)
+            pull = none / max(1 - none, 1e-12) / len(y) if label else -2.0 / len(y)
+            for s, p in zip(own, ps, strict=True):
+                for w in s.split():
+                    if w in grad:
+                        grad[w] += pull * p
+        for w in words:
+            m1[w] = 0.9 * m1[w] + 0.1 * grad[w]
+            m2[w] = 0.99 * m2[w] + 0.01 * grad[w] ** 2
+            step = rate / (math.sqrt(m2[w] / (1 - 0.99**t)) + 1e-4)
+            x = theta[w] + step * m1[w] / (1 - 0.9**t)
+            theta[w] = math.copysign(max(0.0, abs(x) - step * l1), x)
+    return {w: x for w, x in theta.items() if abs(x) >= smallest}
+
+
+def test_toxicity_fit_matches_brute_force():
+    rng = np.random.default_rng(5)
+    texts, y = [], []
+    for i in range(60):
+        y.append(i % 3 == 0)
+        sentences = [" ".join(f"word{k}" for k in rng.integers(0, 30, 6)) for _ in range(rng.integers(1, 5))]
+        if y[-1]:
+            sentences.insert(int(rng.integers(0, len(sentences) + 1)), "you are vile and word1")
+        texts.append(". ".join(sentences))
+    bags = [toxicity.bag(t) for t in texts]
+    how = {"rounds": 40, "rate": 0.1, "l1": 4e-4, "bias": -6.0, "rarest": 5, "smallest": 0.5}
+    got = toxicity.fit(bags, np.array(y, int), **how).weights
+    want = brute_fit(bags, y, **how)
+    assert got.keys() == want.keys() and "vile" in got and all(got[w] == pytest.approx(want[w], rel=1e-6) for w in want)
+
+
+def test_toxicity_query_matches_brute_force(spark, documents, labels):
+    """The registered query over its whole table: noisy-or of every sentence, worked out anew from the weights."""
+    e = toxicity.train(documents, labels)
+    got = {r["doc_id"]: r for r in rows(queries.op3_toxicity(spark, SF))}
+    for r in rows(documents):
+        none, n = 1.0, 0
+        for m in toxicity.SENTENCES.finditer(r["text"] or ""):
+            words = {"".join(g) for g in __import__("re").findall(r"[^\W_]+", m[0].lower())}
+            own = [w for w in e.weights if (w in words if not w.endswith("-") else any(len(x) >= len(w) and x.startswith(w[:-1]) for x in words))]
+            if own:
+                p = 1 / (1 + math.exp(-e.bias - sum(e.weights[w] for w in own)))
+                none, n = none * (1 - p), n + (p >= 0.5)
+        assert got[r["doc_id"]]["score"] == pytest.approx(1 - none, abs=1e-12) and got[r["doc_id"]]["n_spans"] == n
+
+
+def test_long_documents_train_with_a_bounded_bag():
+    text = ". ".join(f"sentence {i} of many" for i in range(5000))
+    own = toxicity.bag(text)
+    assert len(own) == toxicity.SENTENCES_EACH and len(set(own) & set(toxicity.bag(text, 10**6)[-2500:])) > 500
+
+
+@pytest.mark.parametrize("operator", [quality, toxicity])
+def test_classifiers_without_labels(spark, odd, operator):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert {r["score"] for r in rows(operator.score_documents(odd, none))} == {0.5 if operator is quality else 0.0}
+
+
+def test_the_text_that_trains_is_the_least(spark):
+    docs = spark.createDataFrame([(1, t, None, None, 1) for t in ("b", "a", "c")] * 3, DOC)
+    got = rows(quality.labelled(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int"), "quality", 10, 1000, 999))
+    assert got == [{"doc_id": 1, "text": "a", "y": 1}]
+
+
 @pytest.mark.parametrize("operator", [quality, toxicity])
 def test_classifiers_odd(spark, odd, empty, clashing, labels, operator):
     none = spark.createDataFrame([(None, None, None), (4, 1, 0), (4, 0, 1), (999, 1, 1)], "doc_id long, quality int, toxic int")
@@ -409,7 +609,7 @@ def test_mixing_keeps_to_shares(documents):
 def test_mixing_odd(odd, empty, clashing):
     assert mixing.mix(empty, queries.TARGETS, **queries.MIX).count() == 0 and mixing.mix(odd, queries.TARGETS, **queries.MIX).count() == len(ODD)
     taken = mixing.take(clashing, queries.TARGETS, 100)
-    assert taken.columns == clashing.columns and taken.filter("doc_id = 4").count() == 2
+    assert taken.columns == clashing.columns and sum(r["doc_id"] == 4 for r in rows(taken)) == 2
     assert mixing.take(odd, queries.TARGETS, 200, max_epochs=2).filter("doc_id = 6").count() == 2
 
 

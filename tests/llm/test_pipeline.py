@@ -3,7 +3,9 @@
 import pytest
 
 import corpus_pipeline
-from tidewright.llm import quality, simhash, toxicity
+from tests.llm.test_operators import DOC, ODD, brute_kept
+from tidewright.llm import mixing, quality, toxicity
+from tidewright.llm.queries import TARGETS
 
 SF = "/root/testdata/sf0.01"
 
@@ -30,7 +32,10 @@ def test_filters_agree_with_their_operators(spark, outputs):
     ids = lambda df: sorted(r[0] for r in df.select("doc_id").collect())
     assert ids(outputs[0]) == ids(quality.score_documents(docs, labels).filter("predicted = 1"))
     assert ids(outputs[1]) == ids(toxicity.score_documents(outputs[0], labels).filter("predicted = 0"))
-    assert ids(outputs[2]) == ids(simhash.near_duplicates(outputs[1]).filter("doc_id = component_id"))
+    # every pair of the stage's input compared: word 5-grams, similarity 0.8 and more (op9's own query alone has three words and three bits)
+    assert ids(outputs[2]) == brute_kept([r.asDict() for r in outputs[1].select("doc_id", "text").collect()])
+    taken = mixing.mix(outputs[2], TARGETS, corpus_pipeline.BUDGET_PERCENT, 1).filter("copies > 0")
+    assert ids(outputs[3]) == ids(taken)
     counts = [df.count() for df in outputs[:-1]]
     assert 1000 > counts[0] > counts[1] > counts[2] > counts[3] > 500
 
@@ -41,3 +46,13 @@ def test_packing_holds_what_mixing_kept(outputs):
 
 def test_run(spark, outputs):
     assert corpus_pipeline.run(spark, SF).count() == outputs[-1].count()
+
+
+@pytest.mark.parametrize("table", ["odd", "empty"])
+def test_odd_tables(spark, tmp_path, table):
+    """Null and empty texts, very long ones, repeated rows, null ids, no row at all: every stage takes what the one before it left."""
+    docs = spark.createDataFrame(ODD if table == "odd" else [], DOC)
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+    assert docs.columns[0] == "doc_id" and (table == "odd" or docs.count() == 0)
