@@ -276,7 +276,7 @@ def nearest(embeddings: DataFrame, is_query: Column | None = None, k: int = 20,
     shards = -(-common_size["count"] // max(1, min(shard, BYTES // (8 * size))))
     vectors = own.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("asked"), "vec_id", "v")
     asked = own.filter(is_query).select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("asked"), "vec_id", "v")
-    met = vectors.unionByName(asked).repartition(2 * shards, "shard").sortWithinPartitions("shard", "asked", "vec_id")
+    met = vectors.unionByName(asked).repartition(4 * shards, "shard").sortWithinPartitions("shard", "asked", "vec_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of a shard's vectors come before those of its queries."""
