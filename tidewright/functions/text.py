@@ -9,7 +9,7 @@ import unicodedata
 from urllib.parse import quote_from_bytes
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType
 
@@ -62,6 +62,36 @@ def contains_words(outer: Column, inner: Column) -> Column:
     return (m > 0) & (n > m) & F.exists(F.sequence(F.lit(0), F.greatest(n - m, F.lit(0))), lambda i: F.slice(outer, i + 1, F.greatest(m, F.lit(1))) == inner)
 
 
+def shingles(words: Column, size: int) -> Column:
+    """Hashes of all runs of size words, each once; none in fewer words."""
+    n = F.size(words)
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(n - size + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, size)))
+    return F.when(n >= size, F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))
+
+
+def shingle_pairs(rows: DataFrame, size: int) -> DataFrame:
+    """Pairs (a, b), a < b, of rows (id, words): b shares a run of size words with a, and a is the least id that has the run. Each pair once.
+
+    So a run in a third of all rows gives a pair for each row, not for any two of them.
+    """
+    own = rows.select("id", F.explode(shingles(F.col("words"), size)).alias("h"))
+    least = own.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("_most")).filter("a < _most").select("a", "h")
+    return own.join(least, "h").filter("a < id").select("a", F.col("id").alias("b")).distinct()
+
+
+def passages_within(inner: DataFrame, outer: DataFrame, inner_id: str, outer_id: str, size: int = 8) -> DataFrame:
+    """(outer_id, inner_id) where the words of an inner row stand in a row within the more words of an outer row.
+
+    Rows have words. An inner row is looked up by its first size words among all runs of the outer rows, then compared whole;
+    one with fewer words is left out.
+    """
+    first = inner.filter(F.size("words") >= size).select(F.col(inner_id), F.col("words").alias("_inner"), F.xxhash64(F.slice("words", 1, size)).alias("_h"))
+    runs = outer.select(F.col(outer_id), F.explode(shingles(F.col("words"), size)).alias("_h"))
+    hits = runs.join(first.select(inner_id, "_h"), "_h").select(outer_id, inner_id).distinct()
+    both = hits.join(outer.select(outer_id, F.col("words").alias("_outer")), outer_id).join(first.select(inner_id, "_inner"), inner_id)
+    return both.filter(contains_words(F.col("_outer"), F.col("_inner"))).select(outer_id, inner_id)
+
+
 def timestamp(ms: Column) -> Column:
     """HH:MM:SS.mmm"""
     part = lambda div, mod, width: F.lpad((F.floor(ms / div) % mod).cast("string"), width, "0")

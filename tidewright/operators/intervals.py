@@ -30,6 +30,25 @@ def islands(df: DataFrame, by: Sequence[str], start: str, end: str, gap: int = 0
     return fresh.withColumn("_island", F.sum("_new").over(upto)).groupBy(*by, "_island").agg(F.min(start).alias(start), F.max(end).alias(end), *aggs).drop("_island")
 
 
+def island_starts(df: DataFrame, start: str, end: str, block: int, gap: int = 0) -> DataFrame:
+    """Adds island: the start of the island (as islands() makes them) that a row is in, over one time line without an entity to part it by.
+
+    Rows are ordered within blocks of the time line; what reaches from earlier blocks comes from one row for each block.
+    """
+    own = df.withColumn("_block", floor_div(F.col(start), block))
+    w = Window.partitionBy("_block").orderBy(start, end)
+    ends = own.groupBy("_block").agg(F.max(end).alias("_last"))
+    reach = F.max("_last").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    own = own.join(ends.select("_block", reach.alias("_reach")), "_block")
+    before = F.greatest(F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.col("_reach"))
+    own = own.withColumn("_new", F.when(before.isNull() | (F.col(start) - before > gap), F.col(start)))
+    news = own.groupBy("_block").agg(F.max("_new").alias("_newest"))
+    carried = F.last("_newest", ignorenulls=True).over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    own = own.join(news.select("_block", carried.alias("_open")), "_block")
+    island = F.coalesce(F.max("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col("_open"))
+    return own.withColumn("island", island).drop("_block", "_reach", "_new", "_open")
+
+
 def hysteresis(frames: DataFrame, by: Sequence[str], frame: str, p: str, opens: int, closes: int) -> DataFrame:
     """Adds active: opened at p >= opens, closed at p < closes, else as before; closed at the beginning."""
     state = F.when(F.col(p) >= opens, 1).when(F.col(p) < closes, 0)

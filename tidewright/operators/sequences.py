@@ -1,8 +1,13 @@
-"""Order-dependent folds: what no window function states. Each runs over one bounded group."""
+"""Order-dependent folds: what no window function states.
+
+A fold takes an entity's rows in order, batch by batch, and carries a few numbers from one batch to the next; Spark deals the
+entities to tasks and sorts, and spills, within them. No task holds an entity's rows at once.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -10,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.quantize import floor_div
+from tidewright.operators.markers import sequence_nms
 
 
 def divide(df: DataFrame, start: str, end: str, cap: int) -> DataFrame:
@@ -21,19 +27,41 @@ def divide(df: DataFrame, start: str, end: str, cap: int) -> DataFrame:
     return i.withColumns({"piece_start": cut(F.col("piece")), "piece_end": cut(F.col("piece") + 1)})
 
 
+def fold(df: DataFrame, by: Sequence[str], order: Sequence[str], step: Callable[[dict[str, np.ndarray], Any], tuple[np.ndarray, Any]], name: str, kind: str) -> DataFrame:
+    """Adds a column. step gets a run of one entity's rows, in order, and what it returned as its state last (None at first)."""
+    names = df.columns
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, state = None, None
+        for frame in frames:
+            if frame.empty:
+                continue
+            keys = list(zip(*(frame[c].tolist() for c in by), strict=True))
+            edges = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+            out = []
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if keys[a] != last:
+                    last, state = keys[a], None
+                values, state = step({c: frame[c].to_numpy()[a:b] for c in order}, state)
+                out.append(values)
+            yield frame[names].assign(**{name: np.concatenate(out)})
+
+    return df.repartition(*by).sortWithinPartitions(*by, *order).mapInPandas(run, _with(df, f"{name} {kind}"))
+
+
 def pack_cap(pieces: DataFrame, by: Sequence[str], start: str, end: str, cap: int) -> DataFrame:
     """Adds request: a new one begins when a piece would end more than cap after the request's first start."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([start, end])
-        out, n, first = [], -1, None
-        for a, b in zip(rows[start], rows[end], strict=True):
+    def step(rows: dict[str, np.ndarray], state: tuple[int, int] | None) -> tuple[np.ndarray, tuple[int, int]]:
+        n, first = state or (-1, None)
+        out = []
+        for a, b in zip(rows[start].tolist(), rows[end].tolist(), strict=True):
             if first is None or b - first > cap:
                 n, first = n + 1, a
             out.append(n)
-        return rows.assign(request=np.array(out, np.int64))
+        return np.array(out, np.int64), (n, first)
 
-    return pieces.groupBy(*by).applyInPandas(run, _with(pieces, "request long"))
+    return fold(pieces, by, [start, end], step, "request", "long")
 
 
 def _with(df: DataFrame, extra: str) -> str:
@@ -43,35 +71,22 @@ def _with(df: DataFrame, extra: str) -> str:
 def slew_limit(frames: DataFrame, by: Sequence[str], frame: str, target: str, rise: float, fall: float) -> DataFrame:
     """Adds applied: the target, held within fall below and rise above the frame before; begins at 0."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(frame)
-        out, last = np.empty(len(rows)), 0.0
-        for i, t in enumerate(rows[target].to_numpy(float)):
-            out[i] = last = min(max(t, last - fall), last + rise)
-        return rows.assign(applied=out)
+    def step(rows: dict[str, np.ndarray], state: float | None) -> tuple[np.ndarray, float]:
+        last, out = state or 0.0, []
+        for t in rows[target].astype(float).tolist():
+            last = min(max(t, last - fall), last + rise)
+            out.append(last)
+        return np.array(out), last
 
-    return frames.groupBy(*by).applyInPandas(run, _with(frames, "applied double"))
+    return fold(frames, by, [frame, target], step, "applied", "double")
 
 
 def peak_pick(scores: DataFrame, by: Sequence[str], at: str, score: str, least: int, radius: int) -> DataFrame:
-    """Greedy peaks: the greatest score (ties: the first position), then none within radius of it, and so on.
+    """Greedy peaks of each entity: the greatest score (ties: the first position), then none within radius of it, and so on.
 
-    Groups are blocks of bounded length; what two blocks find at one position is merged by the caller.
+    Peaks further apart than the radius from all others can't touch them: the fold runs over clusters of near ones.
     """
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows[rows[score] >= least].sort_values([score, at], ascending=[False, True])
-        kept: list[int] = []
-        places = rows[at].to_numpy()
-        mask = []
-        for p in places:
-            ok = all(abs(p - k) > radius for k in kept)
-            mask.append(ok)
-            if ok:
-                kept.append(p)
-        return rows[np.array(mask, bool)]
-
-    return scores.groupBy(*by).applyInPandas(run, scores.schema)
+    return sequence_nms(scores.filter(F.col(score) >= least), by, radius, at, score)
 
 
 def collapse(pairs: DataFrame, min_overlap: int = 500, min_similarity: int = 850, min_words: int = 4, min_chars: int = 12, min_correlation: int = 500, min_margin: int = 100, contained_margin: int = 300) -> DataFrame:

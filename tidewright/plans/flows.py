@@ -112,9 +112,8 @@ def sourceset_diff(spark, d):
 SELECT doc_id, CASE WHEN lang = 'es' THEN 'unassigned' WHEN n_chars < 200 THEN 'ignored' WHEN copy > 1 THEN 'duplicate' ELSE 'selected' END AS role, CASE WHEN lang != 'es' AND n_chars >= 200 AND copy > 1 THEN first END AS duplicate_of FROM s""")
 def discover(spark, d):
     """A role for every source. Copies are found by their hash, so that no text is shuffled."""
-    w = Window.partitionBy("h")
-    s = read(spark, d, "documents").select("doc_id", "lang", "n_chars", F.sha2("text", 256).alias("h"))
-    s = s.withColumns({"first": F.min("doc_id").over(w)})
+    s = read(spark, d, "documents").select("doc_id", "lang", "n_chars", F.coalesce(F.sha2("text", 256), F.lit("")).alias("h"))
+    s = s.join(s.groupBy("h").agg(F.min("doc_id").alias("first")), "h")
     copy = F.col("doc_id") > F.col("first")
     role = F.when(F.col("lang") == "es", "unassigned").when(F.col("n_chars") < 200, "ignored").when(copy, "duplicate").otherwise("selected")
     return s.select("doc_id", role.alias("role"), F.when(role == "duplicate", F.col("first")).alias("duplicate_of"))
@@ -398,22 +397,27 @@ def zstd_codec(spark, d):
         for frame in frames:
             rows = []
             for doc, text in zip(frame["doc_id"], frame["text"], strict=True):
+                if text is None:
+                    rows.append((doc, None, None, True))
+                    continue
                 raw = text.encode()
                 packed = io.BytesIO()
                 _, size = codec.compress(io.BytesIO(raw), packed, len(raw))
                 plain, _ = codec.decompress(io.BytesIO(packed.getvalue()), len(raw))
                 rows.append((doc, plain.size, plain.sha256, size.size <= len(raw) + (len(raw) >> 8) + 128))
-            yield pd.DataFrame(rows, columns=["doc_id", "size", "sha256", "smaller_than_bound"])
+            yield pd.DataFrame(rows, columns=["doc_id", "size", "sha256", "smaller_than_bound"]).astype({"size": "Int64"})
 
     return read(spark, d, "documents").select("doc_id", "text").mapInPandas(run, "doc_id long, size long, sha256 string, smaller_than_bound boolean")
 
 
-@query("archive_verify", "SELECT source, count(*) AS objects, CASE WHEN bool_and(doc_id % 97 != 5) THEN 'verified' ELSE 'divergent' END AS verification FROM documents GROUP BY source")
+@query("archive_verify", "SELECT source, count(*) AS objects, CASE WHEN bool_and(sha256(CASE WHEN doc_id % 97 = 5 THEN text || '.' ELSE text END) = sha256(text)) THEN 'verified' ELSE 'divergent' END AS verification FROM documents GROUP BY source")
 def archive_verify(spark, d):
-    """Texts against the hashes in a manifest in which every 97th is wrong: one bad object makes its session divergent."""
-    listed = F.when(F.col("doc_id") % 97 == 5, F.sha2(F.lit("other"), 256)).otherwise(F.sha2("text", 256))
-    good = F.bool_and(listed == F.sha2(F.col("text").cast("binary"), 256))
-    return read(spark, d, "documents").groupBy("source").agg(F.count("*").alias("objects"), F.when(good, "verified").otherwise("divergent").alias("verification"))
+    """The hashes in a manifest, made when every 97th text was another, against the texts: one bad object makes its session divergent."""
+    then = F.when(F.col("doc_id") % 97 == 5, F.concat("text", F.lit("."))).otherwise(F.col("text"))
+    manifest = read(spark, d, "documents").select("doc_id", F.sha2(then, 256).alias("listed"))
+    objects = read(spark, d, "documents").select("doc_id", "source", F.sha2("text", 256).alias("found"))
+    good = F.bool_and(F.col("listed") == F.col("found"))
+    return objects.join(manifest, "doc_id").groupBy("source").agg(F.count("*").alias("objects"), F.when(good, "verified").otherwise("divergent").alias("verification"))
 
 
 @query("manifest_trust", "SELECT page_id, CASE WHEN starts_with(url, 'https://example.org/') THEN 'trusted' ELSE 'archive_manifest_foreign' END AS verdict FROM pages")

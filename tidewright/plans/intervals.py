@@ -297,12 +297,16 @@ indexed AS (SELECT *, CASE WHEN error IS NULL THEN (h * 3600 + m * 60 + s) * nom
 
 
 def codes(spark, d):
-    """Timecodes of all rates. Text and rate are columns below the explode, so nothing above it repeats their making."""
-    e = read(spark, d, "events").select("event_id", F.date_format(F.col("ts").cast("timestamp"), "HH:mm:ss").alias("t"))
+    """Timecodes of all rates. What two generators make are columns: nothing above them repeats the texts' making or parsing.
+
+    A row becomes eight, so rows are dealt evenly to all cores first.
+    """
+    e = read(spark, d, "events").select("event_id", F.date_format(F.col("ts").cast("timestamp"), "HH:mm:ss").alias("t")).repartition(spark.sparkContext.defaultParallelism)
     rates = F.array(*[F.struct(F.lit(k).alias("label"), T.frame_rate(F.lit(k)).alias("rate")) for k in T.FRAME_RATES])
     e = e.select("event_id", "t", F.explode(rates).alias("x")).select("event_id", "t", "x.label", "x.rate")
     e = e.withColumn("code", F.concat("t", F.when(F.col("rate.drop"), ";").otherwise(":"), F.lpad((F.col("event_id") % 32).cast("string"), 2, "0")))
-    return e.withColumn("tc", T.parse(F.col("code"), F.col("rate")))
+    parsed = e.select("*", F.inline(F.array(T.parse(F.col("code"), F.col("rate")))))
+    return parsed.withColumn("tc", F.struct("hours", "minutes", "seconds", "frames", "error")).drop("hours", "minutes", "seconds", "frames", "error")
 
 
 @query("parse_timecode", "WITH " + CODES_SQL + " SELECT event_id, label, code, h AS hours, m AS minutes, s AS seconds, f AS frames, error FROM checked")

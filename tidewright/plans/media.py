@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from tidewright import streaming
 from tidewright.operators import intervals as I
+from tidewright.functions import quantize as Q
 from tidewright.operators import signal as G
-from tidewright.plans.intervals import regions
+from tidewright.operators import syncqa as Y
+from tidewright.plans.intervals import REGIONS_SQL, regions
 from tidewright.plans.registry import FRAMES_SQL, GRID_SQL, frames, grid, query, read
+from tidewright.sources.shared import durable
 
 
 def _vectors(spark, d):
@@ -38,10 +41,20 @@ def decimate(spark, d):
     return _vectors(spark, d).select("vec_id", G.filtered(G.low_pass(31, 1 / 6), 3)("x").alias("y"))
 
 
-@query("sync_qa", "SELECT vec_id, CASE WHEN e = 0 THEN 'no_signal' WHEN e < 0.5 THEN 'low_confidence' ELSE 'measured' END AS outcome FROM (SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)), 6) AS e FROM embeddings)")
+@query("sync_qa")
 def sync_qa(spark, d):
-    e = F.round(F.aggregate("x", F.lit(0.0), lambda a, b: a + b * b), 6)
-    return _vectors(spark, d).select("vec_id", F.when(e == 0, "no_signal").when(e < 0.5, "low_confidence").otherwise("measured").alias("outcome"))
+    """Every embedding as a track's audio: its two halves are the windows at both ends, and the least vec_id is the reference.
+
+    Warnings and measurements of every other track; tests hold them to brute force.
+    """
+    v = _vectors(spark, d)
+    least = v.agg(F.min("vec_id")).first()[0]
+    half = lambda n, a: F.struct(F.lit(n).alias("position"), F.slice("x", a, 32).alias("samples"))
+    windows = v.select(F.col("vec_id").alias("track"), F.explode(F.array(half("start", 1), half("end", 33))).alias("w")).select("track", "w.position", "w.samples")
+    found = durable(Y.lags(windows, F.lit(least), 8))
+    codes = Y.assess(found, 0.4, 2, 4).groupBy("track").agg(F.array_join(F.array_sort(F.collect_set("code")), ",").alias("codes"))
+    p = Q.to_permille(F.col("correlation") * 1000)
+    return found.join(codes, "track", "left").select("track", "position", "lag", p.alias("permille"), Y.outcome(F.col("has_signal"), F.col("correlation"), 0.4).alias("outcome"), F.coalesce("codes", F.lit("")).alias("codes"))
 
 
 @query("rms_peak", "SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)) / len(embedding)), 6) AS rms, round(list_max(list_transform(embedding, lambda x: abs(x::DOUBLE))), 6) AS peak FROM embeddings")
@@ -49,16 +62,21 @@ def rms_peak(spark, d):
     return _vectors(spark, d).select("vec_id", F.round(F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, b: a + b * b) / F.size("x")), 6).alias("rms"), F.round(F.array_max(F.transform("x", F.abs)), 6).alias("peak"))
 
 
-@query("stream_windows")
+@query("stream_windows", """SELECT epoch_us(ts) // 600000000 * 600 AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2""")
 def stream_windows(spark, d):
-    events = streaming.read_stream(spark, f"{d}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
-    return streaming.drain(streaming.windowed(events, "ts", "10 minutes", "1 hour", "event_type"))
+    """Every window of the stream, the last ones too: a closing row moves the watermark past them."""
+    events = streaming.read_stream(spark, f"{d}/events.parquet", closing=streaming.closing_row(read(spark, d, "events"), "ts", "3 days"))
+    out = streaming.drain(streaming.windowed(events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "10 minutes", "10 minutes", "event_type"))
+    return out.select(F.unix_seconds("start").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
-@query("stream_sessions")
+@query("stream_sessions", """WITH o AS (SELECT user_id, epoch_us(ts) AS t, lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events),
+s AS (SELECT *, sum(CASE WHEN before IS NULL OR t - before > 1800000000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY t) AS session FROM o)
+SELECT user_id, min(t) AS start, max(t) + 1800000000 AS "end", count(*) AS n FROM s GROUP BY user_id, session""")
 def stream_sessions(spark, d):
-    events = streaming.read_stream(spark, f"{d}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
-    return streaming.drain(streaming.sessions(events, "ts", "10 minutes", "30 minutes", "user_id"))
+    events = streaming.read_stream(spark, f"{d}/events.parquet", closing=streaming.closing_row(read(spark, d, "events"), "ts", "3 days"))
+    out = streaming.drain(streaming.sessions(events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "10 minutes", "30 minutes", "user_id"))
+    return out.select("user_id", F.unix_micros("start").alias("start"), F.unix_micros("end").alias("end"), "n")
 
 
 @query("vad_state", "WITH " + FRAMES_SQL + " SELECT track, frame, coalesce(last_value(CASE WHEN p >= 300 THEN 1 WHEN p < 100 THEN 0 END IGNORE NULLS) OVER (PARTITION BY track ORDER BY frame ROWS UNBOUNDED PRECEDING), 0) = 1 AS active FROM frames")
@@ -67,12 +85,12 @@ def vad_state(spark, d):
     return I.hysteresis(frames(spark, d), ["track"], "frame", "p", 300, 100).select("track", "frame", "active")
 
 
-@query("constraint_tiling", "SELECT 0::BIGINT AS violations")
+@query("constraint_tiling", "WITH " + REGIONS_SQL + """, o AS (SELECT *, lag("end") OVER (PARTITION BY track ORDER BY start) AS before FROM regions)
+SELECT track, count(*) FILTER (WHERE "end" <= start OR before >= start) AS violations, count(*) FILTER (WHERE start - before < 40) AS near FROM o GROUP BY track""")
 def constraint_tiling(spark, d):
-    """Regions of a track are in order, apart and not empty: no row may break that."""
-    before = F.lag("end").over(Window.partitionBy("track").orderBy("start"))
-    bad = regions(spark, d).withColumn("before", before).filter("end <= start or before >= start")
-    return bad.agg(F.count("*").alias("violations"))
+    """Regions of a track are in order, apart and not empty: none may break that. near counts those closer than 40 frames, which may be."""
+    o = regions(spark, d).withColumn("before", F.lag("end").over(Window.partitionBy("track").orderBy("start")))
+    return o.groupBy("track").agg(F.count_if(F.expr("end <= start or before >= start")).alias("violations"), F.count_if(F.expr("start - before < 40")).alias("near"))
 
 
 @query("ceilings", "WITH " + GRID_SQL + " SELECT track, count(*) FILTER (WHERE p >= 900) AS peaks, count(*) FILTER (WHERE p >= 900) > 32 AS over FROM grid GROUP BY track")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 from collections.abc import Iterator
 from uuid import uuid4
 
@@ -12,11 +12,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tidewright.sources.shared import shared_folder
 
-def read_stream(spark: SparkSession, path: str, files: int = 1) -> DataFrame:
-    """A Parquet table as a stream, so many files in a batch."""
+
+def read_stream(spark: SparkSession, path: str, files: int = 1, closing: DataFrame | None = None) -> DataFrame:
+    """A Parquet table as a stream, so many files in a batch. closing: rows that come after all others, from the shared folder.
+
+    Both must lie in one file system. A closing row far in the future moves the watermark past everything that is awaited.
+    """
+    schema = spark.read.parquet(path).schema
     folder, _, name = path.rpartition("/")
-    return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/{name[:-1]}[{name[-1]}]")
+    own = f"{folder}/{name[:-1]}[{name[-1]}]"
+    if closing is not None:
+        at = f"{shared_folder(spark)}/closing-{uuid4().hex}"
+        closing.select(*[F.col(f.name).cast(f.dataType) for f in schema]).coalesce(1).write.parquet(at)
+        roots = [re.fullmatch(r"(?:([a-z][a-z0-9+.-]*):(?://([^/]*))?)?(/.*)", p).groups(default="") for p in (own, at)]
+        if roots[0][0] not in ("", "file") and roots[0][:2] != roots[1][:2]:
+            raise ValueError("the table and the shared folder are in different file systems")
+        scheme = f"{roots[0][0]}://{roots[0][1]}" if roots[0][0] else ""
+        own = f"{scheme}/{{{roots[0][2][1:]},{roots[1][2][1:]}}}"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(own)
+
+
+def closing_row(table: DataFrame, at: str, beyond: str) -> DataFrame:
+    """One row, null but for a time so far behind the table's last one."""
+    last = table.agg(F.max(F.col(at).cast("timestamp")).alias(at)).select((F.col(at) + F.expr(f"interval {beyond}")).alias(at))
+    return last.select(*[F.col(at) if f.name == at else F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema])
 
 
 def windowed(stream: DataFrame, at: str, late: str, size: str, by: str) -> DataFrame:
@@ -107,8 +128,7 @@ def filtered(stream: DataFrame, by: str, taps: np.ndarray, factor: int = 3) -> D
 def drain(stream: DataFrame) -> DataFrame:
     """Runs the stream over what is there, writes to the shared folder, and reads the result."""
     spark = stream.sparkSession
-    base = spark.sparkContext.getCheckpointDir() or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="stream-")
-    folder = f"{base}/stream-{uuid4().hex}"
+    folder = f"{shared_folder(spark)}/stream-{uuid4().hex}"
     query = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start(f"{folder}/out")
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/out")
