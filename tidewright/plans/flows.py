@@ -16,6 +16,7 @@ from tidewright.functions import text as X
 from tidewright.functions import waveform as W
 from tidewright.operators import intervals as I
 from tidewright.operators import markers as K
+from tidewright.operators import rules as R
 from tidewright.operators import transcript as T
 from tidewright.plans.intervals import REGIONS_SQL, regions
 from tidewright.plans.registry import SPANS_SQL, query, read, spans
@@ -37,7 +38,7 @@ def track_attribution(spark, d):
 @query("scan_unconfigured", "SELECT p_partkey, p_type FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R' AND l_quantity > 45)")
 def scan_unconfigured(spark, d):
     used = read(spark, d, "lineitem").filter("l_returnflag = 'R' and l_quantity > 45").select(F.col("l_partkey").alias("p_partkey"))
-    return read(spark, d, "part").select("p_partkey", "p_type").join(used, "p_partkey", "left_anti")
+    return R.unconfigured(read(spark, d, "part").select("p_partkey", "p_type"), used, "p_partkey")
 
 
 STRATEGIES = ("override_offset", "override_timecode", "bwf_reference", "timecode_tag")
@@ -52,53 +53,41 @@ def starttime_chain(spark, d):
         "event_id", F.when(F.col("event_id") % 11 == 0, F.col("user_id")).alias("override_offset"), F.when(F.col("event_type") == "signup", F.col("user_id") * 2).alias("override_timecode"),
         F.when(F.col("value") > 100, F.floor("value")).alias("bwf_reference"), F.when(F.col("event_type") != "error", F.col("event_id") * 7).alias("timecode_tag"),
     )
-    kind = F.coalesce(*[F.when(F.col(s).isNotNull(), s) for s in STRATEGIES])
-    place = F.coalesce(F.array_position(F.array(*map(F.lit, STRATEGIES)), kind) - 1, F.lit(len(STRATEGIES))).cast("int")
-    declined = F.array_join(F.slice(F.array(*map(F.lit, STRATEGIES)), F.lit(1), place), ",")
-    return e.select("event_id", F.coalesce(*STRATEGIES).alias("start"), kind.alias("kind"), declined.alias("declined"))
+    return e.select("event_id", F.inline(F.array(R.first_answer({s: F.col(s) for s in STRATEGIES}))))
 
 
 @query("format_warnings", """SELECT l_orderkey, l_linenumber, concat_ws(',', CASE WHEN l_quantity % 5 = 0 THEN 'unexpected_sample_rate' END, CASE WHEN l_linestatus = 'O' THEN 'unexpected_codec' END,
   CASE WHEN l_linenumber > 4 THEN 'unexpected_channel_count' END, CASE WHEN l_tax > 0.07 THEN 'sample_count_disagreement' END) AS warnings FROM lineitem""")
 def format_warnings(spark, d):
-    note = lambda condition, code: F.when(condition, code)
-    return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.concat_ws(
-        ",", note(F.col("l_quantity") % 5 == 0, "unexpected_sample_rate"), note(F.col("l_linestatus") == "O", "unexpected_codec"),
-        note(F.col("l_linenumber") > 4, "unexpected_channel_count"), note(F.col("l_tax") > 0.07, "sample_count_disagreement"),
-    ).alias("warnings"))
+    warnings = R.format_warnings(F.col("l_quantity") % 5 == 0, F.col("l_linestatus") == "O", F.col("l_linenumber") > 4, F.col("l_tax") > 0.07)
+    return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", warnings.alias("warnings"))
 
 
-PROBE = "streams array<struct<codec_type:string,rate:long,tags:map<string,string>>>"
 PROBE_SQL = """SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'no_audio_stream' WHEN event_id % 10 = 1 THEN 'several_audio_streams' END AS refusal, CASE WHEN event_id % 10 > 1 THEN user_id END AS rate,
   CASE WHEN event_id % 10 > 1 THEN event_type END AS timecode FROM events"""
 
 
 @query("probe_container", PROBE_SQL)
 def probe_container(spark, d):
-    """A probe's JSON: exactly one audio stream, its tags' keys lower-cased."""
+    """Documents with no audio stream, with two, and with one."""
     audio = F.format_string('{"codec_type":"audio","rate":%d,"tags":{"TimeCode":"%s"}}', "user_id", "event_type")
     many = F.when(F.col("event_id") % 10 == 0, "").when(F.col("event_id") % 10 == 1, F.concat(audio, F.lit(","), audio, F.lit(","))).otherwise(F.concat(audio, F.lit(",")))
     raw = F.concat(F.lit('{"streams":['), many, F.lit('{"codec_type":"data"}]}'))
-    p = read(spark, d, "events").select("event_id", F.filter(F.from_json(raw, PROBE)["streams"], lambda s: s["codec_type"] == "audio").alias("audio"))
-    n, one = F.size("audio"), F.get("audio", 0)
-    tags = F.transform_keys(one["tags"], lambda k, v: F.lower(k))
-    refusal = F.when(n == 0, "no_audio_stream").when(n > 1, "several_audio_streams")
-    return p.select("event_id", refusal.alias("refusal"), F.when(n == 1, one["rate"]).alias("rate"), F.when(n == 1, F.try_element_at(tags, F.lit("timecode"))).alias("timecode"))
+    p = read(spark, d, "events").select("event_id", F.inline(F.array(R.probe(raw))))
+    return p.select("event_id", "refusal", "rate", F.try_element_at("tags", F.lit("timecode")).alias("timecode"))
 
 
 @query("rollover_origin", "SELECT event_id, epoch_us(ts) // 1000 % 86400000 + CASE WHEN epoch_us(ts) // 1000 % 86400000 < 43200000 THEN 86400000 ELSE 0 END - 43200000 AS start FROM events")
 def rollover_origin(spark, d):
-    """A configured zero at noon: what lies before it belongs to the next day."""
-    ms = F.expr("unix_micros(cast(ts as timestamp)) div 1000") % 86_400_000
-    return read(spark, d, "events").select("event_id", (ms + F.when(ms < 43_200_000, 86_400_000).otherwise(0) - 43_200_000).alias("start"))
+    """A configured zero at noon."""
+    ms = F.expr("unix_micros(cast(ts as timestamp)) div 1000")
+    return read(spark, d, "events").select("event_id", R.since_origin(ms, 43_200_000).alias("start"))
 
 
 @query("span_warnings", "WITH " + SPANS_SQL + """, s AS (SELECT user_id, max("end") - min(start) AS ms, count(DISTINCT event_type = 'click') > 1 AS mixed FROM spans GROUP BY user_id)
 SELECT user_id, concat_ws(',', CASE WHEN ms > 86400000 THEN 'implausible_session_span' END, CASE WHEN mixed THEN 'mixed_time_domains' END) AS warnings FROM s""")
 def span_warnings(spark, d):
-    one = F.col("event_type") == "click"
-    s = spans(spark, d).groupBy("user_id").agg((F.max("end") - F.min("start")).alias("ms"), (F.bool_or(one) & F.bool_or(~one)).alias("mixed"))
-    return s.select("user_id", F.concat_ws(",", F.when(F.col("ms") > 86_400_000, "implausible_session_span"), F.when(F.col("mixed"), "mixed_time_domains")).alias("warnings"))
+    return R.span_warnings(spans(spark, d), "user_id", F.col("event_type") == "click")
 
 
 @query("sourceset_diff", "SELECT 'gone' AS change, * FROM (SELECT text, lang FROM documents WHERE doc_id % 2 = 0 EXCEPT ALL SELECT text, lang FROM documents WHERE doc_id % 2 = 1) UNION ALL SELECT 'new', * FROM (SELECT text, lang FROM documents WHERE doc_id % 2 = 1 EXCEPT ALL SELECT text, lang FROM documents WHERE doc_id % 2 = 0)")
@@ -122,8 +111,8 @@ def discover(spark, d):
 @query("inspect_run", "SELECT c_custkey, o_orderkey IS NULL AS work, o_orderkey FROM customer LEFT JOIN (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey) ON o_custkey = c_custkey")
 def inspect_run(spark, d):
     """Sources with their cached captures; those without one are the work to do."""
-    cached = read(spark, d, "orders").filter("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min("o_orderkey").alias("o_orderkey"))
-    return read(spark, d, "customer").select("c_custkey").join(cached, "c_custkey", "left").select("c_custkey", F.col("o_orderkey").isNull().alias("work"), "o_orderkey")
+    cached = read(spark, d, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    return R.work(read(spark, d, "customer"), cached, "c_custkey", "o_orderkey")
 
 
 # ---- joins and windows
@@ -150,29 +139,24 @@ REQUESTS_SQL = SPANS_SQL + ", requests AS (SELECT track, start // 3600000 AS req
 
 @query("words_script", "WITH " + REQUESTS_SQL + ' SELECT request, s.track, event_id, greatest(s.start, a) AS start, least(s."end", b) AS "end" FROM requests r JOIN spans s ON s.track = r.track AND s.start < b AND s."end" > a')
 def words_script(spark, d):
-    """Scripted utterances that overlap a request's window, clipped to it."""
     s = spans(spark, d)
     hour = Q.floor_div(F.col("start"), 3_600_000)
     requests = s.select("track", hour.alias("request")).distinct().select("track", "request", (F.col("request") * 3_600_000).alias("start"), (F.col("request") * 3_600_000 + 300_000).alias("end"))
-    pairs = I.overlap_join(requests, s, 600_000, equal=["track"])
-    return pairs.select("l.request", "r.track", "r.event_id", F.greatest("r.start", "l.start").alias("start"), F.least("r.end", "l.end").alias("end"))
+    return R.scripted(requests, s.withColumnRenamed("event_id", "word"), 600_000).withColumnRenamed("word", "event_id")
 
 
 @query("peak_rms_clip", "SELECT l_suppkey, max(abs(l_quantity)) AS peak, sum((l_quantity * l_quantity)::BIGINT)::BIGINT AS power, count(*) AS n, floor(1000.0 * count(*) FILTER (WHERE l_quantity >= 49) / count(*) + 0.5)::INTEGER AS clipped FROM lineitem GROUP BY l_suppkey")
 def peak_rms_clip(spark, d):
-    q = F.col("l_quantity")
-    return read(spark, d, "lineitem").groupBy("l_suppkey").agg(F.max(F.abs(q)).alias("peak"), F.sum((q * q).cast("long")).alias("power"), F.count("*").alias("n"), F.floor(F.count_if(q >= 49) * 1000.0 / F.count("*") + 0.5).cast("int").alias("clipped"))
+    q = F.col("l_quantity").cast("long")
+    return read(spark, d, "lineitem").groupBy("l_suppkey").agg(*R.measures(q, F.col("l_quantity") >= 49))
 
 
 @query("default_windows", "WITH " + SPANS_SQL + """, t AS (SELECT track, max("end") - min(start) AS n FROM spans GROUP BY track), w AS (SELECT track, n, least(600000, greatest(n // 2, 1)) AS span FROM t)
 SELECT track, 'opening' AS name, 0::BIGINT AS start, span AS "end" FROM w UNION ALL SELECT track, 'closing', greatest(0, n - span), n FROM w""")
 def default_windows(spark, d):
-    """A window at each end, neither longer than half the session."""
+    """A window at each end of every track."""
     t = spans(spark, d).groupBy("track").agg((F.max("end") - F.min("start")).alias("n"))
-    span = F.least(F.lit(600_000), F.greatest(F.expr("n div 2"), F.lit(1)))
-    row = lambda name, a, b: F.struct(F.lit(name).alias("name"), a.cast("long").alias("start"), b.cast("long").alias("end"))
-    w = t.select("track", F.explode(F.array(row("opening", F.lit(0), span), row("closing", F.greatest(F.lit(0), F.col("n") - span), F.col("n")))).alias("w"))
-    return w.select("track", "w.name", "w.start", "w.end")
+    return t.select("track", F.inline(R.end_windows(F.col("n"), 600_000)))
 
 
 @query("candidates", "WITH " + REGIONS_SQL + ', lim AS (SELECT max("end") - 10 AS n FROM regions) SELECT track, start * 3 AS start, least("end" * 3, n * 3) AS "end" FROM regions, lim WHERE least("end" * 3, n * 3) > start * 3')
@@ -186,9 +170,7 @@ def candidates_on_grid(spark, d):
 
 @query("mixable", "SELECT c_custkey, CASE WHEN n IS NULL THEN 'absent' ELSE 'mixed' END AS state FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey")
 def mixable(spark, d):
-    have = read(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
-    c = read(spark, d, "customer").select("c_custkey")
-    return c.join(have, "c_custkey", "left_semi").withColumn("state", F.lit("mixed")).unionByName(c.join(have, "c_custkey", "left_anti").withColumn("state", F.lit("absent")))
+    return R.mixable(read(spark, d, "customer"), read(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
 
 
 # ---- scalar functions
@@ -265,14 +247,13 @@ def round_half_away(spark, d):
 
 @query("stale_check", "SELECT o_orderkey, CASE WHEN o_orderpriority != '1-URGENT' THEN 'records_stale' END AS warning FROM orders")
 def stale_check(spark, d):
-    return read(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderpriority") != "1-URGENT", "records_stale").alias("warning"))
+    return read(spark, d, "orders").select("o_orderkey", R.stale(F.col("o_orderpriority"), F.lit("1-URGENT")).alias("warning"))
 
 
 @query("marker_report", "SELECT l_orderkey, CASE WHEN bool_or(l_returnflag = 'A') AND bool_or(l_linestatus = 'F') THEN 'partial' WHEN bool_or(l_returnflag = 'A') THEN 'failed' ELSE 'complete' END AS status FROM lineitem GROUP BY l_orderkey")
 def marker_report(spark, d):
     """A failed analysis is partial if it left a deliverable."""
-    bad, made = F.bool_or(F.col("l_returnflag") == "A"), F.bool_or(F.col("l_linestatus") == "F")
-    return read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.when(bad & made, "partial").when(bad, "failed").otherwise("complete").alias("status"))
+    return read(spark, d, "lineitem").groupBy("l_orderkey").agg(*R.outcome(F.col("l_returnflag") == "A", F.col("l_linestatus") == "F"))
 
 
 # ---- transcript
@@ -323,10 +304,10 @@ def build_transcript(spark, d):
 @query("build_records", "SELECT o_orderkey, c_name AS speaker_name, count(l_linenumber) AS pieces, coalesce(sum(l_quantity), 0)::BIGINT AS samples, CASE o_orderstatus WHEN 'F' THEN 'suppressed' ELSE 'retained' END AS decision FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL")
 def build_records(spark, d):
     """Drafts with their verdict, speaker and pieces: pieces are gathered before the join, each within its draft."""
-    pieces = read(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("pieces"), F.sum("l_quantity").cast("long").alias("samples"))
+    pieces = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_quantity").alias("samples"))
     speakers = read(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("speaker_name"))
-    o = read(spark, d, "orders").select("o_orderkey", "o_custkey", F.when(F.col("o_orderstatus") == "F", "suppressed").otherwise("retained").alias("decision"))
-    return o.join(speakers, "o_custkey").join(pieces, "o_orderkey", "left").select("o_orderkey", "speaker_name", F.coalesce("pieces", F.lit(0)).alias("pieces"), F.coalesce("samples", F.lit(0)).alias("samples"), "decision")
+    drafts = read(spark, d, "orders").select("o_orderkey", "o_custkey", F.when(F.col("o_orderstatus") == "F", "suppressed").otherwise("retained").alias("decision"))
+    return R.records(drafts, speakers, pieces, "o_orderkey", "o_custkey").select("o_orderkey", "speaker_name", "pieces", "samples", "decision")
 
 
 # ---- markers
@@ -422,5 +403,4 @@ def archive_verify(spark, d):
 
 @query("manifest_trust", "SELECT page_id, CASE WHEN starts_with(url, 'https://example.org/') THEN 'trusted' ELSE 'archive_manifest_foreign' END AS verdict FROM pages")
 def manifest_trust(spark, d):
-    own = F.startswith("url", F.lit("https://example.org/"))
-    return read(spark, d, "pages").select("page_id", F.when(own, "trusted").otherwise("archive_manifest_foreign").alias("verdict"))
+    return read(spark, d, "pages").select("page_id", R.trusted(F.col("url"), "https://example.org/").alias("verdict"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewright.functions import quantize as Q
 from tidewright.functions import timecode as T
 from tidewright.operators import intervals as I
+from tidewright.operators import rules as R
 from tidewright.plans.registry import FRAMES_SQL, GRID_SQL, SPANS_SQL, SQL, frames, grid, islands_sql, query, read, spans
 
 # ---- frames to regions
@@ -377,7 +378,8 @@ def db_gain(spark, d):
 
 @query("quantum_floor", "SELECT l_suppkey, coalesce(max(l_quantity) FILTER (WHERE l_returnflag = 'R'), 1)::BIGINT AS quantum FROM lineitem GROUP BY l_suppkey")
 def quantum_floor(spark, d):
-    return read(spark, d, "lineitem").groupBy("l_suppkey").agg(F.coalesce(F.max(F.when(F.col("l_returnflag") == "R", F.col("l_quantity"))), F.lit(1)).cast("long").alias("quantum"))
+    rows = read(spark, d, "lineitem").select("l_suppkey", "l_returnflag", "l_quantity")
+    return R.quantum(rows, "l_suppkey", F.col("l_returnflag") != "R", "l_quantity")
 
 
 @query("centred_window", 'WITH ' + SPANS_SQL + ' SELECT event_id, start + ("end" - start - least("end" - start, 2000)) // 2 AS start, least("end" - start, 2000) AS n FROM spans')

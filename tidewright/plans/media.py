@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewright import streaming
 from tidewright.operators import intervals as I
+from tidewright.operators import rules as R
 from tidewright.functions import quantize as Q
 from tidewright.operators import signal as G
 from tidewright.operators import syncqa as Y
@@ -95,5 +96,4 @@ def constraint_tiling(spark, d):
 
 @query("ceilings", "WITH " + GRID_SQL + " SELECT track, count(*) FILTER (WHERE p >= 900) AS peaks, count(*) FILTER (WHERE p >= 900) > 32 AS over FROM grid GROUP BY track")
 def ceilings(spark, d):
-    n = F.count_if(F.col("p") >= 900)
-    return grid(spark, d).groupBy("track").agg(n.alias("peaks"), (n > 32).alias("over"))
+    return R.ceiling(grid(spark, d), "track", F.col("p") >= 900, 32)

@@ -9,6 +9,7 @@ from tidewright.functions import quantize as Q
 from tidewright.functions import text as X
 from tidewright.operators import attribution as A
 from tidewright.operators import intervals as I
+from tidewright.operators import rules as R
 from tidewright.operators import sequences as S
 from tidewright.plans.intervals import REGIONS_SQL, regions
 from tidewright.plans.registry import FRAMES_SQL, GRID_SQL, SPANS_SQL, grid, islands_sql, query, read, spans
@@ -259,7 +260,7 @@ def expand_ramp(spark, d):
 def mix_sum(spark, d):
     from tidewright.plans.registry import frames
 
-    return frames(spark, d).groupBy("frame").agg(F.sum(F.col("p") * (F.col("track") + 1)).alias("mixed"), F.max("p").alias("peak"))
+    return R.mixed_sum(frames(spark, d), "frame", "p", F.col("track") + 1)
 
 
 MEASURE_SQL = "m AS (SELECT o_orderkey, CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE -(floor(o_totalprice)::BIGINT % 6000) END AS loud, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE -(o_orderkey % 900) END AS peak, o_orderkey % 13 != 0 AS reported FROM orders)"
@@ -273,19 +274,14 @@ def measures(spark, d):
 @query("initial_gain", "WITH " + MEASURE_SQL + """ SELECT o_orderkey, CASE WHEN loud IS NULL OR loud < -5000 THEN 0 WHEN abs(-1600 - loud) > 3000 THEN CASE WHEN -1600 - loud > 0 THEN 3000 ELSE -3000 END WHEN peak IS NOT NULL AND -150 - peak < -1600 - loud THEN -150 - peak ELSE -1600 - loud END AS gain,
 CASE WHEN loud IS NULL OR loud < -5000 THEN 'mix_not_normalized' WHEN abs(-1600 - loud) > 3000 THEN 'mix_master_gain_clamped' WHEN peak IS NOT NULL AND -150 - peak < -1600 - loud THEN 'mix_loudness_target_unreachable' END AS code FROM m""")
 def initial_gain(spark, d):
-    loud, peak = F.col("loud"), F.col("peak")
-    wanted, room = -1600 - loud, -150 - peak
-    quiet, far, tight = loud.isNull() | (loud < -5000), F.abs(wanted) > 3000, peak.isNotNull() & (room < wanted)
-    gain = F.when(quiet, 0).when(far, F.when(wanted > 0, 3000).otherwise(-3000)).when(tight, room).otherwise(wanted)
-    code = F.when(quiet, "mix_not_normalized").when(far, "mix_master_gain_clamped").when(tight, "mix_loudness_target_unreachable")
+    gain, code = R.initial_gain(F.col("loud"), F.col("peak"))
     return measures(spark, d).select("o_orderkey", gain.alias("gain"), code.alias("code"))
 
 
 @query("encode_failures", "WITH " + MEASURE_SQL + """ SELECT o_orderkey, array_to_string(list_filter([CASE WHEN loud IS NULL OR abs(loud + 1600) > 100 THEN 'integrated_loudness' END, CASE WHEN NOT reported THEN 'true_peak_unmeasured' WHEN peak > -150 + 30 THEN 'true_peak' END, CASE WHEN o_orderkey % 3000 > 1152 THEN 'duration' END], lambda x: x IS NOT NULL), ',') AS failures FROM m""")
 def encode_failures(spark, d):
-    loud, peak = F.col("loud"), F.col("peak")
-    found = F.array(F.when(loud.isNull() | (F.abs(loud + 1600) > 100), "integrated_loudness"), F.when(~F.col("reported"), "true_peak_unmeasured").when(peak > -120, "true_peak"), F.when(F.col("o_orderkey") % 3000 > 1152, "duration"))
-    return measures(spark, d).select("o_orderkey", F.array_join(F.filter(found, lambda x: x.isNotNull()), ",").alias("failures"))
+    failures = R.encode_failures(F.col("loud"), F.col("reported"), F.col("peak"), F.col("o_orderkey") % 3000)
+    return measures(spark, d).select("o_orderkey", failures.alias("failures"))
 
 
 # ---- discovery, archive, report
@@ -305,11 +301,10 @@ def sha256(spark, d):
 
 @query("cache_identity", """SELECT o_orderkey, sha256('{"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus || '"}') AS id FROM orders""")
 def cache_identity(spark, d):
-    return read(spark, d, "orders").select("o_orderkey", F.sha2(F.to_json(F.struct("o_custkey", "o_orderstatus")), 256).alias("id"))
+    return read(spark, d, "orders").select("o_orderkey", R.identity(o_custkey=F.col("o_custkey"), o_orderstatus=F.col("o_orderstatus")).alias("id"))
 
 
 NAMES_SQL = "n AS (SELECT event_id, 'TX' || lpad((user_id % 6 + 1)::VARCHAR, 2, '0') || '_MIC' || lpad((event_id % 500)::VARCHAR, 3, '0') || strftime(ts, '_%Y%m%d_%H%M%S') || CASE event_id % 3 WHEN 0 THEN '_orig' WHEN 1 THEN '_edit' ELSE '' END AS name FROM events)"
-NAME = r"^TX([0-9]{2})_MIC([0-9]{3})_([0-9]{8})_([0-9]{6})_(orig|edit)$"
 
 
 def names(spark, d):
@@ -317,23 +312,20 @@ def names(spark, d):
     return e.select("event_id", F.concat(F.lit("TX"), F.lpad((F.col("user_id") % 6 + 1).cast("string"), 2, "0"), F.lit("_MIC"), F.lpad((F.col("event_id") % 500).cast("string"), 3, "0"), F.date_format(ts, "_yyyyMMdd_HHmmss"), F.when(F.col("event_id") % 3 == 0, "_orig").when(F.col("event_id") % 3 == 1, "_edit").otherwise("")).alias("name"))
 
 
-@query("parse_filename", "WITH " + NAMES_SQL + f" SELECT event_id, nullif(regexp_extract(name, '{NAME}', 1), '') AS tx, try_cast(nullif(regexp_extract(name, '{NAME}', 2), '') AS INTEGER) AS sequence, nullif(regexp_extract(name, '{NAME}', 3), '') AS named_date, CASE WHEN regexp_matches(name, '_orig$') THEN 'orig' WHEN regexp_matches(name, '_edit$') THEN 'edit' ELSE 'unknown' END AS variant FROM n")
+@query("parse_filename", "WITH " + NAMES_SQL + f" SELECT event_id, nullif(regexp_extract(name, '{R.NAME}', 1), '') AS tx, try_cast(nullif(regexp_extract(name, '{R.NAME}', 2), '') AS INTEGER) AS sequence, nullif(regexp_extract(name, '{R.NAME}', 3), '') AS named_date, CASE WHEN regexp_matches(name, '_orig$') THEN 'orig' WHEN regexp_matches(name, '_edit$') THEN 'edit' ELSE 'unknown' END AS variant FROM n")
 def parse_filename(spark, d):
-    part = lambda i: F.nullif(F.regexp_extract("name", NAME, i), F.lit(""))
-    variant = F.when(F.col("name").endswith("_orig"), "orig").when(F.col("name").endswith("_edit"), "edit").otherwise("unknown")
-    return names(spark, d).select("event_id", part(1).alias("tx"), part(2).cast("int").alias("sequence"), part(3).alias("named_date"), variant.alias("variant"))
+    return names(spark, d).select("event_id", F.inline(F.array(R.parse_filename(F.col("name"))))).drop("named_time")
 
 
 @query("label_warnings", "SELECT user_id, count(DISTINCT event_type) AS labels FROM events WHERE value > 100 GROUP BY user_id HAVING count(DISTINCT event_type) > 1")
 def label_warnings(spark, d):
-    return read(spark, d, "events").filter("value > 100").groupBy("user_id").agg(F.countDistinct("event_type").alias("labels")).filter("labels > 1")
+    return R.mixed(read(spark, d, "events").filter("value > 100"), "user_id", "event_type", "labels")
 
 
 @query("orig_edit_pairing", "SELECT e.o_orderkey AS edit, max(o.o_orderkey) AS original FROM orders e LEFT JOIN orders o ON o.o_custkey = e.o_custkey AND o.o_orderstatus = 'F' WHERE e.o_orderstatus = 'O' GROUP BY e.o_orderkey")
 def orig_edit_pairing(spark, d):
     o = read(spark, d, "orders")
-    last = o.filter("o_orderstatus = 'F'").groupBy("o_custkey").agg(F.max("o_orderkey").alias("original"))
-    return o.filter("o_orderstatus = 'O'").join(last, "o_custkey", "left").select(F.col("o_orderkey").alias("edit"), "original")
+    return R.originals(o.filter("o_orderstatus = 'O'"), o.filter("o_orderstatus = 'F'"), "o_custkey", "o_orderkey", "edit")
 
 
 LOCAL = "l AS (SELECT o_orderkey AS k, o_orderstatus AS v FROM orders WHERE o_orderkey % 5 != 0), r AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS v FROM orders WHERE o_orderkey % 3 != 0)"
@@ -346,16 +338,12 @@ def local_remote(spark, d):
 
 @query("archive_reconcile", "WITH " + LOCAL + " SELECT coalesce(l.k, r.k) AS k, CASE WHEN r.k IS NULL THEN 'pending' WHEN l.k IS NULL THEN 'vanished' WHEN l.v != r.v THEN 'divergent' ELSE 'committed' END AS status FROM l FULL JOIN r ON l.k = r.k")
 def archive_reconcile(spark, d):
-    a, b = local_remote(spark, d)
-    j = a.join(b.withColumnsRenamed({"k": "rk", "v": "rv"}), F.col("k") == F.col("rk"), "full")
-    status = F.when(F.col("rk").isNull(), "pending").when(F.col("k").isNull(), "vanished").when(F.col("v") != F.col("rv"), "divergent").otherwise("committed")
-    return j.select(F.coalesce("k", "rk").alias("k"), status.alias("status"))
+    return R.reconcile(*local_remote(spark, d), "k", "v")
 
 
 @query("archive_status", "WITH " + LOCAL + ", s AS (SELECT bool_or(r.k IS NULL) AS missing, bool_or(l.k IS NULL OR l.v != r.v) AS wrong, count(r.k) AS n FROM l FULL JOIN r ON l.k = r.k) SELECT CASE WHEN n = 0 THEN 'ABSENT' WHEN wrong THEN 'DIVERGENT' WHEN missing THEN 'PENDING' ELSE 'COMMITTED' END AS status FROM s")
 def archive_status(spark, d):
-    s = archive_reconcile(spark, d).agg(F.bool_or(F.col("status") == "pending").alias("missing"), F.bool_or(F.col("status").isin("vanished", "divergent")).alias("wrong"), F.count_if(F.col("status") != "pending").alias("n"))
-    return s.select(F.when(F.col("n") == 0, "ABSENT").when(F.col("wrong"), "DIVERGENT").when(F.col("missing"), "PENDING").otherwise("COMMITTED").alias("status"))
+    return R.archive_state(archive_reconcile(spark, d))
 
 
 @query("raw_snapshot_diff", "WITH " + LOCAL + " SELECT 'gone' AS change, k, v FROM (FROM l EXCEPT ALL FROM r) UNION ALL SELECT 'new', k, v FROM (FROM r EXCEPT ALL FROM l)")
@@ -367,52 +355,50 @@ def raw_snapshot_diff(spark, d):
 @query("override_guard", "WITH " + LOCAL + " SELECT k FROM r WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.k = r.k)")
 def override_guard(spark, d):
     a, b = local_remote(spark, d)
-    return b.join(a, "k", "left_anti").select("k")
+    return R.without(b, a, "k")
 
 
 @query("duplicate_reject", "SELECT o_custkey, o_orderdate, count(*) AS n FROM orders GROUP BY 1, 2 HAVING count(*) > 1")
 def duplicate_reject(spark, d):
-    return read(spark, d, "orders").groupBy("o_custkey", "o_orderdate").agg(F.count("*").alias("n")).filter("n > 1")
+    return R.repeated(read(spark, d, "orders"), ["o_custkey", "o_orderdate"])
 
 
 @query("all_sources", "SELECT s_suppkey AS k, s_name AS name, 'supplier' AS kind FROM supplier UNION ALL SELECT c_custkey, c_name, 'customer' FROM customer")
 def all_sources(spark, d):
     s, c = read(spark, d, "supplier"), read(spark, d, "customer")
-    return s.select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"), F.lit("supplier").alias("kind")).unionByName(c.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.lit("customer").alias("kind")))
+    return R.tagged_union({"supplier": s.select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name")), "customer": c.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))})
 
 
 @query("roll_up", "SELECT o_custkey, CASE WHEN NOT bool_or(o_orderstatus = 'F') THEN 'complete' WHEN bool_or(o_orderstatus = 'O') THEN 'partial' ELSE 'failed' END AS status FROM orders GROUP BY o_custkey")
 def roll_up(spark, d):
-    bad, good = F.bool_or(F.col("o_orderstatus") == "F"), F.bool_or(F.col("o_orderstatus") == "O")
-    return read(spark, d, "orders").groupBy("o_custkey").agg(F.when(~bad, "complete").when(good, "partial").otherwise("failed").alias("status"))
+    return read(spark, d, "orders").groupBy("o_custkey").agg(*R.outcome(F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "O"))
 
 
 @query("roster", "SELECT c_custkey, count(o_orderkey) AS files, CASE WHEN count(o_orderkey) = 0 THEN 'missing' WHEN c_acctbal < 0 THEN 'inactive' ELSE 'active' END AS state FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_acctbal")
 def roster(spark, d):
-    n = read(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("files"))
-    j = read(spark, d, "customer").join(n, F.col("c_custkey") == F.col("o_custkey"), "left")
-    return j.select("c_custkey", F.coalesce("files", F.lit(0)).alias("files"), F.when(F.col("files").isNull(), "missing").when(F.col("c_acctbal") < 0, "inactive").otherwise("active").alias("state"))
+    files = read(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return R.roster(read(spark, d, "customer").select("c_custkey", "c_acctbal"), files, "c_custkey", F.col("c_acctbal") < 0).select("c_custkey", "files", "state")
 
 
 @query("refuse_sources", "SELECT l_orderkey, count(DISTINCT l_quantity) AS rates FROM lineitem GROUP BY l_orderkey HAVING count(DISTINCT l_quantity) > 1")
 def refuse_sources(spark, d):
-    return read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.countDistinct("l_quantity").alias("rates")).filter("rates > 1")
+    return R.mixed(read(spark, d, "lineitem"), "l_orderkey", "l_quantity", "rates")
 
 
 @query("exact_sample_count", "SELECT o_orderkey, CASE WHEN floor(o_totalprice)::BIGINT % 4 = 0 THEN floor(o_totalprice)::BIGINT // 4 WHEN o_orderkey % 2 = 0 THEN o_custkey END AS n FROM orders")
 def exact_sample_count(spark, d):
-    size = F.floor("o_totalprice")
-    return read(spark, d, "orders").select("o_orderkey", F.when(size % 4 == 0, Q.floor_div(size, 4)).when(F.col("o_orderkey") % 2 == 0, F.col("o_custkey")).alias("n"))
+    stated = F.when(F.col("o_orderkey") % 2 == 0, F.col("o_custkey"))
+    return read(spark, d, "orders").select("o_orderkey", R.exact_samples(F.floor("o_totalprice"), 4, stated).alias("n"))
 
 
 @query("archive_totals", "SELECT source, sum(octet_length(encode(text)))::BIGINT AS original, count(*) AS n FROM documents GROUP BY source")
 def archive_totals(spark, d):
-    return read(spark, d, "documents").groupBy("source").agg(F.sum(F.octet_length("text")).alias("original"), F.count("*").alias("n"))
+    return R.totals(read(spark, d, "documents"), "source", F.octet_length("text"))
 
 
 @query("object_key", "SELECT doc_id, 'archive/' || source || '/objects/' || doc_id || '.' || sha256(text) || '.zst' AS key FROM documents")
 def object_key(spark, d):
-    return read(spark, d, "documents").select("doc_id", F.concat(F.lit("archive/"), "source", F.lit("/objects/"), F.col("doc_id").cast("string"), F.lit("."), F.sha2("text", 256), F.lit(".zst")).alias("key"))
+    return read(spark, d, "documents").select("doc_id", R.object_key("archive", F.col("source"), F.col("doc_id"), F.sha2("text", 256)).alias("key"))
 
 
 @query("compress_bound", "SELECT doc_id, n + (n >> 8) + CASE WHEN n < 131072 THEN (131072 - n) >> 11 ELSE 0 END AS bound FROM (SELECT doc_id, octet_length(encode(text)) AS n FROM documents)")
@@ -423,14 +409,13 @@ def compress_bound(spark, d):
 
 @query("choose_reference", "SELECT user_id FROM (SELECT user_id, count(*) AS n FROM events WHERE event_type = 'click' GROUP BY user_id) ORDER BY n DESC, user_id LIMIT 1")
 def choose_reference(spark, d):
-    return read(spark, d, "events").filter("event_type = 'click'").groupBy("user_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "user_id").limit(1).select("user_id")
+    return R.most_frequent(read(spark, d, "events").filter("event_type = 'click'"), "user_id")
 
 
 @query("arrival_join", "SELECT e.user_id, max(e.ts) AS ended, max(s.ts) AS started FROM events e LEFT JOIN (SELECT user_id, min(ts) AS ts FROM events WHERE event_type = 'signup' GROUP BY user_id) s USING (user_id) WHERE e.event_type = 'purchase' GROUP BY e.user_id")
 def arrival_join(spark, d):
-    e = read(spark, d, "events")
-    start = e.filter("event_type = 'signup'").groupBy("user_id").agg(F.min("ts").alias("started"))
-    return e.filter("event_type = 'purchase'").groupBy("user_id").agg(F.max("ts").alias("ended")).join(start, "user_id", "left")
+    e = read(spark, d, "events").select("user_id", "event_type", F.col("ts").alias("at"))
+    return R.arrivals(e.filter("event_type = 'purchase'"), e.filter("event_type = 'signup'"), "user_id")
 
 
 @query("peak_pick")
@@ -447,52 +432,49 @@ def sanitize(spark, d):
 
 @query("alignment_notes", "SELECT source, count(*) AS n FROM documents WHERE n_chars < 500 GROUP BY source")
 def alignment_notes(spark, d):
-    return read(spark, d, "documents").filter("n_chars < 500").groupBy("source").agg(F.count("*").alias("n"))
+    return R.tally(read(spark, d, "documents"), "source", F.col("n_chars") < 500)
 
 
 @query("selected_sources", "SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' AND c_acctbal > 0")
 def selected_sources(spark, d):
-    active = read(spark, d, "customer").filter("c_acctbal > 0").select("c_custkey", "c_name")
-    return read(spark, d, "orders").filter("o_orderstatus = 'F'").join(active, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name")
+    active = read(spark, d, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    return R.selected(read(spark, d, "orders").filter("o_orderstatus = 'F'"), active, "o_custkey").select("o_orderkey", "c_name")
 
 
 @query("archive_select", "SELECT o_orderkey, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '2-HIGH'")
 def archive_select(spark, d):
+    """Nothing selected is an error, as tests show."""
     c = read(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    return read(spark, d, "orders").filter("o_orderpriority = '2-HIGH'").join(c, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", "c_mktsegment")
+    own = R.chosen(read(spark, d, "orders"), F.col("o_orderpriority") == "2-HIGH")
+    return own.join(c, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", "c_mktsegment")
 
 
 @query("archive_preflight", "SELECT max(n + (n >> 8)) AS largest, sum(n)::BIGINT AS restored FROM (SELECT octet_length(encode(text)) AS n FROM documents)")
 def archive_preflight(spark, d):
-    n = F.octet_length("text").cast("long")
-    return read(spark, d, "documents").agg(F.max(n + F.shiftright(n, 8)).alias("largest"), F.sum(n).alias("restored"))
+    return R.preflight(read(spark, d, "documents"), F.octet_length("text").cast("long"))
 
 
 @query("archive_list", r"SELECT DISTINCT regexp_extract(url, '^https?://([^/]+)/', 1) AS session FROM pages WHERE regexp_matches(url, '^https?://[^/]+/[a-z]{2}/[0-9]+/?$')")
 def archive_list(spark, d):
-    canonical = read(spark, d, "pages").filter(F.col("url").rlike("^https?://[^/]+/[a-z]{2}/[0-9]+/?$"))
-    return canonical.select(F.regexp_extract("url", "^https?://([^/]+)/", 1).alias("session")).distinct()
+    found = R.listed_sessions(F.col("url"), "^https?://([^/]+)/[a-z]{2}/[0-9]+/?$")
+    return read(spark, d, "pages").select(found.alias("session")).filter("session is not null").distinct()
 
 
 @query("workspace_estimate", "WITH " + SPANS_SQL + ', t AS (SELECT track, max("end") - min(start) AS ms FROM spans GROUP BY track) SELECT (sum(ms) * 48 * 4)::BIGINT AS working, (sum(ms) * 16 * 4)::BIGINT AS derived, sum(ms) * 256 > 1000000000000 AS short FROM t')
 def workspace_estimate(spark, d):
-    t = spans(spark, d).groupBy("track").agg((F.max("end") - F.min("start")).alias("ms"))
-    ms = F.sum("ms")
-    return t.agg((ms * 48 * 4).alias("working"), (ms * 16 * 4).alias("derived"), (ms * 256 > 1_000_000_000_000).alias("short"))
+    return R.workspace(spans(spark, d), "track", 48, 16, 4, 1_000_000_000_000)
 
 
 @query("rollover_dates", "SELECT user_id, event_id, date_diff('day', min(ts::DATE) OVER (PARTITION BY user_id), ts::DATE) AS turns FROM events")
 def rollover_dates(spark, d):
-    day = F.to_date("ts")
-    return read(spark, d, "events").select("user_id", "event_id", F.datediff(day, F.min(day).over(Window.partitionBy("user_id"))).alias("turns"))
+    return R.rollover_turns(read(spark, d, "events").select("user_id", "event_id", "ts"), "user_id", F.to_date("ts")).select("user_id", "event_id", "turns")
 
 
 @query("usable", "SELECT event_id FROM events WHERE NOT (value > 400 OR value < 1 OR event_type = 'error')")
 def usable(spark, d):
-    return read(spark, d, "events").filter(~((F.col("value") > 400) | (F.col("value") < 1) | (F.col("event_type") == "error"))).select("event_id")
+    return read(spark, d, "events").filter(R.usable([F.col("value") > 400, F.col("value") < 1, F.col("event_type") == "error"])).select("event_id")
 
 
 @query("doctor_status", "SELECT o_custkey, max(CASE o_orderstatus WHEN 'F' THEN 2 WHEN 'P' THEN 1 ELSE 0 END) AS worst FROM orders GROUP BY o_custkey")
 def doctor_status(spark, d):
-    level = F.when(F.col("o_orderstatus") == "F", 2).when(F.col("o_orderstatus") == "P", 1).otherwise(0)
-    return read(spark, d, "orders").groupBy("o_custkey").agg(F.max(level).alias("worst"))
+    return read(spark, d, "orders").groupBy("o_custkey").agg(R.severity(F.col("o_orderstatus"), ["O", "P", "F"]).alias("worst"))
