@@ -110,6 +110,66 @@ class FolderStorage:
                     yield name
 
 
+class Client(Protocol):
+    """What an object store offers: listings by pages, uploads in parts. Calls may fail as busy (TimeoutError)."""
+
+    def page(self, prefix: str, after: str | None) -> tuple[list[tuple[str, int]], str | None]: ...
+    def get(self, name: str) -> BinaryIO: ...
+    def begin(self, name: str) -> str: ...
+    def part(self, name: str, upload: str, number: int, data: bytes) -> str: ...
+    def complete(self, name: str, upload: str, tags: list[str]) -> None: ...
+    def abort(self, name: str, upload: str) -> None: ...
+    def uploads(self, prefix: str) -> list[tuple[str, str]]: ...
+
+
+class ObjectStorage:
+    """Storage over a client: listings page by page, objects in parts; a failed upload leaves nothing behind."""
+
+    def __init__(self, client: Client, least_part: int = 8 << 20, attempts: int = 4, first: float = 0.2):
+        self.client, self.least_part, self._how = client, least_part, {"attempts": attempts, "first": first}
+
+    def put(self, name: str, source: str) -> None:
+        for other, upload in retry(lambda: self.client.uploads(name), **self._how):
+            if other == name:  # of a writer that died; there is one writer of a session
+                retry(lambda u=upload: self.client.abort(name, u), **self._how)
+        upload = retry(lambda: self.client.begin(name), **self._how)
+        try:
+            tags, size = [], part_size(os.path.getsize(source), self.least_part)
+            with open(source, "rb") as f:
+                while (data := f.read(size)) or not tags:
+                    tags.append(retry(lambda d=data: self.client.part(name, upload, len(tags) + 1, d), **self._how))
+                    if not data:
+                        break
+            retry(lambda: self.client.complete(name, upload, tags), **self._how)
+        except BaseException:
+            self.client.abort(name, upload)
+            raise
+
+    def pages(self, prefix: str = "") -> Iterator[list[tuple[str, int]]]:
+        """(name, size) page by page; a page that repeats itself is an error, not an endless listing."""
+        after = None
+        while True:
+            rows, following = retry(lambda a=after: self.client.page(prefix, a), **self._how)
+            yield rows
+            if following is None:
+                return
+            if following == after:
+                raise ArchiveError("archive_listing_stuck", f"the listing of {prefix!r} doesn't move on")
+            after = following
+
+    def head(self, name: str) -> int | None:
+        return next((size for rows in self.pages(name) for n, size in rows if n == name), None)
+
+    def open(self, name: str) -> BinaryIO:
+        if self.head(name) is None:
+            raise ArchiveError("archive_object_missing", f"no object {name!r}")
+        return retry(lambda: self.client.get(name), **self._how)
+
+    def list(self, prefix: str = "") -> Iterator[str]:
+        for rows in self.pages(prefix):
+            yield from (n for n, _ in rows)
+
+
 def retry(f: Callable, attempts: int = 4, first: float = 0.2, busy: Callable[[Exception], bool] = lambda e: isinstance(e, (TimeoutError, BlockingIOError))):
     """f(), tried again after growing pauses while the storage says it is busy."""
     for i in range(attempts):

@@ -98,7 +98,7 @@ def open_range(path: str) -> BinaryIO:
 
 
 def listing(spark: SparkSession, folder: str, pattern: str = "*.[wW][aA][vV]") -> DataFrame:
-    """path and length of the files below the folder; their contents stay where they are."""
+    """path and length of the files below the folder, empty ones left out; their contents stay where they are."""
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder).select("path", "length")
 
 
