@@ -577,6 +577,14 @@ def test_packing_odd(odd, empty, clashing):
     assert packing.pack_documents(empty).count() == 0 and packing.pack_documents(clashing).count() == packing.pack_documents(odd).count()
 
 
+def test_repeated_rows_are_dealt_apart(spark):
+    """A row that makes up most of the table is packed as often as it stands there, in many tasks."""
+    df = spark.createDataFrame([(1, "the same words again", None, None, 1)] * 400 + [(2, "other words", None, None, 1)], DOC).repartition(3)
+    cut = packing.pieces(df)
+    assert cut.groupBy("doc_id").agg(F.countDistinct("copy").alias("n")).filter("doc_id = 1").first()["n"] > 100
+    check_packing(packing.pack_documents(df), {1: ["the same words again"] * 400, 2: ["other words"]})
+
+
 def test_karmarkar_karp():
     parts = packing.karmarkar_karp([8, 7, 6, 5, 4], 2)
     assert sorted(i for p in parts for i in p) == [0, 1, 2, 3, 4] and abs(sum([8, 7, 6, 5, 4][i] for i in parts[0]) - 15) <= 1
@@ -746,3 +754,15 @@ def test_no_rules_and_no_urls(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     assert urlfilter.judge(none, queries.RULES).count() == 0
     assert rows(urlfilter.judge(spark.createDataFrame([(1, "http://a/")], "page_id long, url string"), [], "block"))[0]["verdict"] == "block"
+
+
+def test_rules_beyond_the_bits_are_joined_with_the_same_verdicts(spark):
+    urls = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url")
+    more = urls.unionByName(spark.createDataFrame([(10**6, None), (10**6 + 1, "x"), (10**6 + 2, "http://a.example.org/es/" + "p" * 50_000)], "page_id long, url string"))
+    want, got = (sorted(map(str, rows(urlfilter.judge(more, queries.RULES, max_bits=m)))) for m in (urlfilter.MAX_BITS, 1))
+    assert got == want and len(got) == more.count()
+
+
+def test_urls_odd(spark):
+    twice = spark.createDataFrame([(1, "http://x.com/de/", "a", "b"), (1, "http://x.com/de/", "a", "b"), (None, "http://x.com/fr/", "a", "b")], "page_id long, url string, URL string, rule string")
+    assert sorted((r["page_id"] or 0, r["rule"], r["verdict"]) for r in rows(urlfilter.judge(twice, queries.RULES))) == [(0, "com/fr/", "allow"), (1, "com/de/", "block"), (1, "com/de/", "block")]

@@ -13,6 +13,7 @@ import heapq
 import os
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,25 +92,32 @@ class Words:
 
 
 def pieces(documents: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens: every document cut into pieces of at most capacity ids."""
+    """doc_id, start, length, ids_crc32, doc_tokens, copy: every document cut into pieces of at most capacity ids.
+
+    copy counts the rows of a task that are alike, so that rows repeated without end can be dealt to many tasks.
+    """
     path = vocabulary or default_vocabulary()
+    seen: Counter[tuple] = Counter()  # begins empty in every task
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: list[tuple] = []
         texts, docs = common.texts_of(batch.column(1)), batch.column(0).to_pylist()
         for at in range(0, len(texts), 500):
             for doc, ids in zip(docs[at : at + 500], Words.of(path).ids(texts[at : at + 500]), strict=True):
+                alike = doc, len(ids), zlib.crc32(ids.tobytes())
+                copy = seen[alike]
+                seen[alike] += 1
                 starts = list(range(0, len(ids), capacity))
-                if len(ids) % capacity and zlib.crc32(ids.tobytes()) % EVERY == 0:
+                if len(ids) % capacity and alike[2] % EVERY == 0:
                     starts += range(starts[-1] + CHIP, len(ids), CHIP)
                 for start, end in zip(starts, [*starts[1:], len(ids)], strict=True):
                     own = ids[start:end]
-                    out.append((doc, start, len(own), zlib.crc32(own.tobytes()), len(ids)))
-        columns = list(zip(*out, strict=True)) if out else [()] * 5
-        return pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                    out.append((doc, start, len(own), zlib.crc32(own.tobytes()), len(ids), copy))
+        columns = list(zip(*out, strict=True)) if out else [()] * 6
+        return pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "copy"])
 
     own = common.pick(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return common.map_arrow(own, each, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return common.map_arrow(own, each, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, copy long")
 
 
 def karmarkar_karp(sizes: list[int], parts: int) -> list[list[int]]:
@@ -164,8 +172,8 @@ def windows(sizes: list[int], capacity: int) -> list[list[int]]:
 def pack(cut: DataFrame, capacity: int = CAPACITY, batch: int = BATCH) -> DataFrame:
     """The pieces with sequence_id and offset. A sequence's pieces follow each other from offset 0.
 
-    Pieces are dealt to tasks by hash and taken in order of their hash, so that the result doesn't depend on how the
-    documents were split; a task holds one batch at a time, however often a row repeats.
+    Pieces are dealt to tasks by hash and taken in order of their hash, so that the result doesn't depend on how
+    documents that differ were split; a task holds one batch at a time. Rows that repeat are dealt apart by their copy.
     """
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -203,7 +211,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, batch: int = BATCH) -> DataFr
         if held and sum(map(len, held)):
             yield flush(pd.concat(held, ignore_index=True))
 
-    keyed = cut.withColumn("key", F.xxhash64("doc_id", "start", "ids_crc32"))
+    keyed = cut.withColumn("key", F.xxhash64("doc_id", "start", "ids_crc32", "copy"))
     ordered = keyed.repartition("key").sortWithinPartitions("key", "doc_id", "start", "ids_crc32", "doc_tokens")
     return ordered.mapInPandas(run, schema)
 

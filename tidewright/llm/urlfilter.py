@@ -6,7 +6,8 @@ cascade encodes the listed keys; level 1 the keys of the corpus that pass level
 listed; level 2 the listed keys that pass level 1; and so on until no false positive is left. As
 all keys of the corpus went into it, membership is exact for every one of them.
 
-Everything is DataFrame expressions. Only bit arrays reach the driver; their size is checked. The
+Everything is DataFrame expressions. Only bit arrays reach the driver; their size is checked: a list whose arrays
+would be larger than that is looked up by a join of the distinct keys instead, with the same verdicts. The
 corpus is read once for the false positives of level 0; they are made distinct with partial
 aggregation, so that a host with a third of all rows sends one row from each task.
 """
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tidewright.llm import common
 
+MAX_BITS = 1 << 24  # of a level: 2 MiB
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -57,7 +59,7 @@ class Cascade:
         self.levels = levels
 
     @classmethod
-    def build(cls, listed: DataFrame, universe: DataFrame, first_rate: float = 0.01, rate: float = 0.5, max_bits: int = 1 << 24) -> Cascade:
+    def build(cls, listed: DataFrame, universe: DataFrame, first_rate: float = 0.01, rate: float = 0.5, max_bits: int = MAX_BITS) -> Cascade:
         """listed and universe have a column key. max_bits bounds every level (2 MiB each as set)."""
         levels: list[Level] = []
         include = common.durable(listed.filter("key is not null").distinct())
@@ -84,7 +86,7 @@ class Cascade:
 
 def _level(keys: DataFrame, n: int, rate: float, seed: int, max_bits: int) -> Level:
     hashes = max(1, round(-math.log2(rate)))
-    bits = max(64, 64 * math.ceil(n * hashes / math.log(2) / 64))
+    bits = _bits(n, rate)
     if bits > max_bits:
         raise ValueError(f"a level needs {bits} bits; max_bits is {max_bits}")
     level = Level((), bits, hashes, seed)
@@ -117,13 +119,19 @@ def keys(host: Column, path: Column, lengths: list[int]) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.flatten(F.transform(suffixes, lambda s: F.transform(fit, lambda x: F.concat(s, F.substring(path, F.lit(1), x))))))
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]], default: str = "allow", first_rate: float = 0.01) -> DataFrame:
+def _bits(n: int, rate: float) -> int:
+    """Of a level for n keys."""
+    return max(64, 64 * math.ceil(n * max(1, round(-math.log2(rate))) / math.log(2) / 64))
+
+
+def judge(pages: DataFrame, rules: list[tuple[str, str, str]], default: str = "allow", first_rate: float = 0.01, max_bits: int = MAX_BITS) -> DataFrame:
     """page_id, host, path, rule, verdict for every url; rules are (verdict, host, path) rows.
 
     A rule fits its host and all subdomains, if the path begins with the rule's. The longest fitting
     rule (of host and path together; then of host) decides. Of one host and path with both verdicts
     block counts. Where no rule fits, so where the cascade lists none of the url's keys, rule is null and
-    the verdict is default. Null urls and urls without :// have no host and fit no rule.
+    the verdict is default. Null urls and urls without :// have no host and fit no rule. Very long urls are read as a whole; repeated
+    rows stay repeated; an empty table gives no rows; extra columns are ignored. Rules beyond what max_bits hold are joined.
     """
     for verdict, _, path in rules:
         if verdict not in ("allow", "block") or (path and not path.startswith("/")):
@@ -137,6 +145,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], default: str = "a
     listed = _table(spark, sorted({h.translate(str.maketrans(UPPER, LOWER)) + p for _, h, p in rules}))
     blocked = _table(spark, sorted({h.translate(str.maketrans(UPPER, LOWER)) + p for v, h, p in rules if v == "block"}))
     own = keys(F.col("host"), F.col("path"), lengths)
+    if _bits(len({h + p for _, h, p in rules}), first_rate) > max_bits:
+        return _joined(urls, own, listed, blocked, default)
     member = Cascade.build(listed, urls.select(F.explode(own).alias("key")), first_rate)
     barred = Cascade.build(blocked, listed, first_rate)
     fitting = F.filter(own, member.contains)
@@ -145,5 +155,16 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], default: str = "a
     return found.withColumn("verdict", F.when(F.col("rule").isNull(), default).when(barred.contains(F.col("rule")), "block").otherwise("allow"))
 
 
+def _joined(urls: DataFrame, own: Column, listed: DataFrame, blocked: DataFrame, default: str) -> DataFrame:
+    """judge() by joins: of the distinct hosts and paths the keys meet the list, and the longest one goes back to the urls."""
+    marked = listed.distinct().join(blocked.distinct().withColumn("barred", F.lit(True)), "key", "left")
+    exploded = urls.select("host", "path").distinct().select("host", "path", F.explode(own).alias("key"))
+    order = F.struct(F.char_length("key").alias("n"), F.char_length(F.substring_index("key", "/", 1)).alias("h"), "key", F.coalesce("barred", F.lit(False)).alias("barred"))
+    best = exploded.join(marked, "key").groupBy("host", "path").agg(F.max(order).alias("best"))
+    found = urls.join(best, ["host", "path"], "left")
+    verdict = F.when(F.col("best").isNull(), default).when(F.col("best.barred"), "block").otherwise("allow")
+    return found.select("page_id", "host", "path", F.col("best.key").alias("rule"), verdict.alias("verdict"))
+
+
 def _table(spark: SparkSession, values: list[str]) -> DataFrame:
     return spark.createDataFrame([Row(key=v) for v in values], "key string")
