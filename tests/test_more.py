@@ -197,3 +197,12 @@ def test_rules_with_nulls_and_nothing(spark):
     assert [r[0] for r in bad.collect()] == ["unreadable_probe", "unreadable_probe", "no_audio_stream"]
     with pytest.raises(ValueError, match="too_many: 2"):
         R.refuse_over(R.ceiling(spark.createDataFrame([(1, 5), (2, 9), (2, 9)], "k long, p int"), "k", F.col("p") > 6, 1), "too_many")
+
+
+def test_the_sine_table_is_the_same_everywhere():
+    """Markers are exact: the table they are made from must not change with a platform's math library."""
+    import hashlib
+
+    from tidewright.functions import waveform as W
+
+    assert hashlib.sha256(json.dumps(W._quarter()).encode()).hexdigest() == "7fc116f81ee8484fdc0d7dee0181955e55e9f8d7a5049a9bb243d54092f7fdcd"

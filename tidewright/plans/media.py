@@ -6,13 +6,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewright import streaming
+from tidewright.operators import activity as D
 from tidewright.operators import intervals as I
 from tidewright.operators import rules as R
 from tidewright.functions import quantize as Q
 from tidewright.operators import signal as G
 from tidewright.operators import syncqa as Y
 from tidewright.plans.intervals import REGIONS_SQL, regions
-from tidewright.plans.registry import FRAMES_SQL, GRID_SQL, frames, grid, query, read
+from tidewright.plans.registry import FRAMES_SQL, GRID_SQL, frames, grid, islands_sql, query, read
 from tidewright.sources.shared import durable
 
 
@@ -97,3 +98,28 @@ def constraint_tiling(spark, d):
 @query("ceilings", "WITH " + GRID_SQL + " SELECT track, count(*) FILTER (WHERE p >= 900) AS peaks, count(*) FILTER (WHERE p >= 900) > 32 AS over FROM grid GROUP BY track")
 def ceilings(spark, d):
     return R.ceiling(grid(spark, d), "track", F.col("p") >= 900, 32)
+
+
+# ---- steps of the chain on driver tables
+
+
+@query("detect_frames", """WITH e AS (SELECT vec_id // 8 AS frame, sum(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)) * pow(10.0, -(vec_id // 8 % 40) / 10.0)) AS power FROM embeddings GROUP BY 1)
+SELECT 7::BIGINT AS track, frame, floor(least(1, greatest(0, (10 * log10(greatest(power / 512, 1e-12)) + 50) / 40)) * 1000 + 0.5)::INTEGER AS p FROM e""")
+def detect_frames(spark, d):
+    """Embeddings one behind another as a track's audio, weaker and weaker over 40 frames; the detector is a ramp of a frame's level."""
+    e = read(spark, d, "embeddings")
+    gain = F.pow(F.lit(10.0), -(F.expr("vec_id div 8 % 40")) / 20.0)
+    x = e.select("vec_id", F.transform("embedding", lambda v: (v.cast("double") * gain).cast("float")).alias("x"))
+    joined = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("vec_id", "x"))), lambda r: r["x"]))
+    windows = x.groupBy(F.expr("vec_id div 64").alias("window")).agg(joined.alias("samples")).withColumn("track", F.lit(7).cast("long"))
+    return D.frames(windows, 4096, lambda: D.Energy(-50.0, -10.0))
+
+
+@query("speech_requests", "WITH " + REGIONS_SQL + ', s AS (SELECT track, start * 16000 AS start, "end" * 16000 AS "end" FROM regions), merged AS (' + islands_sql("s", "track", 24000, False) + """),
+cut AS (SELECT track, start, "end" - start AS total, ("end" - start + 463999) // 464000 AS k, unnest(range(("end" - start + 463999) // 464000)) AS i FROM merged),
+p AS (SELECT track, start + i * total // k AS a, start + (i + 1) * total // k AS b FROM cut)
+SELECT 'req-' || track || '-' || a AS request_id, track::VARCHAR AS track_id, a AS core_start, b AS core_end, greatest(0, a - 8000) AS padded_start, least(100000000000, b + 8000) AS padded_end FROM p""")
+def speech_requests(spark, d):
+    """Regions, a second for each of their frames, as requests of at most half a minute."""
+    s = regions(spark, d).select("track", (F.col("start") * 16_000).alias("start"), (F.col("end") * 16_000).alias("end"))
+    return D.requests(s, 100_000_000_000)
