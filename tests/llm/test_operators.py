@@ -672,6 +672,21 @@ def test_links_lose_nothing_on_planted_neighbours(spark):
     assert {(a["u"], a["v"]) for a in rows(simhash.links(classes))} == want
 
 
+@pytest.mark.parametrize("together", [0, 100_000])
+def test_components_of_random_edges(spark, monkeypatch, together):
+    """In rounds over all tasks and in one task alike."""
+    monkeypatch.setattr(simhash, "TOGETHER", together)
+    rng = np.random.default_rng(8)
+    pairs = [(int(max(a, b)) * 7 - 500, int(min(a, b)) * 7 - 500) for a, b in rng.integers(0, 300, (220, 2)) if a != b]
+    root = {x: x for p in pairs for x in p}
+    for _ in root:
+        for u, v in pairs:
+            root[u] = root[v] = min(root[u], root[v])
+    got = {a["u"]: a["root"] for a in rows(simhash.components(spark.createDataFrame(pairs, "u long, v long")))}
+    assert {u: r for u, r in got.items() if u != r} == {u: r for u, r in root.items() if u != r}
+    assert not rows(simhash.components(spark.createDataFrame([], "u long, v long")))
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(101, 100)], "u long, v long")
     got = {a["u"]: a["root"] for a in rows(simhash.components(edges))}

@@ -92,10 +92,17 @@ def map_arrow(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch | N
             for start in range(0, batch.num_rows, 2000):
                 if (out := each(batch.slice(start, 2000))) is not None:
                     yield out
+            del batch
+            let_go()
 
     return df.mapInArrow(run, schema)
 
 
+def let_go() -> None:
+    """Gives freed memory of Arrow back to the system: a Python worker lives on between stages, and its pool would keep it."""
+    pa.default_memory_pool().release_unused()
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Python texts; null counts as empty."""
     return [t or "" for t in column.to_pylist()]

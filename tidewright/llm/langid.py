@@ -14,7 +14,6 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -133,9 +132,12 @@ def train(documents: DataFrame, modulus: int = 5, held: int = 0, sample: int = S
 
 
 def predicted(text: Column, profiles: Profiles) -> Column:
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([profiles.predict(t) for t in texts], columns=["lang_pred", "score"])
+    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
+
+    @F.arrow_udf("lang_pred string, score double")
+    def predict(texts: pa.Array) -> pa.Array:
+        common.let_go()
+        return pa.array([dict(zip(("lang_pred", "score"), profiles.predict(t.as_py()), strict=True)) for t in texts], kind)
 
     return predict(text)
 

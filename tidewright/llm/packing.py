@@ -17,8 +17,8 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -169,7 +169,7 @@ def windows(sizes: list[int], capacity: int) -> list[list[int]]:
         parts += 1
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, batch: int = BATCH) -> DataFrame:
+def pack(cut: DataFrame, capacity: int = CAPACITY, batch_size: int = BATCH) -> DataFrame:
     """The pieces with sequence_id and offset. A sequence's pieces follow each other from offset 0.
 
     Pieces are dealt to tasks by hash and taken in order of their hash, so that the result doesn't depend on how
@@ -177,43 +177,44 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, batch: int = BATCH) -> DataFr
     """
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, count, held = TaskContext.get().partitionId() << 36, 0, []
 
-        def flush(rows: pd.DataFrame) -> pd.DataFrame:
+        def out(table: pa.Table, sequence: np.ndarray, offset: np.ndarray) -> pa.RecordBatch:
+            own = [table.column(c).combine_chunks() for c in columns]
+            return pa.RecordBatch.from_arrays([*own, pa.array(sequence.astype(np.int64)), pa.array(offset.astype(np.int64))], names=[*columns, "sequence_id", "offset"])
+
+        def flush(table: pa.Table) -> pa.RecordBatch:
             nonlocal count
-            dealt = windows(rows["length"].tolist(), capacity)
-            order = [i for w in dealt for i in w]
-            out = rows.iloc[order].copy()
-            out["sequence_id"] = base + count + np.repeat(np.arange(len(dealt)), [len(w) for w in dealt])
-            n = out["length"].to_numpy()
-            before = np.cumsum(n) - n
-            firsts = np.cumsum([0, *(len(w) for w in dealt)])[:-1]
-            out["offset"] = before - np.repeat(before[firsts], [len(w) for w in dealt])
-            count += len(dealt)
-            return out
-
-        for frame in frames:
-            frame = frame[["doc_id", "start", "length", "ids_crc32", "doc_tokens"]]
-            full = frame["length"] >= capacity
-            if full.any():
-                out = frame[full].copy()
-                out["sequence_id"] = base + count + np.arange(len(out))
-                out["offset"] = 0
-                count += len(out)
-                yield out
-            held.append(frame[~full])
-            if sum(map(len, held)) >= batch:
-                rows = pd.concat(held, ignore_index=True)
-                for at in range(0, len(rows) - len(rows) % batch, batch):
-                    yield flush(rows.iloc[at : at + batch].reset_index(drop=True))
-                held = [rows.iloc[len(rows) - len(rows) % batch :]]
-        if held and sum(map(len, held)):
-            yield flush(pd.concat(held, ignore_index=True))
+            dealt = windows(table.column("length").to_pylist(), capacity)
+            sizes = [len(w) for w in dealt]
+            table = table.take(pa.array([i for w in dealt for i in w]))
+            before = np.cumsum([0, *table.column("length").to_pylist()])[:-1]
+            firsts = np.cumsum([0, *sizes])[:-1]
+            number, count = base + count + np.repeat(np.arange(len(dealt)), sizes), count + len(dealt)
+            return out(table, number, before - np.repeat(before[firsts], sizes))
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch]).select(columns)
+            full = pa.compute.greater_equal(table.column("length"), capacity)
+            whole = table.filter(full)
+            if len(whole):
+                yield out(whole, base + count + np.arange(len(whole)), np.zeros(len(whole)))
+                count += len(whole)
+            held.append(table.filter(pa.compute.invert(full)))
+            if sum(map(len, held)) >= batch_size:
+                rows = pa.concat_tables(held)
+                for at in range(0, len(rows) - len(rows) % batch_size, batch_size):
+                    yield flush(rows.slice(at, batch_size))
+                held = [rows.slice(len(rows) - len(rows) % batch_size)]
+        if sum(map(len, held)):
+            yield flush(pa.concat_tables(held))
 
     keyed = cut.withColumn("key", F.xxhash64("doc_id", "start", "ids_crc32", "copy"))
     ordered = keyed.repartition("key").sortWithinPartitions("key", "doc_id", "start", "ids_crc32", "doc_tokens")
-    return ordered.mapInPandas(run, schema)
+    return ordered.mapInArrow(run, schema)
 
 
 def pack_documents(documents: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, batch: int = BATCH) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -161,11 +160,11 @@ def train(documents: DataFrame, labels: DataFrame, modulus: int = 3, held: int =
 def scored(text: Column, forest: Forest) -> Column:
     """The score of a column of whole texts; null counts as empty."""
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        values = texts.tolist()
-        parts = [forest.score(statistics([t or "" for t in values[a : a + 1000]])) for a in range(0, len(values), 1000)]
-        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        common.let_go()
+        parts = [forest.score(statistics(common.texts_of(texts[a : a + 500]))) for a in range(0, len(texts), 500)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return score(text)
 

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.llm import common
@@ -28,6 +28,7 @@ from tidewright.llm import common
 BLOCK, SPACE = 1 << 20, re.compile(rb"[\t-\r ]")  # bytes split into words at once, about
 BITS = 31  # of a block: 2**5 - 1, the length of the Hamming code with five check bits
 LAST = 2**63 - 1
+TOGETHER = 100_000  # edges whose components one task finds; more go in rounds over all tasks
 
 
 def hashes(text: str, size: int, seed: int) -> Iterator[np.ndarray]:
@@ -119,6 +120,24 @@ def links(classes: DataFrame, threshold: int = 3) -> DataFrame:
     return core.join(guest, near).select(F.greatest("a.rep", "b.rep").alias("u"), F.least("a.rep", "b.rep").alias("v")).distinct()
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """components() of all edges at once, by union and find."""
+    parent: dict[int, int] = {}
+
+    def find(a: int) -> int:
+        while (b := parent.setdefault(a, a)) != a:
+            parent[a] = a = parent[b] if b in parent else b
+        return a
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = find(u), find(v)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    pairs = [(u, r) for u in list(parent) if (r := find(u)) != u]
+    yield pa.record_batch([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["u", "root"])
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
@@ -126,11 +145,13 @@ def _state(edges: DataFrame) -> tuple:
 def components(edges: DataFrame) -> DataFrame:
     """(u, root): for every vertex of an edge its component's least vertex, if that is another one.
 
-    Alternates large-star and small-star rounds; each ends in a checkpoint, so lineage stays short
-    and a lost executor costs one round. Only aggregates and joins on the vertex: no neighbourhood is ever
+    Edges that have been counted to be few (TOGETHER) are joined in one task. More of them alternate large-star and
+    small-star rounds; each ends in a checkpoint, so lineage stays short and a lost executor costs one round. Only aggregates and joins on the vertex: no neighbourhood is ever
     gathered in one row.
     """
     edges = common.durable(edges)
+    if edges.limit(TOGETHER + 1).count() <= TOGETHER:
+        return edges.select("u", "v").coalesce(1).mapInArrow(_joined, "u long, root long")
     before = _state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -239,32 +260,78 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     return both.filter(shared * 1000 >= least * (F.size("x") + F.size("y") - shared)).select("u", "v")
 
 
+def _overlap(a: Column, b: Column, least: int) -> Column:
+    """Shingles that sets of these sizes share at least if their similarity is least permille."""
+    return _ceil((a + b) * least, 1000 + least)
+
+
+def _ceil(a: Column, b: int) -> Column:
+    """a / b rounded up, in whole numbers."""
+    return F.call_function("div", a + (b - 1), F.lit(b).cast("long"))
+
+
+def _prefixes(sets: DataFrame, least: int) -> DataFrame:
+    """(cls, part, n, t, pos): of each set the shingles, rarest first, that at least one must be shared of with any set as similar.
+
+    Shingles of one set alone come first and have no row; a set with enough of them is similar to no other.
+    """
+    tokens = sets.select("cls", "part", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("t"))
+    freq = common.durable(tokens.groupBy("t").agg(F.count("*").alias("df"), F.min("cls").alias("only")))
+    alone = freq.filter("df = 1").groupBy(F.col("only").alias("cls")).agg(F.count("*").alias("alone"))
+    reach = F.col("n") - _ceil(F.col("n") * least, 1000) + 1
+    open_ = tokens.join(alone, "cls", "left").withColumn("alone", F.coalesce("alone", F.lit(0).cast("long"))).filter(F.col("alone") < reach)
+    common_ = open_.join(freq.filter("df > 1").select("t", "df"), "t")
+    pos = F.col("alone") + F.row_number().over(Window.partitionBy("cls").orderBy("df", "t")) - 1
+    return common_.withColumn("pos", pos).filter(F.col("pos") < reach).select("cls", "part", "n", "t", "pos")
+
+
+def _unjoined(prefixes: DataFrame, least: int) -> DataFrame:
+    """Pairs (u, v) of sets of different parts whose prefixes allow them to be similar; prefixes have part.
+
+    At each shingle the sets outside its most frequent part meet all of its sets: two of one part need no comparison, so that a group of copies,
+    however large, meets only those that aren't in it.
+    """
+    parts = prefixes.groupBy("t", "part").agg(F.count("*").alias("m"))
+    main = parts.groupBy("t").agg(F.max_by("part", F.struct("m", "part")).alias("main"), F.count("*").alias("k")).filter("k > 1").select("t", "main")
+    held = common.durable(prefixes.join(main, "t"))
+    a, b = held.filter("part != main").alias("a"), held.alias("b")
+    once = (F.col("b.part") == F.col("b.main")) | (F.col("a.cls") > F.col("b.cls"))
+    shared = _overlap(F.col("a.n"), F.col("b.n"), least)
+    near = (F.col("a.t") == F.col("b.t")) & (F.col("a.part") != F.col("b.part")) & once & (F.col("a.pos") <= F.col("a.n") - shared) & (F.col("b.pos") <= F.col("b.n") - shared)
+    near &= F.least("a.n", "b.n") * 1000 >= F.greatest("a.n", "b.n") * least
+    return a.join(b, near).select(F.greatest("a.cls", "b.cls").alias("u"), F.least("a.cls", "b.cls").alias("v")).distinct()
+
+
 def similar_classes(rows: DataFrame, documents: DataFrame, size: int = 5, seed: int = 42, least: int = 800) -> DataFrame:
     """(cls, first, root): for every distinct text of rows, the _classes() of documents, its first row and the root of its near-duplicate group.
 
-    Texts are linked where their sets of word shingles have a Jaccard similarity of least permille or
-    more. Candidates share a band of MinHash; each is compared by its whole sets. First a bucket's
-    members are compared with its least one; then all pairs that no link joins yet, so that a large
-    group of copies doesn't cost the square of its size, and no candidate is left out.
+    Texts are linked where their sets of word shingles have a Jaccard similarity of least permille or more. Those that share a band of
+    MinHash are looked at. In each bucket all are compared, by whole sets, with the member that has the least share of rare shingles, which is
+    the one that most copies come from: that joins nearly every group. Then texts of buckets that hold several groups still are compared
+    wherever the rarest shingles of their sets allow a similarity as great (a prefix filter, which loses none).
     """
     first = F.min(F.struct("id", "h")).alias("first")
     classes = common.durable(rows.groupBy("cls").agg(first, F.any_value("n").alias("n"), F.any_value("bands").alias("bands")))
     members = classes.select("cls", "n", F.explode("bands").alias("key"))
-    groups = members.groupBy("key").agg(F.min("cls").alias("pivot"), F.count("*").alias("size")).filter("size > 1").drop("size")
+    groups = members.groupBy("key").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low < high").select("key")
     crowded = common.durable(members.join(groups, "key"))
     firsts = classes.join(crowded.select("cls").distinct(), "cls", "left_semi").select("first.id", "first.h")
     sets = common.durable(_shingle_sets(documents, firsts, size, seed))
-    sizes = classes.select(F.col("cls").alias("pivot"), F.col("n").alias("pivot_n"))
-    fit = lambda a, b: F.least(a, b) * 1000 >= F.greatest(a, b) * least  # noqa: E731  else their similarity is less
-    star = crowded.filter("cls != pivot").select("cls", "n", "pivot").distinct().join(sizes, "pivot").filter(fit(F.col("n"), F.col("pivot_n")))
-    edges = common.durable(_confirmed(star.select(F.col("cls").alias("u"), F.col("pivot").alias("v")), sets, least))
+    # an eighth of all shingles, the same ones of every set, tells which members hold few that others lack
+    some = sets.select("cls", F.explode(F.filter("shingles", lambda t: t.bitwiseAND(F.lit(7).cast("long")) == 0)).alias("t"))
+    freq = some.groupBy("t").agg(F.count("*").alias("df"), F.min("cls").alias("low"), F.max("cls").alias("high")).filter("df <= 2")
+    rare = freq.select(F.explode(F.array_distinct(F.array("low", "high"))).alias("cls")).groupBy("cls").agg(F.count("*").alias("rare"))
+    apart = F.struct((F.coalesce("rare", F.lit(0)) / F.col("n")).alias("share"), "cls", "n")
+    placed = common.durable(crowded.join(rare, "cls", "left").select("key", "cls", "n", apart.alias("apart")))
+    pivots = placed.groupBy("key").agg(F.min("apart").alias("p")).select("key", F.col("p.cls").alias("pivot"), F.col("p.n").alias("pivot_n"))
+    fit = F.least("n", "pivot_n") * 1000 >= F.greatest("n", "pivot_n") * least  # else their similarity is less
+    star = placed.join(pivots, "key").filter((F.col("cls") != F.col("pivot")) & fit).select(F.col("cls").alias("u"), F.col("pivot").alias("v")).distinct()
+    edges = common.durable(_confirmed(star, sets, least))
     found = common.durable(components(edges))
-    placed = crowded.join(found, crowded["cls"] == found["u"], "left").select("key", "cls", "n", "pivot", F.coalesce("root", "cls").alias("part"))
-    apart = placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p != q").select("key")
-    rest = common.durable(placed.join(apart, "key", "left_semi"))
-    a, b = rest.alias("a"), rest.alias("b")
-    near = (F.col("a.key") == F.col("b.key")) & (F.col("a.cls") > F.col("b.cls")) & (F.col("a.part") != F.col("b.part")) & (F.col("b.cls") != F.col("b.pivot")) & fit(F.col("a.n"), F.col("b.n"))
-    others = a.join(b, near).select(F.col("a.cls").alias("u"), F.col("b.cls").alias("v")).distinct()
+    parts = placed.select("key", "cls").join(found, placed["cls"] == found["u"], "left").select("key", "cls", F.coalesce("root", "cls").alias("part"))
+    mixed = parts.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("key")
+    rest = common.durable(parts.join(mixed, "key").select("cls", "part").distinct())
+    others = common.durable(_unjoined(_prefixes(sets.join(rest, "cls"), least), least))
     roots = components(edges.unionByName(_confirmed(others, sets, least)))
     return classes.join(roots, classes["cls"] == roots["u"], "left").select("cls", "first", F.coalesce("root", "cls").alias("root"))
 

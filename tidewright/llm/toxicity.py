@@ -14,7 +14,6 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -132,9 +131,10 @@ def train(documents: DataFrame, labels: DataFrame, modulus: int = 5, held: int =
 def scored(text: Column, evidence: Evidence) -> Column:
     """A column of document scores; null counts as empty, an empty text has the score 0."""
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([evidence.score(t) if t else 0.0 for t in texts], dtype=float)
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        common.let_go()
+        return pa.array([float(evidence.score(x.as_py() or "")) for x in texts], pa.float64())
 
     return score(text)
 
@@ -142,14 +142,17 @@ def scored(text: Column, evidence: Evidence) -> Column:
 def located(text: Column, evidence: Evidence, least: float = 0.5) -> Column:
     """The document's score and its offending sentences, as offsets in characters."""
 
-    @F.pandas_udf("score double, spans array<struct<start:int,end:int,score:double>>")
-    def locate(texts: pd.Series) -> pd.DataFrame:
-        scores, spans = [], []
+    kind = pa.struct([("score", pa.float64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])))])
+
+    @F.arrow_udf("score double, spans array<struct<start:int,end:int,score:double>>")
+    def locate(texts: pa.Array) -> pa.Array:
+        common.let_go()
+        out = []
         for t in texts:
-            found = evidence.sentences(t) if t else []
-            scores.append(1 - float(np.prod([1 - p for _, _, p in found])))
-            spans.append([{"start": a, "end": b, "score": float(p)} for a, b, p in found if p >= least])
-        return pd.DataFrame({"score": scores, "spans": spans})
+            found = evidence.sentences(t.as_py() or "")
+            spans = [{"start": a, "end": b, "score": float(p)} for a, b, p in found if p >= least]
+            out.append({"score": 1 - float(np.prod([1 - p for _, _, p in found])), "spans": spans})
+        return pa.array(out, kind)
 
     return locate(text)
 
