@@ -63,12 +63,12 @@ class Words:
             cls._shared[path] = cls(path)
         return cls._shared[path]
 
-    def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def ids(self, texts: list[str], remember: int = CACHE) -> Iterator[np.ndarray]:
         """For each text its ids and END."""
         end = np.array([END], "<u4").tobytes()
         split = [SPLIT.findall(t.lower()) if "<|" not in t and PLAIN.fullmatch(t) else None for t in texts]
         new = set().union(*(s for s in split if s is not None)) - self.known.keys()
-        if len(self.known) + len(new) > CACHE:
+        if len(self.known) + len(new) > remember:
             self.known.clear()
             new = set().union(*(s for s in split if s is not None))
         self._learn(sorted(new))
@@ -91,7 +91,7 @@ class Words:
             self.known.update((w, p.tobytes()) for w, p in zip(part, pieces, strict=True))
 
 
-def pieces(documents: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def pieces(documents: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, remember: int = CACHE) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, copy: every document cut into pieces of at most capacity ids.
 
     copy counts the rows of a task that are alike, so that rows repeated without end can be dealt to many tasks.
@@ -103,7 +103,7 @@ def pieces(documents: DataFrame, vocabulary: str | None = None, capacity: int =
         out: list[tuple] = []
         texts, docs = common.texts_of(batch.column(1)), batch.column(0).to_pylist()
         for at in range(0, len(texts), 500):
-            for doc, ids in zip(docs[at : at + 500], Words.of(path).ids(texts[at : at + 500]), strict=True):
+            for doc, ids in zip(docs[at : at + 500], Words.of(path).ids(texts[at : at + 500], remember), strict=True):
                 alike = doc, len(ids), zlib.crc32(ids.tobytes())
                 copy = seen[alike]
                 seen[alike] += 1
@@ -217,10 +217,10 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, batch_size: int = BATCH) -> D
     return ordered.mapInArrow(run, schema)
 
 
-def pack_documents(documents: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, batch: int = BATCH) -> DataFrame:
+def pack_documents(documents: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, batch: int = BATCH, remember: int = CACHE) -> DataFrame:
     """Every document's tokens in sequences of at most capacity tokens; a row for each piece.
 
     Null texts count as empty and have the end token alone. Repeated rows are packed as often as they stand
-    there. An empty table has no sequence.
+    there. An empty table has no sequence. remember bounds the words whose tokens a worker keeps: memory against time, with the same result.
     """
-    return pack(pieces(documents, vocabulary, capacity), capacity, batch)
+    return pack(pieces(documents, vocabulary, capacity, remember), capacity, batch)
