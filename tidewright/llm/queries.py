@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewright.llm import langid, lmscore, media, mixing, packing, quality, simhash, toxicity, urlfilter, vptree
+from tidewright.llm import langid, licenses, lmscore, media, mixing, packing, quality, signatures, simhash, toxicity, urlfilter, vectorcode, vptree, whitening
 from tidewright.llm.common import read
 
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -23,8 +24,6 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     found = toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return found.select("doc_id", "held_out", "score", "predicted", F.size("spans").alias("n_spans"))
 
@@ -57,8 +56,28 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(read(spark, sf_dir, "pages"), RULES)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, model = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    values = model.values.tolist() if model else []
+    told = F.array(*[F.lit(v / model.trace) for v in values]).cast("array<double>")
+    each = rows.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return each.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n if model else 0).cast("long").alias("n"), "deviation", "whitened",
+        F.get(told, F.col("at")).alias("explained"), F.lit(model.identity_error if model else 0.0).alias("identity_error"),
+    )
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, books = vectorcode.compress(read(spark, sf_dir, "embeddings"))
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"), "evaluated")
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.detect(read(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mpeg_audio, op2_language_id, op3_toxicity, op4_lm_scoring, op5_vantage_point, op6_packing, op7_quality, op8_mixing, op9_simhash, op10_url_filter)}
+    return {f.__name__: f for f in (op1_mpeg_audio, op2_language_id, op3_toxicity, op4_lm_scoring, op5_vantage_point, op6_packing, op7_quality, op8_mixing, op9_simhash, op10_url_filter, op11_whitening, op12_vector_codes, op13_license_scan)}
 
 
 def _url_sql() -> str:
@@ -111,6 +130,28 @@ SELECT doc_id, domain, lang, source, n_tokens, leaf_tokens, share, (epochs + CAS
 FROM r LEFT JOIN cut USING (domain, lang, source)"""
 
 
+def _license_sql() -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    rules = ", ".join(f"({r.number}, {quoted(r.label)}, {r.level}, {quoted(k)}, {quoted(r.pattern)})" for r in licenses.rules() for k in r.keywords)
+    phrases = ", ".join(f"({quoted(p)}, {quoted(label)})" for p, label in signatures.PHRASES.items())
+    return f"""
+WITH rules(rule, label, level, keyword, pattern) AS (VALUES {rules}),
+phrases(phrase, label) AS (VALUES {phrases}),
+d AS (SELECT row_number() OVER () AS uid, doc_id, trim(regexp_replace(translate(coalesce(text, ''), '{urlfilter.UPPER}', '{urlfilter.LOWER}'), '{licenses.BETWEEN}', ' ', 'g'), ' ') AS t FROM documents),
+w AS (SELECT uid, doc_id, CASE WHEN t = '' THEN []::VARCHAR[] ELSE string_split(t, ' ') END AS words FROM d),
+each AS (SELECT uid, words, unnest(range(len(words))) AS i FROM w),
+base AS (SELECT uid, i, p.label FROM each JOIN phrases p ON words[i + 1] = string_split(p.phrase, ' ')[1] AND array_to_string(words[i + 1:i + len(string_split(p.phrase, ' '))], ' ') = p.phrase),
+met AS (SELECT uid, i, r.*, regexp_extract(array_to_string(words[i + 1:i + {licenses.REACH}], ' ') || ' ', pattern) AS m FROM each JOIN rules r ON words[i + 1] = r.keyword),
+det AS (SELECT uid, rule, label, level, i AS a, i + length(m) - length(replace(m, ' ', '')) AS b FROM met WHERE m <> ''),
+kept AS (SELECT * FROM det x WHERE NOT EXISTS (SELECT 1 FROM det y WHERE y.uid = x.uid AND y.a <= x.a AND y.b >= x.b AND y.level >= x.level AND (y.level > x.level OR y.b - y.a > x.b - x.a OR y.rule < x.rule))),
+told AS (SELECT uid, label, level / {licenses.LEVELS} AS score FROM kept UNION ALL SELECT uid, label, 0.4 FROM base),
+by_text AS (SELECT uid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score FROM told GROUP BY uid),
+by_base AS (SELECT uid, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY uid)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM w LEFT JOIN by_text USING (uid) LEFT JOIN by_base USING (uid)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """For the queries that SQL can express; the others have brute-force tests."""
-    return {"op8_mixing": _mix_sql(), "op10_url_filter": _url_sql()}
+    return {"op8_mixing": _mix_sql(), "op10_url_filter": _url_sql(), "op13_license_scan": _license_sql()}
