@@ -375,10 +375,26 @@ def test_toxicity_query_matches_brute_force(spark, documents, labels):
         assert got[r["doc_id"]]["score"] == pytest.approx(1 - none, abs=1e-12) and got[r["doc_id"]]["n_spans"] == n
 
 
-def test_long_documents_train_with_a_bounded_bag():
-    text = ". ".join(f"sentence {i} of many" for i in range(5000))
-    own = toxicity.bag(text)
-    assert len(own) == toxicity.SENTENCES_EACH and len(set(own) & set(toxicity.bag(text, 10**6)[-2500:])) > 500
+def test_every_sentence_of_a_long_document_trains(spark):
+    """The offending sentence of each toxic document stands behind thousands of others; equal sentences count as often as they stand there."""
+    filler = ". ".join(f"sentence {i} of many" for i in range(3000))
+    docs = [(i, f"{filler}. {'you are vile.' if i % 2 else 'you are kind.'}" + " and so on." * (i % 4), "en", "s", 1) for i in range(1, 25) if i % 5]
+    marked = spark.createDataFrame([(d[0], d[0] % 2) for d in docs], "doc_id long, toxic int")
+    table = spark.createDataFrame(docs, DOC)
+    own = [d for d in docs if zlib.crc32(str(d[0]).encode()) % 5]
+    assert len(toxicity.bag(docs[0][1])) == 3001 + docs[0][0] % 4
+    e = toxicity.train(table, marked)
+    assert e.weights == pytest.approx(toxicity.fit([toxicity.bag(d[1]) for d in own], np.array([d[0] % 2 for d in own])).weights) and e.weights["vile"] > 0
+
+
+def test_sentences_counted_fit_as_sentences_repeated():
+    rng = np.random.default_rng(11)
+    bags = [[f"w{i} w{j}" for i, j in rng.integers(0, 9, (6, 2)) if i != j] for _ in range(40)]
+    y = np.array([int(any("w3" in b.split() for b in own)) for own in bags])
+    counts = [__import__("collections").Counter(b) for b in bags]
+    want = toxicity.fit(bags, y, smallest=0.1).weights
+    got = toxicity.fit([list(c) for c in counts], y, [list(c.values()) for c in counts], smallest=0.1).weights
+    assert got == pytest.approx(want) and got
 
 
 @pytest.mark.parametrize("operator", [quality, toxicity])
@@ -437,14 +453,14 @@ def test_lm_matches_brute_force(spark, documents, order):
     own = documents.filter("doc_id < 120")
     texts = {r["doc_id"]: r["text"] or "" for r in rows(own)}
     want = dict(zip(texts, brute_lm(list(texts.values()), order, 2), strict=True))
-    got = {r["doc_id"]: r["score"] for r in rows(lmscore.score_documents(own.repartition(5), order))}
+    got = {r["doc_id"]: r["score"] for r in rows(lmscore.score_documents(own.repartition(5), order, 2))}
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-6) for k in want)
 
 
 def test_lm_query_matches_brute_force_at_its_default(spark, documents):
     """The registered query over its whole table, at the default order of three."""
     texts = {r["doc_id"]: r["text"] or "" for r in rows(documents)}
-    want = dict(zip(texts, brute_lm(list(texts.values()), 3, 2), strict=True))
+    want = dict(zip(texts, brute_lm(list(texts.values()), 3, 1), strict=True))
     got = {r["doc_id"]: r["score"] for r in rows(queries.op4_lm_scoring(spark, SF))}
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-6) for k in want)
 
@@ -778,6 +794,26 @@ def test_rules_beyond_the_bits_are_joined_with_the_same_verdicts(spark):
     assert got == want and len(got) == more.count()
 
 
+@pytest.mark.parametrize("max_bits", [64, 128, 512, 4096])
+def test_false_positives_beyond_a_level(spark, max_bits):
+    """Level 1 of this corpus needs more bits than a level may have: level 0 gets a lower rate, or the rules are joined; verdicts stay."""
+    more = [(i, f"http://h{i}.org/en/{i % 7}/x") for i in range(4000)] + [(10**6, "http://example.org/es/1")]
+    pages = spark.createDataFrame(more, "page_id long, url string")
+    want, got = (sorted(map(str, rows(urlfilter.judge(pages, queries.RULES, max_bits=m, first_rate=0.4)))) for m in (urlfilter.MAX_BITS, max_bits))
+    assert got == want and len(got) == len(more)
+
+
+def test_level_zero_is_built_again_for_a_lower_rate(spark, monkeypatch):
+    monkeypatch.setattr(urlfilter, "FIRST_BITS", 64)
+    every = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("key"))
+    listed = every.filter("crc32(key) % 400 = 0")
+    cascade = urlfilter.Cascade.build(listed, every, first_rate=0.5, max_bits=1024)
+    assert all(level.bits <= 1024 for level in cascade.levels) and cascade.levels[0].hashes > 2
+    assert every.filter(cascade.contains(F.col("key")) != (F.expr("crc32(key) % 400 = 0"))).count() == 0
+    with pytest.raises(urlfilter.TooLarge):
+        urlfilter.Cascade.build(every.limit(3000), every, first_rate=0.5, max_bits=1024)
+
+
 def test_urls_odd(spark):
     twice = spark.createDataFrame([(1, "http://x.com/de/", "a", "b"), (1, "http://x.com/de/", "a", "b"), (None, "http://x.com/fr/", "a", "b")], "page_id long, url string, URL string, rule string")
     assert sorted((r["page_id"] or 0, r["rule"], r["verdict"]) for r in rows(urlfilter.judge(twice, queries.RULES))) == [(0, "com/fr/", "allow"), (1, "com/de/", "block"), (1, "com/de/", "block")]

@@ -234,12 +234,12 @@ def _sum(table: pa.Table, order: int, least: int, width: int) -> pa.Table:
     return pa.table({"row": pa.array(head["rows"], pa.int64()), "doc_id": pa.array(head["docs"], pa.int64()), "n_tokens": pa.array(lengths), "score": pa.array(sums)})
 
 
-def score_documents(documents: DataFrame, order: int = 3, least: int = 2) -> DataFrame:
+def score_documents(documents: DataFrame, order: int = 3, least: int = 1) -> DataFrame:
     """doc_id, n_tokens, score (sum of natural logarithms), mean (score for each word; null without one).
 
     Words are what white space separates in the lower-cased text. A text begins with one mark that is
-    context for its first word; n-grams don't reach further back. The counts hold the scored documents
-    themselves, so an n-gram seen less than `least` times backs off: one that occurs nowhere else has nothing to say of its document.
+    context for its first word; n-grams don't reach further back. An n-gram that is counted less than `least` times
+    backs off. The counts hold the scored documents themselves, so with one each of their n-grams is found; two lets those back off that occur nowhere else.
     Null and empty texts have no word and score 0. Very long texts are split at white space and summed
     up again. Repeated rows count and stay repeated. An empty table gives no rows.
     """

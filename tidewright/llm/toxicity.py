@@ -10,7 +10,7 @@ document doesn't add up to a toxic one. Sentences of probability 0.5 or more are
 from __future__ import annotations
 
 import re
-import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from tidewright.llm import common
 from tidewright.llm.quality import labelled
 
-#: Labelled documents to fit on, at most, and sentences of one of them, at most: those with the least hashes of its whole text.
-SAMPLE, SENTENCES_EACH = 4000, 2000
+#: Labelled documents to fit on, at most; every sentence of theirs counts.
+SAMPLE = 4000
+#: Features in fewer of these documents are left out.
+RAREST = 5
 WORDS = re.compile(r"[^\W_]+")
 SENTENCES = re.compile(r"[^.!?\n]+[.!?\n]*|[.!?\n]+")
 
@@ -71,44 +73,47 @@ class Evidence:
         return 1 - none
 
 
-def bag(text: str, most: int = SENTENCES_EACH) -> list[str]:
-    """The features of each sentence that has some, as one text with spaces between; at most so many sentences, by hash."""
-    out = [" ".join(sorted(own)) for m in SENTENCES.finditer(text) if (own := features(m[0]))]
-    if len(out) > most:
-        chosen = sorted(range(len(out)), key=lambda i: (zlib.crc32(out[i].encode("utf-8", "surrogatepass")), i))[:most]
-        out = [out[i] for i in sorted(chosen)]
-    return out
+def bag(text: str, known: frozenset[str] | None = None) -> list[str]:
+    """The features (of the known ones, if they are given) of each sentence that has some, as one text with spaces between."""
+    own = (features(m[0]) for m in SENTENCES.finditer(text))
+    return [" ".join(sorted(x)) for x in (o if known is None else o & known for o in own) if x]
 
 
-def fit(bags: list[list[str]], y: np.ndarray, rounds: int = 120, rate: float = 0.1, l1: float = 4e-4, bias: float = -6.0, rarest: int = 5, smallest: float = 2.0) -> Evidence:
-    """Weights from each document's bag() and its label. Words in fewer than `rarest` documents, and weights under `smallest`, are left out."""
+def fit(bags: list[list[str]], y: np.ndarray, times: list[list[int]] | None = None, rounds: int = 120, rate: float = 0.1, l1: float = 4e-4, bias: float = -6.0, rarest: int = RAREST, smallest: float = 2.0) -> Evidence:
+    """Weights from each document's bag() and its label; times says how often a document has each of its sentences (unset: once).
+
+    Words in fewer than `rarest` documents, and weights under `smallest`, are left out. As in scoring, a sentence without any word left has probability zero.
+    """
     ids: dict[str, int] = {}
-    word, sentence, document = [], [], []
+    word, sentence, document, often = [], [], [], []
     for d, own in enumerate(bags):
-        for features_ in own:
+        for i, features_ in enumerate(own):
             names = features_.split(" ")
             word += [ids.setdefault(w, len(ids)) for w in names]
             sentence += [len(document)] * len(names)
             document.append(d)
+            often.append(times[d][i] if times else 1)
     if not word or y.min() == y.max():
         return Evidence({}, bias)
-    w, s, d = np.array(word), np.array(sentence), np.array(document)
+    w, s, d, c = np.array(word), np.array(sentence), np.array(document), np.array(often, float)
     df = np.bincount(np.unique(d[s] * len(ids) + w) % len(ids), minlength=len(ids))
     kept = df >= rarest
     new = np.cumsum(kept) - 1
     s, w = s[kept[w]], new[w[kept[w]]]
     names = np.array(list(ids), object)[kept]
     v, n, docs = len(names), len(document), len(bags)
+    told = np.zeros(n)
+    told[s] = 1.0
     theta, m1, m2 = np.zeros(v), np.zeros(v), np.zeros(v)
     weight = np.where(y == 1, 1.0, 2.0) / docs  # a clean document taken for toxic counts twice
     for t in range(1, rounds + 1):
         z = bias + np.bincount(s, theta[w], n)
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        log_none = np.bincount(d, np.log1p(-np.minimum(p, 1 - 1e-12)), docs)
+        p = told / (1 + np.exp(-np.clip(z, -30, 30)))
+        log_none = np.bincount(d, c * np.log1p(-np.minimum(p, 1 - 1e-12)), docs)
         doc = -np.expm1(log_none)
         # derivative of the log likelihood: toxic documents pull by (1-P)/P, clean ones push by -1
         pull = np.where(y == 1, (1 - doc) / np.maximum(doc, 1e-12), -1.0) * weight
-        grad = np.bincount(w, (pull[d] * p)[s], v)
+        grad = np.bincount(w, (pull[d] * p * c)[s], v)
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.99 * m2 + 0.01 * grad**2
         step = rate / (np.sqrt(m2 / (1 - 0.99**t)) + 1e-4)
         theta = theta + step * m1 / (1 - 0.9**t)
@@ -118,14 +123,26 @@ def fit(bags: list[list[str]], y: np.ndarray, rounds: int = 120, rate: float = 0
 
 
 def train(documents: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0, sample: int = SAMPLE) -> Evidence:
-    """Weights from at most `sample` labelled documents; the features of their sentences are collected, SENTENCES_EACH of a document at most."""
+    """Weights from at most `sample` labelled documents, with all their sentences.
+
+    Spark counts first in how many of them each feature is. Then each document sends its sentences, reduced to the features of enough documents;
+    equal ones are counted, those that keep none are nothing to the fit. So what a long document sends is bounded by its different sentences.
+    """
+    own = common.durable(labelled(documents, labels, "toxic", sample, modulus, held))
+
+    def words(batch: pa.RecordBatch) -> pa.RecordBatch:
+        every = [sorted(set().union(*(b.split(" ") for b in bag(t)))) for t in common.texts_of(batch.column(1))]
+        return pa.record_batch([pa.array([w for e in every for w in e], pa.string())], ["feature"])
+
+    counted = common.map_arrow(own, words, "feature string").groupBy("feature").count().filter(F.col("count") >= RAREST)
+    known = frozenset(r["feature"] for r in counted.select("feature").collect())
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        bags = [bag(t) for t in common.texts_of(batch.column(1))]
-        return pa.record_batch([batch.column(0), batch.column(2).cast(pa.int32()), pa.array(bags, pa.list_(pa.string()))], ["doc_id", "y", "bag"])
+        bags = [Counter(bag(t, known)) for t in common.texts_of(batch.column(1))]
+        return pa.record_batch([batch.column(0), batch.column(2).cast(pa.int32()), pa.array([list(b) for b in bags], pa.list_(pa.string())), pa.array([list(b.values()) for b in bags], pa.list_(pa.int32()))], ["doc_id", "y", "bag", "times"])
 
-    rows = common.map_arrow(labelled(documents, labels, "toxic", sample, modulus, held), each, "doc_id long, y int, bag array<string>").toPandas().sort_values("doc_id")
-    return fit([list(x) for x in rows["bag"]], rows["y"].to_numpy(int)) if len(rows) else Evidence({}, -6.0)
+    rows = common.map_arrow(own, each, "doc_id long, y int, bag array<string>, times array<int>").toPandas().sort_values("doc_id")
+    return fit([list(x) for x in rows["bag"]], rows["y"].to_numpy(int), [list(x) for x in rows["times"]]) if len(rows) else Evidence({}, -6.0)
 
 
 def scored(text: Column, evidence: Evidence) -> Column:
@@ -160,8 +177,8 @@ def located(text: Column, evidence: Evidence, least: float = 0.5) -> Column:
 def score_documents(documents: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score (0 to 1), predicted, spans, of every document.
 
-    Null, empty and very long texts are scored like others, as a whole; repeated rows stay repeated.
-    Without labels of both kinds every score is 0.
+    Null, empty and very long texts are scored like others, as a whole; repeated rows stay repeated; an empty table gives no rows; extra columns are
+    ignored. Without labels of both kinds every score is 0.
     """
     evidence = train(documents, labels, modulus, held, sample)
     own = common.pick(documents, "doc_id", "text")
@@ -170,7 +187,10 @@ def score_documents(documents: DataFrame, labels: DataFrame, modulus: int = 5, h
 
 
 def keep_clean(documents: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0, sample: int = SAMPLE) -> DataFrame:
-    """The documents with a score under 0.5, all their columns, also those whose names differ in case only."""
+    """The documents with a score under 0.5, all their columns, also those whose names differ in case only.
+
+    A null or empty text has score 0 and stays; very long ones are scored as a whole; repeated rows stay or go together; an empty table stays empty.
+    """
     evidence = train(documents, labels, modulus, held, sample)
     plain, at = common.numbered(documents)
     return plain.withColumn("score", scored(F.col(at["text"]), evidence)).filter("score < 0.5").drop("score").toDF(*documents.columns)

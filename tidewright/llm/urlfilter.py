@@ -6,9 +6,10 @@ cascade encodes the listed keys; level 1 the keys of the corpus that pass level
 listed; level 2 the listed keys that pass level 1; and so on until no false positive is left. As
 all keys of the corpus went into it, membership is exact for every one of them.
 
-Everything is DataFrame expressions. Only bit arrays reach the driver; their size is checked: a list whose arrays
-would be larger than that is looked up by a join of the distinct keys instead, with the same verdicts. The
-corpus is read once for the false positives of level 0; they are made distinct with partial
+Everything is DataFrame expressions. Only bit arrays reach the driver, of bounded size: where a corpus leaves more false
+positives of level 0 than level 1 can hold, level 0 is built again for as much lower a rate. A list that the bound can't hold
+is looked up by a join of the distinct keys instead, with the same verdicts. The
+corpus is read once for the false positives of a level 0; they are made distinct with partial
 aggregation, so that a host with a third of all rows sends one row from each task.
 """
 
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from tidewright.llm import common
 
 MAX_BITS = 1 << 24  # of a level: 2 MiB
+FIRST_BITS = 1 << 16  # of level 0 at least, as far as the bound allows: so few bits of a small list leave it hardly a false positive
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -60,20 +62,27 @@ class Cascade:
 
     @classmethod
     def build(cls, listed: DataFrame, universe: DataFrame, first_rate: float = 0.01, rate: float = 0.5, max_bits: int = MAX_BITS) -> Cascade:
-        """listed and universe have a column key. max_bits bounds every level (2 MiB each as set)."""
+        """listed and universe have a column key. max_bits bounds every level (2 MiB each as set); TooLarge where they can't hold the list."""
         levels: list[Level] = []
         include = common.durable(listed.filter("key is not null").distinct())
         n_in, exclude = include.count(), None
         while n_in:
-            level = _level(include, n_in, rate if levels else first_rate, len(levels) * 2 + 1, max_bits)
-            levels.append(level)
+            own, n_own = include, n_in
+            level = _level(own, n_own, rate if levels else first_rate, len(levels) * 2 + 1, max_bits, 64 if levels else min(FIRST_BITS, max_bits))
             if exclude is None:
                 passing = universe.select("key").filter(F.col("key").isNotNull() & level.passes(F.col("key")))
-                wrong = passing.distinct().join(include, "key", "left_anti")
+                wrong = passing.distinct().join(own, "key", "left_anti")
             else:
                 wrong = exclude.filter(level.passes(F.col("key")))
-            include, exclude = common.durable(wrong), include
-            n_in = include.count()
+            found = common.durable(wrong)
+            n_in = found.count()
+            if exclude is None and _bits(n_in, rate) > max_bits:
+                # so many false positives: level 0 once more, at the rate that leaves half of what level 1 holds
+                first_rate *= max_bits / (2 * _bits(n_in, rate))
+                n_in = n_own
+                continue
+            levels.append(level)
+            include, exclude = found, own
         return cls(levels)
 
     def contains(self, key: Column) -> Column:
@@ -84,11 +93,15 @@ class Cascade:
         return out
 
 
-def _level(keys: DataFrame, n: int, rate: float, seed: int, max_bits: int) -> Level:
+class TooLarge(ValueError):
+    """A level needs more bits than are allowed."""
+
+
+def _level(keys: DataFrame, n: int, rate: float, seed: int, max_bits: int, least: int = 64) -> Level:
     hashes = max(1, round(-math.log2(rate)))
-    bits = _bits(n, rate)
+    bits = max(least // 64 * 64, _bits(n, rate))
     if bits > max_bits:
-        raise ValueError(f"a level needs {bits} bits; max_bits is {max_bits}")
+        raise TooLarge(f"a level needs {bits} bits; max_bits is {max_bits}")
     level = Level((), bits, hashes, seed)
     at = keys.select(F.explode(F.array(*level.positions(F.col("key")))).alias("p"))
     rows = at.groupBy(F.floor(F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("p") % 64).cast("int"))).alias("b")).collect()
@@ -131,7 +144,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], default: str = "a
     rule (of host and path together; then of host) decides. Of one host and path with both verdicts
     block counts. Where no rule fits, so where the cascade lists none of the url's keys, rule is null and
     the verdict is default. Null urls and urls without :// have no host and fit no rule. Very long urls are read as a whole; repeated
-    rows stay repeated; an empty table gives no rows; extra columns are ignored. Rules beyond what max_bits hold are joined.
+    rows stay repeated; an empty table gives no rows; extra columns are ignored. Where levels of max_bits can't hold the rules
+    or their false positives, the rules are joined.
     """
     for verdict, _, path in rules:
         if verdict not in ("allow", "block") or (path and not path.startswith("/")):
@@ -147,8 +161,11 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], default: str = "a
     own = keys(F.col("host"), F.col("path"), lengths)
     if _bits(len({h + p for _, h, p in rules}), first_rate) > max_bits:
         return _joined(urls, own, listed, blocked, default)
-    member = Cascade.build(listed, urls.select(F.explode(own).alias("key")), first_rate)
-    barred = Cascade.build(blocked, listed, first_rate)
+    try:
+        member = Cascade.build(listed, urls.select(F.explode(own).alias("key")), first_rate, max_bits=max_bits)
+        barred = Cascade.build(blocked, listed, first_rate, max_bits=max_bits)
+    except TooLarge:
+        return _joined(urls, own, listed, blocked, default)
     fitting = F.filter(own, member.contains)
     best = F.array_max(F.transform(fitting, lambda k: F.struct(F.char_length(k).alias("n"), F.char_length(F.substring_index(k, "/", 1)).alias("h"), k.alias("key"))))
     found = urls.withColumn("rule", best["key"])
