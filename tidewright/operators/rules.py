@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.quantize import floor_div, to_permille
 
-#: Transmitter, sequence, date, time, variant of a recorder's file name. Fixed form.
-NAME = r"^TX([0-9]{2})_MIC([0-9]{3})_([0-9]{8})_([0-9]{6})_(orig|edit)$"
+#: Transmitter, sequence, date, time, variant of a recorder's file name, in any case. Fixed form.
+NAME = r"(?i)^TX([0-9]{2})_MIC([0-9]{3,})_([0-9]{8})_([0-9]{6})_(orig|edit)$"
 DAY_MS = 86_400_000
 
 
@@ -23,10 +23,24 @@ def notes(codes: Sequence[tuple[Column, str]]) -> Column:
 
 
 def parse_filename(name: Column) -> Column:
-    """(tx, sequence, named_date, named_time, variant); of another form all null and variant by its ending, else unknown."""
+    """(tx, sequence, named_date, named_time, variant); of another form all null and variant by its ending, else unknown.
+
+    A date or time that there isn't is null; the rest of the name still counts.
+    """
     part = lambda i: F.nullif(F.regexp_extract(name, NAME, i), F.lit(""))
-    variant = F.when(name.endswith("_orig"), "orig").when(name.endswith("_edit"), "edit").otherwise("unknown")
-    return F.struct(part(1).alias("tx"), part(2).cast("int").alias("sequence"), part(3).alias("named_date"), part(4).alias("named_time"), variant.alias("variant"))
+    low = F.lower(name)
+    variant = F.when(low.endswith("_orig"), "orig").when(low.endswith("_edit"), "edit").otherwise("unknown")
+    date = F.when(F.try_to_timestamp(part(3), F.lit("yyyyMMdd")).isNotNull(), part(3))
+    clock = part(4)
+    real = (F.substring(clock, 1, 2) < "24") & (F.substring(clock, 3, 2) < "60") & (F.substring(clock, 5, 2) <= "61")
+    return F.struct(part(1).alias("tx"), part(2).try_cast("int").alias("sequence"), date.alias("named_date"), F.when(real, clock).alias("named_time"), variant.alias("variant"))
+
+
+def sequence_steps(rows: DataFrame) -> DataFrame:
+    """session, track, n, following: where a track's counter jumps by more than one. Null counters say nothing."""
+    own = rows.filter("n is not null")
+    following = F.lead("n").over(Window.partitionBy("session", "track").orderBy("n"))
+    return own.withColumn("following", following).filter(F.col("following") - F.col("n") > 1)
 
 
 def unconfigured(sources: DataFrame, used: DataFrame, key: str) -> DataFrame:

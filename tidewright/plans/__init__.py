@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewright.plans import flows, intervals, media, session  # noqa: F401
+from tidewright.plans import flows, intervals, media, session, sessions  # noqa: F401
 from tidewright.plans.registry import QUERIES, SQL
 
 

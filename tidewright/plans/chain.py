@@ -13,22 +13,25 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
 from tidewright.functions import text as X
+from tidewright.functions import timecode as C
 from tidewright.operators import activity as D
+from tidewright.operators import discovery as V
 from tidewright.operators import intervals as I
 from tidewright.operators import loudness as L
 from tidewright.operators import rules as R
 from tidewright.operators import sequences as S
 from tidewright.operators import signal as G
+from tidewright.operators import starts as O
 from tidewright.operators import syncqa as Y
 from tidewright.operators import transcript as T
 from tidewright.plans.stages import Report, StageCache, identity
 from tidewright.sources.files import write_json
-from tidewright.sources.recordings import inspect, track_windows
+from tidewright.sources.recordings import inspect, inventory, track_windows
 from tidewright.sources.riff import write_windows
 from tidewright.sources.shared import durable
 
@@ -51,31 +54,106 @@ class Settings:
     fall: float = 0.02
     join_gap_ms: int = 350
     models: str = "scripted"
+    #: Directories of the tracks, in their order; none: a track for each transmitter that file names tell of.
+    tracks: tuple[str, ...] = ()
+    active: tuple[int, ...] | None = None
+    allow_processed: bool = False
+    frame_rate: str = "30F"
+    origin_timecode: str | None = None
+    origin_date: str | None = None
+    rollover: str = "infer_forward"
+    overlap: str = "reject"
+    bwf_quantum: int = 1600
+    #: path (below the folder), and of sha256, recording_date, start_timecode, start_offset, reason those that are stated.
+    overrides: tuple[dict, ...] = ()
+
+
+def discovered(spark: SparkSession, folder: str, settings: Settings) -> tuple[DataFrame, V.Discovery]:
+    """(facts of every .wav file with its relative path, what discovery decides about them).
+
+    Tracks are the configured directories; without any, each transmitter of a file name is one, as if its files lay in a directory of their own.
+    """
+    found = durable(inspect(spark, folder).join(inventory(spark, folder).select("path", "relative"), "path"))
+    every = inventory(spark, folder).join(found.select("path", "sha256", "tx"), "path", "left")
+    if settings.tracks:
+        tracks = spark.createDataFrame([("session", i + 1, t) for i, t in enumerate(settings.tracks)], "session string, track long, input string")
+    else:
+        every = every.withColumn("relative", F.when(F.col("tx").isNull(), F.col("relative")).otherwise(F.concat(F.lit("TX"), F.col("tx"), F.lit("/"), F.col("relative"))))
+        found = found.withColumn("relative", F.when(F.col("tx").isNull(), F.col("relative")).otherwise(F.concat(F.lit("TX"), F.col("tx"), F.lit("/"), F.col("relative"))))
+        tracks = found.filter("tx is not null").select(F.lit("session").alias("session"), F.col("tx").cast("long").alias("track"), F.concat(F.lit("TX"), "tx").alias("input")).distinct()
+    rules = spark.createDataFrame([("session", settings.allow_processed, list(settings.active) if settings.active is not None else None)], "session string, allow_processed boolean, active array<long>")
+    files = every.select(F.lit("session").alias("session"), F.col("relative").alias("path"), "sha256")
+    told = _overrides(spark, settings)
+    if not settings.tracks:  # an override names the file where it really is
+        told = told.join(every.select(F.substring_index("path", "/", -1).alias("_name"), F.col("relative").alias("_relative")), F.col("path") == F.col("_name"), "left").withColumn("path", F.coalesce("_relative", "path")).drop("_name", "_relative")
+    return found, V.discover(files, tracks, rules, told.select(F.lit("session").alias("session"), "path"))
+
+
+def _overrides(spark: SparkSession, settings: Settings) -> DataFrame:
+    rows = [(o["path"], o.get("sha256"), o.get("recording_date"), o.get("start_timecode"), o.get("start_offset"), o.get("reason"), True) for o in settings.overrides]
+    return spark.createDataFrame(rows, "path string, override_sha256 string, recording_date date, start_timecode string, start_offset long, reason string, overridden boolean")
+
+
+def sources_of(spark: SparkSession, folder: str, report: Report, settings: Settings | None = None) -> DataFrame:
+    """Selected, usable sources with their track; each other file is a decision of the report. What can't go on is refused by its code."""
+    found, told = discovered(spark, folder, settings or Settings())
+    refused(told.refusals, "code", "subject")
+    roles = told.sources.select(F.col("path").alias("relative"), "track", "role", "reason")
+    own = durable(found.join(roles, "relative", "left"))
+    good = own.filter((F.col("role") == "selected") & R.usable([F.array_contains("wrong", "unreadable"), F.col("samples") == 0]))
+    why = F.when(F.size("wrong") > 0, F.concat_ws(",", "wrong")).otherwise(F.coalesce("reason", F.lit("empty")))
+    for r in own.join(good.select("path"), "path", "left_anti").select("name", why.alias("wrong")).toLocalIterator():
+        report.decide("source_ignored", name=r["name"], wrong=r["wrong"])
+    codec = F.when(F.col("floating") & (F.col("bits") == 32), "pcm_f32le").when(~F.col("floating"), F.concat(F.lit("pcm_s"), F.col("bits").cast("string"), F.lit("le")))
+    checked = O.unfit(good.withColumns({"codec": codec, "session": F.lit("session")}), ["session"], "track")
+    refused(checked.filter("unfit is not null"), "unfit", "name")
+    return good.drop("role", "reason")
 
 
-def sources_of(spark: SparkSession, folder: str, report: Report) -> DataFrame:
-    """Usable sources with their track; what can't be used is a decision of the report. Files of more than one rate are refused."""
-    found = durable(inspect(spark, folder))
-    good = found.filter(R.usable([F.col("tx").isNull(), F.array_contains("wrong", "unreadable"), F.col("samples") == 0]))
-    for r in found.join(good.select("path"), "path", "left_anti").select("name", F.concat_ws(",", "wrong").alias("wrong")).toLocalIterator():
-        report.decide("source_ignored", name=r["name"], wrong=r["wrong"])
-    rates = R.mixed(good.withColumn("all", F.lit(0)), "all", "rate", "rates")
-    if not rates.isEmpty() or good.filter(F.col("rate") != RATE).limit(1).count():
-        raise ValueError(f"mixed_rates: every source must have {RATE} Hz")
-    return good.withColumn("track", F.col("tx").cast("long"))
+def refused(rows: DataFrame, code: str, subject: str) -> None:
+    """Raises by the first code, with how many rows there are and some of their subjects."""
+    n = rows.groupBy(code).agg(F.count("*").alias("n"), F.min(subject).alias("first")).orderBy(code).limit(1).collect()
+    if n:
+        raise ValueError(f"{n[0][code]}: {n[0]['n']}, such as {n[0]['first']}")
+
+
+def started(sources: DataFrame, settings: Settings) -> DataFrame:
+    """Adds the start of each source, by the strategies that the settings and its own tags give."""
+    relative = F.col("relative") if "relative" in sources.columns else F.substring_index("path", "/", -1)
+    told = _overrides(sources.sparkSession, settings).withColumnRenamed("path", "_path")
+    named = sources.withColumn("_relative", relative)
+    if not settings.tracks:
+        named = named.withColumn("_relative", F.substring_index("_relative", "/", -1))
+    joined = named.join(told, F.col("_relative") == F.col("_path"), "left").drop("_path", "_relative")
+    return O.start_times(joined.withColumn("time_reference", F.col("reference").cast("string")), F.lit(settings.frame_rate), F.lit(settings.bwf_quantum))
 
 
-def timeline(sources: DataFrame) -> tuple[DataFrame, int]:
-    """(entries, length): every file's place in the session, in samples of its least time reference.
+def timeline(sources: DataFrame, settings: Settings | None = None, report: Report | None = None, warp: Callable[[Column, Column], Column] = O.identity) -> tuple[DataFrame, int]:
+    """(entries, length): every file's place in the session, in samples.
 
-    Files that would overlap the one before on their track are shifted behind it.
+    Its start is what the first strategy with an answer says; the day it belongs to is settled by the origin rules; chunks that overlap within
+    their evidence's resolution are shifted, others by policy. What can't be settled is refused by its code.
     """
-    zero = sources.agg(F.min("reference")).first()[0]
-    if zero is None:
-        raise ValueError("no_timecode: no source has a time reference")
-    start = F.coalesce(F.col("reference") - F.lit(zero), F.lit(0).cast("long"))
-    entries = durable(I.layout(sources.withColumn("start", start), ["track"], ["start", "sequence", "path"], "start", "samples"))
-    return entries, int(entries.agg(F.max(F.col("placed") + F.col("samples"))).first()[0])
+    settings = settings or Settings()
+    begun = durable(started(sources, settings))
+    refused(begun.filter("refusal is not null"), "refusal", "name")
+    rate = C.frame_rate(F.lit(settings.frame_rate))
+    code = C.parse(F.lit(settings.origin_timecode).cast("string"), rate)
+    zero = C.frame_index(code, rate) * rate["den"] * F.expr(f"{O.FLICK}L") / rate["num"]
+    own = begun.drop("refusal").withColumns({"session": F.lit("session"), "zero": zero.cast("long"), "origin_date": F.lit(settings.origin_date).cast("date"), "rollover": F.lit(settings.rollover)})
+    placed = durable(O.origin(own, ["session"], "track", "path", warp))
+    refused(placed.filter("refusal is not null").select("refusal", "name"), "refusal", "name")
+    laid = durable(O.lay_out(placed, ["session"], "track", "path", "samples", F.lit(settings.overlap)))
+    refused(laid.filter("verdict = 'chunk_overlap'"), "verdict", "name")
+    length = laid.agg(F.max(F.col("placed") + F.col("samples"))).first()[0]
+    if length is None:
+        raise ValueError("no_sources: nothing to lay out")
+    if report:
+        for r in placed.select("name", F.explode("notes").alias("code")).union(laid.filter("verdict is not null").select("name", "verdict")).groupBy("code").agg(F.count("*").alias("n"), F.min("name").alias("first")).collect():
+            report.decide(r["code"], sources=r["n"], first=r["first"])
+        if length > O.PLAUSIBLE * RATE:
+            report.decide("implausible_session_span", samples=length)
+    return laid.drop("session"), int(length)
 
 
 def derived(windows: DataFrame) -> DataFrame:
@@ -166,12 +244,10 @@ def run(spark: SparkSession, folder: str, out: str, detector: Callable[[], D.Act
     state: dict[str, Any] = {}
 
     def prepare() -> None:
-        sources = sources_of(spark, folder, report)
-        entries, length = timeline(sources)
+        sources = sources_of(spark, folder, report, settings)
+        entries, length = timeline(sources, settings, report)
         known = sorted((r["name"], r["sha256"], r["placed"]) for r in entries.select("name", "sha256", "placed").collect())
         state.update(entries=entries, length=length, key=[list(k) for k in known])
-        for r in entries.filter("overlap > 0").select("name", "overlap").collect():
-            report.decide("chunk_shifted", name=r["name"], samples=r["overlap"])
 
     def kept(name: str, build: Callable[[], DataFrame], **more: Any) -> DataFrame:
         return cache.of(identity(name, 1, "", sources=state["key"], **more), build)

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 import numpy as np
 
 from tidewright.functions import waveform as W
+from tidewright.functions.timecode import FRAME_RATES
 from tidewright.sources.riff import wav_header
 
 RATE = W.RATE
@@ -60,7 +61,7 @@ def canonical(seconds: int = 40) -> Session:
 
 
 def name(session: Session, chunk: Chunk, variant: str = "orig") -> str:
-    second = (session.origin + chunk.start) // RATE
+    second = (session.origin + chunk.start) // RATE % 86_400
     return f"TX{chunk.track:02d}_MIC{chunk.sequence:03d}_{session.date}_{second // 3600:02d}{second // 60 % 60:02d}{second % 60:02d}_{variant}.wav"
 
 
@@ -88,17 +89,45 @@ def bext(reference: int, date: str, second: int) -> bytes:
     return b"bext" + struct.pack("<I", len(body)) + bytes(body)
 
 
-def write(session: Session, folder: str) -> dict[str, list]:
-    """The session's files, and the truth: words, speech (track, start, end) and placements (track, start, length)."""
-    os.makedirs(folder, exist_ok=True)
+def info(timecode: str) -> bytes:
+    """An INFO list with a timecode tag."""
+    text = timecode.encode() + b"\0"
+    body = b"INFO" + b"ISMP" + struct.pack("<I", len(text)) + text + b"\0" * (len(text) % 2)
+    return b"LIST" + struct.pack("<I", len(body)) + body
+
+
+def timecode(samples: int, label: str) -> str:
+    """The timecode that a clock at this rate shows after so many samples since its zero, rounded down to a frame; days are left out."""
+    num, den, nominal, drop = FRAME_RATES[label]
+    frame = samples * num // (den * RATE)
+    if drop:
+        skipped = nominal // 15
+        ten, one = 600 * nominal - 9 * skipped, 60 * nominal - skipped
+        frame %= 144 * ten
+        tens, rest = divmod(frame, ten)
+        frame += 9 * skipped * tens + (skipped * ((rest - skipped) // one) if rest >= skipped else 0)
+    frame %= 86_400 * nominal
+    second = frame // nominal
+    return f"{second // 3600:02d}:{second // 60 % 60:02d}:{second % 60:02d}{';' if drop else ':'}{frame % nominal:02d}"
+
+
+def write(session: Session, folder: str, evidence: str = "bext", folders: bool = False) -> dict[str, list]:
+    """The session's files, and the truth: words, speech (track, start, end) and placements (track, start, length).
+
+    evidence: bext (a time reference), none, or the label of a frame rate, of which a timecode tag is written. folders: each track in its own.
+    """
     for track in sorted({c.track for c in session.chunks}):
+        below = os.path.join(folder, f"tx{track}") if folders else folder
+        os.makedirs(below, exist_ok=True)
         heard = render(session, track)
         for c in (c for c in session.chunks if c.track == track):
             x = heard[c.start : c.start + c.length]
             head = wav_header(len(x), RATE)
-            extra = bext(session.origin + c.start, session.date, (session.origin + c.start) // RATE)
+            at = session.origin + c.start
+            since = at % (86_400 * RATE)
+            extra = bext(since, session.date, since // RATE) if evidence == "bext" else b"" if evidence == "none" else info(timecode(at, evidence))
             body = head[12:36] + extra + head[36:] + x.astype("<f4").tobytes()
-            with open(os.path.join(folder, name(session, c)), "wb") as f:
+            with open(os.path.join(below, name(session, c)), "wb") as f:
                 f.write(b"RIFF" + struct.pack("<I", 4 + len(body)) + b"WAVE" + body)
     return {
         "words": [w for u in session.utterances for w in u.timed()], "speech": [(u.track, u.start, u.end) for u in session.utterances],

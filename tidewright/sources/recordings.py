@@ -15,7 +15,7 @@ from tidewright.functions.quantize import floor_div
 from tidewright.operators.rules import parse_filename
 from tidewright.sources.riff import head, listing, open_range, read_samples, walk_chunks
 
-FACTS = "path string, size long, sha256 string, rate int, channels int, bits int, floating boolean, data_offset long, samples long, reference long, wrong array<string>"
+FACTS = "path string, size long, sha256 string, rate int, channels int, bits int, floating boolean, data_offset long, samples long, reference long, wrong array<string>, timecode string, date string"
 
 
 def file_sha256(path: str) -> str:
@@ -28,24 +28,34 @@ def file_sha256(path: str) -> str:
 
 
 def facts(path: str, size: int) -> tuple:
-    """What a file's chunks say: its format, how many samples it really holds, its time reference, what is wrong with it."""
+    """What a file's chunks say: its format, how many samples it really holds, its time reference, what is wrong with it, its timecode and date tags."""
     with open_range(path) as f:
         found = walk_chunks(f, size)
         wrong = [c[6] for c in found if c[2] == "!"]
         extension = next((c for c in found if c[2] == "bext" and c[4] >= 346), None)
-        reference = None
+        reference = date = None
         if extension is not None:
-            f.seek(extension[3] + 338)
-            reference = int.from_bytes(f.read(8), "little")
+            f.seek(extension[3] + 320)
+            told = f.read(26)
+            date, reference = told[:10].rstrip(b"\0").decode("ascii", "replace") or None, int.from_bytes(told[18:], "little")
+        # the timecode of an INFO list
+        tags = next((c[6] for c in found if c[1] == 1 and c[2] == "ISMP"), None), date
         data = next((c for c in found if c[2] == "data"), None)
         if data is None or not any(c[2] == "fmt " for c in found):
-            return path, size, file_sha256(path), None, None, None, None, None, None, reference, [*wrong, "unreadable"]
+            return path, size, file_sha256(path), None, None, None, None, None, None, reference, [*wrong, "unreadable"], *tags
         f.seek(0)
         rate, channels, bits, floating, _, _ = head(f.read(data[3]))
         width = channels * bits // 8
         if data[4] % max(1, width):
             wrong.append("part_of_a_frame")
-    return path, size, file_sha256(path), rate, channels, bits, floating, data[3], data[4] // max(1, width), reference, wrong
+    return path, size, file_sha256(path), rate, channels, bits, floating, data[3], data[4] // max(1, width), reference, wrong, *tags
+
+
+def inventory(spark: SparkSession, folder: str) -> DataFrame:
+    """path, length, relative (the path below the folder) of every file below it, whatever it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    root = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString().rstrip("/") + "/"
+    return listing(spark, folder, "*").withColumn("relative", F.substring(F.col("path"), F.lit(len(root) + 1), F.lit(2**31 - 1)))
 
 
 def inspect(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,6 +9,7 @@ import re
 import struct
 from collections.abc import Iterator
 from typing import BinaryIO
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
@@ -92,8 +93,11 @@ def _text(payload: bytes) -> str | None:
 
 
 def open_range(path: str) -> BinaryIO:
-    """A seekable file wherever pyarrow's file systems reach: local, HDFS, object stores. Only what is asked for is read."""
-    fs, inner = pa.fs.FileSystem.from_uri(path if re.match(r"[a-z][a-z0-9+.-]*:", path) else f"file://{os.path.abspath(path)}")
+    """A seekable file wherever pyarrow's file systems reach: local, HDFS, object stores. Only what is asked for is read.
+
+    path is as Spark writes it, with blanks and other characters as they are.
+    """
+    fs, inner = pa.fs.FileSystem.from_uri(quote(path if re.match(r"[a-z][a-z0-9+.-]*:", path) else f"file://{os.path.abspath(path)}", safe="/:@"))
     return fs.open_input_file(inner)
 
 
