@@ -20,6 +20,8 @@ from pyspark.sql.types import ArrayType, FloatType
 from tidewright.functions import text as X
 from tidewright.functions import timecode as C
 from tidewright.operators import activity as D
+from tidewright.operators import answers as N
+from tidewright.operators import assembly as B
 from tidewright.operators import discovery as V
 from tidewright.operators import intervals as I
 from tidewright.operators import loudness as L
@@ -53,6 +55,8 @@ class Settings:
     rise: float = 0.1
     fall: float = 0.02
     join_gap_ms: int = 350
+    overlap_ms: int = 250
+    grace_ms: int = 20
     models: str = "scripted"
     #: Directories of the tracks, in their order; none: a track for each transmitter that file names tell of.
     tracks: tuple[str, ...] = ()
@@ -161,28 +165,49 @@ def derived(windows: DataFrame) -> DataFrame:
     return G.decimate_windows(windows.select("track", "window", F.col("samples").cast("array<double>").alias("samples")), ["track"], WINDOW, TAPS, 3).select("track", "window", F.col("samples").cast("array<float>").alias("samples"))
 
 
-def transcript(verdicts: DataFrame, windows: DataFrame, length: int, models: Callable[[], T.Transcriber], settings: Settings) -> DataFrame:
-    """segment_id, track, start, end (16 kHz), text, words, overlap: presentation turns of the retained candidates.
+@dataclass(frozen=True)
+class Spoken:
+    """drafts with their verdicts, turns for presentation, words that no piece of ownership claimed, requests whose answers are told of, how many were submitted."""
+
+    drafts: DataFrame
+    turns: DataFrame
+    lost: DataFrame
+    notes: DataFrame
+    submitted: int
+
+
+def transcribed(verdicts: DataFrame, pairs: DataFrame, windows: DataFrame, length: int, models: Callable[[], T.Transcriber], settings: Settings, answers: N.Answers) -> Spoken:
+    """The session's words: what the kept answers lack is asked for; words belong to the piece of a candidate that they begin in.
 
-    Words belong to the request in whose core they begin. Drafts of one track with at most the gap between them are one turn.
+    A truncated answer that no cut could mend keeps its text. Copies of an utterance on other tracks go, by the evidence of the graph.
     """
-    asked = durable(D.with_audio(D.requests(verdicts.filter("decision = 'retained'"), length), windows, WINDOW // 3))
-    got = durable(T.transcribe(asked, models, length, 8000, 32_000))
-    core = asked.select("request_id", "core_start", "core_end")
-    own = got.filter("not truncated").join(core, "request_id")
-    words = F.filter("words", lambda w: (w["start"] >= F.col("core_start")) & (w["start"] < F.col("core_end")))
-    parts = own.select("request_id", "track_id", F.lit(0).alias("ordinal"), F.col("core_start").alias("ownership_start"), F.col("core_end").alias("ownership_end"), "alignment", "text", words.alias("words"))
-    drafts = T.drafts(parts, ["request_id", "track_id"])
-    gap = settings.join_gap_ms * D.RATE // 1000
-    turns = I.islands(drafts, ["track_id"], "start", "end", gap, aggs=[F.array_sort(F.collect_list(F.struct("ownership_start", "text", "words"))).alias("_d")])
-    turns = durable(turns.select(
-        "track_id", "start", "end", F.array_join(F.transform("_d", lambda d: d["text"]), " ").alias("text"), F.flatten(F.transform("_d", lambda d: d["words"])).alias("words"),
-    ))
-    shared = F.least("l.end", "r.end") - F.greatest("l.start", "r.start")
-    hit = I.overlap_join(turns, turns, 16 * D.RATE, on=(F.col("l.track_id") != F.col("r.track_id")) & (shared >= D.RATE // 4)).select("l.track_id", "l.start").distinct().withColumn("overlap", F.lit(True))
-    out = turns.join(hit, ["track_id", "start"], "left")
+    kept = verdicts.filter("decision = 'retained'")
+    ms = lambda n: n * D.RATE // 1000
+    asked = durable(D.with_audio(D.requests(kept, length), windows, WINDOW // 3))
+    got, submitted = answers.of(asked, models, settings.models, length, ms(500), ms(2000))
+    got = durable(got)
+    block = 16 * D.RATE
+    pieces = durable(B.effective(B.ownership(asked.drop("samples"), kept, block), ms(settings.grace_ms)))
+    if pieces.filter("overlapping").limit(1).count():
+        raise ValueError("overlapping_ownership: pieces of a track overlap")
+    drafts = durable(B.verdicts(B.drafts(got, pieces), verdicts, pairs, block, ms(settings.overlap_ms)))
+    retained = drafts.filter("decision = 'retained'").withColumn("session", F.lit(0))
+    turns = B.presentation(retained, ["session"], ms(settings.join_gap_ms), block, ms(settings.overlap_ms))
     key = F.concat_ws("-", F.lit("seg"), F.lpad(F.col("start").cast("string"), 12, "0"), "track_id")
-    return out.select(key.alias("segment_id"), F.col("track_id").alias("speaker_id"), "start", "end", "text", "words", F.coalesce("overlap", F.lit(False)).alias("overlap"))
+    turns = turns.select(key.alias("segment_id"), F.col("track_id").alias("speaker_id"), "start", "end", "text", "words", "overlap")
+    notes = got.filter(F.col("truncated") | F.col("note").isNotNull() | (F.col("alignment") == "segment_only")).select("request_id", "truncated", "note", "alignment")
+    return Spoken(drafts, turns, B.dropped(got, pieces), notes, submitted)
+
+
+def told(spoken: Spoken, report: Report) -> None:
+    """What was left out or mended, as decisions of the report."""
+    for r in B.dropped_notes(spoken.lost).collect():
+        report.decide("words_dropped_outside_ownership", track=r["track_id"], words=r["words"], before=r["before"], after=r["after"], leading=r["leading"], farthest=r["farthest"])
+    for r in spoken.drafts.filter("decision = 'duplicate'").groupBy("track_id", "contained").agg(F.count("*").alias("n"), F.min("n").alias("first")).collect():
+        report.decide("contained_fragment" if r["contained"] else "duplicate_collapsed", track=r["track_id"], drafts=r["n"], first=r["first"])
+    for r in spoken.notes.groupBy("truncated", "note", "alignment").agg(F.count("*").alias("n"), F.min("request_id").alias("first")).collect():
+        report.decide("answer_truncated" if r["truncated"] else "answer_not_aligned", requests=r["n"], first=r["first"], note=r["note"])
+    report.decide("requests_submitted", requests=spoken.submitted)
 
 
 def gains(verdicts: DataFrame, tracks: DataFrame, length: int, settings: Settings) -> DataFrame:
@@ -265,7 +290,15 @@ def run(spark: SparkSession, folder: str, out: str, detector: Callable[[], D.Act
 
     def activity() -> None:
         regions = kept("regions", lambda: D.detect(state["low"], WINDOW // 3, detector, settings.opens, settings.closes), settings=asdict(settings))
-        state["verdicts"] = kept("verdicts", lambda: D.graph(regions, state["low"], WINDOW // 3, min_reference=settings.min_reference)[0], settings=asdict(settings))
+        made: list[DataFrame] = []
+
+        def graph(i: int) -> DataFrame:
+            if not made:
+                made.extend(D.graph(regions, state["low"], WINDOW // 3, min_reference=settings.min_reference))
+            return made[i]
+
+        state["verdicts"] = kept("verdicts", lambda: graph(0), settings=asdict(settings))
+        state["pairs"] = kept("pairs", lambda: graph(1), settings=asdict(settings))
 
     def write_mix() -> None:
         envelope = gains(state["verdicts"], state["entries"].select("track").distinct(), state["length"], settings)
@@ -276,7 +309,10 @@ def run(spark: SparkSession, folder: str, out: str, detector: Callable[[], D.Act
         report.deliver("mix.wav", _sha(os.path.join(out, "mix.wav")))
 
     def write_transcript() -> None:
-        turns = kept("turns", lambda: transcript(state["verdicts"], state["low"], -(-state["length"] // 3), models, settings), settings=asdict(settings))
+        answers = N.Answers(spark, os.path.join(out, "answers"))
+        spoken = transcribed(state["verdicts"], state["pairs"], state["low"], -(-state["length"] // 3), models, settings, answers)
+        turns = durable(spoken.turns)
+        told(spoken, report)
         path = os.path.join(out, "transcript")
         T.transcript_json(turns, D.RATE).orderBy("segment_id").select("document").write.mode("overwrite").text(path)
         line = F.concat(F.lit("**["), X.timestamp(F.expr(f"start * 1000 div {D.RATE}")), F.lit("] "), "speaker_id", F.lit(":** "), X.md_escape(F.col("text")))
