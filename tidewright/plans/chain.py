@@ -23,6 +23,7 @@ from tidewright.operators import activity as D
 from tidewright.operators import answers as N
 from tidewright.operators import assembly as B
 from tidewright.operators import discovery as V
+from tidewright.operators import envelope as E
 from tidewright.operators import intervals as I
 from tidewright.operators import loudness as L
 from tidewright.operators import rules as R
@@ -40,7 +41,7 @@ from tidewright.sources.shared import durable
 RATE = 48_000
 #: Samples of a window at 48 kHz: whole seconds' worth of steps of loudness, frames of detection and control frames.
 WINDOW = 460_800
-CONTROL = 480  # samples of a control frame of the mix
+CONTROL = 48  # samples of a control frame of the mix
 TAPS = G.low_pass(127, 0.9 / 6)
 
 
@@ -52,8 +53,9 @@ class Settings:
     closes: int = 350
     min_reference: int = 3
     room: float = 0.005
+    #: Presence by control frame: up within 10, down within 300 of them.
     rise: float = 0.1
-    fall: float = 0.02
+    fall: float = 1 / 300
     join_gap_ms: int = 350
     overlap_ms: int = 250
     grace_ms: int = 20
@@ -210,22 +212,22 @@ def told(spoken: Spoken, report: Report) -> None:
     report.decide("requests_submitted", requests=spoken.submitted)
 
 
-def gains(verdicts: DataFrame, tracks: DataFrame, length: int, settings: Settings) -> DataFrame:
+def gains(verdicts: DataFrame, tracks: DataFrame, length: int, settings: Settings, report: Report | None = None) -> DataFrame:
     """track, window, before, gains: of every window the gains of its control frames and the one before them.
 
-    A frame's target is the track's share of those who speak (a little for the others); it is held to a rise and a fall a frame.
+    Retained candidates count by their score; each track is brought to the median level of the tracks' own speech.
     """
-    per = WINDOW // CONTROL
-    count = -(-length // CONTROL)
-    every = tracks.select(F.col("track").cast("long").alias("track"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))).alias("frame"))
+    kept = verdicts.filter("decision = 'retained'")
+    own = tracks.select(F.col("track").cast("long").alias("track"))
+    references = I.nearest_rank(kept.select("track", "level"), ["track"], "level", 0.75, "reference").drop("n")
+    shape = E.Shape(settings.rise, settings.fall, settings.room)
+    levels = durable(E.corrections(references, own, shape))
+    if report:
+        for r in levels.filter("note is not null").collect():  # a row for each track
+            report.decide(r["note"], track=r["track"], reference=r["reference"], correction=r["correction_mb"])
     # a candidate's samples at 16 kHz are three each at 48 kHz
-    spoken = verdicts.filter("decision = 'retained'").select("track", F.explode(F.sequence(F.expr(f"start * 3 div {CONTROL}"), F.least(F.expr(f"(end * 3 - 1) div {CONTROL}"), F.lit(count - 1)))).alias("frame")).distinct().withColumn("presence", F.lit(1.0))
-    target = every.join(spoken, ["track", "frame"], "left").withColumn("target", S.gain_share(F.coalesce("presence", F.lit(0.0)), settings.room, Window.partitionBy("frame")))
-    limited = S.slew_limit(target.select("track", "frame", "target"), ["track"], "frame", "target", settings.rise, settings.fall)
-    packed = limited.groupBy("track", F.expr(f"frame div {per}").alias("window")).agg(F.array_sort(F.collect_list(F.struct("frame", "applied"))).alias("g"))
-    packed = packed.select("track", "window", F.transform("g", lambda x: x["applied"]).alias("gains"))
-    last = packed.select("track", (F.col("window") + 1).alias("window"), F.element_at("gains", -1).alias("before"))
-    return packed.join(last, ["track", "window"], "left").select("track", "window", F.coalesce("before", F.lit(0.0)).alias("before"), "gains")
+    spoken = kept.select("track", (F.col("start") * 3).alias("start"), (F.col("end") * 3).alias("end"), "total")
+    return E.envelope(spoken, own, levels, length, CONTROL, WINDOW // CONTROL, shape)
 
 
 def mix(windows: DataFrame, envelope: DataFrame) -> DataFrame:
@@ -301,7 +303,7 @@ def run(spark: SparkSession, folder: str, out: str, detector: Callable[[], D.Act
         state["pairs"] = kept("pairs", lambda: graph(1), settings=asdict(settings))
 
     def write_mix() -> None:
-        envelope = gains(state["verdicts"], state["entries"].select("track").distinct(), state["length"], settings)
+        envelope = gains(state["verdicts"], state["entries"].select("track").distinct(), state["length"], settings, report)
         mixed = kept("mix", lambda: mix(state["windows"], envelope), settings=asdict(settings))
         final, facts = normalized(mixed)
         report.decide("mix_loudness", **facts)
