@@ -35,7 +35,9 @@ _EXACT = 1 << 53
 
 def _narrow(q: np.ndarray) -> np.ndarray:
     """The same numbers in as few bytes as hold them all."""
-    return q if q.dtype.kind == "f" else q.astype(np.result_type(np.min_scalar_type(int(q.min())), np.min_scalar_type(int(q.max())))) if q.size else q
+    if q.dtype.kind == "f" or not q.size:
+        return q
+    return q.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= q.min() and q.max() <= np.iinfo(t).max))
 
 
 def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
