@@ -35,8 +35,8 @@ from tidewright.operators import transcript as T
 from tidewright.plans.stages import Report, StageCache, identity
 from tidewright.sources.files import write_json
 from tidewright.sources.recordings import inspect, inventory, track_windows
-from tidewright.sources.riff import write_windows
-from tidewright.sources.shared import durable
+from tidewright.sources.shared import durable, importable
+from tidewright.sources.wavsink import save
 
 RATE = 48_000
 #: Samples of a window at 48 kHz: whole seconds' worth of steps of loudness, frames of detection and control frames.
@@ -265,6 +265,7 @@ def run(spark: SparkSession, folder: str, out: str, detector: Callable[[], D.Act
 
     out lies in a folder that all executors mount. A failure of a step that everything needs is raised; then the report tells of it, too.
     """
+    importable(spark)
     settings, report = settings or Settings(), Report(session)
     cache = StageCache(spark, os.path.join(out, "cache"))
     os.makedirs(out, exist_ok=True)
@@ -307,7 +308,7 @@ def run(spark: SparkSession, folder: str, out: str, detector: Callable[[], D.Act
         mixed = kept("mix", lambda: mix(state["windows"], envelope), settings=asdict(settings))
         final, facts = normalized(mixed)
         report.decide("mix_loudness", **facts)
-        write_windows(final, os.path.join(out, "mix.wav"), state["length"], RATE, WINDOW)
+        save(final, os.path.join(out, "mix.wav"), state["length"], RATE, WINDOW)
         report.deliver("mix.wav", _sha(os.path.join(out, "mix.wav")))
 
     def write_transcript() -> None:

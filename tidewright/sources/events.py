@@ -9,6 +9,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Events of a log; they go to every task.
+MOST = 10_000
 ROLES = ("start", "end", "diagnostic")
 SCHEMA = "playback_order long, role string, marker_name string, start_ms long, end_ms long, geometry_id string, note string"
 NEEDED = {"role": str, "marker_name": str, "start_ms": int, "end_ms": int, "playback_order": int}
@@ -70,7 +72,8 @@ def associate(events: DataFrame, found: DataFrame, by: Sequence[str], rate: int
     sample = lambda c: F.expr(f"({c} * {rate} + 500) div 1000")
     own = events.withColumns({"_a": sample("start_ms"), "_b": sample("end_ms")})
     tracks = found.select(*by).distinct()
-    # a log's events are few rows, and so they may go to every task
+    if own.limit(MOST + 1).count() > MOST:
+        raise EventLogError(f"at most {MOST} events")
     inside = found.join(F.broadcast(own), (F.col("anchor") >= F.col("_a")) & (F.col("anchor") < F.col("_b")))
     order = Window.partitionBy(*by, "anchor").orderBy("playback_order")
     first = inside.withColumn("_claim", F.row_number().over(order)).filter("_claim = 1")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,4 +23,13 @@ def shared_folder(spark: SparkSession) -> str:
 def durable(df: DataFrame) -> DataFrame:
     """The table, written once; whatever reads it plans from there."""
     shared_folder(df.sparkSession)
+    importable(df.sparkSession)
     return df.checkpoint()
+
+
+def importable(spark: SparkSession) -> None:
+    """Puts the folder that holds this library on the Python path of the workers, wherever the driver was started."""
+    paths = spark.sparkContext.environment
+    here = str(Path(__file__).resolve().parents[2])
+    if here not in paths.get("PYTHONPATH", "").split(":"):
+        paths["PYTHONPATH"] = ":".join(x for x in (paths.get("PYTHONPATH"), here) if x)
