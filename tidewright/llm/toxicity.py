@@ -10,6 +10,7 @@ document doesn't add up to a toxic one. Sentences of probability 0.5 or more are
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 
@@ -85,18 +86,18 @@ def fit(bags: list[list[str]], y: np.ndarray, times: list[list[int]] | None = No
     Words in fewer than `rarest` documents, and weights under `smallest`, are left out. As in scoring, a sentence without any word left has probability zero.
     """
     ids: dict[str, int] = {}
-    word, sentence, document, often = [], [], [], []
+    word, sentence, document, often = array("i"), array("i"), array("i"), array("i")  # a few bytes each, as there are millions
     for d, own in enumerate(bags):
         for i, features_ in enumerate(own):
             names = features_.split(" ")
-            word += [ids.setdefault(w, len(ids)) for w in names]
-            sentence += [len(document)] * len(names)
+            word.extend([ids.setdefault(w, len(ids)) for w in names])
+            sentence.extend([len(document)] * len(names))
             document.append(d)
             often.append(times[d][i] if times else 1)
     if not word or y.min() == y.max():
         return Evidence({}, bias)
     w, s, d, c = np.array(word), np.array(sentence), np.array(document), np.array(often, float)
-    df = np.bincount(np.unique(d[s] * len(ids) + w) % len(ids), minlength=len(ids))
+    df = np.bincount(np.unique(d[s].astype(np.int64) * len(ids) + w) % len(ids), minlength=len(ids))
     kept = df >= rarest
     new = np.cumsum(kept) - 1
     s, w = s[kept[w]], new[w[kept[w]]]
