@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.functions.quantize import ceil_div, floor_div
@@ -120,3 +120,9 @@ def envelope(retained: DataFrame, tracks: DataFrame, levels: DataFrame, samples:
     """applied() for candidates given in samples; samples are the session's, frame those of a control frame."""
     count = -(-samples // frame)
     return applied(segments(spans(retained, frame, shape), tracks, count, 16 * per, shape), levels, count, per, shape)
+
+
+def guaranteed_gain(tracks: Column, least_weight: float, room: float, clamp_db: float) -> Column:
+    """The least gain in dB of one of two speakers at once: the least weight, the other full, the rest at room tone, cut by the clamp."""
+    share = F.lit(least_weight) / (F.lit(1 + least_weight) + F.lit(room) * F.greatest(tracks - 2, F.lit(0)))
+    return F.log10(share) * 20 - clamp_db

@@ -14,6 +14,7 @@ from tidewright.archive import codec
 from tidewright.functions import quantize as Q
 from tidewright.functions import text as X
 from tidewright.functions import waveform as W
+from tidewright.operators import envelope as N
 from tidewright.operators import intervals as I
 from tidewright.operators import markers as K
 from tidewright.operators import rules as R
@@ -189,10 +190,12 @@ def pct_encode(spark, d):
     return p.select("page_id", "component", (F.octet_length("component") <= 60).alias("within"))
 
 
-@query("guaranteed_overlap_gain", "SELECT n AS tracks, round(20 * log10(0.5::DOUBLE / (1.5::DOUBLE + 0.005::DOUBLE * greatest(n - 2, 0))) - 6, 9) AS gain FROM (SELECT unnest(range(1, 25)) AS n)")
+@query("guaranteed_overlap_gain", "WITH t AS (SELECT l_orderkey, count(*) AS tracks FROM lineitem GROUP BY l_orderkey) SELECT l_orderkey, tracks, round(20 * log10(0.5::DOUBLE / (1.5::DOUBLE + 0.005::DOUBLE * greatest(tracks - 2, 0))) - 6, 9) AS gain FROM t")
 def guaranteed_overlap_gain(spark, d):
+    """Orders are sessions, their lines tracks."""
     envelope = {n: v for n, (v, _) in C.SECTIONS["mix.envelope"].items()}
-    return spark.createDataFrame([(n, round(C.guaranteed_overlap_gain(envelope, n), 9)) for n in range(1, 25)], "tracks long, gain double")
+    sessions = read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("tracks"))
+    return sessions.withColumn("gain", F.round(N.guaranteed_gain(F.col("tracks"), envelope["min_active_share"], envelope["room_tone_share"], envelope["max_level_correction_db"]), 9))
 
 
 ITEMS_SQL = "items AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i, round(value, 2)::DECIMAL(12,2) AS s, event_type AS text FROM events WHERE event_type != 'error'), cumulated AS (SELECT user_id, i, text, CASE WHEN user_id % 5 = 0 THEN s ELSE i + s / 1000 END::DECIMAL(18,6) AS s FROM items)"
@@ -313,24 +316,33 @@ def build_records(spark, d):
 # ---- markers
 
 
-@query("marker_specs", "WITH s(marker, f0, f1, ms, g1, g2, mid) AS (VALUES " + ", ".join(f"('{n}', {lo}, {hi}, {ms}, {g[0]}, {g[1]}, '{dirs[1]}')" for n, (lo, hi, ms, dirs, g) in W.SHAPES.items()) + """), c AS (SELECT *, unnest([0, 1, 2]) AS chirp FROM s)
-SELECT marker, chirp, (100 + chirp * ms + CASE WHEN chirp > 0 THEN g1 ELSE 0 END + CASE WHEN chirp > 1 THEN g2 ELSE 0 END)::BIGINT * 48 AS start, (100 + (chirp + 1) * ms + CASE WHEN chirp > 0 THEN g1 ELSE 0 END + CASE WHEN chirp > 1 THEN g2 ELSE 0 END)::BIGINT * 48 AS "end",
-CASE WHEN chirp = 1 AND mid = 'd' THEN f1 ELSE f0 END AS first_hz, CASE WHEN chirp = 1 AND mid = 'd' THEN f0 ELSE f1 END AS last_hz FROM c""")
+MARKERS = sorted(W.SHAPES)
+PLAYED_SQL = "played AS (SELECT o_orderkey, [" + ", ".join(f"'{n}'" for n in MARKERS) + f'][o_orderkey % {len(MARKERS)} + 1] AS marker, o_custkey * 4800 AS "from" FROM orders)'
+
+
+@query("marker_specs", "WITH " + PLAYED_SQL + ", s(marker, f0, f1, ms, g1, g2, mid) AS (VALUES " + ", ".join(f"('{n}', {lo}, {hi}, {ms}, {g[0]}, {g[1]}, '{dirs[1]}')" for n, (lo, hi, ms, dirs, g) in W.SHAPES.items()) + """), c AS (SELECT *, unnest([0, 1, 2]) AS chirp FROM s)
+SELECT o_orderkey, marker, chirp, "from" + (100 + chirp * ms + CASE WHEN chirp > 0 THEN g1 ELSE 0 END + CASE WHEN chirp > 1 THEN g2 ELSE 0 END)::BIGINT * 48 AS start, "from" + (100 + (chirp + 1) * ms + CASE WHEN chirp > 0 THEN g1 ELSE 0 END + CASE WHEN chirp > 1 THEN g2 ELSE 0 END)::BIGINT * 48 AS "end",
+CASE WHEN chirp = 1 AND mid = 'd' THEN f1 ELSE f0 END AS first_hz, CASE WHEN chirp = 1 AND mid = 'd' THEN f0 ELSE f1 END AS last_hz FROM played JOIN c USING (marker)""")
 def marker_specs(spark, d):
-    return W.marker_table(spark)
+    """The chirps of the marker that each order plays, in samples of its session."""
+    marker = F.get(F.array(*map(F.lit, MARKERS)), (F.col("o_orderkey") % len(MARKERS)).cast("int"))
+    played = read(spark, d, "orders").select("o_orderkey", marker.alias("marker"), (F.col("o_custkey") * 4800).alias("at"))
+    return played.join(W.marker_table(spark), "marker").select("o_orderkey", "marker", "chirp", (F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("end")).alias("end"), "first_hz", "last_hz")
 
 
 @query("synth_marker")
 def synth_marker(spark, d):
-    """marker, samples, sha256 of each waveform, made in the workers. Tests hold it to the sweep's formula."""
+    """s_suppkey, marker, level, samples, sha256 of the waveform that each supplier plays at its level. Tests hold it to the sweep's formula."""
+    marker = F.get(F.array(*map(F.lit, MARKERS)), (F.col("s_suppkey") % len(MARKERS)).cast("int"))
+    played = read(spark, d, "supplier").select("s_suppkey", marker.alias("marker"), (F.lit(100) + F.col("s_suppkey") % 900).cast("int").alias("level"))
 
     def run(frames):
+        shapes = {n: W.marker_samples(W.marker(n)).astype(int) for n in MARKERS}
         for frame in frames:
-            made = [W.marker_samples(W.marker(n)) for n in frame["marker"]]
-            yield pd.DataFrame({"marker": frame["marker"], "samples": [len(x) for x in made], "sha256": [hashlib.sha256(W.wav_bytes(x)).hexdigest() for x in made]})
+            made = [shapes[n] * level // 1000 for n, level in zip(frame["marker"], frame["level"], strict=True)]
+            yield frame.assign(samples=[len(x) for x in made], sha256=[hashlib.sha256(W.wav_bytes(x)).hexdigest() for x in made])
 
-    names = W.marker_table(spark).select("marker").distinct()
-    return names.mapInPandas(run, "marker string, samples long, sha256 string")
+    return played.mapInPandas(run, "s_suppkey long, marker string, level int, samples long, sha256 string")
 
 
 @query("sequence_nms")

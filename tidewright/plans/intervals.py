@@ -219,21 +219,20 @@ def sequence_gaps(spark, d):
     return read(spark, d, "orders").select("o_custkey", "o_orderkey", step.alias("step")).filter("step > 1")
 
 
-@query("rollover_gap", """WITH t AS (SELECT user_id, event_id, epoch_us(ts) // 1000000 % 86400 AS "at" FROM events WHERE event_id % 40 = user_id % 40),
+@query("rollover_gap", """WITH t AS (SELECT user_id, event_id, epoch_us(ts) // 1000000 % 86400 AS "at" FROM events),
 g AS (SELECT *, lead("at") OVER (PARTITION BY user_id ORDER BY "at") - "at" AS gap, min("at") OVER (PARTITION BY user_id) + 86400 - max("at") OVER (PARTITION BY user_id) AS wrap FROM t),
 w AS (SELECT *, max(gap) OVER (PARTITION BY user_id) AS widest FROM g), c AS (SELECT *, sum(CASE WHEN gap = widest THEN 1 ELSE 0 END) OVER (PARTITION BY user_id) AS ties, max(CASE WHEN gap = widest THEN "at" END) OVER (PARTITION BY user_id) AS cut FROM w),
 v AS (SELECT *, CASE WHEN widest IS NULL OR wrap > widest THEN 'none' WHEN wrap = widest OR ties > 1 THEN 'ambiguous' ELSE 'wrapped' END AS verdict FROM c)
 SELECT user_id, event_id, "at", verdict, CASE WHEN verdict = 'wrapped' AND "at" <= cut THEN 1 ELSE 0 END AS turns FROM v""")
 def rollover_gap(spark, d):
-    t = read(spark, d, "events").filter("event_id % 40 = user_id % 40").select("user_id", "event_id", F.expr("unix_micros(cast(ts as timestamp)) div 1000000 % 86400").alias("at"))
+    t = read(spark, d, "events").select("user_id", "event_id", F.expr("unix_micros(cast(ts as timestamp)) div 1000000 % 86400").alias("at"))
     return I.widest_gap(t, ["user_id"], "at", 86400)
 
 
-@query("rollover_gap_all", SQL["rollover_gap"].replace(" WHERE event_id % 40 = user_id % 40", ""))
+@query("rollover_gap_all", SQL["rollover_gap"])
 def rollover_gap_all(spark, d):
-    """Every event of each user; rollover_gap has a fortieth of them, as its SQL states."""
-    t = read(spark, d, "events").select("user_id", "event_id", F.expr("unix_micros(cast(ts as timestamp)) div 1000000 % 86400").alias("at"))
-    return I.widest_gap(t, ["user_id"], "at", 86400)
+    """Another name of rollover_gap, from when that one judged a fortieth of the events."""
+    return rollover_gap(spark, d)
 
 
 @query("session_zero", "SELECT user_id, min(epoch_us(ts)) AS zero, greatest(0, 1704070000000000 - min(epoch_us(ts))) AS shift FROM events GROUP BY user_id")
@@ -320,10 +319,19 @@ def frame_index(spark, d):
     return codes(spark, d).select("event_id", "label", T.frame_index(F.col("tc"), F.col("rate")).alias("frame_index"))
 
 
-@query("frame_rate_lookup", "WITH " + RATES_SQL + " SELECT label, num::BIGINT AS num, den::BIGINT AS den, nominal, is_drop, (nominal * 86400 - CASE WHEN is_drop THEN nominal // 15 * 1296 ELSE 0 END)::BIGINT AS per_day FROM rates")
+LABELS_SQL = RATES_SQL + ", labelled AS (SELECT event_id, [" + ", ".join(f"'{k}'" for k in T.FRAME_RATES) + f", 'unknown'][event_id % {len(T.FRAME_RATES) + 1} + 1] AS label FROM events)"
+
+
+def labels(spark, d):
+    """Every event with a label of a frame rate, of which one is unknown."""
+    names = F.array(*map(F.lit, (*T.FRAME_RATES, "unknown")))
+    e = read(spark, d, "events").select("event_id", F.get(names, (F.col("event_id") % (len(T.FRAME_RATES) + 1)).cast("int")).alias("label"))
+    return e.withColumn("r", T.frame_rate(F.col("label")))
+
+
+@query("frame_rate_lookup", "WITH " + LABELS_SQL + " SELECT event_id, label, num::BIGINT AS num, den::BIGINT AS den, nominal, coalesce(is_drop, false) AS is_drop, (nominal * 86400 - CASE WHEN is_drop THEN nominal // 15 * 1296 ELSE 0 END)::BIGINT AS per_day FROM labelled LEFT JOIN rates USING (label)")
 def frame_rate_lookup(spark, d):
-    labels = spark.createDataFrame([(k,) for k in T.FRAME_RATES], "label string").withColumn("r", T.frame_rate(F.col("label")))
-    return labels.select("label", "r.num", "r.den", "r.nominal", F.col("r.drop").alias("is_drop"), T.frames_per_day(F.col("r")).alias("per_day"))
+    return labels(spark, d).select("event_id", "label", "r.num", "r.den", "r.nominal", F.coalesce("r.drop", F.lit(False)).alias("is_drop"), F.when(F.col("r").isNotNull(), T.frames_per_day(F.col("r"))).alias("per_day"))
 
 
 @query("session_position", "WITH " + CODES_SQL + " SELECT event_id, label, ((2 * idx::HUGEINT * den * 48000 + num) // (2 * num))::BIGINT AS position FROM indexed WHERE idx IS NOT NULL")
@@ -338,10 +346,9 @@ def evidence_seconds(spark, d):
     return c.select("event_id", "label", (F.col("idx") * F.col("rate.den")).alias("num"), F.col("rate.num").alias("den"))
 
 
-@query("evidence_quantum", "WITH " + RATES_SQL + " SELECT label, -((-48000 * den) // num) + CASE WHEN (48000 * den) % num != 0 AND -((-48000 * den) // num) * num < 48000 * den THEN 1 ELSE 0 END AS quantum FROM rates")
+@query("evidence_quantum", "WITH " + LABELS_SQL + " SELECT event_id, label, CASE WHEN (48000 * den) % num = 0 THEN 48000 * den // num ELSE 48000 * den // num + 1 END::BIGINT AS quantum FROM labelled LEFT JOIN rates USING (label)")
 def evidence_quantum(spark, d):
-    labels = spark.createDataFrame([(k,) for k in T.FRAME_RATES], "label string").withColumn("r", T.frame_rate(F.col("label")))
-    return labels.select("label", Q.ceil_div(F.col("r.den") * 48000, F.col("r.num")).alias("quantum"))
+    return labels(spark, d).select("event_id", "label", Q.ceil_div(F.col("r.den") * 48000, F.col("r.num")).alias("quantum"))
 
 
 @query("to_ms", "SELECT l_orderkey, l_linenumber, CASE WHEN n < 0 THEN -((2 * -n + 48) // 96) ELSE (2 * n + 48) // 96 END AS ms FROM (SELECT l_orderkey, l_linenumber, round(l_extendedprice * 100)::BIGINT - 3000000 AS n FROM lineitem)")

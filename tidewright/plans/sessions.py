@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidewright.operators import assembly as B
 from tidewright.operators import discovery as D
+from tidewright.operators import envelope as N
+from tidewright.operators import markerrun as K
 from tidewright.operators import starts as O
 from tidewright.plans.registry import query, read
 
@@ -132,3 +136,100 @@ def discover_roster(spark, d):
 UNION ALL SELECT session, 'required_track_missing', track FROM (SELECT DISTINCT session FROM f WHERE ascii(session[-1:]) % 2 = 1) x, (VALUES ('en'), ('it')) v(track) WHERE NOT EXISTS (SELECT 1 FROM files WHERE files.session = x.session AND files.track = v.track AND role = 'selected')""")
 def discover_refusals(spark, d):
     return found(spark, d).refusals
+
+
+# Assembly: a user's clicks and views are what candidates own of a day's request, its other events are the answer's words.
+
+ASKED_SQL = """e AS (SELECT *, epoch_us(ts) // 1000 AS ms, user_id || '-' || epoch_us(ts) // 86400000000 AS request FROM events),
+p AS (SELECT event_id AS candidate, user_id, request, ms AS start, least(ms + floor(value * 60000)::BIGINT, coalesce(lead(ms) OVER (PARTITION BY user_id ORDER BY ms, event_id), ms + floor(value * 60000)::BIGINT)) AS "end" FROM e WHERE event_type IN ('click', 'view')),
+pad AS (SELECT *, min(start) OVER (PARTITION BY request) - 600000 AS low, max("end") OVER (PARTITION BY request) + 600000 AS high FROM p),
+pieces AS (SELECT *, greatest(low, coalesce(lag("end") OVER (PARTITION BY user_id ORDER BY start, "end", request, candidate), 0), start - 20000) AS eff FROM pad),
+words AS (SELECT request, row_number() OVER (PARTITION BY request ORDER BY ms, event_id) - 1 AS "at", ms FROM e WHERE event_type NOT IN ('click', 'view'))"""
+
+
+def asked(spark, d):
+    e = read(spark, d, "events").withColumn("ms", F.expr("unix_micros(cast(ts as timestamp)) div 1000"))
+    e = e.withColumn("request_id", F.concat_ws("-", "user_id", F.expr("ms div 86400000")))
+    mine = F.col("event_type").isin("click", "view")
+    own = (F.col("ms") + F.floor(F.col("value") * 60_000)).cast("long")
+    following = F.lead("ms").over(Window.partitionBy("user_id").orderBy("ms", "event_id"))
+    p = e.filter(mine).select("request_id", F.col("user_id").cast("string").alias("track_id"), F.col("event_id").alias("candidate"), F.col("ms").alias("start"), F.least(own, F.coalesce(following, own)).alias("end"))
+    over = Window.partitionBy("request_id")
+    p = p.withColumns({"padded_start": F.min("start").over(over) - 600_000, "padded_end": F.max("end").over(over) + 600_000})
+    said = e.filter(~mine).groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct("ms", "event_id"))).alias("w"))
+    words = F.transform("w", lambda w: F.struct(w["ms"].alias("start"), (w["ms"] + 1).alias("end"), w["event_id"].cast("string").alias("text")))
+    return said.select("request_id", words.alias("words")), B.effective(p, 20_000)
+
+
+@query("owned_words", "WITH " + ASKED_SQL + """ SELECT request AS request_id, candidate, w."at" FROM words w JOIN pieces p USING (request) WHERE w.ms >= eff AND w.ms < p."end" """)
+def owned_words(spark, d):
+    return B.owned(*asked(spark, d)).select("request_id", "candidate", "at")
+
+
+@query("dropped_by_request", "WITH " + ASKED_SQL + """, m AS (SELECT request, w."at", candidate, CASE WHEN w.ms < eff THEN 'before' ELSE 'after' END AS side, CASE WHEN w.ms < eff THEN eff - w.ms ELSE greatest(0, w.ms - p."end" + 1) END AS distance FROM words w JOIN pieces p USING (request)),
+r AS (SELECT *, row_number() OVER (PARTITION BY request, "at" ORDER BY distance, candidate, side) AS place FROM m)
+SELECT request AS request_id, "at", candidate, side, distance::BIGINT AS distance FROM r WHERE place = 1 AND distance > 0""")
+def dropped_by_request(spark, d):
+    return B.dropped(*asked(spark, d)).select("request_id", "at", "candidate", "side", "distance")
+
+
+# Turns: fifteen users are a session's tracks, a day of theirs is a request.
+
+SEGMENTS_SQL = """s AS (SELECT user_id % 10 AS session, user_id::VARCHAR AS track_id, event_id, epoch_us(ts) // 1000 AS start, epoch_us(ts) // 1000 + floor(value * 1000)::BIGINT AS "end", CASE WHEN event_type IN ('click', 'view') THEN 'aligned' ELSE 'segment_only' END AS alignment, user_id || '-' || epoch_us(ts) // 86400000000 AS request, value > 450 AS overlap FROM events),
+n AS (SELECT *, row_number() OVER (PARTITION BY session ORDER BY start, event_id) AS n FROM s),
+j AS (SELECT *, coalesce(lag(track_id) OVER w = track_id AND lag(alignment) OVER w = alignment AND NOT lag(overlap) OVER w AND NOT overlap AND lag(request) OVER w = request AND start - lag("end") OVER w BETWEEN 0 AND 7200000, false) AS joins FROM n WINDOW w AS (PARTITION BY session ORDER BY n)),
+t AS (SELECT *, sum(CASE WHEN joins THEN 0 ELSE 1 END) OVER (PARTITION BY session ORDER BY n ROWS UNBOUNDED PRECEDING) AS turn FROM j),
+turns AS (SELECT session, turn, track_id, alignment, min(start) AS start, max("end") AS "end", string_agg(event_id::VARCHAR, ' ' ORDER BY n) AS text FROM t GROUP BY ALL)"""
+
+
+@query("turns_by_request", "WITH " + SEGMENTS_SQL + """ SELECT session, turn::BIGINT AS turn, track_id, alignment, start, "end", text, EXISTS (SELECT 1 FROM turns o WHERE o.session = turns.session AND o.track_id <> turns.track_id AND least(o."end", turns."end") - greatest(o.start, turns.start) >= 30000) AS overlap FROM turns""")
+def turns_by_request(spark, d):
+    ms = F.expr("unix_micros(cast(ts as timestamp)) div 1000")
+    s = read(spark, d, "events").withColumn("start", ms).select(
+        (F.col("user_id") % 10).alias("session"), F.col("user_id").cast("string").alias("track_id"), "event_id", "start", (F.col("start") + F.floor(F.col("value") * 1000)).cast("long").alias("end"),
+        F.when(F.col("event_type").isin("click", "view"), "aligned").otherwise("segment_only").alias("alignment"), F.array(F.concat_ws("-", "user_id", F.expr("start div 86400000"))).alias("request_ids"),
+        (F.col("value") > 450).alias("overlap"), F.col("event_id").cast("string").alias("text"), F.array().cast("array<string>").alias("words"),
+    )
+    s = s.withColumn("n", F.row_number().over(Window.partitionBy("session").orderBy("start", "event_id")))
+    return B.presentation(s, ["session"], 7_200_000, 600_000, 30_000).select("session", "turn", "track_id", "alignment", "start", "end", "text", "overlap")
+
+
+# Level corrections: nations are tracks, the least balance of their suppliers is the level of their speech.
+
+
+@query("level_corrections", """WITH t AS (SELECT n_nationkey AS track FROM nation), r AS (SELECT s_nationkey AS track, floor(min(s_acctbal))::INTEGER AS reference FROM supplier WHERE s_nationkey % 7 <> 0 GROUP BY 1),
+m AS (SELECT list_sort(list(reference))[round_even((count(*) - 1) * 0.5, 0)::INTEGER + 1] AS target FROM r), w AS (SELECT track, reference, target - reference AS wanted FROM t LEFT JOIN r USING (track), m),
+h AS (SELECT *, CASE WHEN wanted IS NULL THEN 0 ELSE greatest(-600, least(600, wanted)) END AS mb FROM w)
+SELECT track, reference, mb::INTEGER AS correction_mb, round(pow(10, mb / 2000.0), 9) AS gain, CASE WHEN wanted IS NULL THEN 'mix_level_uncorrected' WHEN mb <> wanted THEN 'mix_level_correction_clamped' END AS note FROM h""")
+def level_corrections(spark, d):
+    tracks = read(spark, d, "nation").select(F.col("n_nationkey").alias("track"))
+    references = read(spark, d, "supplier").filter("s_nationkey % 7 != 0").groupBy(F.col("s_nationkey").alias("track")).agg(F.floor(F.min("s_acctbal")).cast("int").alias("reference"))
+    return N.corrections(references, tracks).withColumn("gain", F.round("gain", 9))
+
+
+# Marker roles: a user's errors of five days are groups, its signups what someone logged.
+
+LOGGED_SQL = """e AS (SELECT *, epoch_us(ts) // 1000 AS ms, user_id || '-' || epoch_us(ts) // 432000000000 AS session FROM events),
+g AS (SELECT DISTINCT session, ms AS anchor FROM e WHERE event_type = 'error'),
+ev AS (SELECT DISTINCT session, CASE WHEN value < 250 THEN 'start' ELSE 'end' END AS role, ms - 36000000 AS start, ms + floor(value * 100000)::BIGINT AS "end", CASE WHEN user_id % 2 = 0 THEN 'g' || user_id ELSE '' END AS geometry FROM e WHERE event_type = 'signup'),
+held AS (SELECT ev.session, ev.start, ev."end", role, geometry, count(anchor) AS n, min(anchor) AS anchor FROM ev LEFT JOIN g ON g.session = ev.session AND anchor >= ev.start AND anchor < ev."end" GROUP BY ALL),
+alone AS (SELECT *, count(*) OVER (PARTITION BY session, anchor) AS claims FROM held WHERE n = 1), named AS (SELECT * FROM alone WHERE claims = 1)"""
+
+
+def logged(spark, d):
+    e = read(spark, d, "events").withColumn("ms", F.expr("unix_micros(cast(ts as timestamp)) div 1000"))
+    e = e.withColumn("session", F.concat_ws("-", "user_id", F.expr("ms div 432000000")))
+    groups = e.filter("event_type = 'error'").select("session", F.col("ms").alias("anchor")).distinct()
+    role = F.when(F.col("value") < 250, "start").otherwise("end")
+    events = e.filter("event_type = 'signup'").select("session", role.alias("role"), (F.col("ms") - 36_000_000).alias("start"), (F.col("ms") + F.floor(F.col("value") * 100_000)).cast("long").alias("end"), F.when(F.col("user_id") % 2 == 0, F.concat(F.lit("g"), F.col("user_id").cast("string"))).alias("geometry")).distinct()
+    return K.roles(groups, events)
+
+
+@query("marker_roles", "WITH " + LOGGED_SQL + " SELECT g.session, g.anchor, role, nullif(geometry, '') AS geometry FROM g LEFT JOIN named n ON n.session = g.session AND n.anchor = g.anchor")
+def marker_roles(spark, d):
+    return logged(spark, d)[0].select("session", "anchor", "role", "geometry")
+
+
+@query("marker_role_notes", "WITH " + LOGGED_SQL + """ SELECT session, CASE n WHEN 0 THEN 'marker_event_without_occurrence' ELSE 'marker_event_ambiguous' END AS code, start AS "at" FROM held WHERE n <> 1 UNION ALL SELECT DISTINCT session, 'marker_event_overlap', anchor FROM alone WHERE claims > 1""")
+def marker_role_notes(spark, d):
+    return logged(spark, d)[1]
