@@ -146,7 +146,7 @@ def identify(documents: DataFrame, modulus: int = 5, held: int = 0, sample: int
     """doc_id, held_out, lang_pred, score, of every document.
 
     Null texts and texts without a letter are 'und' with score 0, as is every text when there is nothing to learn
-    from. Whole texts count, however long. Repeated rows stay repeated.
+    from. Whole texts count, however long. Repeated rows stay repeated; an empty table gives no rows; extra columns are ignored.
     """
     profiles = train(documents, modulus, held, sample, top)
     own = common.pick(documents, "doc_id", "text")

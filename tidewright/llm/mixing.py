@@ -136,7 +136,8 @@ def mix(documents: DataFrame, targets: Targets, budget_percent: int, max_epochs:
 
     The budget is budget_percent of all tokens. Null texts and texts without a word have no tokens;
     they are taken as often as their leaf has whole epochs. Rows that repeat a doc_id share its place
-    in the order and are taken together. A null doc_id counts as an empty one. An empty table gives no rows.
+    in the order and are taken together. A null doc_id counts as an empty one. Very long texts count whole, as one document; extra
+    columns are ignored. An empty table gives no rows.
     """
     own = common.pick(documents, "doc_id", "text", "lang", "source")
     slim = common.durable(_names(own, domain).select("doc_id", *LEVELS, tokens(F.col("text")).alias("n_tokens")))
@@ -149,7 +150,7 @@ def mix(documents: DataFrame, targets: Targets, budget_percent: int, max_epochs:
 def take(documents: DataFrame, targets: Targets, budget_percent: int, max_epochs: int = 1, seed: int = 42, domain: Column | None = None) -> DataFrame:
     """The documents themselves, each repeated as often as mix() takes it; all their columns.
 
-    No text is shuffled: the leaves' cuts go to the rows.
+    No text is shuffled: the leaves' cuts go to the rows. Nulls, empty and very long texts, repeated rows and an empty table are as in mix().
     """
     own = common.pick(documents, "doc_id", "text", "lang", "source")
     slim = common.durable(_names(own, domain).select("doc_id", *LEVELS, tokens(F.col("text")).alias("n_tokens")))

@@ -221,6 +221,6 @@ def pack_documents(documents: DataFrame, vocabulary: str | None = None, capacity
     """Every document's tokens in sequences of at most capacity tokens; a row for each piece.
 
     Null texts count as empty and have the end token alone. Repeated rows are packed as often as they stand
-    there. An empty table has no sequence. remember bounds the words whose tokens a worker keeps: memory against time, with the same result.
+    there. An empty table has no sequence; extra columns are ignored. A very long text is cut over as many sequences as it fills. remember bounds the words whose tokens a worker keeps: memory against time, with the same result.
     """
     return pack(pieces(documents, vocabulary, capacity, remember), capacity, batch)

@@ -172,8 +172,8 @@ def scored(text: Column, forest: Forest) -> Column:
 def score_documents(documents: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score (0 to 1; higher: label 1 likelier), predicted, of every document.
 
-    Null and empty texts have the score of a text without any byte. Repeated rows stay repeated. Without
-    labels every score is 0.5.
+    Null and empty texts have the score of a text without any byte; very long ones are read as a whole. Repeated rows stay repeated; an
+    empty table gives no rows; extra columns are ignored. Without labels every score is 0.5.
     """
     forest = train(documents, labels, modulus, held, sample)
     own = common.pick(documents, "doc_id", "text")
@@ -182,7 +182,11 @@ def score_documents(documents: DataFrame, labels: DataFrame, modulus: int = 3, h
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1, sample: int = SAMPLE) -> DataFrame:
-    """The documents with a score of 0.5 or more, all their columns, also those whose names differ in case only."""
+    """The documents with a score of 0.5 or more, all their columns, also those whose names differ in case only.
+
+    Null, empty and very long texts are scored as in score_documents(); rows that repeat a text stay or go together; an empty table stays empty. Without
+    labels every document stays.
+    """
     forest = train(documents, labels, modulus, held, sample)
     plain, at = common.numbered(documents)
     return plain.withColumn("score", scored(F.col(at["text"]), forest)).filter("score >= 0.5").drop("score").toDF(*documents.columns)

@@ -171,7 +171,8 @@ def near_duplicates(documents: DataFrame, size: int = 3, seed: int = 42, thresho
     """doc_id, fingerprint (16 lowercase hex digits), component_id of every document.
 
     component_id is the least doc_id that links lead to, the document's own included. Null and
-    empty texts have the fingerprint zero and link like others. Repeated rows stay repeated. A null
+    empty texts have the fingerprint zero and link like others; very long ones are read as a whole. Repeated rows stay repeated; extra
+    columns are ignored; an empty table gives no rows. A null
     doc_id counts as larger than any other; a component of such rows alone has a null component_id.
     """
     rows = common.durable(fingerprints(documents, size, seed))
@@ -340,7 +341,7 @@ def keep_one(documents: DataFrame, size: int = 5, seed: int = 42, least: int = 8
     """The documents, one of each near-duplicate group of similar_classes(): that with the least doc_id.
 
     All columns stay. Of rows that repeat the kept doc_id and text one stays. A null doc_id counts as
-    larger than any other; null and empty texts are one group. The decisions are made on ids and hashes; texts aren't shuffled
+    larger than any other; null and empty texts are one group; very long ones are compared as a whole. An empty table stays empty. The decisions are made on ids and hashes; texts aren't shuffled
     while the rows that go, or that repeat, are few (common.FEW).
     """
     rows = common.durable(_classes(documents, size, seed))
