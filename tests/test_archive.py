@@ -118,3 +118,23 @@ def test_lock_and_retry(tmp_path):
         return 5
 
     assert retry(busy, first=0.001) == 5 and len(calls) == 3
+
+
+def test_many_sessions_as_tables(spark, session, tmp_path):
+    """Results are rows; a broken object, a missing one and a session without a manifest are told of where they belong."""
+    from tidewright.archive import tables
+
+    store = FolderStorage(str(tmp_path / "store"))
+    for name in ("s 1", "s 2", "s 3"):
+        assert runner.upload(spark, session, name, TRACKS, store)["status"] == "complete"
+    at = os.path.join(store.root, next(store.list(objects_prefix("s 2") + "raw%2Ftx-a%2Fone.wav")))
+    data = bytearray(open(at, "rb").read())
+    data[len(data) // 2] ^= 1
+    open(at, "wb").write(data)
+    os.unlink(os.path.join(store.root, next(store.list(objects_prefix("s 3") + "raw%2Fnotes.txt"))))
+    asked = spark.createDataFrame([(n,) for n in ("s 1", "s 2", "s 3", "nobody", "s 1")], "session string")
+    got = {r["session"]: r for r in tables.totals(tables.verified(asked, store)).collect()}
+    assert {s: (r["status"], r["objects"], r["failed"]) for s, r in got.items()} == {"s 1": ("complete", 4, 0), "s 2": ("partial", 4, 1), "s 3": ("partial", 4, 1), "nobody": ("failed", 1, 1)}
+    assert got["nobody"]["codes"] == ["archive_absent"] and got["s 1"]["size_bytes"] == sum(map(len, files(session).values())) and 0 < got["s 1"]["compressed_size_bytes"]
+    there = {r["session"]: (r["status"], r["codes"]) for r in tables.totals(tables.present(asked, store)).collect()}
+    assert there == {"s 1": ("complete", []), "s 2": ("complete", []), "s 3": ("partial", ["archive_object_missing"]), "nobody": ("failed", ["archive_absent"])}
