@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewright.archive.storage import PREFIX
 from tidewright.functions.quantize import floor_div, to_permille
+from tidewright.functions.text import percent_encode
 
 #: Transmitter, sequence, date, time, variant of a recorder's file name, in any case. Fixed form.
 NAME = r"(?i)^TX([0-9]{2})_MIC([0-9]{3,})_([0-9]{8})_([0-9]{6})_(orig|edit)$"
@@ -77,10 +79,16 @@ def first_answer(strategies: Mapping[str, Column]) -> Column:
 
 
 def format_warnings(rate: Column, codec: Column, channels: Column, disagreement: Column) -> Column:
-    """What is unusual about a source, each condition given as a column."""
+    """What is unusual about a source, each condition given as a column; source_warnings() has the conditions."""
     return notes([(rate, "unexpected_sample_rate"), (codec, "unexpected_codec"), (channels, "unexpected_channel_count"), (disagreement, "sample_count_disagreement")])
 
 
+def source_warnings(rate: Column, codec: Column, channels: Column, samples: Column, stated: Column) -> Column:
+    """format_warnings() by what a source is: another rate than 48 kHz, no 32-bit float, more than one channel, another count of samples than its container states."""
+    differs = lambda c, usual: F.coalesce(c != usual, F.lit(False))
+    return format_warnings(differs(rate, F.lit(48_000)), differs(codec, F.lit("pcm_f32le")), differs(channels, F.lit(1)), differs(samples, stated))
+
+
 def originals(edits: DataFrame, sources: DataFrame, by: str, order: str, edit: str) -> DataFrame:
     """Each edit with the last original of its group; null where there is none."""
     last = sources.groupBy(by).agg(F.max(order).alias("original"))
@@ -260,9 +268,9 @@ def totals(objects: DataFrame, by: str, size: Column) -> DataFrame:
     return objects.groupBy(by).agg(F.sum(size).alias("original"), F.count("*").alias("n"))
 
 
-def object_key(prefix: str, session: Column, name: Column, digest: Column, suffix: str = ".zst") -> Column:
-    """prefix/session/objects/name.digest.zst; all parts must be of unreserved characters already."""
-    return F.concat(F.lit(f"{prefix}/"), session, F.lit("/objects/"), name.cast("string"), F.lit("."), digest, F.lit(suffix))
+def object_key(session: Column, path: Column, digest: Column) -> Column:
+    """The key of archive.storage.object_key() as a column: session and path percent-encoded, the content's hash behind."""
+    return F.concat(F.lit(f"{PREFIX}/"), percent_encode(session.cast("string")), F.lit("/objects/"), percent_encode(path.cast("string")), F.lit("."), digest, F.lit(".zst"))
 
 
 def listed_sessions(keys: Column, pattern: str) -> Column:

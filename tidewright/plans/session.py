@@ -12,6 +12,7 @@ from tidewright.operators import intervals as I
 from tidewright.operators import rules as R
 from tidewright.operators import sequences as S
 from tidewright.plans.intervals import REGIONS_SQL, regions
+from tidewright.archive.storage import PREFIX
 from tidewright.plans.registry import FRAMES_SQL, GRID_SQL, SPANS_SQL, grid, islands_sql, query, read, spans
 
 # ---- attribution
@@ -396,9 +397,9 @@ def archive_totals(spark, d):
     return R.totals(read(spark, d, "documents"), "source", F.octet_length("text"))
 
 
-@query("object_key", "SELECT doc_id, 'archive/' || source || '/objects/' || doc_id || '.' || sha256(text) || '.zst' AS key FROM documents")
+@query("object_key", f"SELECT doc_id, '{PREFIX}/' || replace(source, 'src', 'src%20') || '/objects/raw%2F' || doc_id || '.' || sha256(text) || '.zst' AS key FROM documents")
 def object_key(spark, d):
-    return read(spark, d, "documents").select("doc_id", R.object_key("archive", F.col("source"), F.col("doc_id"), F.sha2("text", 256)).alias("key"))
+    return read(spark, d, "documents").select("doc_id", R.object_key(F.replace(F.col("source"), F.lit("src"), F.lit("src ")), F.concat(F.lit("raw/"), F.col("doc_id").cast("string")), F.sha2("text", 256)).alias("key"))
 
 
 @query("compress_bound", "SELECT doc_id, n + (n >> 8) + CASE WHEN n < 131072 THEN (131072 - n) >> 11 ELSE 0 END AS bound FROM (SELECT doc_id, octet_length(encode(text)) AS n FROM documents)")

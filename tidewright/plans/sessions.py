@@ -9,6 +9,7 @@ from tidewright.operators import assembly as B
 from tidewright.operators import discovery as D
 from tidewright.operators import envelope as N
 from tidewright.operators import markerrun as K
+from tidewright.operators import rules as R
 from tidewright.operators import starts as O
 from tidewright.plans.registry import query, read
 
@@ -233,3 +234,31 @@ def marker_roles(spark, d):
 @query("marker_role_notes", "WITH " + LOGGED_SQL + """ SELECT session, CASE n WHEN 0 THEN 'marker_event_without_occurrence' ELSE 'marker_event_ambiguous' END AS code, start AS "at" FROM held WHERE n <> 1 UNION ALL SELECT DISTINCT session, 'marker_event_overlap', anchor FROM alone WHERE claims > 1""")
 def marker_role_notes(spark, d):
     return logged(spark, d)[1]
+
+
+# Fitness: lines are sources, an order is a track of a supplier's session.
+
+FIT_SQL = """q AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE l_quantity::INTEGER % 40 WHEN 0 THEN NULL WHEN 1 THEN 44100 ELSE 48000 END AS rate, CASE WHEN l_partkey % 19 = 0 THEN 2 ELSE 1 END AS channels,
+  ['pcm_f32le', 'pcm_s24le', 'pcm_s16le', 'pcm_s32le', 'pcm_f32le', 'pcm_f32le'][l_partkey % 6 + 1] AS codec, CASE WHEN l_partkey % 23 > 0 THEN l_extendedprice::BIGINT END AS samples, l_extendedprice::BIGINT + CASE WHEN l_suppkey % 9 = 0 THEN 1 ELSE 0 END AS stated FROM lineitem)"""
+
+
+def fit(spark, d):
+    at = F.col("l_quantity").cast("int") % 40
+    price = F.round(F.col("l_extendedprice")).cast("long")
+    kinds = F.array(*map(F.lit, ("pcm_f32le", "pcm_s24le", "pcm_s16le", "pcm_s32le", "pcm_f32le", "pcm_f32le")))
+    return read(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.when(at == 0, None).when(at == 1, 44_100).otherwise(48_000).alias("rate"), F.when(F.col("l_partkey") % 19 == 0, 2).otherwise(1).alias("channels"),
+        F.get(kinds, (F.col("l_partkey") % 6).cast("int")).alias("codec"), F.when(F.col("l_partkey") % 23 > 0, price).alias("samples"), (price + F.when(F.col("l_suppkey") % 9 == 0, 1).otherwise(0)).alias("stated"), F.lit(0).alias("session"),
+    )
+
+
+@query("unfit_sources", "WITH " + FIT_SQL + """, r AS (SELECT *, min(rate) OVER w <> max(rate) OVER w AS mixed FROM q WINDOW w AS (PARTITION BY l_orderkey))
+SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN mixed THEN 'inconsistent_sample_rate' WHEN rate IS NULL THEN 'source_not_inspected' WHEN rate <> 48000 THEN 'unsupported_sample_rate' WHEN channels <> 1 THEN 'undecodable_source' WHEN codec = 'pcm_s32le' THEN 'undecodable_source' WHEN samples IS NULL THEN 'unknown_sample_count' END AS unfit FROM r""")
+def unfit_sources(spark, d):
+    return O.unfit(fit(spark, d), ["session"], "l_orderkey").select("l_orderkey", "l_linenumber", "l_partkey", "unfit")
+
+
+@query("source_warnings", "WITH " + FIT_SQL + """ SELECT l_orderkey, l_linenumber, l_partkey, concat_ws(',', CASE WHEN rate <> 48000 THEN 'unexpected_sample_rate' END, CASE WHEN codec <> 'pcm_f32le' THEN 'unexpected_codec' END, CASE WHEN channels <> 1 THEN 'unexpected_channel_count' END, CASE WHEN samples <> stated THEN 'sample_count_disagreement' END) AS warnings FROM q""")
+def source_warnings(spark, d):
+    own = R.source_warnings(F.col("rate"), F.col("codec"), F.col("channels"), F.col("samples"), F.col("stated"))
+    return fit(spark, d).select("l_orderkey", "l_linenumber", "l_partkey", own.alias("warnings"))
