@@ -225,6 +225,22 @@ def test_out_of_place_matches_brute_force():
     assert profiles.predict("der und and")[0] == min(out, key=lambda k: (out[k], k))
 
 
+def test_language_training_matches_brute_force(documents):
+    """Profiles that Spark counts over whole texts of the training fold, against plain counters of their n-grams."""
+    plain = {}
+    for r in rows(documents):
+        if r["text"] and r["lang"] and zlib.crc32(str(r["doc_id"]).encode()) % 5:
+            plain.setdefault(r["lang"], Counter()).update(brute_grams(r["text"]))
+    code = lambda g: sum(ord(c) << s for c, s in zip(reversed(g), (0, 21, 42), strict=False))
+    got = langid.train(documents)
+    assert got.langs == sorted(plain)
+    for lang, ranks in zip(got.langs, got.ranks, strict=True):
+        own = np.flatnonzero(ranks[:-1] >= 0)
+        order = got.grams[own[np.argsort(ranks[own])]].tolist()
+        counted = {code(g): n for g, n in plain[lang].items()}
+        assert order == sorted(counted, key=lambda g: (-counted[g], g))[: langid.TOP]
+
+
 def test_language_accuracy(documents):
     got = langid.identify(documents).join(documents.select("doc_id", "lang"), "doc_id").filter("held_out")
     right = got.filter("lang_pred = lang").count() / got.count()

@@ -56,3 +56,21 @@ def test_odd_tables(spark, tmp_path, table):
         stage(spark, docs, SF).write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
     assert docs.columns[0] == "doc_id" and (table == "odd" or docs.count() == 0)
+
+
+def test_which_odd_documents_survive(spark, tmp_path):
+    """Without labels both classifiers keep all; of copies, of repeated rows and of texts without a word one stays; then what mixing takes is packed whole."""
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs, left = spark.createDataFrame(ODD, DOC), {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / name))
+        before, docs = docs, spark.read.parquet(str(tmp_path / name))
+        left[name] = sorted((r["doc_id"] for r in docs.select("doc_id").collect()), key=str)
+    every = sorted((r[0] for r in ODD), key=str)
+    assert left["quality"] == left["toxicity"] == every
+    assert left["dedup"] == sorted([1, 4, 5, 6, 7, 8, None], key=str)
+    kept = spark.read.parquet(str(tmp_path / "dedup"))
+    taken = mixing.mix(kept, TARGETS, corpus_pipeline.BUDGET_PERCENT, 1).filter("copies > 0")
+    assert left["mixing"] == sorted((r["doc_id"] for r in taken.collect()), key=str)
+    pieces = docs.groupBy("doc_id").agg({"length": "sum", "doc_tokens": "max"}).collect()
+    assert {r["doc_id"] for r in pieces} == set(left["mixing"]) and all(r["sum(length)"] == r["max(doc_tokens)"] for r in pieces) and before.count() == len(left["mixing"])
