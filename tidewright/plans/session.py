@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidewright.archive.storage import PREFIX
 from tidewright.functions import quantize as Q
 from tidewright.functions import text as X
 from tidewright.operators import attribution as A
@@ -12,8 +13,8 @@ from tidewright.operators import intervals as I
 from tidewright.operators import rules as R
 from tidewright.operators import sequences as S
 from tidewright.plans.intervals import REGIONS_SQL, regions
-from tidewright.archive.storage import PREFIX
 from tidewright.plans.registry import FRAMES_SQL, GRID_SQL, SPANS_SQL, grid, islands_sql, query, read, spans
+from tidewright.sources.shared import durable
 
 # ---- attribution
 
@@ -222,7 +223,7 @@ def contained(spark, d):
 
 @query("collapse")
 def collapse(spark, d):
-    cand, pairs = candidates(spark, d)
+    cand, pairs = map(durable, candidates(spark, d))  # each is read several times
     s = A.scored(cand, pairs, I.nearest_rank(cand, ["track"], "level", 0.75, "reference", 3).drop("n")).select("id", "start", "end", "total")
     left, right = s.toDF("a", "a_start", "a_end", "a_total"), s.toDF("b", "b_start", "b_end", "b_total")
     p = pairs.filter("id < other").select(F.col("id").alias("a"), F.col("other").alias("b"), "correlation").join(left, "a").join(right, "b")
