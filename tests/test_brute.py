@@ -144,3 +144,13 @@ def test_islands_over_one_time_line(spark):
     df = spark.createDataFrame(data, "id long, start long, end long")
     for block in (7, 100, 10_000):
         assert {r["id"]: r["island"] for r in I.island_starts(df, "start", "end", block).collect()} == want
+
+
+def test_islands_of_equal_intervals_are_one(spark):
+    """Rows that repeat an interval are in its island, whatever order they come in."""
+    from tidewright.operators import intervals as I
+
+    data = [(i, 10 * (i // 40), 10 * (i // 40) + 3) for i in range(400)]
+    df = spark.createDataFrame(data, "id long, start long, end long").repartition(7)
+    for block in (7, 1000):
+        assert {r["id"]: r["island"] for r in I.island_starts(df, "start", "end", block).collect()} == {i: a for i, a, _ in data}

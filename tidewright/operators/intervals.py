@@ -45,7 +45,8 @@ def island_starts(df: DataFrame, start: str, end: str, block: int, gap: int = 0)
     news = own.groupBy("_block").agg(F.max("_new").alias("_newest"))
     carried = F.last("_newest", ignorenulls=True).over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
     own = own.join(news.select("_block", carried.alias("_open")), "_block")
-    island = F.coalesce(F.max("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col("_open"))
+    # with its equals: rows of the same start and end may come in another order than above
+    island = F.coalesce(F.max("_new").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)), F.col("_open"))
     return own.withColumn("island", island).drop("_block", "_reach", "_new", "_open")
 
 
