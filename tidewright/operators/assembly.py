@@ -151,10 +151,19 @@ def compared(own: DataFrame, scores: DataFrame, pairs: DataFrame, block: int, ru
     )
 
 
+def numbered_by(rows: DataFrame, at: str, order: list[str], block: int) -> DataFrame:
+    """Adds n: the place of each row in the order, which begins with at, from 0. Rows are ordered within blocks of at; one row for each block tells how many come before."""
+    df = rows.withColumn("_block", floor_div(F.col(at), block))
+    sizes = df.groupBy("_block").agg(F.count("*").alias("_size"))
+    before = F.coalesce(F.sum("_size").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = df.join(sizes.select("_block", before.alias("_before")), "_block")
+    place = F.row_number().over(Window.partitionBy("_block").orderBy(*order)) - 1
+    return placed.withColumn("n", (F.col("_before") + place).cast("long")).drop("_block", "_before")
+
+
 def verdicts(own: DataFrame, scores: DataFrame, pairs: DataFrame, block: int, least_overlap: int, rules: Rules = Rules()) -> DataFrame:
     """drafts with n, decision (retained, duplicate), duplicate_of (number), contained, overlap (of retained ones with another track's retained one)."""
-    order = F.struct("start", "track_id", "group")
-    numbered = durable(own.withColumn("n", F.row_number().over(Window.orderBy(order)).cast("long") - 1))  # drafts of one session: streamed in one order
+    numbered = durable(numbered_by(own, "start", ["start", "track_id", "group"], block))
     reach = I.island_starts(numbered.select("n", "start", "end"), "start", "end", block)
     two = compared(numbered, scores, pairs, block, rules).join(reach.select(F.col("n").alias("winner"), "island"), "winner")
     gone = S.collapse(two, rules.min_overlap, rules.min_similarity, rules.min_words, rules.min_chars, rules.min_correlation, rules.min_margin, rules.contained_margin)
