@@ -87,18 +87,23 @@ def fit(bags: list[list[str]], y: np.ndarray, times: list[list[int]] | None = No
     """
     ids: dict[str, int] = {}
     word, sentence, document, often = array("i"), array("i"), array("i"), array("i")  # a few bytes each, as there are millions
+    df: list[int] = []
     for d, own in enumerate(bags):
+        seen: set[int] = set()
         for i, features_ in enumerate(own):
-            names = features_.split(" ")
-            word.extend([ids.setdefault(w, len(ids)) for w in names])
-            sentence.extend([len(document)] * len(names))
+            numbers = [ids.setdefault(w, len(ids)) for w in features_.split(" ")]
+            seen.update(numbers)
+            word.extend(numbers)
+            sentence.extend([len(document)] * len(numbers))
             document.append(d)
             often.append(times[d][i] if times else 1)
+        df += [0] * (len(ids) - len(df))
+        for w in seen:
+            df[w] += 1
     if not word or y.min() == y.max():
         return Evidence({}, bias)
     w, s, d, c = np.array(word), np.array(sentence), np.array(document), np.array(often, float)
-    df = np.bincount(np.unique(d[s].astype(np.int64) * len(ids) + w) % len(ids), minlength=len(ids))
-    kept = df >= rarest
+    kept = np.array(df) >= rarest
     new = np.cumsum(kept) - 1
     s, w = s[kept[w]], new[w[kept[w]]]
     names = np.array(list(ids), object)[kept]
@@ -143,7 +148,11 @@ def train(documents: DataFrame, labels: DataFrame, modulus: int = 5, held: int =
         return pa.record_batch([batch.column(0), batch.column(2).cast(pa.int32()), pa.array([list(b) for b in bags], pa.list_(pa.string())), pa.array([list(b.values()) for b in bags], pa.list_(pa.int32()))], ["doc_id", "y", "bag", "times"])
 
     rows = common.map_arrow(own, each, "doc_id long, y int, bag array<string>, times array<int>").toPandas().sort_values("doc_id")
-    return fit([list(x) for x in rows["bag"]], rows["y"].to_numpy(int), [list(x) for x in rows["times"]]) if len(rows) else Evidence({}, -6.0)
+    if rows.empty:
+        return Evidence({}, -6.0)
+    bags, times, y = [list(x) for x in rows["bag"]], [list(x) for x in rows["times"]], rows["y"].to_numpy(int)
+    del rows
+    return fit(bags, y, times)
 
 
 def scored(text: Column, evidence: Evidence) -> Column:
