@@ -15,6 +15,8 @@ from tidewright.operators.rules import parse_filename, sequence_steps
 from tidewright.sources.shared import durable
 
 _NOTE = ["session", "code", "subject"]
+#: Tracks of all sessions that are sent to every task, so that a session with a third of all files is no hot key; more of them are shuffled.
+FEW = 200_000
 
 
 def folder(path: Column) -> Column:
@@ -52,15 +54,17 @@ def candidates(files: DataFrame, tracks: DataFrame) -> DataFrame:
     A configured directory is taken flat; below one that isn't configured, but lies beside one, everything is captured and belongs to nobody. Audio
     beside the directories is stray. Files deeper in a configured directory are ignored, as are work/ and output/ in a session's root.
     """
-    inputs = tracks.select("session", F.col("input").alias("_dir"), "track")
-    roots = tracks.select("session", folder(F.col("input")).alias("_root")).distinct()
+    few = tracks.limit(FEW + 1).count() <= FEW
+    small = lambda t: F.broadcast(t) if few else t
+    inputs = small(tracks.select("session", F.col("input").alias("_dir"), "track"))
+    roots = small(tracks.select("session", folder(F.col("input")).alias("_root")).distinct())
     df = files.withColumns({"_dir": folder(F.col("path")), "hints": parse_filename(base(F.col("path"))), "_wav": F.lower("path").endswith(".wav")})
     df = df.join(inputs, ["session", "_dir"], "left")
     # the directory right below a root that a file lies in or under, for every root: few roots a session
     at = df.select("session", "path", "_dir").join(roots, "session").filter(F.when(F.col("_root") == "", True).otherwise(F.col("path").startswith(F.concat("_root", F.lit("/")))))
     rest = F.substring(F.col("path"), F.when(F.col("_root") == "", 1).otherwise(F.char_length("_root") + 2), F.lit(2**31 - 1))
     at = at.withColumn("_top", F.when(F.contains(rest, F.lit("/")), F.concat(F.when(F.col("_root") == "", "").otherwise(F.concat("_root", F.lit("/"))), F.substring_index(rest, "/", 1))))
-    at = at.join(inputs.select("session", F.col("_dir").alias("_top"), F.lit(True).alias("_known")).distinct(), ["session", "_top"], "left")
+    at = at.join(small(inputs.select("session", F.col("_dir").alias("_top"), F.lit(True).alias("_known")).distinct()), ["session", "_top"], "left")
     own = (F.col("_root") == "") & F.col("_top").isin("work", "output")
     free = F.col("_top").isNotNull() & F.col("_known").isNull() & ~own
     at = at.groupBy("session", "path").agg(F.bool_or(F.col("_top").isNull()).alias("_stray"), F.max(F.when(free, F.col("_top"))).alias("extra"), F.bool_or(own).alias("_own"))
