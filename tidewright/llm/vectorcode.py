@@ -51,17 +51,21 @@ def nearest(v: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         return np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
     a, c = v.astype(float), entries.astype(float)
     slack = 1e-12 * (np.sqrt((a**2).sum(1))[:, None] + np.sqrt((c**2).sum(1))) ** 2 + 1e-6
-    exact = lambda r, e: ((v[r] - entries[e]) ** 2).sum(1)
+
+    def square(d: np.ndarray) -> np.ndarray:
+        return np.einsum("ij,ij->i", d, d)
+
+    exact = lambda r, e: square(np.take(v, r, 0) - np.take(entries, e, 0))
     best = rows = at = None
     blocks = 1
     while True:
         own, other = profile(a, blocks), profile(c, blocks)
         if best is None:
-            low = ((own[0][:, None] - other[0]) ** 2).sum(2) + (own[1][:, None] - other[1]) ** 2 - slack
+            low = (own[0] - other[0].T) ** 2 + (own[1][:, None] - other[1]) ** 2 - slack  # one block: one mean
             best = exact(np.arange(n), low.argmin(1))
             rows, at = np.nonzero(low <= best[:, None])
         else:
-            low = ((own[0][rows] - other[0][at]) ** 2).sum(1) + (own[1][rows] - other[1][at]) ** 2 - slack[rows, at]
+            low = square(own[0][rows] - other[0][at]) + (own[1][rows] - other[1][at]) ** 2 - slack[rows, at]
             near = low <= best[rows]
             rows, at = rows[near], at[near]
         if blocks * 4 > size:

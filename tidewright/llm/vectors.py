@@ -11,9 +11,11 @@ from tidewright.llm import common
 
 
 def finite(embeddings: DataFrame, *others: str) -> DataFrame:
-    """vec_id, the others, and v: the vector as doubles, of the rows whose vector isn't null and has no null or non-finite component."""
+    """vec_id, the others, and v: the vector as floats or doubles, of the rows whose vector isn't null and has no null or non-finite component."""
+    kind = common.pick(embeddings, "embedding").dtypes[0][1]
+    wanted = kind if kind == "array<float>" else "array<double>"
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
-    own = common.pick(embeddings, "vec_id", *others, "embedding").select(F.col("vec_id").cast("long").alias("vec_id"), *others, F.col("embedding").cast("array<double>").alias("v"))
+    own = common.pick(embeddings, "vec_id", *others, "embedding").select(F.col("vec_id").cast("long").alias("vec_id"), *others, F.col("embedding").cast(wanted).alias("v"))
     return own.filter(F.col("v").isNotNull() & ~F.coalesce(F.exists("v", bad), F.lit(False)))
 
 
