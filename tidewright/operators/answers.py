@@ -1,14 +1,12 @@
 """Answers of a model, kept by the very bytes that were submitted: a table that is appended to in two phases.
 
 A request's identity is the hash of its samples and of everything else its answer depends on. Requests are joined to the table by it; only
-those that it lacks reach the model. A run writes its new answers beside the table and renames them into it when they are whole: readers see all of
-a run's answers or none, and a run that dies leaves a folder that nobody reads.
+those that it lacks reach the model.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from uuid import uuid4
 
 import numpy as np
 import pandas as pd
@@ -16,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.operators import transcript as T
+from tidewright.sources.appended import Appended
 from tidewright.sources.shared import durable
 
 
@@ -23,34 +22,11 @@ from tidewright.sources.shared import durable
 FIELDS = ["request_id", "track_id", "text", "words", "alignment", "truncated", "request_ids", "spent", "note"]
 
 
-class Answers:
-    """The table below a folder that all executors share."""
+class Answers(Appended):
+    """The answers below a folder that all executors share, by the identity of what was submitted."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
-        at = self._path("")
-        self._fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
-
-    def known(self) -> DataFrame:
-        """identity and T.OUTCOMES of all runs that were committed; of an identity that two of them brought, the least answer."""
-        there = self._fs.globStatus(self._path("part-*")) or []
-        if not len(there):
-            return self.spark.createDataFrame([], "identity string, " + T.OUTCOMES)
-        rows = self.spark.read.schema("identity string, " + T.OUTCOMES).parquet(*[str(s.getPath()) for s in there])
-        least = rows.groupBy("identity").agg(F.min(F.struct(*FIELDS)).alias("a"))
-        return least.select("identity", *[F.col(f"a.{n}").alias(n) for n in FIELDS])
-
-    def append(self, rows: DataFrame) -> None:
-        """Two phases: the answers are written aside, then renamed into the table. No answer, no part."""
-        name = uuid4().hex
-        rows.write.parquet(f"{self.folder}/staged-{name}")
-        if self.spark.read.parquet(f"{self.folder}/staged-{name}").isEmpty():
-            self._fs.delete(self._path(f"staged-{name}"), True)
-        elif not self._fs.rename(self._path(f"staged-{name}"), self._path(f"part-{name}")):
-            raise RuntimeError("the answers couldn't be committed")
+        super().__init__(spark, folder, "identity string, " + T.OUTCOMES, "identity")
 
     def of(self, requests: DataFrame, factory: Callable[[], T.Transcriber], model: str, limit: int, pad: int, least_core: int, retries: int = 4) -> tuple[DataFrame, int]:
         """(T.OUTCOMES of the requests, how many of them were submitted)."""
@@ -60,7 +36,7 @@ class Answers:
         new = durable(T.transcribe(missing, factory, limit, pad, least_core, retries).join(missing.select("request_id", "identity"), "request_id"))
         n = new.count()
         if n:
-            self.append(new.select("identity", *FIELDS))
+            self.append(new)
         told = self.known().drop("request_id", "track_id")
         return asked.select("request_id", "track_id", "identity").join(told, "identity").select(*FIELDS), n
 

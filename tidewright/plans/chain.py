@@ -34,7 +34,7 @@ from tidewright.operators import syncqa as Y
 from tidewright.operators import transcript as T
 from tidewright.plans.stages import Report, StageCache, identity
 from tidewright.sources.files import write_json
-from tidewright.sources.recordings import inspect, inventory, track_windows
+from tidewright.sources.recordings import Captures, inspect, inventory, track_windows
 from tidewright.sources.shared import durable, importable
 from tidewright.sources.wavsink import save
 
@@ -74,12 +74,13 @@ class Settings:
     overrides: tuple[dict, ...] = ()
 
 
-def discovered(spark: SparkSession, folder: str, settings: Settings) -> tuple[DataFrame, V.Discovery]:
-    """(facts of every .wav file with its relative path, what discovery decides about them).
+def discovered(spark: SparkSession, folder: str, settings: Settings, captures: Captures | None = None) -> tuple[DataFrame, V.Discovery]:
+    """(facts of every .wav file with its relative path, what discovery decides about them). captures: what is known of files already.
 
     Tracks are the configured directories; without any, each transmitter of a file name is one, as if its files lay in a directory of their own.
     """
-    found = durable(inspect(spark, folder).join(inventory(spark, folder).select("path", "relative"), "path"))
+    own = captures.inspect(folder)[0] if captures else inspect(spark, folder)
+    found = durable(own.join(inventory(spark, folder).select("path", "relative"), "path"))
     every = inventory(spark, folder).join(found.select("path", "sha256", "tx"), "path", "left")
     if settings.tracks:
         tracks = spark.createDataFrame([("session", i + 1, t) for i, t in enumerate(settings.tracks)], "session string, track long, input string")
@@ -100,9 +101,9 @@ def _overrides(spark: SparkSession, settings: Settings) -> DataFrame:
     return spark.createDataFrame(rows, "path string, override_sha256 string, recording_date date, start_timecode string, start_offset long, reason string, overridden boolean")
 
 
-def sources_of(spark: SparkSession, folder: str, report: Report, settings: Settings | None = None) -> DataFrame:
+def sources_of(spark: SparkSession, folder: str, report: Report, settings: Settings | None = None, captures: Captures | None = None) -> DataFrame:
     """Selected, usable sources with their track; each other file is a decision of the report. What can't go on is refused by its code."""
-    found, told = discovered(spark, folder, settings or Settings())
+    found, told = discovered(spark, folder, settings or Settings(), captures)
     refused(told.refusals, "code", "subject")
     roles = told.sources.select(F.col("path").alias("relative"), "track", "role", "reason")
     own = durable(found.join(roles, "relative", "left"))
@@ -272,7 +273,7 @@ def run(spark: SparkSession, folder: str, out: str, detector: Callable[[], D.Act
     state: dict[str, Any] = {}
 
     def prepare() -> None:
-        sources = sources_of(spark, folder, report, settings)
+        sources = sources_of(spark, folder, report, settings, Captures(spark, os.path.join(out, "captures")))
         entries, length = timeline(sources, settings, report)
         known = sorted((r["name"], r["sha256"], r["placed"]) for r in entries.select("name", "sha256", "placed").collect())
         state.update(entries=entries, length=length, key=[list(k) for k in known])

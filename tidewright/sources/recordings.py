@@ -13,7 +13,9 @@ from pyspark.sql.types import ArrayType, FloatType
 
 from tidewright.functions.quantize import floor_div
 from tidewright.operators.rules import parse_filename
+from tidewright.sources.appended import Appended
 from tidewright.sources.riff import head, listing, open_range, read_samples, walk_chunks
+from tidewright.sources.shared import durable
 
 FACTS = "path string, size long, sha256 string, rate int, channels int, bits int, floating boolean, data_offset long, samples long, reference long, wrong array<string>, timecode string, date string"
 
@@ -27,8 +29,13 @@ def file_sha256(path: str) -> str:
     return h.hexdigest()
 
 
-def facts(path: str, size: int) -> tuple:
-    """What a file's chunks say: its format, how many samples it really holds, its time reference, what is wrong with it, its timecode and date tags."""
+#: Part of a capture's identity: to be raised when the same bytes would be told of otherwise.
+CAPTURE = "capture-1"
+
+
+def facts(path: str, size: int, sha256: str | None = None) -> tuple:
+    """What a file's chunks say: its format, how many samples it really holds, its time reference, what is wrong with it, its timecode and date tags. sha256: of the file, if it is known."""
+    sha256 = sha256 or file_sha256(path)
     with open_range(path) as f:
         found = walk_chunks(f, size)
         wrong = [c[6] for c in found if c[2] == "!"]
@@ -42,13 +49,13 @@ def facts(path: str, size: int) -> tuple:
         tags = next((c[6] for c in found if c[1] == 1 and c[2] == "ISMP"), None), date
         data = next((c for c in found if c[2] == "data"), None)
         if data is None or not any(c[2] == "fmt " for c in found):
-            return path, size, file_sha256(path), None, None, None, None, None, None, reference, [*wrong, "unreadable"], *tags
+            return path, size, sha256, None, None, None, None, None, None, reference, [*wrong, "unreadable"], *tags
         f.seek(0)
         rate, channels, bits, floating, _, _ = head(f.read(data[3]))
         width = channels * bits // 8
         if data[4] % max(1, width):
             wrong.append("part_of_a_frame")
-    return path, size, file_sha256(path), rate, channels, bits, floating, data[3], data[4] // max(1, width), reference, wrong, *tags
+    return path, size, sha256, rate, channels, bits, floating, data[3], data[4] // max(1, width), reference, wrong, *tags
 
 
 def inventory(spark: SparkSession, folder: str) -> DataFrame:
@@ -58,21 +65,63 @@ def inventory(spark: SparkSession, folder: str) -> DataFrame:
     return listing(spark, folder, "*").withColumn("relative", F.substring(F.col("path"), F.lit(len(root) + 1), F.lit(2**31 - 1)))
 
 
-def inspect(spark: SparkSession, folder: str) -> DataFrame:
-    """FACTS of every .wav file below the folder, and what its name says (transmitter, sequence, named_date, named_time, variant).
+def _named(found: DataFrame) -> DataFrame:
+    base = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"(?i)\.wav$", "")
+    return found.withColumn("name", base).select("*", F.inline(F.array(parse_filename(F.col("name")))))
 
-    One file is one row's work; no file's samples are held in memory.
-    """
+
+def _walked(files: DataFrame) -> DataFrame:
+    """FACTS of files (path, length, sha256; null: to be hashed). One file is one row's work; no file's samples are held in memory."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = [c.split()[0] for c in FACTS.split(", ")]
         for frame in frames:
-            rows = [facts(p, n) for p, n in zip(frame["path"], frame["length"], strict=True)]
+            rows = [facts(p, n, h) for p, n, h in zip(frame["path"], frame["length"], frame["sha256"], strict=True)]
             yield pd.DataFrame(rows, columns=columns).astype({c: "Int64" for c in ("rate", "channels", "bits", "data_offset", "samples", "reference")})
 
-    found = listing(spark, folder).mapInPandas(run, FACTS)
-    base = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"(?i)\.wav$", "")
-    return found.withColumn("name", base).select("*", F.inline(F.array(parse_filename(F.col("name")))))
+    return files.select("path", "length", "sha256").mapInPandas(run, FACTS)
+
+
+def inspect(spark: SparkSession, folder: str) -> DataFrame:
+    """FACTS of every .wav file below the folder, and what its name says (transmitter, sequence, named_date, named_time, variant)."""
+    return _named(_walked(listing(spark, folder).withColumn("sha256", F.lit(None).cast("string"))))
+
+
+def hashed(files: DataFrame) -> DataFrame:
+    """files (path) with sha256."""
+
+    @F.pandas_udf("string")
+    def digest(paths: pd.Series) -> pd.Series:
+        return paths.map(file_sha256)
+
+    return files.withColumn("sha256", digest("path"))
+
+
+class Captures(Appended):
+    """What was found out about files, by their place, their bytes and CAPTURE; only what isn't known is looked into."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        super().__init__(spark, folder, "capture string, " + FACTS, "capture")
+
+    def inspect(self, folder: str) -> tuple[DataFrame, int]:
+        """(inspect() of the folder, how many files were looked into).
+
+        Every file is hashed once to know it. New captures are kept only if the files still have those bytes; a file that
+        changed meanwhile is refused as source_changed, and nothing of the run is kept.
+        """
+        files = durable(hashed(listing(self.spark, folder)))
+        named = files.withColumn("capture", F.sha2(F.concat_ws("|", F.lit(CAPTURE), "path", "sha256"), 256))
+        missing = named.join(self.known().select("capture"), "capture", "left_anti")
+        new = durable(_walked(missing).join(missing.select("path", "capture"), "path"))
+        n = new.count()
+        if n:
+            changed = hashed(new.select("path", F.col("sha256").alias("before"))).filter("sha256 != before").limit(1).collect()
+            if changed:
+                raise RuntimeError("source_changed: a file changed while it was looked into")
+            self.append(new)
+        told = self.known().drop("path", "size", "sha256")
+        rows = named.withColumnRenamed("length", "size").join(told, "capture").select(*[c.split()[0] for c in FACTS.split(", ")])
+        return _named(rows), n
 
 
 def track_windows(entries: DataFrame, size: int, length: int) -> DataFrame:
