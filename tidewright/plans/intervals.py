@@ -87,10 +87,11 @@ def overlap_join(spark, d):
 
 @query("draft_pairs", "WITH " + SPANS_SQL + f' SELECT a.event_id AS first, b.event_id AS second, least(1000, (least(a."end", b."end") - greatest(a.start, b.start)) * 1000 // least(a."end" - a.start, b."end" - b.start)) AS overlap_permille FROM spans a JOIN spans b ON a.event_id < b.event_id AND a.track != b.track AND {OVERLAP}')
 def draft_pairs(spark, d):
+    """A span of no length within another one is all of it: 1000."""
     s = spans(spark, d)
     pairs = I.overlap_join(s, s, 60000, on=(F.col("l.event_id") < F.col("r.event_id")) & (F.col("l.track") != F.col("r.track")))
     shared, shorter = F.least("l.end", "r.end") - F.greatest("l.start", "r.start"), F.least(F.col("l.end") - F.col("l.start"), F.col("r.end") - F.col("r.start"))
-    return pairs.select(F.col("l.event_id").alias("first"), F.col("r.event_id").alias("second"), F.least(F.lit(1000), Q.floor_div(shared * 1000, shorter)).alias("overlap_permille"))
+    return pairs.select(F.col("l.event_id").alias("first"), F.col("r.event_id").alias("second"), F.least(F.lit(1000), Q.floor_div(shared * 1000, F.nullif(shorter, F.lit(0)))).alias("overlap_permille"))
 
 
 @query("overlap_flag", "WITH " + SPANS_SQL + f' SELECT a.event_id, EXISTS (SELECT 1 FROM spans b WHERE b.user_id != a.user_id AND {OVERLAP} AND least(a."end", b."end") - greatest(a.start, b.start) >= 5000) AS overlap FROM spans a')
