@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from tests.test_queries import canonical
+from tidewright.operators import attribution as A
 from tidewright.plans import oracle_sql, queries
 
 KINDS = ("view", "click", "purchase", "signup", "error")
@@ -40,3 +41,22 @@ def test_spans_of_no_length_are_wholly_within_others(spark, tmp_path):
 def test_drafts_of_no_length_collapse_into_none(spark, tmp_path):
     got = queries()["collapse"](spark, table(spark, tmp_path, SHORT)).collect()
     assert not {r["loser"] for r in got} & {1, 2, 4, 5}
+
+
+CROWD = [(i % 40, i % 9, KINDS[i % 5], i * 7 % 490) for i in range(200)]
+
+
+@pytest.mark.parametrize("name", ["score_candidate", "worst_delta", "gate", "best_suppressor", "attribute_two_pass", "tallies", "evidence_lookup", "active_weight"])
+def test_pairs_of_a_crowd_are_not_shuffled(spark, tmp_path, name):
+    """All candidates at once; rows of pairs are neither sorted for an aggregate nor dealt by their other candidate."""
+    folder = table(spark, tmp_path, CROWD)
+    same(spark, folder, name)
+    plan = queries()[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "hashpartitioning(other" not in plan
+
+
+def test_the_least_of_equal_margins_suppresses(spark):
+    ids = [5, -3, 2**62, -(2**63)]
+    scores = spark.createDataFrame([(i, 0, 1, 0) for i in ids], "id long, track long, total int, level long")
+    gates = spark.createDataFrame([(5, -3, 200, "suppresses"), (5, 2**62, 200, "suppresses"), (-3, 2**62, 150, "suppresses"), (2**62, 5, 151, "suppresses"), (2**62, -(2**63), 151, "suppresses")], "id long, other long, margin int, outcome string")
+    assert {r["id"]: r["suppressed_by"] for r in A.decide(scores, gates).collect()} == {5: -3, -3: 2**62, 2**62: -(2**63), -(2**63): None}
