@@ -1,13 +1,15 @@
 """Queries over events tables made for what the driver's smallest ones don't hold, against their SQL."""
 
+import tracemalloc
 from datetime import datetime, timedelta
 
 import duckdb
+import pandas as pd
 import pytest
 
 from tests.test_queries import canonical
 from tidewright.operators import attribution as A
-from tidewright.plans import oracle_sql, queries
+from tidewright.plans import flows, oracle_sql, queries
 
 KINDS = ("view", "click", "purchase", "signup", "error")
 
@@ -60,3 +62,13 @@ def test_the_least_of_equal_margins_suppresses(spark):
     scores = spark.createDataFrame([(i, 0, 1, 0) for i in ids], "id long, track long, total int, level long")
     gates = spark.createDataFrame([(5, -3, 200, "suppresses"), (5, 2**62, 200, "suppresses"), (-3, 2**62, 150, "suppresses"), (2**62, 5, 151, "suppresses"), (2**62, -(2**63), 151, "suppresses")], "id long, other long, margin int, outcome string")
     assert {r["id"]: r["suppressed_by"] for r in A.decide(scores, gates).collect()} == {5: -3, -3: 2**62, 2**62: -(2**63), -(2**63): None}
+
+
+def test_one_waveform_is_held_at_a_time():
+    many = pd.DataFrame({"s_suppkey": range(300), "marker": [flows.MARKERS[0]] * 300, "level": range(100, 400)})
+    one = next(flows.waveforms(iter([many.head(1)])))["samples"][0] * 8
+    tracemalloc.start()
+    got = next(flows.waveforms(iter([many])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(set(got["sha256"])) > 250 and most < 30 * one

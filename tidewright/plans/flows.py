@@ -330,19 +330,23 @@ def marker_specs(spark, d):
     return played.join(W.marker_table(spark), "marker").select("o_orderkey", "marker", "chirp", (F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("end")).alias("end"), "first_hz", "last_hz")
 
 
+def waveforms(frames):
+    """samples and sha256 of what each row's marker is at its level; one waveform is held at a time."""
+    shapes = {n: W.marker_samples(W.marker(n)).astype(int) for n in MARKERS}
+    for frame in frames:
+        told = []
+        for n, level in zip(frame["marker"], frame["level"], strict=True):
+            made = shapes[n] * level // 1000
+            told.append((len(made), hashlib.sha256(W.wav_bytes(made)).hexdigest()))
+        yield frame.assign(samples=[n for n, _ in told], sha256=[h for _, h in told])
+
+
 @query("synth_marker")
 def synth_marker(spark, d):
     """s_suppkey, marker, level, samples, sha256 of the waveform that each supplier plays at its level. Tests hold it to the sweep's formula."""
     marker = F.get(F.array(*map(F.lit, MARKERS)), (F.col("s_suppkey") % len(MARKERS)).cast("int"))
     played = read(spark, d, "supplier").select("s_suppkey", marker.alias("marker"), (F.lit(100) + F.col("s_suppkey") % 900).cast("int").alias("level"))
-
-    def run(frames):
-        shapes = {n: W.marker_samples(W.marker(n)).astype(int) for n in MARKERS}
-        for frame in frames:
-            made = [shapes[n] * level // 1000 for n, level in zip(frame["marker"], frame["level"], strict=True)]
-            yield frame.assign(samples=[len(x) for x in made], sha256=[hashlib.sha256(W.wav_bytes(x)).hexdigest() for x in made])
-
-    return played.mapInPandas(run, "s_suppkey long, marker string, level int, samples long, sha256 string")
+    return played.mapInPandas(waveforms, "s_suppkey long, marker string, level int, samples long, sha256 string")
 
 
 @query("sequence_nms")
