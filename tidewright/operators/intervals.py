@@ -122,6 +122,28 @@ def band_join(left: DataFrame, right: DataFrame, left_at: str, right_at: str, to
     return a.join(b, cond, how).drop("_a", "_b")
 
 
+def band_best(queries: DataFrame, points: DataFrame, at: str, tolerance: int) -> DataFrame:
+    """(at, best): for each distinct position of queries the point (at, id, score) within tolerance with the greatest score, then the nearest, then of least id.
+
+    No pair is made: the time line is cut into blocks of tolerance + 1, so that either side of a position is the end of one block and the
+    beginning of the next. The best from a block's beginning, and to its end, run along its rows. best is a struct of score, id.
+    """
+    width = tolerance + 1
+    one = points.filter(F.col("at").isNotNull()).groupBy("at").agg(F.max(F.struct("score", (-F.col("id")).alias("neg"))).alias("k")).select("at", "k.score", "k.neg")
+    q = queries.select(F.col(at).alias("q")).filter("q is not null").distinct()
+    edges = F.explode(F.array(*[F.struct(F.lit(n).alias("edge"), (F.col("q") + d).alias("at")) for n, d in (("a", -tolerance), ("b", 0), ("c", tolerance))])).alias("e")
+    rows = one.select("at", "score", "neg").unionByName(q.select("q", edges).select("q", "e.edge", "e.at"), allowMissingColumns=True).withColumn("_block", floor_div(F.col("at"), width))
+    before, after = F.when(F.col("q").isNull(), F.struct("score", "at", "neg")), F.when(F.col("q").isNull(), F.struct("score", (-F.col("at")).alias("at"), "neg"))
+    up = Window.partitionBy("_block").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy("_block").orderBy(F.col("at").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    near = {"up_before": F.max(before).over(up), "up_after": F.max(after).over(up), "down_before": F.max(before).over(down), "down_after": F.max(after).over(down)}
+    found = rows.withColumns(near).filter("q is not null")
+    key = lambda c, d: F.when(F.col(c).isNotNull(), F.struct(F.col(f"{c}.score").alias("score"), d.alias("d"), F.col(f"{c}.neg").alias("neg")))
+    left, right = lambda c: key(c, F.col(f"{c}.at") - F.col("q")), lambda c: key(c, F.col(f"{c}.at") + F.col("q"))
+    here = F.when(F.col("edge") == "a", left("down_before")).when(F.col("edge") == "c", right("up_after")).otherwise(F.greatest(left("up_before"), right("down_after")))
+    return found.groupBy(F.col("q").alias(at)).agg(F.max(here).alias("k")).filter("k is not null").select(at, F.struct(F.col("k.score").alias("score"), (-F.col("k.neg")).alias("id")).alias("best"))
+
+
 def nearest_rank(df: DataFrame, by: Sequence[str], value: str, share: float, name: str, least: int = 1) -> DataFrame:
     """The element at rint((n - 1) * share) of each group's sorted values (ties of the rank to even); null under `least` values.
 

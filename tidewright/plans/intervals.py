@@ -170,12 +170,11 @@ def band_join_chirps(spark, d):
     anchors = peaks(spark, d, "view", "anchor")
 
     def best(kind, prefix, offset):
-        at = anchors.select("anchor_id", (F.col("anchor_at") + offset).alias("expected"))
-        near = I.band_join(at, peaks(spark, d, kind, prefix), "expected", f"{prefix}_at", 300)
-        key = F.struct(F.col(f"{prefix}_score").alias("s"), (-F.abs(F.col(f"{prefix}_at") - F.col("expected"))).alias("d"), (-F.col(f"{prefix}_id")).alias("i"))
-        return near.groupBy("anchor_id").agg(F.max(key).alias("k")).select("anchor_id", (-F.col("k.i")).alias(f"{prefix}_id"), F.col("k.s").alias(f"{prefix}_score"))
+        at = anchors.select((F.col("anchor_at") + offset).alias("expected"))
+        near = I.band_best(at, peaks(spark, d, kind, "peak").toDF("id", "at", "score"), "expected", 300)
+        return near.select((F.col("expected") - offset).alias("anchor_at"), F.col("best.id").alias(f"{prefix}_id"), F.col("best.score").alias(f"{prefix}_score"))
 
-    joined = anchors.join(best("click", "second", 600), "anchor_id").join(best("purchase", "third", 1200), "anchor_id")
+    joined = anchors.join(best("click", "second", 600), "anchor_at").join(best("purchase", "third", 1200), "anchor_at")
     return joined.select("anchor_id", "second_id", "third_id", F.least("anchor_score", "second_score", "third_score").alias("score"))
 
 
