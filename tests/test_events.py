@@ -83,3 +83,13 @@ def test_chirps_of_a_crowd(spark, tmp_path):
     same(spark, folder, "band_join_chirps")
     plan = queries()["band_join_chirps"](spark, folder)._jdf.queryExecution().analyzed().toString()
     assert "abs(" not in plan
+
+
+SPARSE = [(i * 397 % 86_000, i % 7, KINDS[i * 13 % 11 % 5], i % 491) for i in range(400)]
+
+
+@pytest.mark.parametrize("rows", [DENSE, SPARSE])
+def test_windows_that_hold_one_peak(spark, tmp_path, rows):
+    folder = table(spark, tmp_path, [*rows, (200_000, 1, "signup", 1), (200_000, 1, "purchase", 1), (300_000, 1, "signup", 1), (300_900, 1, "purchase", 1), (300_899, 1, "purchase", 1)])
+    assert ("900", "904") not in same(spark, folder, "role_assignment")
+    assert "Join" not in queries()["role_assignment"](spark, folder)._jdf.queryExecution().analyzed().toString()

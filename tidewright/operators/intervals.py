@@ -144,6 +144,22 @@ def band_best(queries: DataFrame, points: DataFrame, at: str, tolerance: int) ->
     return found.groupBy(F.col("q").alias(at)).agg(F.max(here).alias("k")).filter("k is not null").select(at, F.struct(F.col("k.score").alias("score"), (-F.col("k.neg")).alias("id")).alias("best"))
 
 
+def counted_after(windows: DataFrame, points: DataFrame, length: int) -> DataFrame:
+    """(id, n, one): how many points (at, id) stand within length from the start of each window (id, start) on, and the least of their ids; windows without any have no row.
+
+    No pair is made: on a time line cut into blocks of length, a window is the end of one block and the beginning of the next.
+    """
+    edges = F.explode(F.array(F.struct(F.lit("a").alias("edge"), F.col("start").alias("at")), F.struct(F.lit("b").alias("edge"), (F.col("start") + length).alias("at")))).alias("e")
+    asked = windows.filter(F.col("start").isNotNull()).select(F.col("id").alias("q"), edges).select("q", "e.edge", "e.at")
+    own = points.filter(F.col("at").isNotNull()).select("at", F.col("id").alias("point"))
+    rows = own.unionByName(asked, allowMissingColumns=True).withColumn("_block", floor_div(F.col("at"), length))
+    up = Window.partitionBy("_block").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy("_block").orderBy((-F.col("at"))).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    pick = lambda f: F.when(F.col("edge") == "a", F.col(f"{f}_down")).otherwise(F.col(f"{f}_up"))
+    found = rows.withColumns({"n_up": F.count("point").over(up), "p_up": F.min("point").over(up), "n_down": F.count("point").over(down), "p_down": F.min("point").over(down)}).filter("edge is not null")
+    return found.groupBy(F.col("q").alias("id")).agg(F.sum(pick("n")).alias("n"), F.min(pick("p")).alias("one")).filter("n > 0")
+
+
 def nearest_rank(df: DataFrame, by: Sequence[str], value: str, share: float, name: str, least: int = 1) -> DataFrame:
     """The element at rint((n - 1) * share) of each group's sorted values (ties of the rank to even); null under `least` values.
 

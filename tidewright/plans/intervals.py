@@ -194,10 +194,10 @@ def associate(spark, d):
 @query("role_assignment", "WITH " + PEAKS + """, w AS (SELECT a.event_id AS event, b.event_id AS grp FROM peaks a JOIN peaks b ON a.event_type = 'signup' AND b.event_type = 'purchase' AND b.at >= a.at AND b.at < a.at + 900),
 c AS (SELECT *, count(*) OVER (PARTITION BY event) AS n FROM w), s AS (SELECT *, count(*) OVER (PARTITION BY grp) AS m FROM c WHERE n = 1) SELECT event, grp FROM s WHERE m = 1""")
 def role_assignment(spark, d):
-    windows = peaks(spark, d, "signup", "e").select("e_id", F.col("e_at").alias("start"), (F.col("e_at") + 900).alias("end"))
-    found = I.point_join(peaks(spark, d, "purchase", "g"), windows, "g_at", 900).select(F.col("r.e_id").alias("event"), F.col("g_id").alias("grp"))
-    single = found.withColumn("n", F.count("*").over(Window.partitionBy("event"))).filter("n = 1")
-    return single.withColumn("m", F.count("*").over(Window.partitionBy("grp"))).filter("m = 1").select("event", "grp")
+    windows = peaks(spark, d, "signup", "e").select(F.col("e_id").alias("id"), F.col("e_at").alias("start"))
+    found = I.counted_after(windows, peaks(spark, d, "purchase", "g").select(F.col("g_id").alias("id"), F.col("g_at").alias("at")), 900)
+    single = found.filter("n = 1").select(F.col("id").alias("event"), F.col("one").alias("grp"))
+    return single.groupBy("grp").agg(F.count("*").alias("m"), F.min("event").alias("event")).filter("m = 1").select("event", "grp")
 
 
 # ---- ordered operators
