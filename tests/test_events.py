@@ -9,6 +9,7 @@ import pytest
 
 from tests.test_queries import canonical
 from tidewright.operators import attribution as A
+from tidewright.operators import markerrun as K
 from tidewright.plans import flows, oracle_sql, queries
 
 KINDS = ("view", "click", "purchase", "signup", "error")
@@ -93,3 +94,16 @@ def test_windows_that_hold_one_peak(spark, tmp_path, rows):
     folder = table(spark, tmp_path, [*rows, (200_000, 1, "signup", 1), (200_000, 1, "purchase", 1), (300_000, 1, "signup", 1), (300_900, 1, "purchase", 1), (300_899, 1, "purchase", 1)])
     assert ("900", "904") not in same(spark, folder, "role_assignment")
     assert "Join" not in queries()["role_assignment"](spark, folder)._jdf.queryExecution().analyzed().toString()
+
+
+def test_groups_within_logged_events(spark, tmp_path):
+    """Many groups of a session, at the edges of events too; an event that ends before it starts, or has no end, holds none."""
+    folder = table(spark, tmp_path, [(i * 977 % 800_000, i % 3, KINDS[3 + i % 2], i % 491) for i in range(500)])
+    same(spark, folder, "marker_role_notes")
+    groups = spark.createDataFrame([("s", a) for a in (10, 20, 30)], "session string, anchor long")
+    events = spark.createDataFrame([("s", "start", 10, 11, None), ("s", "end", 11, 30, None), ("s", "x", 25, 5, None), ("s", "y", 10, None, None), ("t", "z", 0, 99, None), ("s", "w", 15, 21, None)], "session string, role string, start long, end long, geometry string")
+    named, notes = K.roles(groups, events)
+    assert sorted((r["anchor"], r["role"]) for r in named.collect()) == [(10, "start"), (20, None), (30, None)]
+    none = "marker_event_without_occurrence"
+    assert sorted(tuple(r) for r in notes.collect()) == [("s", "marker_event_overlap", 20), ("s", none, 10), ("s", none, 25), ("t", none, 0)]
+    assert "Join" not in notes._jdf.queryExecution().analyzed().toString()

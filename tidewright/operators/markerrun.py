@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidewright.operators import intervals as I
 
 RATE = 48_000
+TASKS = 256  # that sessions are dealt to; where Spark would make fewer, larger ones, a task's memory grows with the tables
 MEMBERS = "session string, anchor long, track string, outcome string, at long, lag long, score int"
 
 
@@ -68,13 +69,21 @@ def roles(groups: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:
     events: session, role, start, end (samples, half-open), geometry. An event that holds no group, or several, names none; a group that several
     events hold alone stays unassigned. Scores have no say.
     """
-    numbered = events.withColumn("_e", F.struct("start", "end", "role", F.coalesce("geometry", F.lit("")).alias("geometry")))
-    inside = numbered.join(groups.select("session", "anchor").distinct(), "session", "left").withColumn("_in", F.coalesce((F.col("anchor") >= F.col("start")) & (F.col("anchor") < F.col("end")), F.lit(False)))
-    held = inside.groupBy("session", "_e", "role", "geometry", "start").agg(F.sum(F.col("_in").cast("long")).alias("n"), F.min(F.when(F.col("_in"), F.col("anchor"))).alias("anchor"))
+    own = events.withColumn("_e", F.struct("start", "end", "role", F.coalesce("geometry", F.lit("")).alias("geometry")))
+    own = own.filter(F.col("session").isNotNull() & F.col("start").isNotNull() & F.col("end").isNotNull())
+    edges = F.explode(F.array(F.struct(F.lit(1).alias("sign"), F.col("start").alias("at")), F.struct(F.lit(-1).alias("sign"), F.col("end").alias("at")))).alias("edge")
+    asked = own.select("session", "_e", "geometry", edges).select("session", "_e", "geometry", "edge.sign", "edge.at")
+    placed = groups.select("session", "anchor").distinct().withColumn("at", F.col("anchor")).unionByName(asked, allowMissingColumns=True).repartition(TASKS, "session")
+    # groups from each edge on, in order: no event meets each group of its session
+    on = Window.partitionBy("session").orderBy(F.col("at").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = placed.withColumns({"_n": F.count("anchor").over(on), "_first": F.min("anchor").over(on)}).filter("sign is not null")
+    held = counted.groupBy("session", "_e", "geometry").agg(F.sum(F.col("sign") * F.col("_n")).alias("n"), F.min(F.when(F.col("sign") == 1, F.col("_first"))).alias("anchor"))
+    void = events.filter(F.col("session").isNull() | F.col("start").isNull() | F.col("end").isNull()).select("session", F.col("role"), "geometry", "start", F.lit(0).cast("long").alias("n"), F.lit(None).cast("long").alias("anchor"))
+    held = held.select("session", F.col("_e.role").alias("role"), "geometry", F.col("_e.start").alias("start"), F.greatest(F.col("n"), F.lit(0)).alias("n"), "anchor").unionByName(void)
     alone = held.filter("n = 1").withColumn("claims", F.count("*").over(Window.partitionBy("session", "anchor")))
     told = alone.filter("claims = 1").select("session", "anchor", "role", "geometry")
-    notes = held.filter("n = 0").select("session", F.lit("marker_event_without_occurrence").alias("code"), F.col("start").alias("at"))
-    notes = notes.unionByName(held.filter("n > 1").select("session", F.lit("marker_event_ambiguous").alias("code"), F.col("start").alias("at")))
+    code = F.when(F.col("n") == 0, "marker_event_without_occurrence").otherwise("marker_event_ambiguous")
+    notes = held.filter("n != 1").select("session", code.alias("code"), F.col("start").alias("at"))
     notes = notes.unionByName(alone.filter("claims > 1").select("session", F.lit("marker_event_overlap").alias("code"), F.col("anchor").alias("at")).distinct())
     return groups.select("session", "anchor").distinct().join(told, ["session", "anchor"], "left"), notes
 
