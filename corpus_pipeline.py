@@ -32,7 +32,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate group (word 5-grams, similarity 0.8 or more) the document with the least doc_id stays, once if its row is repeated.
+    """Of each near-duplicate group (SimHash covering, then MinHash for what lies beyond its bits; word 5-grams, similarity 0.8 or more) the document with the least doc_id stays, once if its row is repeated.
 
     Null and empty texts are one group; a null doc_id counts as larger than any other.
     """

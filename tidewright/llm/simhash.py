@@ -225,21 +225,21 @@ def _keyed(documents: DataFrame) -> DataFrame:
 
 
 def _classes(documents: DataFrame, size: int, seed: int) -> DataFrame:
-    """(id, h, cls, n, bands) of every row: what its words are known by, the number of its shingles, its bands."""
+    """(id, h, cls, n, fp, bands) of every row: what its words are known by, the number of its shingles, its fingerprint, its bands."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        known: dict[int, tuple[int, list[int]]] = {}
+        known: dict[int, tuple[int, int, list[int]]] = {}
         cls = []
         for text in common.texts_of(batch.column(2)):
             cls.append(_class_of(text))
             if cls[-1] not in known:
                 s = _shingles(text, size, seed)
-                known[cls[-1]] = len(s), _bands(s, seed)
+                known[cls[-1]] = len(s), int(np.uint64(fingerprint(text, size, seed)).astype(np.int64)), _bands(s, seed)
         found = [known[c] for c in cls]
-        own = [batch.column(0), batch.column(1), pa.array(cls, pa.int64()), pa.array([n for n, _ in found], pa.int64()), pa.array([b for _, b in found], pa.list_(pa.int64()))]
-        return pa.record_batch(own, ["id", "h", "cls", "n", "bands"])
+        own = [batch.column(0), batch.column(1), pa.array(cls, pa.int64()), *[pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], pa.array([f[2] for f in found], pa.list_(pa.int64()))]
+        return pa.record_batch(own, ["id", "h", "cls", "n", "fp", "bands"])
 
-    return common.map_arrow(_keyed(documents), each, "id long, h long, cls long, n long, bands array<long>")
+    return common.map_arrow(_keyed(documents), each, "id long, h long, cls long, n long, fp long, bands array<long>")
 
 
 def _shingle_sets(documents: DataFrame, firsts: DataFrame, size: int, seed: int) -> DataFrame:
@@ -303,20 +303,30 @@ def _unjoined(prefixes: DataFrame, least: int) -> DataFrame:
     return a.join(b, near).select(F.greatest("a.cls", "b.cls").alias("u"), F.least("a.cls", "b.cls").alias("v")).distinct()
 
 
+def _covered(classes: DataFrame) -> DataFrame:
+    """Pairs (u, v), u > v, of classes (cls, fp) that the covering links: each with the least one of its fingerprint, those with one another by links()."""
+    least = classes.groupBy("fp").agg(F.min("cls").alias("rep"))
+    same = classes.join(least, "fp").filter("cls != rep").select(F.col("cls").alias("u"), F.col("rep").alias("v"))
+    return links(least).unionByName(same)
+
+
 def similar_classes(rows: DataFrame, documents: DataFrame, size: int = 5, seed: int = 42, least: int = 800) -> DataFrame:
     """(cls, first, root): for every distinct text of rows, the _classes() of documents, its first row and the root of its near-duplicate group.
 
-    Texts are linked where their sets of word shingles have a Jaccard similarity of least permille or more. Those that share a band of
-    MinHash are looked at. In each bucket all are compared, by whole sets, with the member that has the least share of rare shingles, which is
+    Texts are linked where their sets of word shingles have a Jaccard similarity of least permille or more. Those whose fingerprints meet in the
+    covering (links()) are looked at first, then, as fingerprints of texts as similar differ in up to some 14 bits and the covering reaches
+    three, those that share a band of MinHash. Whole sets decide of both. In each bucket all are compared, by whole sets, with the member that has the least share of rare shingles, which is
     the one that most copies come from: that joins nearly every group. Then texts of buckets that hold several groups still are compared
     wherever the rarest shingles of their sets allow a similarity as great (a prefix filter, which loses none).
     """
     first = F.min(F.struct("id", "h")).alias("first")
-    classes = common.durable(rows.groupBy("cls").agg(first, F.any_value("n").alias("n"), F.any_value("bands").alias("bands")))
+    classes = common.durable(rows.groupBy("cls").agg(first, F.any_value("n").alias("n"), F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands")))
+    covered = common.durable(_covered(classes))
     members = classes.select("cls", "n", F.explode("bands").alias("key"))
     groups = members.groupBy("key").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low < high").select("key")
     crowded = common.durable(members.join(groups, "key"))
-    firsts = classes.join(crowded.select("cls").distinct(), "cls", "left_semi").select("first.id", "first.h")
+    met = covered.select(F.explode(F.array("u", "v")).alias("cls")).unionByName(crowded.select("cls")).distinct()
+    firsts = classes.join(met, "cls", "left_semi").select("first.id", "first.h")
     sets = common.durable(_shingle_sets(documents, firsts, size, seed))
     # an eighth of all shingles, the same ones of every set, tells which members hold few that others lack
     some = sets.select("cls", F.explode(F.filter("shingles", lambda t: t.bitwiseAND(F.lit(7).cast("long")) == 0)).alias("t"))
@@ -327,13 +337,17 @@ def similar_classes(rows: DataFrame, documents: DataFrame, size: int = 5, seed:
     pivots = placed.groupBy("key").agg(F.min("apart").alias("p")).select("key", F.col("p.cls").alias("pivot"), F.col("p.n").alias("pivot_n"))
     fit = F.least("n", "pivot_n") * 1000 >= F.greatest("n", "pivot_n") * least  # else their similarity is less
     star = placed.join(pivots, "key").filter((F.col("cls") != F.col("pivot")) & fit).select(F.col("cls").alias("u"), F.col("pivot").alias("v")).distinct()
-    edges = common.durable(_confirmed(star, sets, least))
+    # of each class one link of the covering; those that then still lead from one group to another are looked at below
+    nearest = covered.groupBy("u").agg(F.min("v").alias("v"))
+    edges = common.durable(_confirmed(nearest.unionByName(star).distinct(), sets, least))
     found = common.durable(components(edges))
+    root = lambda side: found.select(F.col("u").alias(side), F.col("root").alias(f"{side}_root"))
+    across = covered.join(root("u"), "u", "left").join(root("v"), "v", "left").filter(F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v")
     parts = placed.select("key", "cls").join(found, placed["cls"] == found["u"], "left").select("key", "cls", F.coalesce("root", "cls").alias("part"))
     mixed = parts.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("key")
     rest = common.durable(parts.join(mixed, "key").select("cls", "part").distinct())
     others = common.durable(_unjoined(_prefixes(sets.join(rest, "cls"), least), least))
-    roots = components(edges.unionByName(_confirmed(others, sets, least)))
+    roots = components(edges.unionByName(_confirmed(others.unionByName(across).distinct(), sets, least)))
     return classes.join(roots, classes["cls"] == roots["u"], "left").select("cls", "first", F.coalesce("root", "cls").alias("root"))
 
 
