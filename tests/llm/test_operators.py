@@ -596,6 +596,17 @@ def check_packing(df, texts):
     return sum(r["length"] for r in got) / (2048 * len(sequences))
 
 
+def test_packing_learns_ascii_words_from_the_model_straight():
+    """Every printable ASCII character, long and odd words: ids as the whole tokenizer gives them, which isn't asked for them."""
+    from types import SimpleNamespace
+
+    own = packing.Words(packing.default_vocabulary())
+    whole = own.tokenizer
+    text = " ".join([*map(chr, range(33, 127)), "don't we'll 's''t !?!? a1b22 x" + "y" * 300, "The quick\tBROWN fox_jumps\n\nover--it."])
+    own.tokenizer = SimpleNamespace(model=whole.model)  # has no encode
+    assert [i.tolist() for i in own.ids([text, ""])] == [[*whole.encode(text, add_special_tokens=False).ids, 1], [1]]
+
+
 def test_packing_documents(documents):
     fill = check_packing(packing.pack_documents(documents), {r["doc_id"]: [r["text"]] for r in rows(documents)})
     assert fill >= 0.98

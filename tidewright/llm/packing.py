@@ -12,9 +12,11 @@ from __future__ import annotations
 import heapq
 import os
 import re
+import struct
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -67,11 +69,12 @@ class Words:
         """For each text its ids and END."""
         end = np.array([END], "<u4").tobytes()
         split = [SPLIT.findall(t.lower()) if "<|" not in t and PLAIN.fullmatch(t) else None for t in texts]
-        new = set().union(*(s for s in split if s is not None)) - self.known.keys()
+        words = [s for s in split if s is not None]
+        new = set(filterfalse(self.known.__contains__, chain.from_iterable(words)))
         if len(self.known) + len(new) > remember:
             self.known.clear()
-            new = set().union(*(s for s in split if s is not None))
-        self._learn(sorted(new))
+            new = set(chain.from_iterable(words))
+        self._learn(new)
         for t, s in zip(texts, split, strict=True):
             if s is None:
                 raw = np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
@@ -79,16 +82,24 @@ class Words:
                 raw = b"".join(map(self.known.__getitem__, s))
             yield np.frombuffer(raw + end, "<u4")
 
-    def _learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 1000):
-            part = words[at : at + 1000]
+    def _learn(self, words: Iterable[str]) -> None:
+        """Words of ASCII go to the model straight, as normalizing and splitting leave them as they are, each whole; others all the way."""
+        model, known, others = self.tokenizer.model, self.known, []
+        for w in words:
+            if w.isascii():
+                ids = [t.id for t in model.tokenize(w)]
+                known[w] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                others.append(w)
+        for at in range(0, len(others), 1000):
+            part = others[at : at + 1000]
             ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
             cuts = np.flatnonzero(self.last[ids]) + 1
             if len(cuts) != len(part):
                 pieces = [np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4") for w in part]
             else:
                 pieces = np.split(ids, cuts[:-1])
-            self.known.update((w, p.tobytes()) for w, p in zip(part, pieces, strict=True))
+            known.update((w, p.tobytes()) for w, p in zip(part, pieces, strict=True))
 
 
 def pieces(documents: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, remember: int = CACHE) -> DataFrame:
