@@ -2,15 +2,18 @@
 
 import tracemalloc
 from datetime import datetime, timedelta
+from itertools import combinations
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 
 from tests.test_queries import canonical
 from tidewright.operators import attribution as A
 from tidewright.operators import markerrun as K
-from tidewright.plans import flows, oracle_sql, queries
+from tidewright.operators import sequences as S
+from tidewright.plans import flows, oracle_sql, queries, session
 
 KINDS = ("view", "click", "purchase", "signup", "error")
 
@@ -46,6 +49,56 @@ def test_drafts_of_no_length_collapse_into_none(spark, tmp_path):
     assert not {r["loser"] for r in got} & {1, 2, 4, 5}
 
 
+def plain_collapse(spark, drafts, compared):
+    """Every pair of drafts (id, track, start, end, score) in one frame: what collapse() makes of it."""
+    pairs = []
+    for a, b in combinations(sorted(d for d in drafts if None not in d), 2):
+        if a[1] != b[1] and a[2] < b[3] and b[2] < a[3]:
+            w, l = (a, b) if a[4] >= b[4] else (b, a)
+            c = compared(dict(zip(NAMES, w, strict=True)), {n: np.array([v]) for n, v in zip(NAMES, l, strict=True)})
+            pairs.append((0, w[0], l[0], w[4], *(int(np.ravel(c[n])[0]) for n in ("overlap_permille", "similarity", "correlation")), w[4] - l[4], *(bool(np.ravel(c[n])[0]) for n in ("long_enough", "contains"))))
+    df = spark.createDataFrame(pairs, "island long, winner long, loser long, winner_score int, overlap_permille int, similarity int, correlation int, margin int, long_enough boolean, contains boolean")
+    return {(r["loser"], r["winner"], r["contained"]) for r in S.collapse(df).collect()}
+
+
+NAMES = ("id", "track", "start", "end", "score")
+LINE = [(i, i % 2, i * 7, i * 7 + 9, 500 - i) for i in range(60)]  # each meets the next, which scores less
+MIXED = [(i * 37 % 211 - 40, i % 5, i * 131 % 307 - 90, i * 131 % 307 - 90 + (400 if i % 41 == 0 else i * 17 % 43 - 4), i * 29 % 13 * 60) for i in range(211)]
+
+
+@pytest.mark.parametrize("drafts", [LINE, MIXED, [(1, None, 0, 5, 3), (2, 1, 0, None, 3)]])
+@pytest.mark.parametrize("block", [20, 10**6])
+def test_drafts_collapse_by_blocks_as_by_pairs(spark, drafts, block):
+    """Chains over many blocks, drafts longer than a block, of no length or less, equal scores, ids below zero."""
+    df = spark.createDataFrame(drafts, "id long, track long, start long, end long, score int")
+    got = [(r["id"], r["winner"], r["contained"]) for r in S.collapse_drafts(df, session.drafts_compared, block).collect()]
+    want = plain_collapse(spark, drafts, session.drafts_compared)
+    assert set(got) == want and len(got) == len(want)
+    if drafts is MIXED:
+        assert {c for _, _, c in got} == {False, True}
+
+
+def stages(spark):
+    """What Spark knows of its stages, by id."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    found = store.stageList(None, False, False, getattr(store, "stageList$default$4")(), getattr(store, "stageList$default$5")())
+    return {s.stageId(): s for s in (found.apply(i) for i in range(found.size()))}
+
+
+@pytest.mark.parametrize("rows", ["CROWD", "DENSE", "SPARSE"])
+def test_no_pair_of_drafts_is_dealt(spark, tmp_path, rows):
+    folder = table(spark, tmp_path, globals()[rows])
+    own = [tuple(r[n] for n in (*NAMES[:4], "total")) for r in session.first_scores(spark, folder).collect()]
+    pairs = sum(a[1] != b[1] and a[2] < b[3] and b[2] < a[3] for a, b in combinations(own, 2))
+    before = stages(spark)
+    got = [(r["loser"], r["winner"], r["contained"]) for r in queries()["collapse"](spark, folder).collect()]
+    most = max(s.shuffleWriteRecords() for k, s in stages(spark).items() if k not in before)
+    want = plain_collapse(spark, own, session.drafts_compared)
+    assert set(got) == want and len(got) == len(want) > 0
+    if rows == "CROWD":
+        assert most < pairs / 4
+
+
 CROWD = [(i % 40, i % 9, KINDS[i % 5], i * 7 % 490) for i in range(200)]
 
 

@@ -7,6 +7,7 @@ entities to tasks and sorts, and spills, within them. No task holds an entity's
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 from typing import Any
 
 import numpy as np
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.quantize import floor_div
 from tidewright.operators.markers import sequence_nms
+from tidewright.sources.shared import durable
 
 
 def divide(df: DataFrame, start: str, end: str, cap: int) -> DataFrame:
@@ -90,7 +92,9 @@ def peak_pick(scores: DataFrame, by: Sequence[str], at: str, score: str, least:
 
 
 def collapse(pairs: DataFrame, min_overlap: int = 500, min_similarity: int = 850, min_words: int = 4, min_chars: int = 12, min_correlation: int = 500, min_margin: int = 100, contained_margin: int = 300) -> DataFrame:
-    """(island, loser, winner, contained): greedy resolution of compared pairs, one island of overlapping drafts at a time.
+    """(island, loser, winner, contained): greedy resolution of compared pairs, one island of overlapping drafts at a time, in one frame.
+
+    collapse_drafts() does the same without pairs, where they can be compared from two drafts alone.
 
     pairs has island, winner, loser, winner_score, overlap_permille, similarity, correlation (null: unknown), margin, long_enough
     and contains. They are taken by greatest winner score. Pass one takes duplicates, and none whose loser
@@ -119,6 +123,84 @@ def collapse(pairs: DataFrame, min_overlap: int = 500, min_similarity: int = 850
     return pairs.groupBy("island").applyInPandas(run, "island long, loser long, winner long, contained boolean")
 
 
+def _takes(pair: dict[str, Any], min_overlap: int, min_similarity: int, min_correlation: int, min_margin: int, contained_margin: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which compared pairs collapse() takes as duplicates, and which as contained fragments, if nothing before them speaks against it."""
+    near = (pair["overlap_permille"] >= min_overlap) & ~np.isnan(pair["correlation"])
+    alike = near & pair["long_enough"] & (pair["similarity"] >= min_similarity) & ((pair["correlation"] >= min_correlation) | (pair["margin"] >= min_margin))
+    return alike, near & (pair["margin"] >= contained_margin) & pair["contains"]
+
+
+def _swept(rows: pd.DataFrame, takes: Callable[[dict[str, Any], dict[str, np.ndarray]], np.ndarray]) -> pd.DataFrame:
+    """rows of one block, by start, with gone, free, winner and winner_score: each draft that may stay, best first, tells those that it would take.
+
+    Of one that stays they are gone; of one whose fate hangs on other blocks they aren't free. known ones stay, and so does a free one that is in no other block.
+    """
+    rows = rows.sort_values(["start", "end", "id"], ignore_index=True)
+    c = {n: rows[n].to_numpy() for n in rows.columns}
+    ident, track, start, end, score, known, alone = (c[n] for n in ("id", "track", "start", "end", "score", "known", "alone"))
+    reach = np.maximum.accumulate(end)
+    first, last = np.searchsorted(reach, start, "right"), np.searchsorted(start, end, "left")
+    gone, free, winner = np.zeros(len(rows), bool), np.ones(len(rows), bool), np.full(len(rows), -1)
+    for i in np.lexsort((ident, -score)).tolist():
+        if gone[i]:
+            continue
+        s = slice(first[i], last[i])
+        after = (score[s] < score[i]) | ((score[s] == score[i]) & (ident[s] > ident[i]))
+        met = first[i] + np.flatnonzero(after & (end[s] > start[i]) & (track[s] != track[i]) & ~gone[s] & ~known[s])
+        if not len(met):
+            continue
+        met = met[takes({n: v[i] for n, v in c.items()}, {n: v[met] for n, v in c.items()})]
+        if known[i] or (alone[i] and free[i]):
+            gone[met], winner[met] = True, i
+        else:
+            free[met] = False
+    return rows.assign(gone=gone, free=free, winner=np.where(gone, ident[winner], 0), winner_score=np.where(gone, score[winner], 0))
+
+
+def _resolved(drafts: DataFrame, takes: Callable[[dict[str, Any], dict[str, np.ndarray]], np.ndarray], block: int) -> tuple[DataFrame, DataFrame]:
+    """(drafts that stay, those that are gone with their winner): each draft goes to the blocks of the time line that it touches, no pair anywhere.
+
+    A block settles all that hangs on nothing outside it; what several blocks hold stays once it is free in each. Those that are open go round again, along with those just
+    settled of which other blocks haven't heard. The first open draft is free everywhere, so it ends. All winners being known, one more sweep finds the first of each.
+    """
+    names = drafts.columns
+    held = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in drafts.schema.fields)
+
+    def swept(rows: DataFrame) -> DataFrame:
+        touched = F.sequence(floor_div(F.col("start"), block), floor_div(F.col("end") - 1, block))
+        spread = rows.withColumn("_all", touched).withColumn("alone", F.size("_all") == 1).withColumn("_block", F.explode("_all")).drop("_all")
+        out = f"{held}, known boolean, alone boolean, gone boolean, free boolean, winner long, winner_score long"
+        return spread.repartition(64, "_block").groupBy("_block").applyInPandas(lambda r: _swept(r.drop(columns="_block"), takes), out)
+
+    parts, rows = [], drafts.withColumn("known", F.lit(False))
+    while not parts or not rows.filter("not known").isEmpty():
+        one = durable(swept(rows).groupBy(*names, "known", "alone").agg(F.bool_or("gone").alias("gone"), F.bool_and("free").alias("free")))
+        parts.append(one.filter("not known and (gone or free)").select(*names, (~F.col("gone")).alias("known")))
+        rows = one.filter("not known and not gone and not (free and alone)").select(*names, F.col("free").alias("known"))
+    told = reduce(DataFrame.unionAll, parts)
+    best = F.min(F.struct((-F.col("winner_score")).alias("_score"), "winner"))
+    lost = swept(told).filter("gone").groupBy(*names).agg(best.alias("_best")).select(*names, F.col("_best.winner").alias("winner"))
+    return told.filter("known").drop("known"), lost
+
+
+def collapse_drafts(drafts: DataFrame, compared: Callable[[dict[str, Any], dict[str, np.ndarray]], dict[str, Any]], block: int, min_overlap: int = 500, min_similarity: int = 850, min_correlation: int = 500, min_margin: int = 100, contained_margin: int = 300) -> DataFrame:
+    """drafts that are gone, with winner and contained: what collapse() makes of all their pairs, which are compared where they meet and never become rows.
+
+    drafts has id (a key), track, start, end, score, and what compared looks at. compared(one, many) gets a draft and those of other tracks that it overlaps and may absorb,
+    as arrays, and returns overlap_permille, similarity, correlation (nan: unknown), long_enough and contains. The better score wins, the lesser id a tie: whoever absorbs was
+    settled before, so that collapse()'s guard has nothing to do. A task holds the drafts of one block, whatever the length of an island.
+    """
+    limits = (min_overlap, min_similarity, min_correlation, min_margin, contained_margin)
+
+    def takes(which: int) -> Callable[[dict[str, Any], dict[str, np.ndarray]], np.ndarray]:
+        return lambda one, many: _takes(compared(one, many) | {"margin": one["score"] - many["score"]}, *limits)[which]
+
+    whole = drafts.dropna(subset=["id", "track", "start", "end", "score"])
+    kept, alike = _resolved(whole, takes(0), block)
+    _, held = _resolved(durable(kept), takes(1), block)
+    return alike.withColumn("contained", F.lit(False)).unionAll(held.withColumn("contained", F.lit(True)))
+
+
 def gain_share(presence: Column, room: float, whole) -> Column:
     """A track's share of a frame: its presence, at least the room's, of all tracks' sum."""
     p = F.greatest(presence, F.lit(room))
