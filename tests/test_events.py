@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tests.test_queries import canonical
 from tidewright.operators import attribution as A
@@ -111,6 +112,39 @@ def test_pairs_of_a_crowd_are_not_shuffled(spark, tmp_path, name):
     assert "SortAggregate" not in plan and "hashpartitioning(other" not in plan
 
 
+def test_evidence_is_found_with_its_pair(spark, tmp_path):
+    """No stage deals the pairs, where tables are too large to be broadcast."""
+    folder = table(spark, tmp_path, CROWD)
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    usual = spark.conf.get(name)
+    before = stages(spark)
+    spark.conf.set(name, "-1")
+    try:
+        pairs = len(queries()["evidence_lookup"](spark, folder).collect())
+    finally:
+        spark.conf.set(name, usual)
+    assert max(s.shuffleWriteRecords() for k, s in stages(spark).items() if k not in before) < pairs / 8
+
+
+@pytest.mark.parametrize("every", [3, 1000])
+def test_evidence_of_ids_that_recur(spark, tmp_path, every):
+    """Two rows of an id overlap the same candidates: each of their pairs meets the evidence of both."""
+    folder = table(spark, tmp_path, CROWD[:90])
+    e = spark.read.parquet(f"{folder}/events.parquet").withColumn("event_id", F.expr(f"if(event_id % {every} = 1, event_id - 1, event_id)"))
+    e.unionAll(e.filter("event_id = 7")).coalesce(1).write.parquet(f"{folder}/again/events.parquet")
+    want = same(spark, f"{folder}/again", "evidence_lookup")
+    assert len(want) > len(set(want))
+
+
+@pytest.mark.parametrize(("name", "most"), [("evidence_lookup", 1.6)])
+def test_pairs_of_sessions_alike_take_little_room(spark, tmp_path, name, most):
+    """Every pair is the result; what repeats in it comes so that it is stored in a byte or so a pair."""
+    folder = table(spark, tmp_path, [(i % 25 * 2, i % 25 % 9 + i // 25 * 6, KINDS[i % 5], i % 25 * 17 + 60) for i in range(600)])
+    queries()[name](spark, folder).write.parquet(f"{folder}/out")
+    pairs = spark.read.parquet(f"{folder}/out").count()
+    assert pairs > 200_000 and sum(f.stat().st_size for f in (tmp_path / "out").glob("*.parquet")) < most * pairs
+
+
 def test_the_least_of_equal_margins_suppresses(spark):
     ids = [5, -3, 2**62, -(2**63)]
     scores = spark.createDataFrame([(i, 0, 1, 0) for i in ids], "id long, track long, total int, level long")
