@@ -136,7 +136,7 @@ def test_evidence_of_ids_that_recur(spark, tmp_path, every):
     assert len(want) > len(set(want))
 
 
-@pytest.mark.parametrize(("name", "most"), [("evidence_lookup", 1.6)])
+@pytest.mark.parametrize(("name", "most"), [("gate", 1.2), ("evidence_lookup", 1.6)])
 def test_pairs_of_sessions_alike_take_little_room(spark, tmp_path, name, most):
     """Every pair is the result; what repeats in it comes so that it is stored in a byte or so a pair."""
     folder = table(spark, tmp_path, [(i % 25 * 2, i % 25 % 9 + i // 25 * 6, KINDS[i % 5], i % 25 * 17 + 60) for i in range(600)])
